@@ -137,8 +137,13 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def with_marks(docs: DataFrame, marks: DataFrame, column: str) -> DataFrame:
-    """keyed() documents, each with the array that `marks` holds for its doc_id and th, or null. Both sides are plain
+    """keyed() documents, each with the array that `marks` holds for its doc_id, or null. Both sides are plain
     shuffles, so adaptive execution may split a hot key."""
-    side = marks.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col(column))
     d = keyed(docs)
-    return d.join(side, (d.doc_id == F.col("_id")) & (d.th == F.col("_th")), "left").select("doc_id", "text", "th", column)
+    return d.join(marks.select(F.col("doc_id").alias("_id"), F.col(column)), d.doc_id == F.col("_id"), "left").select("doc_id", "text", "th", column)
+
+
+def marked_only(joined: DataFrame, column: str) -> DataFrame:
+    """The rows of with_marks() that have marks. The condition looks at both sides of the join, which keeps it an outer
+    join: a plan that also needs the other rows can then use the same shuffle of the texts."""
+    return joined.where(F.coalesce(F.size(column), F.lit(0)) > F.when(F.col("doc_id").isNull(), 1).otherwise(0))
