@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eocube.llm.common import Hashes, byte_texts, joined, keyed, windows, with_marks, written
+from eocube.llm.common import Hashes, byte_texts, joined, keyed, marked_only, windows, with_marks, written
 
 
 def chunks(text: bytes, hashes: Hashes, window: int, divisor: int) -> tuple[list[bytes], np.ndarray, list[tuple[int, int, int]]]:
@@ -37,44 +37,43 @@ def without_repeated_chunks(docs: DataFrame, window: int = 2, divisor: int = 4)
     document with a smaller doc_id, or further up in the same one.
 
     Lines end at newlines. Null texts count as empty, one empty line. Chunks with fewer than two lines that are not
-    blank stay. Rows that repeat doc_id and text get the same result each; a null doc_id neither removes nor loses
-    lines. Empty tables give no rows. Other columns are not read.
+    blank stay. Rows that repeat a doc_id count as one document; a null doc_id neither removes nor loses lines. Empty tables give no rows. Other columns are not read.
     """
 
     def hashed(batches):
         hashes = Hashes(3)
         for b in batches:
             rows = []
-            for t, d, th in zip(byte_texts(b.column("text")), b.column("doc_id").to_pylist(), b.column("th").to_pylist(), strict=True):
+            for t, d in zip(byte_texts(b.column("text")), b.column("doc_id").to_pylist(), strict=True):
                 if d is None or b"\n" not in t:
                     continue
                 value, n = np.unique([x[2] for x in chunks(t, hashes, window, divisor)[2]], return_counts=True)
-                rows += [(int(v), int(k), d, th) for v, k in zip(value, n, strict=True)]
+                rows += [(int(v), int(k), d) for v, k in zip(value, n, strict=True)]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], ["g", "n", "doc_id", "th"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], ["g", "n", "doc_id"])
 
-    rows = keyed(docs).mapInArrow(hashed, "g long, n long, doc_id long, th long")
+    rows = keyed(docs).mapInArrow(hashed, "g long, n long, doc_id long")
     again = rows.groupBy("g").agg(F.sum("n").alias("_n")).where("_n > 1").select(F.col("g").alias("_g"))
-    marks = written(rows.join(again, F.col("g") == F.col("_g"), "left_semi").groupBy("doc_id", "th").agg(F.collect_set("g").alias("marks")))
+    marks = written(rows.join(again, F.col("g") == F.col("_g"), "left_semi").groupBy("doc_id").agg(F.collect_set("g").alias("marks")))
     marked = with_marks(docs, marks, "marks")
 
     def candidates(batches):
         hashes = Hashes(3)
         for b in batches:
             rows = []
-            for t, d, th, m in zip(byte_texts(b.column("text")), b.column("doc_id").to_pylist(), b.column("th").to_pylist(), b.column("marks").to_pylist(), strict=True):
+            for t, d, m in zip(byte_texts(b.column("text")), b.column("doc_id").to_pylist(), b.column("marks").to_pylist(), strict=True):
                 lines, _, found = chunks(t, hashes, window, divisor)
                 m, seen = set(m), set()
                 for x, y, v in found:
                     if v in m and (chunk := b"\n".join(lines[x:y])) not in seen:
                         seen.add(chunk)
-                        rows.append((chunk, d, th, x))
+                        rows.append((chunk, d, x))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.binary(), pa.int64(), pa.int64(), pa.int32()), strict=True)], ["chunk", "doc_id", "th", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.binary(), pa.int64(), pa.int32()), strict=True)], ["chunk", "doc_id", "at"])
 
-    firsts = marked.where("marks is not null").mapInArrow(candidates, "chunk binary, doc_id long, th long, at int")
-    firsts = firsts.groupBy("chunk").agg(F.min("doc_id").alias("doc_id"), F.min_by("th", "doc_id").alias("th"), F.min_by("at", "doc_id").alias("at"))
-    side = firsts.groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).agg(F.collect_list("at").alias("firsts"))
+    firsts = marked_only(marked, "marks").mapInArrow(candidates, "chunk binary, doc_id long, at int")
+    firsts = firsts.groupBy("chunk").agg(F.min("doc_id").alias("doc_id"), F.min_by("at", "doc_id").alias("at"))
+    side = firsts.groupBy(F.col("doc_id").alias("_d")).agg(F.collect_list("at").alias("firsts"))
 
     def keep(batches):
         hashes = Hashes(3)
@@ -96,7 +95,7 @@ def without_repeated_chunks(docs: DataFrame, window: int = 2, divisor: int = 4)
                 [b.column("doc_id"), b.column("th"), pa.array(n_lines, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "th", "n_lines", "n_removed", "kept"]
             )
 
-    both = marked.join(side, (F.col("doc_id") == F.col("_d")) & (F.col("th") == F.col("_t")), "left").select("doc_id", "text", "th", "marks", "firsts")
+    both = marked.join(side, F.col("doc_id") == F.col("_d"), "left").select("doc_id", "text", "th", "marks", "firsts")
     return both.mapInArrow(keep, "doc_id long, th long, n_lines long, n_removed long, kept string")
 
 
