@@ -83,11 +83,18 @@ def log_ratios(found: DataFrame) -> list[float]:
     secret = F.transform("base", lambda s: F.when(s["kind"] == 0, F.regexp_replace(s["match"], f"^{ASSIGN_HEAD}", "")).otherwise(s["match"]))
     samples = found.select(F.lit(1).alias("random"), F.explode(secret).alias("token")).unionByName(found.select(F.lit(0).alias("random"), F.explode(F.transform("candidates", lambda c: c["match"])).alias("token")))
     pairs = samples.select("random", F.explode(_transitions(F.col("token"))).alias("pair")).groupBy("random", "pair").count()
-    n = [[0.5] * 128 * 128, [0.5] * 128 * 128]
+    n = [[0.0] * 128 * 128, [0.0] * 128 * 128]
     for r in pairs.where("pair < 16384").collect():
-        n[r["random"]][r["pair"]] += r["count"]
-    total = [[sum(m[128 * a : 128 * a + 128]) for a in range(128)] for m in n]
-    return [math.log(n[1][i] / total[1][i // 128]) - math.log(n[0][i] / total[0][i // 128]) for i in range(128 * 128)]
+        # Identifiers are scored by what others show, so a transition's own occurrence doesn't count for them.
+        n[r["random"]][r["pair"]] += r["count"] - (r["random"] == 0)
+    if not sum(n[0]) or not sum(n[1]):
+        return [0.0] * 128 * 128
+    logs = []
+    for m in n:  # backed off to the characters' own shares
+        share = [(sum(m[b::128]) + 0.5) / (sum(m) + 64) for b in range(128)]
+        row = [sum(m[128 * a : 128 * a + 128]) for a in range(128)]
+        logs.append([math.log((m[i] + 10 * share[i % 128]) / (row[i // 128] + 10)) for i in range(128 * 128)])
+    return [y - x for x, y in zip(*logs, strict=True)]
 
 
 def scan(docs: DataFrame, shortest: int = 16, threshold: float = 0.25) -> DataFrame:
