@@ -125,12 +125,12 @@ query("a18_pyramid", f"with {fx.RASTER}, m as (select r, c, sum(v) as v from ras
 query("j4_overlapping_pairs", f"with {fx.RECT} select a.id as a_id, b.id as b_id from rect a join rect b on a.id < b.id and a.xmin < b.xmax and b.xmin < a.xmax and a.ymin < b.ymax and b.ymin < a.ymax and not (a.xmin <= b.xmin and a.ymin <= b.ymin and a.xmax >= b.xmax and a.ymax >= b.ymax) and not (b.xmin <= a.xmin and b.ymin <= a.ymin and b.xmax >= a.xmax and b.ymax >= a.ymax)")(lambda s, d: stats.overlapping_pairs(fx.rectangles(s, d), 20))
 
 # Dates and incremental collection
-_MONTHS = "with recursive it as (select distinct o_custkey % 50 as item, date '1992-01-31' + ((o_custkey % 50) * 7)::int as start, date '1993-06-30' as fin from orders), st as (select item, fin, 0 as step_no, start as a, (start + interval 1 month)::date as b from it union all select item, fin, step_no + 1, (a + interval 1 month)::date, (b + interval 1 month)::date from st where b - 1 <= fin), step as (select item, step_no, a as step_start, b - 1 as step_end from st where b - 1 <= fin)"
+_MONTHS = "with recursive it as (select distinct o_custkey % 50 as item, date '1995-01-31' + ((o_custkey % 50) * 7)::int as start, date '1996-06-30' as fin from orders), st as (select item, fin, 0 as step_no, start as a, (start + interval 1 month)::date as b from it union all select item, fin, step_no + 1, (a + interval 1 month)::date, (b + interval 1 month)::date from st where b - 1 <= fin), step as (select item, step_no, a as step_start, b - 1 as step_end from st where b - 1 <= fin)"
 
 
 def monthly(spark, d):
     o = fx.table(spark, d, "orders").select((F.col("o_custkey") % 50).alias("item")).distinct()
-    items = o.select("item", F.date_add(F.lit("1992-01-31").cast("date"), (F.col("item") * 7).cast("int")).alias("start"), F.lit("1993-06-30").cast("date").alias("end"))
+    items = o.select("item", F.date_add(F.lit("1995-01-31").cast("date"), (F.col("item") * 7).cast("int")).alias("start"), F.lit("1996-06-30").cast("date").alias("end"))
     return dates.time_steps(items, "months", 1).drop("start", "end")
 
 
