@@ -90,3 +90,16 @@ def metric(name: str, nodata: float | None = None, value: float = 0.0) -> Column
     if name not in known:
         raise ValueError(f"no metric {name}")
     return known[name]
+
+
+def batch_ids(df: DataFrame, item: str, order: str, batch: int) -> DataFrame:
+    """Batch i of an item holds its samples i, i + L, i + 2L, ... with L = ceil(n / batch)."""
+    w = Window.partitionBy(item)
+    n = F.ceil(F.count("*").over(w) / batch)
+    return df.withColumn("batch", (F.row_number().over(w.orderBy(order)) - 1) % n)
+
+
+def sample_weights(df: DataFrame, weights: DataFrame) -> DataFrame:
+    """Each sample's class weight, the classes' weights summing to 1; 0 for a class without one."""
+    total = weights.agg(F.sum("weight")).first()[0]
+    return df.join(weights.select("value", (F.col("weight") / total).alias("weight")), "value", "left").fillna(0.0, ["weight"])

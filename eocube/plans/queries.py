@@ -197,3 +197,8 @@ query("g15_windows", f"with {fx.RECT}, g as (select id as item, xmax - xmin + 20
 )
 _E = {"mse": "avg((y_pred - y_true) * (y_pred - y_true)) filter (where y_true <> 1)", "rmse": "sqrt(avg((y_pred - y_true) * (y_pred - y_true)) filter (where y_true <> 1))", "rmse_less": "sqrt(avg((y_pred - y_true) * (y_pred - y_true)) filter (where y_true <> 1 and y_true <= 20))", "rmse_more": "sqrt(avg((y_pred - y_true) * (y_pred - y_true)) filter (where y_true <> 1 and y_true >= 20))", "stretching": "avg(abs(y_pred - y_true) * (y_true + 1)) filter (where y_true <> 1)", "square_stretching": "avg(abs(y_pred - y_true) * (y_true + 1) * (y_true + 1)) filter (where y_true <> 1)"}
 query("e1_e8_metrics", f"with {fx.PRED} select " + ", ".join(f"round({v}, 4) as {k}" for k, v in _E.items()) + " from pred")(lambda s, d: fx.predictions(s, d).agg(*[F.round(samples.metric(k, 1.0, 20.0), 4).alias(k) for k in _E]))
+query("w9_time_index", _ranked + ", i as (select distinct tile_id, step_no from ranked) select tile_id, step_no, row_number() over (partition by tile_id order by step_no) - 1 as t_idx from i")(lambda s, d: samples.time_index(ranked(s, d).select("tile_id", "step_no").distinct()))
+query("w8_batch_ids", f"with {fx.LABEL} select item_id, position, (row_number() over (partition by item_id order by position) - 1) % ceil(count(*) over (partition by item_id) / 8)::bigint as batch from label")(lambda s, d: samples.batch_ids(fx.labels(s, d).select("item_id", "position"), "item_id", "position", 8))
+query("j7_sample_weights", f"with {fx.LABEL}, w as (select value, count(*) as weight from label where value <> 0 group by all) select item_id, position, label.value, round(coalesce(weight / (select sum(weight) from w), 0), 6)::double as weight from label left join w using (value)")(
+    lambda s, d: samples.sample_weights(fx.labels(s, d).select("item_id", "position", "value"), fx.labels(s, d).where("value <> 0").groupBy("value").agg(F.count("*").cast("double").alias("weight"))).withColumn("weight", F.round("weight", 6))
+)
