@@ -38,11 +38,10 @@ def temporal_stats(cells: DataFrame, band: str, masked) -> DataFrame:
 
 def merge_rasters(df: DataFrame, how: str, nodata: float) -> DataFrame:
     """sum, count, mean or first of the valid values of a cell."""
-    valid = df.where(F.col("v") != nodata)
     agg = {"sum": F.sum("v"), "count": F.count("v"), "mean": F.avg("v"), "first": F.min_by("v", "file_order")}
     if how not in agg:
         raise ValueError(f"no merge {how}")
-    return valid.groupBy("r", "c").agg(agg[how].alias("v"))
+    return df.where(F.col("v") != nodata).groupBy("r", "c").agg(agg[how].alias("v"))
 
 
 def overlapping_pairs(rects: DataFrame, bucket: int) -> DataFrame:
