@@ -7,39 +7,14 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Scene classes that count as cloudy; index formulas by common band name.
+# Scene classes that count as cloudy.
 SCL_CLOUDY = [0, 1, 3, 7, 8, 9, 10]
-SENTINEL_2 = {"blue": "b02", "green": "b03", "red": "b04", "nir": "b08", "nir08": "b8a", "swir1": "b11", "swir2": "b12"}
-INDICES = {
-    "ndvi": "(nir-red)/(nir+red)",
-    "ndmi": "(nir-swir1)/(nir+swir1)",
-    "ndwi1": "(nir-swir1)/(nir+swir1)",
-    "ndwi2": "(green-nir)/(green+nir)",
-    "savi": "(nir-red)/(nir+red+0.5)*1.5",
-    "gdvi": "nir-green",
-    "nbr": "(nir-swir2)/(nir+swir2)",
-    "bai": "1/((0.1-red)*(0.1-red)+(0.06-nir)*(0.06-nir))",
-}
 
 
 def divided(n: Column, d: Column) -> Column:
     return F.try_divide(n.cast("double"), d)
 
 
-def spectral_index(name: str, bands: dict[str, str] = SENTINEL_2) -> Column:
-    """NULL where a divisor is 0. Unknown names and absent bands are errors."""
-    import re
-
-    if name not in INDICES:
-        raise ValueError(f"no index {name}")
-    formula = re.sub(r"[a-z][a-z0-9]*", lambda m: f"cast({bands[m[0]]} as double)", INDICES[name])
-    top, slash, bottom = formula.partition("/")
-    if not slash:
-        return F.expr(formula)
-    bottom, times, factor = bottom.rpartition(")*1.5")
-    return F.expr(f"try_divide({top}, {bottom + ')' if times else factor})" + ("*1.5" if times else ""))
-
-
 def landsat_cloud(b1: str, b2: str, b3: str) -> Column:
     return F.greatest(b1, b2, b3) > 10000
 
@@ -93,7 +68,15 @@ def n_cells(distance: Column, scale: float) -> Column:
 
 
 #: The band calculator's functions.
-CALCULATOR = {"add": lambda a, b: a + b, "subtract": lambda a, b: a - b, "multiply": lambda a, b: a * b, "divide": F.try_divide, "minimum": F.least, "maximum": F.greatest, "mean": lambda a, b: (a + b) / 2}
+CALCULATOR = {
+    "abs": F.abs,
+    "sqrt": F.sqrt,
+    "sum": lambda *b: reduce(lambda x, y: x + y, b),
+    "argmax": lambda *b: argmax(F.array(*b)),
+    "argmin": lambda *b: argmax(F.transform(F.array(*b), lambda x: -x)),
+    "add": lambda a, b: a + b, "subtract": lambda a, b: a - b, "multiply": lambda a, b: a * b,
+    "divide": F.try_divide, "minimum": F.least, "maximum": F.greatest, "mean": lambda *b: reduce(lambda x, y: x + y, b) / len(b),
+}
 
 
 def calculate(name: str, *bands: Column) -> Column:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The two stores' names, and each band's resolution in metres.
+# The two stores' names, the archive's links, and each band's resolution in metres.
 COG_BUCKET, JP2_BUCKET = "sentinel-cogs", "sentinel-s2-l2a"
+ARCHIVE = (
+    "https://storage.googleapis.com/gcp-public-data-sentinel-2/L2/tiles/%s/%s/%s/%s.SAFE/GRANULE/L2A_T%s_A%s_%s/"
+    "IMG_DATA/R%sm/L2A_T%s_%s_%s_%sm.jp2"
+)
 RESOLUTION = {"B01": 60, "B02": 10, "B03": 10, "B04": 10, "B05": 20, "B06": 20, "B07": 20, "B08": 10, "B8A": 20, "B09": 60, "B11": 20, "B12": 20, "SCL": 20}
 
 
@@ -46,3 +50,28 @@ def item_id_from_path(path: Column) -> Column:
 
 def id_number(item: Column) -> Column:
     return F.get(F.filter(F.split(item, "_"), lambda x: x.rlike("^[0-9]+$")), F.lit(0)).cast("int")
+
+
+def jp2_to_archive(urls: DataFrame, url: str, products: DataFrame) -> DataFrame:
+    """urls with archive, the link in the public archive. products(path, name, datatake, zone, band, square, datastrip)
+    is one row per tile folder; links without one get null."""
+    u = urls.withColumn("_path", F.regexp_extract(url, r"(tiles/.*?)/R\d+m/", 1))
+    p = products.withColumnsRenamed({c: f"_p_{c}" for c in products.columns})
+    tile = F.concat(F.lpad(F.col("_p_zone").cast("string"), 2, "0"), F.col("_p_band"), F.col("_p_square"))
+    res, band = F.regexp_extract(url, r"/R(\d+)m/", 1), F.regexp_extract(url, r"/([^/]+)\.jp2$", 1)
+    taken, sensed = F.split("_p_datatake", "_")[2], F.substring(F.split("_p_datastrip", "_")[8], 2, 15)
+    link = F.format_string(
+        ARCHIVE, F.lpad(F.col("_p_zone").cast("string"), 2, "0"), F.col("_p_band"), F.col("_p_square"), F.col("_p_name"), tile, taken, sensed, res, tile, F.split("_p_name", "_")[2], band, res
+    )
+    out = u.join(p, F.col("_path") == F.col("_p_path"), "left").withColumn("archive", F.when(F.col("_p_path").isNotNull(), link))
+    return out.select(*urls.columns, "archive")
+
+
+def resolve_source(urls: DataFrame, url: str, available: DataFrame, products: DataFrame) -> DataFrame:
+    """urls with source: the link itself if it is in available(url), else its copy in the second store, else the
+    archive's; null where none is known."""
+    have = lambda name: available.select(F.col("url").alias(name)).distinct()
+    u = urls.withColumn("_jp2", F.when(is_cog_url(F.col(url)), cog_to_jp2(F.col(url))).otherwise(F.col(url)))
+    u = jp2_to_archive(u, "_jp2", products)
+    u = u.join(have("_first"), F.col(url) == F.col("_first"), "left").join(have("_second"), F.col("_jp2") == F.col("_second"), "left")
+    return u.withColumn("source", F.coalesce("_first", "_second", "archive")).select(*urls.columns, "source")

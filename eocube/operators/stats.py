@@ -62,9 +62,11 @@ def pyramid(cells: DataFrame, factors: list[int]) -> DataFrame:
 
 
 def missing_steps(steps: DataFrame, existing: DataFrame) -> DataFrame:
-    """Steps (item, step_start, step_end) without a date of existing(item, date) in them."""
-    e = existing.select(F.col("item").alias("_i"), F.col("date").alias("_d"))
-    return steps.join(e, (F.col("item") == F.col("_i")) & (F.col("_d") >= F.col("step_start")) & (F.col("_d") <= F.col("step_end")), "left_anti")
+    """Steps (item, step_no, step_start, step_end) without a date of existing(item, date) in them. Steps are spread over
+    their days, so both joins are on equal keys and repeated dates count once."""
+    days = steps.select("item", "step_no", F.explode(F.sequence("step_start", "step_end")).alias("date"))
+    have = days.join(existing.select("item", "date"), ["item", "date"], "left_semi").select("item", "step_no")
+    return steps.join(have, ["item", "step_no"], "left_anti").select(*steps.columns)
 
 
 def time_bubbles(missing: DataFrame) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eocube.functions import cells as fc
-from eocube.functions import dates, links
-from eocube.operators import mosaic, samples, search, stats
+from eocube.functions import clouds, dates, links, lookups
+from eocube.operators import collect, grid, mosaic, samples, search, stats, training
 from eocube.sources import fixtures as fx
+from eocube.sources import rasters
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -164,9 +165,13 @@ query("s14_s15_paths", _URLS + " select o_orderkey, 'zip' as scheme, 'a/b.zip' a
 )
 
 # Cells
-_N = {"ndvi": ("b08-b04", "b08+b04"), "nbr": ("b08-b12", "b08+b12"), "ndwi2": ("b03-b08", "b03+b08")}
-query("x20_indices", _cell + "select scene_id, r, c, " + ", ".join(f"({a})::double / nullif({b}, 0) as {k}" for k, (a, b) in _N.items()) + ", (b08-b04)::double / (b08+b04+0.5::double) * 1.5::double as savi, (b08 - b03)::double as gdvi from cell")(
-    lambda s, d: cells(s, d).select("scene_id", "r", "c", *[fc.spectral_index(k).alias(k) for k in (*_N, "savi")], fc.spectral_index("gdvi").alias("gdvi"))
+_N = {
+    "ndvi": ("b08-b04", "b08+b04"), "ndmi": ("b08-b11", "b08+b11"), "ndwi1": ("b03-b11", "b03+b11"), "ndwi2": ("b03-b08", "b03+b08"), "nhi": ("b11-b03", "b11+b03"),
+    "nbr": ("b08-b12", "b08+b12"), "bai": ("b02-b08", "b08+b02"), "chlorogreen": ("b08", "b03+b05"),
+}
+query("x20_indices", _cell + "select scene_id, r, c, " + ", ".join(f"({a})::double / nullif({b}, 0) as {k}" for k, (a, b) in _N.items()) + ", (b08-b04)::double / (b08+b04+0.5::double) * 1.5::double as savi, (b08 - b03)::double as gdvi, round(2.5::double * (b08-b04) / nullif(b08 + 6*b04 - 7.5::double*b02, 0) + 1, 6) as evi, b08::bigint * 7 + b04 + b03 as infrared from cell")(
+    lambda s, d: cells(s, d).select("scene_id", "r", "c", *[lookups.spectral_index(k).alias(k) for k in (*_N, "savi", "gdvi")], F.round(lookups.spectral_index("evi"), 6).alias("evi"), lookups.spectral_index("infrared").alias("p"))
+    .withColumn("infrared", F.expr("cast(p.nir1 as bigint) * 7 + p.red + p.green")).drop("p")
 )
 query("x21_x23_x24_clouds", _cell + "select scene_id, r, c, greatest(b02, b03, b04) > 10000 as landsat, scl in (0,1,3,7,8,9,10) as scl_cloud, (qa & 27) <> 0 as qa_cloud from cell")(lambda s, d: cells(s, d).select("scene_id", "r", "c", fc.landsat_cloud("b02", "b03", "b04").alias("landsat"), fc.scl_cloud("scl").alias("scl_cloud"), fc.qa_cloud("qa").alias("qa_cloud")))
 query("x26_multiclass", f"with {fx.LABEL} select item_id, position, case when y = 900 then 5 else floor(least(y / (2500.0 / 5), 5.0))::int end as k, case when y = 900 then 4 when y <= 1000 then 0 when y <= 1300 then 1 when y <= 1600 then 2 else 3 end as bin, case when value = 9 then 4 else value end as last from label")(
@@ -202,3 +207,59 @@ query("w8_batch_ids", f"with {fx.LABEL} select item_id, position, (row_number()
 query("j7_sample_weights", f"with {fx.LABEL}, w as (select value, count(*) as weight from label where value <> 0 group by all) select item_id, position, label.value, round(coalesce(weight / (select sum(weight) from w), 0), 6)::double as weight from label left join w using (value)")(
     lambda s, d: samples.sample_weights(fx.labels(s, d).select("item_id", "position", "value"), fx.labels(s, d).where("value <> 0").groupBy("value").agg(F.count("*").cast("double").alias("weight"))).withColumn("weight", F.round("weight", 6))
 )
+
+# Grids
+_mask = f"with {fx.AREA} "
+
+
+def grids(s, d, scale=1.0):
+    return grid.grid(fx.areas(s, d), scale)
+
+
+query("g2_grid", _mask + "select item, x as x0, y as y0, n as width, n as height from area")(lambda s, d: grids(s, d).select("item", "x0", "y0", "width", "height"))
+query("g4_rasterize", _mask + "select item, r, c from spot where r + c + 1 < side")(lambda s, d: grid.rasterize(grids(s, d)))
+query("g4_all_touched", _mask + "select item, r, c from spot where r + c < side")(lambda s, d: grid.rasterize(grids(s, d), all_touched=True))
+query("g4b_rasterize_samples", _mask + "select item, date '2024-01-01' as date, r, c, case when r + c + 1 < side then value else 255 end as v from spot")(lambda s, d: grid.rasterize_samples(fx.areas(s, d), "value", 1.0))
+query("g3_wgs84_bbox", _mask + "select item, round(degrees(x / 6378137.0::double), 9) as west, round(degrees(2 * atan(exp((y - side) / 6378137.0::double)) - pi() / 2), 9) as south, round(degrees((x + side) / 6378137.0::double), 9) as east, round(degrees(2 * atan(exp(y / 6378137.0::double)) - pi() / 2), 9) as north from area")(
+    lambda s, d: grid.wgs84_bbox(fx.areas(s, d).withColumn("epsg", F.lit(3857))).select("item", *[F.round(k, 9).alias(k) for k in ("west", "south", "east", "north")])
+)
+
+
+def _regrid(s, d):
+    """Scenes' cells as sources, and grids of half their resolution that start one cell off."""
+    src = cells(s, d).select(F.col("scene_id").alias("item"), "r", "c", "b0", "b02")
+    target = ranked(s, d).select(F.col("scene_id").alias("item"), F.lit(1.0).alias("x0"), F.lit(3.0).alias("y0"), F.lit(2).alias("width"), F.lit(2).alias("height"), F.lit(2.0).alias("scale"), F.lit(0.0).alias("sx0"), F.lit(4.0).alias("sy0"), F.lit(1.0).alias("sscale"))
+    return src, target
+
+
+_TARGET = _cell + ", g as (select scene_id as item, i::int as r, j::int as c, 1 + 2 * i + 1.0::double as u, 1 + 2 * j + 1.0::double as w from (select distinct scene_id from cell), range(2) t(i), range(2) v(j))"
+query("g5_resample_nearest", _TARGET + " select g.item, g.r, g.c, b0, b02 from g join cell on scene_id = item and cell.r = floor(u) and cell.c = floor(w)")(lambda s, d: grid.resample_nearest(*_regrid(s, d)))
+query("g6_resample_bilinear", _TARGET + ", k as (select item, g.r, g.c, b0, b02, (1 - abs(cell.r + 0.5::double - u) / 2) * (1 - abs(cell.c + 0.5::double - w) / 2) as k from g join cell on scene_id = item and abs(cell.r + 0.5::double - u) < 2 and abs(cell.c + 0.5::double - w) < 2) select item, r, c, coalesce(round(sum(k * b0) filter (where b0 <> 0) / sum(k) filter (where b0 <> 0))::int, 0) as b0, coalesce(round(sum(k * b02) filter (where b02 <> 0) / sum(k) filter (where b02 <> 0))::int, 0) as b02 from k group by all")(
+    lambda s, d: grid.resample_bilinear(*_regrid(s, d), ["b0", "b02"])
+)
+
+
+def tile_mask(s, d):
+    return fx.scenes(s, d).select("tile_id").distinct().withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(3)))).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(3)))).where("(r + c + tile_id) % 3 <> 0")
+
+
+query("f12_clip", _cell + "select scene_id, r, c, case when (r + c + tile_id) % 3 <> 0 then b0 else 0 end as b0 from cell")(lambda s, d: grid.clip(cells(s, d).select("scene_id", "tile_id", "r", "c", "b0"), tile_mask(s, d), ["b0"], ["tile_id"]).drop("tile_id"))
+
+# Clouds of Sentinel-2 and the best observation
+_f = {k: f"least(greatest({k}, 0), 10000)::double / 10000" for k in clouds.S2_BANDS}
+_MEASURES = (
+    _cell + ", m0 as (select scene_id, tile_id, step_no, r, c, idx, " + ", ".join(f"{v} as {k}" for k, v in _f.items()) + " from cell), m1 as (select *, case when b11 > 0 then b03 / b11 when b03 > 0 then 'inf'::double end as gs, case when b03 > 0 then b11 / b03 when b11 > 0 then 'inf'::double end as sg, (b02 + b03 + b04) / 3 as rgb,"
+    " -0.8239::double * b02 + 0.0849::double * b03 + 0.4396::double * b04 + -0.058::double * b8a + 0.2013::double * b11 + -0.2773::double * b12 as haze, (b08 - b11) / nullif(b08 + b11, 0) as ns,"
+    " 0.3029::double * b02 + 0.2786::double * b03 + 0.4733::double * b04 + 0.5599::double * b8a + 0.508::double * b11 + 0.1872::double * b12 as tcb, (b03 - b11) / nullif(b03 + b11, 0) as ndwi, (b08 - b04) / nullif(b08 + b04, 0) as ndvi from m0),"
+    " m2 as (select *, (coalesce(gs > 1, false) and rgb > 0.3 and (haze < -0.1 or (haze > -0.08 and coalesce(ns < 0.4, false)))) or haze < -0.2 or (coalesce(gs > 1, false) and rgb < 0.3 and haze < -0.055 and rgb > 0.12) or (not (coalesce(gs > 1, false) and rgb < 0.3) and haze < -0.09 and rgb > 0.12) as dense,"
+    " coalesce(ndwi > 0.7, false) and not (coalesce(gs > 1, false) and tcb < 0.36) as snow, (coalesce(sg > 1, false) and rgb < 0.2 and (haze < -0.1 or (haze < -0.08 and coalesce(ns < 0.4, false)))) or haze < -0.2 or (coalesce(gs > 1, false) and rgb < 0.2 and haze < -0.055 and rgb > 0.12) or (not (coalesce(gs > 1, false) and rgb < 0.2) and haze < -0.02 and rgb > 0.12) as light from m1)"
+)
+query("x22_s2_cloud", _MEASURES + " select scene_id, r, c, dense or snow or b02 = 0 or b02 + b03 + b04 + b08 < 0.2 as cloud, dense or light or b02 = 0 as light from m2")(
+    lambda s, d: clouds.s2_cloud(clouds.s2_cloud(cells(s, d).select("scene_id", "r", "c", *clouds.S2_BANDS), light=True, snow=False, shadow=0).withColumnRenamed("cloud", "light")).select("scene_id", "r", "c", "cloud", "light")
+)
+query("m7_best_observation", _MEASURES + """, o as (select *, dense or snow or b02 = 0 or b02 + b03 + b04 + b08 < 0.5 as cloud from m2), v as (select tile_id, step_no, r, c, idx, dense, snow, case when not cloud then ndvi end as ndvi, case when not cloud then ndwi end as ndwi, case when not cloud then tcb end as tcb from o),
+ a as (select tile_id, step_no, r, c, avg(ndvi) as vm, max(ndvi) as vx, avg(ndwi) as wm, min(ndwi) as wn, avg(tcb) as tm from v group by all),
+ p as (select *, first_value(idx) over (w order by ndwi desc nulls last, idx) as wi, first_value(idx) over (w order by ndvi nulls last, idx) as vl, first_value(idx) over (w order by ndvi desc nulls last, idx) as vi, first_value(idx) over (w order by tcb nulls last, idx) as ti from v window w as (partition by tile_id, step_no, r, c))
+ select tile_id, step_no, r, c, case when wm < -0.55 and vx - vm < 0.05 then vi when vm < -0.3 and wm - wn < 0.05 then wi when vm > 0.6 and tm < 0.45 then vi when not dense then ti when not snow and tcb < 1 then ti when vm < -0.2 then wi when tm > 0.45 then vl else vi end as idx from p join a using (tile_id, step_no, r, c) where idx = ti""")(
+    lambda s, d: clouds.best_observation(cells(s, d), mosaic.CELL, "idx")
+)

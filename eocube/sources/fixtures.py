@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: (scene, row, column) factors of each band's value.
-BANDS = {"b02": (41, 7, 11), "b03": (43, 13, 17), "b04": (47, 19, 23), "b08": (53, 29, 31), "b8a": (59, 37, 41), "b11": (61, 43, 47), "b12": (67, 53, 59)}
+BANDS = {"b01": (73, 61, 67), "b05": (79, 67, 71), "b02": (41, 7, 11), "b03": (43, 13, 17), "b04": (47, 19, 23), "b08": (53, 29, 31), "b8a": (59, 37, 41), "b11": (61, 43, 47), "b12": (67, 53, 59)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,3 +87,28 @@ def rasters(spark, sf_dir) -> DataFrame:
 
 
 RASTER = "raster as (select l_suppkey as raster, (l_partkey % 50)::int as r, (l_orderkey % 50)::int as c, l_quantity::double as v, {'a': l_suppkey, 'b': l_orderkey, 'c': l_partkey, 'd': l_linenumber, 'e': l_extendedprice} as file_order from lineitem)"
+
+
+def areas(spark, sf_dir) -> DataFrame:
+    """A right triangle per supplier, with its right angle at the top left."""
+    s = table(spark, sf_dir, "supplier")
+    x, y = (F.col("s_suppkey") % 100 * 10).cast("double"), (F.floor(F.col("s_suppkey") / 100) * 10).cast("double")
+    side = F.col("s_nationkey") + 3.25
+    point = lambda a, b: F.struct(a.cast("double").alias("x"), b.cast("double").alias("y"))
+    ring = F.array(point(x, y), point(x, y - side), point(x + side, y), point(x, y))
+    return s.select(F.col("s_suppkey").alias("item"), (F.col("s_nationkey") % 5).cast("int").alias("value"), F.lit("2024-01-01").cast("date").alias("date"), F.array(ring).alias("rings"))
+
+
+AREA = (
+    "area as (select s_suppkey as item, (s_nationkey % 5)::int as value, (s_suppkey % 100 * 10)::double as x, (s_suppkey // 100 * 10)::double as y, s_nationkey + 3.25::double as side,"
+    " s_nationkey::int + 4 as n from supplier), spot as (select item, value, side, n, r, c from area, (select i::int as r from range(28) t(i)), (select i::int as c from range(28) t(i)) where r < n and c < n)"
+)
+
+
+def probabilities(spark, sf_dir) -> DataFrame:
+    """Ten probabilities per vector, not yet rescaled, and a class."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", F.transform(F.slice("embedding", 1, 10), lambda x: F.abs(x.cast("double"))).alias("probs"), (F.col("vec_id") % 10).cast("int").alias("class"))
+
+
+PROB = "prob as (select vec_id, list_transform(embedding[1:10], lambda x: abs(x::double)) as probs, (vec_id % 10)::int as class from embeddings)"
