@@ -263,3 +263,129 @@ query("m7_best_observation", _MEASURES + """, o as (select *, dense or snow or b
  select tile_id, step_no, r, c, case when wm < -0.55 and vx - vm < 0.05 then vi when vm < -0.3 and wm - wn < 0.05 then wi when vm > 0.6 and tm < 0.45 then vi when not dense then ti when not snow and tcb < 1 then ti when vm < -0.2 then wi when tm > 0.45 then vl else vi end as idx from p join a using (tile_id, step_no, r, c) where idx = ti""")(
     lambda s, d: clouds.best_observation(cells(s, d), mosaic.CELL, "idx")
 )
+
+# Sources and sinks
+def images(s, d):
+    """Mosaics as images of an item and step."""
+    return mosaic.first_valid(cells(s, d), B).select(F.col("tile_id").alias("item"), F.col("step_no").alias("t"), "r", "c", *B)
+
+
+_images = _first.format(i="idx").replace("select tile_id, step_no, r, c, " + BL + " from x where k = 1", f", image as (select tile_id as item, step_no as t, r, c, {BL} from x where k = 1) ")
+query("s4_s5_chunks", _images + "select item, t, r, c, b0, b02 from image")(lambda s, d: rasters.explode_chunks(rasters.assemble_chunks(images(s, d), 3, ["b0", "b02", "b04"]), 3, ["b0", "b02"]))
+query("s5_assemble_chunks", _images + "select item, t, 'b02' as band, r // 3 as chunk_row, c // 3 as chunk_col, (max(r % 3) + 1)::int as h, (max(c % 3) + 1)::int as w, string_agg(b02::varchar, ',' order by r, c) as data from image group by all")(
+    lambda s, d: rasters.assemble_chunks(images(s, d), 3, ["b02"]).withColumn("data", F.concat_ws(",", F.col("data").cast("array<string>")))
+)
+query("s6_raster_meta", _images + "select item, t, max(r) + 1 as height, max(c) + 1 as width from image group by all")(lambda s, d: rasters.raster_meta(images(s, d)))
+query("s8_cast_for_sink", _images + "select item, t, r, c, case when b0 = 0 then 255 else b0 end as b0, case when b0 = 0 then -9999 else b0::double end as f from image")(
+    lambda s, d: rasters.cast_for_sink(rasters.cast_for_sink(images(s, d).select("item", "t", "r", "c", F.expr("nullif(b0, 0)").alias("b0"), F.expr("nullif(b0, 0)").alias("f")), "b0", "int"), "f", "double")
+)
+query("s11_catalog", _scene + "select 'scenes' as catalog_id, count(*) as items, min(xmin) as xmin, min(ymin) as ymin, max(xmax) as xmax, max(ymax) as ymax from scene")(lambda s, d: rasters.catalog_from_items(fx.scenes(s, d), "scenes"))
+query("s13_classify_source", "select p_partkey, case p_partkey % 3 when 0 then 'vector' else 'raster' end as kind from part")(
+    lambda s, d: fx.table(s, d, "part").select("p_partkey", links.classify_source(F.concat(F.lit("a/"), F.element_at(F.array(F.lit("b.gpkg"), F.lit("b.zip"), F.lit("b/")), (F.col("p_partkey") % 3 + 1).cast("int")))).alias("kind"))
+)
+query("a7_footprint", _mask + "select item, x as xmin, y - n as ymin, x + n as xmax, y as ymax from area")(
+    lambda s, d: grids(s, d).select("item", rasters.footprint(F.col("x0"), F.col("y0"), F.col("scale"), -F.col("scale"), F.col("width"), F.col("height")).alias("f")).select("item", "f.*")
+)
+
+# Items and collections
+query("x15_vector_items", _mask + "select item, x as xmin, y - side as ymin, x + side as xmax, y as ymax, date '2024-01-01' as date, value as class from area")(lambda s, d: collect.vector_items(fx.areas(s, d), "value", True).drop("footprint"))
+query("x15b_raster_items", f"with {fx.LABEL}, n as (select item_id as item, value, count(*) as n from label group by all) select r.s_suppkey as item, n.value, n.n from supplier r join n on n.item = s_suppkey")(
+    lambda s, d: collect.raster_items(fx.table(s, d, "supplier").select(F.col("s_suppkey").alias("item")), fx.labels(s, d).select(F.col("item_id").alias("item"), "value")).select("item", F.explode("stats").alias("value", "n"))
+)
+query("x11_item_aoi", _mask + "select item, 4 as corners, x as west, y as north, 'EPSG:3857' as crs from area")(
+    lambda s, d: collect.item_aoi(fx.areas(s, d).select("item", grid.bbox(F.col("rings")).alias("b"), F.lit(3857).alias("epsg")).select("item", "b.*", "epsg")).select(
+        "item", F.lit(4).alias("corners"), F.get_json_object("geojson", "$.features[0].geometry.coordinates[0][1][0]").cast("double").alias("west"),
+        F.get_json_object("geojson", "$.features[0].geometry.coordinates[0][1][1]").cast("double").alias("north"), F.get_json_object("geojson", "$.crs.properties.name").alias("crs"),
+    )
+)
+query("u2_merge_collections", "select o_custkey, min(o_orderkey) as o_orderkey from orders where o_orderkey % 2 = 0 group by all union all select o_custkey, min(o_orderkey) from orders where o_orderkey % 2 = 1 and o_custkey not in (select o_custkey from orders where o_orderkey % 2 = 0) group by all")(
+    lambda s, d: collect.merge_collections(*[fx.table(s, d, "orders").where(F.col("o_orderkey") % 2 == k).groupBy("o_custkey").agg(F.min("o_orderkey").alias("o_orderkey")) for k in (0, 1)], "o_custkey")
+)
+query("w7_item_slice", "select o_orderkey from orders order by o_orderkey limit 500 offset 1000")(lambda s, d: collect.item_slice(fx.table(s, d, "orders").select("o_orderkey"), "o_orderkey", 2, 500))
+query("w5_first_date", _ranked + "select tile_id, step_no, sensing_time::date as date from ranked where idx = 1")(lambda s, d: collect.first_date(ranked(s, d)))
+query("a17_merge_predictions", f"with {fx.RASTER} select r, c, round(avg(v), 6) as v from raster where v <> 1 group by all")(lambda s, d: collect.merge_predictions(fx.rasters(s, d), fx.rectangles(s, d), False, 1, 20).withColumn("v", F.round("v", 6)))
+query("m8_pixel_stack", _cell + f", x as (select *, row_number() over (partition by tile_id, step_no, r, c order by (b0 = 0), case when b0 = 0 then -idc else idc end) as k from cell where idc <= 5), y as (select * from x where k = 1 qualify max(abs(b0)) over (partition by tile_id, step_no) > 0) select tile_id, step_no, r, c, case when (r + c + tile_id) % 3 <> 0 then b0 else 0 end as b0, case when (r + c + tile_id) % 3 <> 0 then b02 else 0 end as b02 from y")(
+    lambda s, d: collect.pixel_stack(search.assign_steps(fx.scenes(s, d), steps(s)), fx.cells, ["b0", "b02"], "cloud_sorted_pixel", 5, mask=tile_mask(s, d))
+)
+
+
+def _collected(s, d):
+    """Steps of all tiles but those that have an image: every third event of even tiles is one."""
+    tiles = fx.scenes(s, d).select(F.col("tile_id").alias("item")).distinct()
+    have = fx.scenes(s, d).where("tile_id % 2 = 0 and scene_id % 29 = 0").select(F.col("tile_id").alias("item"), F.to_date("sensing_time").alias("date"))
+    return tiles.join(F.broadcast(steps(s))), have  # four steps
+
+
+query("m9_collect", _cell + ", have as (select distinct tile_id, step_no from scene join step on sensing_time::date between step_start and step_end where tile_id % 2 = 0 and scene_id % 29 = 0), x as (select *, row_number() over (partition by tile_id, step_no, r, c order by (b0 = 0), case when b0 = 0 then -idx else idx end) as k from cell anti join have using (tile_id, step_no) where idx <= 10), y as (select * from x where k = 1 qualify max(abs(b0)) over (partition by tile_id, step_no) > 0) select tile_id, step_no, r, c, b0, b02 from y")(
+    lambda s, d: collect.collect(*_collected(s, d), fx.scenes(s, d), fx.cells, ["b0", "b02"])
+)
+query("a19_stack_index", "select o_custkey as item, count(distinct o_orderdate)::int as n, min(o_orderdate)::date as first, max(o_orderdate)::date as last from orders group by all")(
+    lambda s, d: collect.stack_index(fx.table(s, d, "orders").select(F.col("o_custkey").alias("item"), F.to_date("o_orderdate").alias("date"), F.date_format("o_orderdate", "yyyy_MM_dd").alias("path"))).select("item", F.size("x_paths").alias("n"), "first", "last")
+)
+
+# Links to the archive
+def _products(s, d):
+    """A product per day of the orders with an even key."""
+    t = F.to_date("o_orderdate")
+    day = F.date_format(t, "yyyyMMdd")
+    path = F.concat(F.lit("tiles/29/S/ND/"), F.year(t), F.lit("/"), F.month(t), F.lit("/"), F.dayofmonth(t), F.lit("/0"))
+    o = fx.table(s, d, "orders").where("o_orderkey % 2 = 0").select(path.alias("path"), day.alias("day")).distinct()
+    name = F.concat(F.lit("S2B_MSIL2A_"), F.col("day"), F.lit("T112509"))
+    return o.select("path", name.alias("name"), F.concat(F.lit("GS2B_"), F.col("day"), F.lit("T112509_024940_N02.11")).alias("datatake"), F.lit(29).alias("zone"), F.lit("S").alias("band"), F.lit("ND").alias("square"), F.concat(F.lit("S2B_OPER_MSI_L2A_DS_MTI__x_S"), F.col("day"), F.lit("T112510_N02.11")).alias("datastrip"))
+
+
+_LINKS = "with u as (select o_orderkey, o_orderdate::date as t, '29/S/ND/' || year(o_orderdate) || '/' || month(o_orderdate) as p, strftime(o_orderdate, '%Y%m%d') as day from orders), v as (select *, 'https://sentinel-cogs.s3.us-west-2.amazonaws.com/sentinel-s2-l2a-cogs/' || p || '/S2B_29SND_' || day || '_0_L2A/B06.tif' as url, 's3://sentinel-s2-l2a/tiles/' || p || '/' || day(t) || '/0/R20m/B06.jp2' as jp2, case when t in (select o_orderdate::date from orders where o_orderkey % 2 = 0) then 'https://storage.googleapis.com/gcp-public-data-sentinel-2/L2/tiles/29/S/ND/S2B_MSIL2A_' || day || 'T112509.SAFE/GRANULE/L2A_T29SND_A024940_' || day || 'T112510/IMG_DATA/R20m/L2A_T29SND_' || day || 'T112509_B06_20m.jp2' end as archive from u)"
+query("x8_jp2_to_archive", _LINKS + " select o_orderkey, archive from v")(lambda s, d: links.jp2_to_archive(urls(s, d).withColumn("url", links.cog_to_jp2(F.col("url"))), "url", _products(s, d)).select("o_orderkey", "archive"))
+query("x9_resolve_source", _LINKS + ", h as (select url as h from v where o_orderkey % 7 = 0 union select jp2 from v where o_orderkey % 5 = 0) select o_orderkey, case when url in (select h from h) then url when jp2 in (select h from h) then jp2 else archive end as source from v")(
+    lambda s, d: links.resolve_source(urls(s, d), "url", urls(s, d).where("o_orderkey % 7 = 0").select("url").union(urls(s, d).where("o_orderkey % 5 = 0").select(links.cog_to_jp2(F.col("url")))), _products(s, d)).select("o_orderkey", "source")
+)
+
+# Training sets and predictions
+def image_labels(s, d):
+    return images(s, d).select("item", "r", "c", ((F.col("item") + F.col("r") * 3 + F.col("c")) % 4).cast("int").alias("label")).distinct()
+
+
+_label = "((item + r * 3 + c) % 4)::int"
+query("j3_pair_xy", _images + f"select item, t, r, c, b02, {_label} as label from image")(lambda s, d: training.pair_xy(images(s, d).select("item", "t", "r", "c", "b02"), image_labels(s, d)))
+query("p2_samples_3d", _images + ", k as (select item, t, dense_rank() over (partition by item order by t desc) as k, dense_rank() over (partition by item order by t) as u, r, c, b0, b02 from image), n as (select * from k where k <= 3) select item, (u - min(u) over (partition by item))::int as t, r, c, b0, b02 from n")(
+    lambda s, d: training.samples_3d(images(s, d), ["b0", "b02"], 3).select("item", F.posexplode("images").alias("t", "m")).select("item", "t", F.posexplode("m").alias("r", "row")).select("item", "t", "r", F.posexplode("row").alias("c", "v"))
+    .select("item", "t", "r", "c", F.col("v")[0].alias("b0"), F.col("v")[1].alias("b02"))
+)
+query("p3_samples_2d", _images + "select item, t, string_agg(b0::varchar, ',' order by r, c) as v from image group by all")(
+    lambda s, d: training.samples_2d(images(s, d), ["b0"]).select("item", "t", F.concat_ws(",", F.transform(F.flatten(F.flatten("image")), lambda v: v.cast("string"))).alias("v"))
+)
+query("g11_frames", _images + f", f as (select a.item, a.r, a.c, t, y, x, b.b02, {_label.replace('item', 'a.item').replace(' r ', ' a.r ').replace(' c)', ' a.c)')} as label from (select distinct item, r, c from image where r between 1 and 2 and c between 1 and 2) a, range(3) t1(y), range(3) t2(x), image b where b.item = a.item and b.r = a.r + y - 1 and b.c = a.c + x - 1), g as (select item, r, c, label, string_agg(b02::varchar, ',' order by t, y, x) as v from f where label <> 3 group by all) select * from g qualify row_number() over (partition by item, v order by r, c) = 1")(
+    lambda s, d: training.frames(images(s, d), ["b02"], 3, 4, 4, image_labels(s, d), 3).select("item", "r", "c", "label", F.concat_ws(",", F.transform(F.flatten("features"), lambda v: v.cast("string"))).alias("v"))
+)
+query("g11_frames_edge", _images + "select item, i::int as r, j::int as c, string_agg(b02::varchar, ',' order by t, y, x) as v from image, range(4) t1(i), range(4) t2(j), range(3) t3(y), range(3) t4(x) where r = least(3, greatest(0, i + y - 1)) and c = least(3, greatest(0, j + x - 1)) group by all")(
+    lambda s, d: training.frames(images(s, d), ["b02"], 3, 4, 4).select("item", "r", "c", F.concat_ws(",", F.transform(F.flatten("features"), lambda v: v.cast("string"))).alias("v"))
+)
+query("g14_augment", _images + "select item, t, case when k in (1, 2) then 3 - r else r end as r, case when k in (1, 3) then 3 - c else c end as c, k as aug_id, b02 * case when k = 5 then 10.0 else 1.0 end::double as b02 from image, (select unnest([0, 1, 2, 3, 5]) as k)")(
+    lambda s, d: training.augment(images(s, d).select("item", "t", "r", "c", "b02"), ["b02"], [1, 2, 3, 5], 4, 4)
+)
+query("g14_augment_noise")(lambda s, d: training.augment(images(s, d).select("item", "t", "r", "c", "b02"), ["b02"], [1, 4], 4, 4, 7))
+query("f16_limit_shape", _images + "select item, t, r, c, b04 from image where t < 2 and r < 3 and c < 2")(lambda s, d: training.limit_shape(images(s, d), 2, 3, 2, ["b04"]))
+query("g16_trim_windows", _images + ", w as (select unnest([0, 1, 2]) as row), v as (select unnest([0, 2]) as col) select item, t, row, col, r, c from image, w, v where r between row and row + 1 and c between col and col + 1 and (r - row >= 1 or row = 0) and (r - row < 1 or row = 2) and (c - col >= 1 or col = 0) and (c - col < 1 or col = 2)")(
+    lambda s, d: training.trim_windows(images(s, d).select("item", "t", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("row"), "r", "c").select("*", F.explode(F.array(F.lit(0), F.lit(2))).alias("col")).where("r between row and row + 1 and c between col and col + 1"), 2, 1, 4, 4)
+)
+query("g17_stitch", f"with {fx.RASTER} select raster % 5 as item, r, c, (raster % 3)::int as class, round(avg(v), 6) as p from raster group by all")(
+    lambda s, d: samples.stitch(fx.rasters(s, d).select((F.col("raster") % 5).alias("item"), "r", "c", (F.col("raster") % 3).cast("int").alias("class"), F.col("v").alias("p")), -9999.0).withColumn("p", F.round("p", 6))
+)
+query("e4_e5_cross_entropy", f"with {fx.PROB}, p as (select *, list_sum(probs) as s, list_sum(probs[1:2]) as s2 from prob) select round(avg(-ln(greatest(least(probs[class + 1] / s, 1 - 1e-7), 1e-7))) filter (where class <> 3), 6) as e4, round(avg(case when class < 2 then 0 else -ln(greatest(least(probs[class + 1] / (s - s2), 1 - 1e-7), 1e-7)) end), 6) as e5 from p")(
+    lambda s, d: fx.probabilities(s, d).agg(F.round(training.cross_entropy(F.col("class"), F.col("probs"), 3), 6).alias("e4"), F.round(training.cross_entropy_dropped(F.col("class"), F.col("probs"), [0, 1]), 6).alias("e5"))
+)
+
+
+def fitted(s, d):
+    """A tree that learns each cell's label from its times; nodata labels are left out of fitting, all cells predicted."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    x, y = images(s, d), image_labels(s, d)
+    full = x.groupBy("item").agg(F.countDistinct("t").alias("n")).where("n = 4").select("item")
+    x = x.join(full, "item", "left_semi")
+    weights = stats.class_weights(y.groupBy(F.col("label").alias("value")).agg(F.count("*").alias("n")), 3).select("value", "weight")
+    model = training.fit_cells(training.training_set(x, y, ["b02", "b04"], 10000.0, 0, 3, weights), DecisionTreeClassifier(maxDepth=5, seed=1))
+    return training.predict(training.training_set(x, y, ["b02", "b04"], 10000.0, usage="prediction"), model)
+
+
+query("p10_p11_predict")(fitted)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eocube.functions import cells as fc
-from eocube.functions import dates, links
+from eocube.functions import dates, links, lookups
 from eocube.operators import mosaic, samples, stats
 
 DAY = dt.date
@@ -81,7 +81,7 @@ def test_class_weights_and_merge(spark):
 
 
 def test_unknown_names():
-    for f in (lambda: fc.spectral_index("none"), lambda: fc.calculate("none"), lambda: samples.metric("none")):
+    for f in (lambda: lookups.spectral_index("none"), lambda: fc.calculate("none"), lambda: samples.metric("none")):
         with pytest.raises(ValueError):
             f()
 
