@@ -83,3 +83,12 @@ def calculate(name: str, *bands: Column) -> Column:
     if name not in CALCULATOR:
         raise ValueError(f"no function {name}")
     return CALCULATOR[name](*bands)
+
+
+def value_mask(v: Column, value) -> Column:
+    return v == value
+
+
+def rescale_transform(gt: Column, factor: int) -> Column:
+    """Geotransform of an image whose cells were split factor times along each side."""
+    return gt.withField("scale_x", gt["scale_x"] / factor).withField("scale_y", gt["scale_y"] / factor)

@@ -75,3 +75,12 @@ def resolve_source(urls: DataFrame, url: str, available: DataFrame, products: Da
     u = jp2_to_archive(u, "_jp2", products)
     u = u.join(have("_first"), F.col(url) == F.col("_first"), "left").join(have("_second"), F.col("_jp2") == F.col("_second"), "left")
     return u.withColumn("source", F.coalesce("_first", "_second", "archive")).select(*urls.columns, "source")
+
+
+def absolute_paths(paths: Column, root: str) -> Column:
+    return F.transform(paths, lambda p: F.concat(F.lit(root.rstrip("/") + "/"), p))
+
+
+def rewrite_paths(paths: Column, remote: str, local: str) -> Column:
+    """Paths below the remote root as paths below the local one, without the marks of archives."""
+    return F.transform(paths, lambda p: F.replace(F.replace(F.regexp_replace(p, "^zip://", ""), F.lit("!"), F.lit("")), F.lit(remote), F.lit(local)))

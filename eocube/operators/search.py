@@ -59,6 +59,12 @@ def missing_bands(bands: Column, wanted: list[str]) -> Column:
     return F.array_except(F.array(*[F.lit(b) for b in wanted]), F.map_keys(bands))
 
 
+def require_bands(df: DataFrame, bands: Column, wanted: list[str]) -> DataFrame:
+    """df with bands, an error for a scene that lacks one."""
+    lacking = missing_bands(bands, wanted)
+    return df.withColumn("bands", F.when(F.size(lacking) == 0, bands).otherwise(F.raise_error(F.concat(F.lit("missing bands: "), F.array_join(lacking, ", "))).cast("map<string,string>")))
+
+
 def match_scenes(areas: DataFrame, scenes: DataFrame, bucket: float) -> DataFrame:
     """areas(area_id, a_xmin...) with the scenes whose boxes meet theirs. Both sides are put into grid buckets, which
     makes it an equi-join; a pair is reported in the bucket of its overlap's lower corner alone."""

@@ -10,7 +10,9 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eocube.functions.cells import normalize
+from eocube.functions.cells import multiclass_bins, multiclass_int, normalize
+from eocube.operators.samples import metric
+from eocube.operators.stats import class_weights
 
 #: Cells that a training set in memory takes at most.
 MOST_ROWS = 100_000_000
@@ -128,6 +130,21 @@ def training_set(cells: DataFrame, labels: DataFrame, bands: list[str], divisor:
     return out.withColumn("features", array_to_vector(flat))
 
 
+def class_map(y: Column, definition, y_max: float | None = None, y_nodata: float = 0.0) -> Column:
+    """Labels as classes: equal parts of y_max by a number of classes, or by sorted breaks."""
+    return multiclass_int(y, definition, y_max, y_nodata) if isinstance(definition, int) else multiclass_bins(y, definition, y_nodata)
+
+
+def fit_weights(counts: DataFrame, nodata: int) -> DataFrame:
+    """Class weights (value, weight) of a label catalogue's counts (value, n), nodata left out."""
+    return class_weights(counts, nodata).select(F.col("value").cast("int").alias("value"), "weight")
+
+
+def evaluate(predictions: DataFrame, names: list[str], nodata: float | None = None) -> DataFrame:
+    """The named metrics over predictions(y_true, y_pred) of the held-out samples, in one pass."""
+    return predictions.agg(*[metric(n, nodata).alias(n) for n in names])
+
+
 def cap_rows(samples: DataFrame, most: int = MOST_ROWS) -> DataFrame:
     return samples.limit(most)
 

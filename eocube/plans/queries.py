@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from eocube.functions import cells as fc
@@ -389,3 +390,63 @@ def fitted(s, d):
 
 
 query("p10_p11_predict")(fitted)
+
+# Bands and paths of scenes
+
+
+def assets(s, d):
+    """Even scenes name assets by band, odd ones by colour with the band inside and another link; every fifth lacks one."""
+    asset = lambda key, band: F.struct(F.lit(key).alias("key"), F.struct(F.concat(F.lit("s3://"), F.col("scene_id"), F.lit("/" + key)).alias("href"), F.when(F.col("scene_id") % 4 == 1, F.concat(F.lit("alt://"), F.col("scene_id"), F.lit("/" + key))).alias("s3_href"), F.array(F.struct(F.lit(band).alias("name"), F.lit("x").alias("common_name"))).alias("eo_bands")).alias("value"))
+    by_band, by_colour = F.array(asset("B04", "red"), asset("B08", "nir")), F.array(asset("red", "B04"), asset("nir", "B08"))
+    e = F.when(F.col("scene_id") % 2 == 0, by_band).otherwise(by_colour)
+    return fx.scenes(s, d).select("scene_id", F.map_from_entries(F.when(F.col("scene_id") % 5 == 0, F.slice(e, 1, 1)).otherwise(e)).alias("assets"))
+
+
+query("f7_f8_bands", _scene + "select scene_id, case when scene_id % 4 = 1 then 'alt://' || scene_id || '/red' when scene_id % 2 = 1 then 's3://' || scene_id || '/red' else 's3://' || scene_id || '/B04' end as red, case when scene_id % 5 = 0 then 'B08' else '' end as missing from scene")(
+    lambda s, d: assets(s, d).select("scene_id", search.resolve_bands(F.col("assets"), ["B04", "B08"]).alias("b")).select("scene_id", F.col("b")["B04"].alias("red"), F.array_join(search.missing_bands(F.col("b"), ["B04", "B08"]), ",").alias("missing"))
+)
+query("f9_require_bands", _scene + "select scene_id, 2 as n from scene where scene_id % 5 <> 0")(
+    lambda s, d: search.require_bands(assets(s, d).where("scene_id % 5 <> 0"), search.resolve_bands(F.col("assets"), ["B04", "B08"]), ["B04", "B08"]).select("scene_id", F.size("bands").alias("n"))
+)
+query("f11_drop_empty_steps", _first.format(i="idx").replace("from x where k = 1", "from (select * replace (case when tile_id % 3 = 0 and step_no = 1 then 0 else b0 end as b0) from x where k = 1) qualify max(abs(b0)) over (partition by tile_id, step_no) > 0"))(
+    lambda s, d: mosaic.drop_empty_steps(mosaic.first_valid(cells(s, d), B).withColumn("b0", F.when(F.expr("tile_id % 3 = 0 and step_no = 1"), 0).otherwise(F.col("b0"))), "b0")
+)
+query("f13_value_mask", _cell + "select scene_id, r, c, b0 = 0 as m from cell")(lambda s, d: cells(s, d).select("scene_id", "r", "c", fc.value_mask(F.col("b0"), 0).alias("m")))
+query("x3_dynamic_range", "select o_orderkey, (o_orderdate::date - interval 3 month)::date as start, o_orderdate::date as \"end\" from orders")(
+    lambda s, d: fx.table(s, d, "orders").select("o_orderkey", dates.dynamic_range(F.to_date("o_orderdate"), "months", 3).alias("x")).select("o_orderkey", "x.*")
+)
+query("x4_item_date", "select o_orderkey, case when o_orderkey % 3 = 0 then o_orderdate::date when o_orderkey % 3 = 1 then o_orderdate::date + 1 else date '2020-01-01' end as date from orders")(
+    lambda s, d: fx.table(s, d, "orders").select("o_orderkey", collect.item_date(F.when(F.col("o_orderkey") % 3 == 0, F.to_date("o_orderdate")), F.when(F.col("o_orderkey") % 3 == 1, F.date_add(F.to_date("o_orderdate"), 1)), F.lit("2020-01-01").cast("date")).alias("date"))
+)
+query("x12_x13_x14_paths", "select p_partkey, p_partkey::int as id, '/data/' || p_partkey || '.tif' as absolute, '/tmp/in/a.zip/' || p_partkey || '.tif' as local from part")(
+    lambda s, d: fx.table(s, d, "part").select(
+        "p_partkey", links.id_number(F.concat(F.lit("pixels_id_"), F.col("p_partkey"), F.lit("_2020"))).alias("id"), links.absolute_paths(F.array(F.concat(F.col("p_partkey").cast("string"), F.lit(".tif"))), "/data/")[0].alias("absolute"),
+        links.rewrite_paths(F.array(F.concat(F.lit("zip://s3://b/in/a.zip!/"), F.col("p_partkey"), F.lit(".tif"))), "s3://b/", "/tmp/")[0].alias("local"),
+    )
+)
+query("x17_rescale_probs", f"with {fx.PROB}, p as (select vec_id, unnest(list_transform(probs, lambda x: x * 255)) as p, unnest(range(10)) as k from prob) select vec_id, k::int as k, (case when p - floor(p) = 0.5 then floor(p / 2 + 0.5) * 2 else round(p) end)::int as p from p")(
+    lambda s, d: fx.probabilities(s, d).select("vec_id", F.posexplode(fc.rescale_probs(F.col("probs"))).alias("k", "p"))
+)
+query("x32_rescale_transform", _mask + "select item, 0.5::double as scale_x, -0.5::double as scale_y, x as x0 from area")(
+    lambda s, d: grids(s, d).select("item", fc.rescale_transform(F.struct(F.col("scale").alias("scale_x"), "x0", (-F.col("scale")).alias("scale_y"), "y0"), 2).alias("g")).select("item", "g.scale_x", "g.scale_y", "g.x0")
+)
+query("k5_least_cloudy", _first.format(i="idx").replace("select tile_id, step_no, r, c, " + BL + " from x where k = 1", ", n as (select tile_id, step_no, count(*) filter (where greatest(b02, b04, b08) > 9000) as n from x where k = 1 group by all) select * from n qualify row_number() over (partition by tile_id order by n, step_no) <= 2"))(
+    lambda s, d: samples.least_by(mosaic.first_valid(cells(s, d), B).groupBy("tile_id", "step_no").agg(F.count_if(F.greatest("b02", "b04", "b08") > 9000).alias("n")), "n", 2)
+)
+query("k6_shuffle")(lambda s, d: samples.shuffle(fx.labels(s, d).select("item_id", "position"), "position", 3))
+query("a20_catalog_length", f"with {fx.LABEL} select item_id, count(*) as n from label group by all")(lambda s, d: fx.labels(s, d).groupBy("item_id").agg(F.count("*").alias("n")))
+query("a21_merge_index", "select o_custkey as item, coalesce(max(case when o_orderkey % 2 = 1 then o_orderkey end), max(o_orderkey)) as path from orders group by all")(
+    lambda s, d: stats.merge_index(*[fx.table(s, d, "orders").where(F.col("o_orderkey") % 2 == k).groupBy(F.col("o_custkey").alias("item")).agg(F.max("o_orderkey").alias("path")) for k in (0, 1)])
+)
+query("p5_samples_scalar", _images + "select item, t, r, c, b02, (item % 4)::int as label from image")(
+    lambda s, d: training.pair_xy(images(s, d).select("item", "t", "r", "c", "b02"), fx.scenes(s, d).select(F.col("tile_id").alias("item"), (F.col("tile_id") % 4).cast("int").alias("label")).distinct())
+)
+query("p6_training_set", _images + f", f as (select item, r, c, {_label} as label, round(sum(least(greatest(b02, 0), 5000) / 5000.0::double), 6) as total, count(*)::int as n from image group by all) select * from f where label <> 3 and total > 0")(
+    lambda s, d: training.training_set(images(s, d), image_labels(s, d), ["b02"], 5000.0, 0, 3).select("item", "r", "c", "label", vector_to_array("features").alias("v")).select("item", "r", "c", "label", F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), 6).alias("total"), F.size("v").alias("n"))
+)
+query("p9_fit_weights", f"with {fx.LABEL}, n as (select value, count(*) as n from label where value <> 0 group by all) select value, round(sum(n) over () / (count(*) over () * n), 6)::double as weight from n")(
+    lambda s, d: training.fit_weights(fx.labels(s, d).groupBy("value").agg(F.count("*").alias("n")), 0).withColumn("weight", F.round("weight", 6))
+)
+query("e10_evaluate", f"with {fx.PRED} select round(avg((y_pred - y_true) * (y_pred - y_true)), 4) as mse, round(sqrt(avg((y_pred - y_true) * (y_pred - y_true))), 4) as rmse from pred")(
+    lambda s, d: training.evaluate(fx.predictions(s, d), ["mse", "rmse"]).select(F.round("mse", 4).alias("mse"), F.round("rmse", 4).alias("rmse"))
+)
