@@ -420,7 +420,7 @@ query("x4_item_date", "select o_orderkey, case when o_orderkey % 3 = 0 then o_or
 )
 query("x12_x13_x14_paths", "select p_partkey, p_partkey::int as id, '/data/' || p_partkey || '.tif' as absolute, '/tmp/in/a.zip/' || p_partkey || '.tif' as local from part")(
     lambda s, d: fx.table(s, d, "part").select(
-        "p_partkey", links.id_number(F.concat(F.lit("pixels_id_"), F.col("p_partkey"), F.lit("_2020"))).alias("id"), links.absolute_paths(F.array(F.concat(F.col("p_partkey").cast("string"), F.lit(".tif"))), "/data/")[0].alias("absolute"),
+        "p_partkey", links.id_number(F.concat(F.lit("item_id_"), F.col("p_partkey"), F.lit("_2020"))).alias("id"), links.absolute_paths(F.array(F.concat(F.col("p_partkey").cast("string"), F.lit(".tif"))), "/data/")[0].alias("absolute"),
         links.rewrite_paths(F.array(F.concat(F.lit("zip://s3://b/in/a.zip!/"), F.col("p_partkey"), F.lit(".tif"))), "s3://b/", "/tmp/")[0].alias("local"),
     )
 )
