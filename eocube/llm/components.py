@@ -7,13 +7,25 @@ from pyspark.sql import functions as F
 
 from eocube.llm.common import cut
 
+#: Over how many tasks the links of one node are spread at most.
+SPREAD = 64
 
-def connected(links: DataFrame) -> DataFrame:
+
+def _with_least(pairs: DataFrame, spread: int) -> DataFrame:
+    """pairs(u, v) with m, the smallest v of their u. The minimum is taken and handed back by u and a salt, so no
+    task gets all links of a hub; in between a node has one row per salt."""
+    salted = pairs.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(spread)).cast("int"))
+    part = salted.groupBy("u", "s").agg(F.min("v").alias("m"))
+    whole = part.groupBy(F.col("u").alias("_w")).agg(F.min("m").alias("_m"))
+    given = part.join(whole, F.col("u") == F.col("_w")).select(F.col("u").alias("_u"), F.col("s").alias("_s"), F.col("_m").alias("m"))
+    return salted.join(given, (F.col("u") == F.col("_u")) & (F.col("s") == F.col("_s"))).select("u", "v", "m")
+
+
+def connected(links: DataFrame, spread: int = SPREAD) -> DataFrame:
     """(node, root) for every node of links(u, v), root being the smallest node reachable.
 
-    Alternates the published large-star and small-star steps until a round changes nothing. A node's smallest
-    neighbour is found by a partially aggregated min, and handed to its other neighbours by an equi-join, so
-    the neighbours of a hub are never gathered in one row. Every round ends in a reliable checkpoint.
+    Alternates the published large-star and small-star steps until a round changes nothing. The links of a hub are
+    salted, so they are never gathered in one row or one task. Every round ends in a reliable checkpoint.
     No links: no rows. Null ends and loops are ignored.
     """
     e = cut(
@@ -21,12 +33,10 @@ def connected(links: DataFrame) -> DataFrame:
     )
     before = None
     while True:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = cut(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        both = _with_least(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))), spread)
+        large = both.where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        small = _with_least(large, spread).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("x"))
+        e = cut(small.select("x.u", "x.v").where("u <> v").distinct())
         state = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if state == before:
             break

@@ -34,6 +34,23 @@ def test_components(spark):
     assert got[1] == got[2] == got[3] == 1 and got[5] == got[4] == 4 and 7 not in got and {got[i] for i in range(100, 160)} == {100}
 
 
+def test_components_of_hubs_and_chains(spark):
+    rng = np.random.RandomState(4)
+    links = [(0, i) for i in range(500, 900)] + [(999, i) for i in range(100, 300)] + [(i, i + 1) for i in range(40, 70)] + [(int(a), int(b)) for a, b in rng.randint(1000, 1400, (300, 2))]
+    up = {x: x for ab in links for x in ab}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        up[b] = a
+    got = {r.node: r.root for r in components.connected(spark.createDataFrame(links, "u long, v long"), spread=3).collect()}
+    assert got == {x: find(x) for ab in links if ab[0] != ab[1] for x in ab}
+
+
 def test_forest_finds_every_pair():
     rng = np.random.RandomState(0)
     fp = rng.randint(0, 2**60, 60, dtype=np.int64).astype(np.uint64)
