@@ -7,9 +7,9 @@ shard; each shard has its own tree, which goes to where the shard's queries are
 together grow with the corpus, so none is broadcast to every executor).
 
 Two routings are offered. By blocks: fingerprints within radius r agree on one of r+1 blocks of bits, so no
-match is missed. By min-hashes of the shingles: for wide radii, where blocks are too short to select anything;
-documents of similarity 0.8 share none of 8 min-hashes with a probability of 0.2^8. Shards above a bound are cut
-into pieces, and each pair of pieces is searched in a task of its own.
+match is missed; a large shard is dealt out once more by classes of bits, of which the same holds. By min-hashes of the shingles: for wide radii, where blocks are too short to select anything;
+documents of similarity 0.8 share none of 8 min-hashes with a probability of 0.2^8. Shards still above a bound are
+cut into pieces, and each pair of pieces is searched in a task of its own.
 """
 
 from __future__ import annotations
@@ -144,8 +144,16 @@ def _numbers(column, kind=np.int64) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).astype(np.int64).view(kind)
 
 
-def links_within(nodes: DataFrame, shards: Column, radius: int, most: int = SHARD) -> DataFrame:
-    """links(u, v) that connect the nodes(node, fp) within the radius that share a shard."""
+def finer(rows: DataFrame, key: str, keys: Column, most: int) -> DataFrame:
+    """Rows of a key with over `most` rows go to each of the finer `keys` within it instead."""
+    hot = rows.groupBy(key).count().where(F.col("count") > most).select(F.col(key).alias("_hot"))
+    within = F.when(F.col("_hot").isNull(), F.array(key)).otherwise(F.transform(keys, lambda k: F.xxhash64(key, k)))
+    return rows.join(hot, F.col(key) == F.col("_hot"), "left").withColumn(key, F.explode(within)).drop("_hot")
+
+
+def links_within(nodes: DataFrame, shards: Column, radius: int, most: int = SHARD, second: Column | None = None) -> DataFrame:
+    """links(u, v) that connect the nodes(node, fp) within the radius that share a shard and, in a shard of over `most`
+    nodes, one of the `second` keys where those are given."""
 
     def search(batches):
         got = _gathered(batches, ["cell", "fp", "node"])
@@ -163,6 +171,8 @@ def links_within(nodes: DataFrame, shards: Column, radius: int, most: int = SHAR
         yield pa.RecordBatch.from_arrays([pa.array(node[links[:, 0]]), pa.array(node[links[:, 1]])], ["u", "v"])
 
     rows = nodes.where("node is not null").select("node", "fp", F.explode(F.array_distinct(shards)).alias("shard"))
+    if second is not None:
+        rows = finer(rows, "shard", second, most)
     return in_cells(rows, "shard", "node", most).select("cell", "fp", "node").repartition("cell").mapInArrow(search, "u long, v long").distinct()
 
 
@@ -173,6 +183,13 @@ def block_shards(radius: int) -> Column:
     return F.array(*[F.xxhash64(F.lit(i), F.shiftrightunsigned("fp", a).bitwiseAND((1 << (b - a)) - 1)) if b - a < 64 else F.lit(0) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))])
 
 
+def bit_shards(radius: int) -> Column:
+    """One shard for each of radius+1 classes of bits, by their place modulo radius+1. Like the blocks they lose no
+    match, and most of a class's bits are outside any one block."""
+    masks = [sum(1 << p for p in range(64) if p % (radius + 1) == i) for i in range(radius + 1)]
+    return F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(m - (m >> 63 << 64))) for i, m in enumerate(masks)])
+
+
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     """doc_id, th, fp for every row of docs. Null and empty texts: 0."""
 
@@ -194,7 +211,7 @@ def fingerprint_components(docs: DataFrame, words: int = 3, radius: int = 3) ->
     """
     rows = cut(fingerprints(docs, words).select("doc_id", "fp"))
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("node"))
-    roots = connected(links_within(nodes, block_shards(radius), radius))
+    roots = connected(links_within(nodes, block_shards(radius), radius, second=bit_shards(radius)))
     named = nodes.join(roots, "node", "left").select(F.col("fp").alias("_fp"), F.coalesce("root", "node").alias("component_id"))
     return rows.join(named, rows.fp == F.col("_fp"), "left").select("doc_id", "fp", "component_id")
 

@@ -78,6 +78,23 @@ def test_hot_shards_keep_their_links(spark):
     assert {r.root for r in got} == {0} and len(got) == 40
 
 
+def test_large_shards_are_dealt_by_bits(spark):
+    rng = np.random.RandomState(5)
+    fp = rng.randint(-(2**63), 2**63 - 1, 60, dtype=np.int64)
+    near = [int(x) ^ sum(1 << int(p) for p in rng.choice(63, k, replace=False)) for x in fp for k in (1, 2, 3, 3)]
+    fp = np.unique(np.concatenate([fp, np.array(near, dtype=np.int64)]))
+    nodes = spark.createDataFrame([(i, int(x)) for i, x in enumerate(fp)], "node long, fp long")
+    up = list(range(len(fp)))
+    for i in range(len(fp)):
+        for j in range(i):
+            if np.bitwise_count(fp[i : i + 1].view(np.uint64) ^ fp[j : j + 1].view(np.uint64))[0] <= 3 and up[i] != up[j]:
+                a, b = sorted((up[i], up[j]))
+                up = [a if x == b else x for x in up]
+    links = simhash.links_within(nodes, F.array(F.lit(0)), 3, most=20, second=simhash.bit_shards(3))
+    got = {r.node: r.root for r in components.connected(links).collect()}
+    assert [got.get(i, i) for i in range(len(fp))] == up
+
+
 def brute_repeats(rows, length):
     seen, out = set(), {}
     for d, t, *_ in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
