@@ -96,9 +96,13 @@ class Forest:
             yield np.concatenate(a), np.concatenate(b)
 
 
-def forest_links(forest: Forest, radius: int, same=None) -> list[tuple[int, int]]:
-    """Links that join what is within the radius (and `same`, where given), one for each union, not all pairs."""
+def forest_links(forest: Forest, radius: int, same=None, classes: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that join what is within the radius (and `same`, where given), one for each union, not all pairs. Items
+    of one class, where classes are given, are joined from the start: their links are known, in whatever shard."""
     root, links = np.arange(len(forest.fp)), []
+    if classes is not None:
+        _, first, class_of = np.unique(classes, return_index=True, return_inverse=True)
+        root = first[class_of]
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -131,6 +135,37 @@ def in_cells(rows: DataFrame, key: str, spread: str, most: int) -> DataFrame:
     return rows.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_own", own).withColumn("cell", F.explode(cells)).drop("_hot", "_n", "_own")
 
 
+def _piece(pieces: str, by: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit(7), by), F.col(pieces)).cast("int")
+
+
+def links_in_groups(rows: DataFrame, search, most: int) -> DataFrame:
+    """links(u, v) that connect the rows(root, node, ...) of each group as `search` finds them, root being the group's
+    smallest node. search takes rows with a class and an array of cells, and finds links within cells between classes.
+
+    Groups are first cut into pieces of about `most` rows, and each piece also gets the root's row. In a large group
+    of copies nearly all are then in the root's class, and only the rest must still meet every piece: no row of the
+    root's class is sent to another piece for its own sake, so pairs within it are not searched again.
+    """
+    counts = rows.groupBy("root").count().where(F.col("count") > most).select(F.col("root").alias("_r"), F.ceil(F.col("count") / most).cast("int").alias("_n"))
+    cutting = cut(rows.join(counts, F.col("root") == F.col("_r"), "left").drop("_r").withColumn("_n", F.coalesce("_n", F.lit(1))))
+    own = F.when(F.col("node") == F.col("root"), F.sequence(F.lit(0), F.col("_n") - 1)).otherwise(F.array(_piece("_n", "node")))
+    first = cutting.withColumn("cells", F.transform(own, lambda j: F.xxhash64("root", j))).withColumn("class", F.col("node"))
+    links = cut(search(first.drop("_n")))
+    large = cutting.where("_n > 1")
+    if large.isEmpty():
+        return links
+
+    classes = connected(links).select(F.col("node").alias("_c"), F.col("root").alias("class"))
+    large = cut(large.join(classes, F.col("node") == F.col("_c"), "left").drop("_c").withColumn("class", F.coalesce("class", "node")))
+    apart = large.where(F.col("class") != F.col("root")).groupBy(F.col("root").alias("_r")).agg(F.ceil(F.count("*") / most).cast("int").alias("_m"))
+    cells = lambda i, j: F.xxhash64("root", i, j)  # noqa: E731  the i-th piece of the rest with the j-th of all
+    asked = F.transform(F.sequence(F.lit(0), F.col("_m") - 1), lambda i: cells(i, _piece("_n", "node")))
+    asking = F.when(F.col("class") != F.col("root"), F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda j: cells(_piece("_m", "node"), j))).otherwise(F.array().cast("array<bigint>"))
+    again = large.join(apart, F.col("root") == F.col("_r")).withColumn("cells", F.array_union(asked, asking))
+    return links.unionByName(search(again.drop("_r", "_n", "_m")))
+
+
 def _gathered(batches, names):
     got = list(batches)
     if not got:
@@ -216,11 +251,12 @@ def fingerprint_components(docs: DataFrame, words: int = 3, radius: int = 3) ->
     return rows.join(named, rows.fp == F.col("_fp"), "left").select("doc_id", "fp", "component_id")
 
 
-def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 20, hashes: int = 8) -> DataFrame:
+def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 20, hashes: int = 8, most: int = 4_000) -> DataFrame:
     """doc_id, th and component_id of documents linked by a Jaccard similarity of shingle sets of `similarity` or more.
 
     SimHash candidates within a radius that holds such pairs (about 10 bits differ at 0.8, with a deviation of 2.7)
     are found in the BK-trees of shards keyed by min-hashes; the shingle sets of candidates are then compared.
+    Groups of over `most` candidates are compared in pieces.
     Equal texts are one node. Null and empty texts are similar to each other. A null doc_id takes no part.
     """
     salts = np.random.RandomState(SEED).randint(1, 2**63, size=hashes, dtype=np.int64).astype(np.uint64)
@@ -235,12 +271,12 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, rad
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(np.array(fp, dtype=np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "th", "fp", "keys"])
 
     def verify(batches):
-        got = _gathered(batches, ["cell", "fp", "node", "text"])
+        got = _gathered(batches, ["cell", "fp", "node", "class", "text"])
         if got is None:
             return
-        cell, fp, node = _numbers(got[0]), _numbers(got[1], np.uint64), _numbers(got[2])
+        cell, fp, node, known = _numbers(got[0]), _numbers(got[1], np.uint64), _numbers(got[2]), _numbers(got[3])
         order = np.lexsort((node, cell))
-        texts, sets = got[3], {}
+        texts, sets = got[4], {}
 
         def set_of(i: int) -> np.ndarray:
             if i not in sets:
@@ -256,7 +292,7 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, rad
             both = len(np.intersect1d(a, b, assume_unique=True))
             return both >= similarity * (len(a) + len(b) - both) - 1e-9
 
-        links = np.array(forest_links(Forest(cell[order], fp[order]), radius, same), dtype=np.int64).reshape(-1, 2)
+        links = np.array(forest_links(Forest(cell[order], fp[order]), radius, same, known[order]), dtype=np.int64).reshape(-1, 2)
         node = node[order]
         yield pa.RecordBatch.from_arrays([pa.array(node[links[:, 0]]), pa.array(node[links[:, 1]])], ["u", "v"])
 
@@ -264,9 +300,14 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, rad
     nodes = rows.groupBy("th", "fp").agg(F.min("doc_id").alias("node"), F.min(F.when(F.col("doc_id").isNotNull(), F.col("keys"))).alias("keys"))
     shards = F.transform("keys", lambda k, i: F.xxhash64(i, k))
     groups = connected(links_within(nodes, shards, radius)).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-    near = keyed(docs).join(groups, F.col("doc_id") == F.col("_node")).join(rows.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "fp").distinct(), (F.col("_id") == F.col("doc_id")) & (F.col("_th") == F.col("th")))
-    cells = in_cells(near.select(F.col("_root").alias("root"), "fp", F.col("_node").alias("node"), "text"), "root", "node", 4_000)
-    roots = connected(cells.select("cell", "fp", "node", "text").repartition("cell").mapInArrow(verify, "u long, v long"))
+    plan = rows.select("doc_id", "th", "fp").distinct().join(groups, F.col("doc_id") == F.col("_node")).select(F.col("_root").alias("root"), F.col("_node").alias("node"), F.col("th").alias("_th"), "fp")
+
+    def search(asked: DataFrame) -> DataFrame:
+        texts = keyed(docs).join(asked, (F.col("doc_id") == F.col("node")) & (F.col("th") == F.col("_th")))
+        cells = texts.select(F.explode("cells").alias("cell"), "fp", "node", "class", "text")
+        return cells.repartition("cell").mapInArrow(verify, "u long, v long")
+
+    roots = connected(links_in_groups(plan, search, most))
     named = nodes.join(roots, "node", "left").select(F.col("th").alias("_th"), F.col("fp").alias("_fp"), F.coalesce("root", "node").alias("component_id"))
     return rows.join(named, (rows.th == F.col("_th")) & (rows.fp == F.col("_fp")), "left").select("doc_id", "th", "component_id")
 

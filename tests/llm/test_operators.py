@@ -72,6 +72,26 @@ def test_simhash(docs, empty):
     assert simhash.keep_one(docs).columns == docs.columns
 
 
+def test_large_groups_are_compared_in_pieces(spark):
+    rng = np.random.RandomState(6)
+    words, rows = [f"w{i}" for i in range(80)], []
+    for i in range(60):  # a chain of texts: each has one more word changed than the one before, up to a third
+        words = list(words)
+        words[int(rng.randint(80))] = f"new{i}"
+        rows.append((int(rng.randint(10_000)) * 100 + i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {d: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for d, t in rows for w in [t.split()]}
+    up = {d: d for d in sets}
+    for a in sets:
+        for b in sets:
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) and up[a] != up[b]:
+                x, y = sorted((up[a], up[b]))
+                up = {k: x if v == y else v for k, v in up.items()}
+    for most in (7, 4_000):
+        assert {r.doc_id: r.component_id for r in simhash.similar_groups(docs, most=most).collect()} == up
+    assert 1 < len(rows) - len(set(up.values()))
+
+
 def test_hot_shards_keep_their_links(spark):
     nodes = spark.createDataFrame([(i, 1 << i) for i in range(40)], "node long, fp long")
     got = components.connected(simhash.links_within(nodes, F.array(F.lit(0)), 2, most=7)).collect()
