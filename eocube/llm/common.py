@@ -131,6 +131,14 @@ def windows(h: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A name like `name` that no column of df has, in either case."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text and th, the text's hash (null texts hash as the seed)."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("th"))

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eocube.llm.common import byte_texts, keyed
+from eocube.llm.common import byte_texts, fresh, keyed
 
 #: Separators become spaces, A-Z become a-z: the bytes 0-9, a-z and from 0x80 on make words.
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
@@ -126,8 +126,9 @@ def _pass(tables, last: bool):
 
 def clean(docs: DataFrame, benchmark: DataFrame, length: int = 10) -> DataFrame:
     """The documents that hold no window of any benchmark item; those without a doc_id stay unless hit."""
-    bad = occurrences(docs, benchmark, length).where("n_hit > 0").select(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).distinct()
-    return docs.join(bad, docs.doc_id.eqNullSafe(F.col("_d")) & (F.xxhash64(docs.text) == F.col("_t")), "left_anti")
+    d, t = fresh(docs, "_d"), fresh(docs, "_t")
+    bad = occurrences(docs, benchmark, length).where("n_hit > 0").select(F.col("doc_id").alias(d), F.col("th").alias(t)).distinct()
+    return docs.join(bad, docs.doc_id.eqNullSafe(F.col(d)) & (F.xxhash64(docs.text) == F.col(t)), "left_anti")
 
 
 def op5(spark, sf_dir) -> DataFrame:

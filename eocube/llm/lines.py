@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eocube.llm.common import Hashes, byte_texts, joined, keyed, marked_only, windows, with_marks, written
+from eocube.llm.common import Hashes, byte_texts, fresh, joined, keyed, marked_only, windows, with_marks, written
 
 
 def chunks(text: bytes, hashes: Hashes, window: int, divisor: int) -> tuple[list[bytes], np.ndarray, list[tuple[int, int, int]]]:
@@ -102,11 +102,12 @@ def without_repeated_chunks(docs: DataFrame, window: int = 2, divisor: int = 4)
 def rewritten(docs: DataFrame) -> DataFrame:
     """docs with the shortened texts; documents of which nothing is left go. Untouched texts stay as they are, null
     included. A column n_chars follows the new text."""
-    found = without_repeated_chunks(docs).where("n_removed > 0").select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), F.col("kept").alias("_kept")).distinct()
-    out = docs.join(found, (docs.doc_id == F.col("_d")) & (F.xxhash64(docs.text) == F.col("_t")), "left")
-    new = F.when(F.col("_d").isNotNull(), F.col("_kept")).otherwise(docs.text)
-    columns = [new.alias("text") if c == "text" else F.when(F.col("_d").isNotNull(), F.length("_kept").cast(dict(docs.dtypes)[c])).otherwise(docs[c]).alias(c) if c == "n_chars" else docs[c] for c in docs.columns]
-    return out.where("_kept is null or trim(_kept) <> ''").select(*columns)
+    d, t, kept = (fresh(docs, c) for c in ("_d", "_t", "_kept"))
+    found = without_repeated_chunks(docs).where("n_removed > 0").select(F.col("doc_id").alias(d), F.col("th").alias(t), F.col("kept").alias(kept)).distinct()
+    out = docs.join(found, (docs.doc_id == F.col(d)) & (F.xxhash64(docs.text) == F.col(t)), "left")
+    new = F.when(F.col(d).isNotNull(), F.col(kept)).otherwise(docs.text)
+    columns = [new.alias("text") if c == "text" else F.when(F.col(d).isNotNull(), F.length(kept).cast(dict(docs.dtypes)[c])).otherwise(docs[c]).alias(c) if c == "n_chars" else docs[c] for c in docs.columns]
+    return out.where(F.col(kept).isNull() | (F.trim(kept) != "")).select(*columns)
 
 
 def op6(spark, sf_dir) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eocube.llm.common import byte_texts, cut, keyed, remainder
+from eocube.llm.common import byte_texts, cut, fresh, keyed, remainder
 
 #: Bin edges of each feature; every feature has len(edges) + 1 bins.
 _SHARE = [0.001, 0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.8]
@@ -206,8 +206,9 @@ def model_for(docs: DataFrame, labels: DataFrame):
 
 def good(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
     """The documents that score at least `least`."""
-    bad = score(docs, model_for(docs, labels)).where(F.col("score") < least).select(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).distinct()
-    return docs.join(bad, docs.doc_id.eqNullSafe(F.col("_d")) & (F.xxhash64(docs.text) == F.col("_t")), "left_anti")
+    d, t = fresh(docs, "_d"), fresh(docs, "_t")
+    bad = score(docs, model_for(docs, labels)).where(F.col("score") < least).select(F.col("doc_id").alias(d), F.col("th").alias(t)).distinct()
+    return docs.join(bad, docs.doc_id.eqNullSafe(F.col(d)) & (F.xxhash64(docs.text) == F.col(t)), "left_anti")
 
 
 def op9(spark, sf_dir) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from eocube.llm.common import byte_texts, cut, keyed, mixed
+from eocube.llm.common import byte_texts, cut, fresh, keyed, mixed
 from eocube.llm.components import connected
 
 SEED = 42
@@ -314,8 +314,9 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, rad
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The documents with the smallest doc_id of their group of near duplicates, and those without a doc_id."""
-    kept = similar_groups(docs, **options).where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs.doc_id == F.col("_kept_id"), "left_semi").unionByName(docs.where("doc_id is null"))
+    name = fresh(docs, "_kept_id")
+    kept = similar_groups(docs, **options).where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(kept, docs.doc_id == F.col(name), "left_semi").unionByName(docs.where("doc_id is null"))
 
 
 def op2(spark, sf_dir) -> DataFrame:

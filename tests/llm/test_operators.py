@@ -269,6 +269,16 @@ def test_mixing(docs, empty, spark):
     assert [r.target for r in mixing.targets(spark.createDataFrame([("a", 0)], "source string, source_size long")).collect()] == [0.0]
 
 
+def test_stages_keep_columns_with_clashing_names(spark):
+    import corpus_pipeline
+
+    names = ["_d", "_t", "_kept", "_kept_id", "_id", "th", "score"]
+    rows = spark.createDataFrame([(d, t, "en", s, 1, *names) for d, t, _, s in ROWS], ["doc_id", "text", "lang", "source", "n_chars", *names])
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, rows, "/root/testdata/sf0.001")
+        assert out.columns[: len(rows.columns)] == rows.columns and all(r[n] == n for r in out.collect() for n in names), name
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
