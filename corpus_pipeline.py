@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eocube.llm import decontaminate, lines, mixing, quality, simhash
-from eocube.llm.common import table, written
+from eocube.llm.common import fresh, table, written
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +34,10 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     taken = mixing.sampled(docs).where("doc_id is not null").dropDuplicates(["doc_id"])
-    added = taken.select(F.col("doc_id").alias("_id"), "size", "source_size", "target", "taken")
     kept = docs.drop("size", "source_size", "target", "taken")
-    return kept.join(added, kept.doc_id == F.col("_id"), "left").drop("_id")
+    name = fresh(kept, "_id")
+    added = taken.select(F.col("doc_id").alias(name), "size", "source_size", "target", "taken")
+    return kept.join(added, kept.doc_id == F.col(name), "left").drop(name)
 
 
 STAGES = [
