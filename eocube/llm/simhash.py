@@ -14,7 +14,7 @@ cut into pieces, and each pair of pieces is searched in a task of its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,8 @@ from eocube.llm.components import connected
 SEED = 42
 #: Fingerprints in one tree; a larger shard is searched piece by piece.
 SHARD = 20_000
+#: Texts of up to so many shingles are compared whatever their fingerprints, and min-hashes of a run that all agree.
+SHORT, RUN = 20, 4
 
 
 def shingle_hashes(words: list[bytes], k: int) -> np.ndarray:
@@ -96,9 +98,10 @@ class Forest:
             yield np.concatenate(a), np.concatenate(b)
 
 
-def forest_links(forest: Forest, radius: int, same=None, classes: np.ndarray | None = None) -> list[tuple[int, int]]:
+def forest_links(forest: Forest, radius: int, same=None, classes: np.ndarray | None = None, alike: Iterable[np.ndarray] = ()) -> list[tuple[int, int]]:
     """Links that join what is within the radius (and `same`, where given), one for each union, not all pairs. Items
-    of one class, where classes are given, are joined from the start: their links are known, in whatever shard."""
+    of one class, where classes are given, are joined from the start: their links are known, in whatever shard. Two
+    items of one array of `alike` are joined if they are the `same`, also outside the radius."""
     root, links = np.arange(len(forest.fp)), []
     if classes is not None:
         _, first, class_of = np.unique(classes, return_index=True, return_inverse=True)
@@ -123,6 +126,20 @@ def forest_links(forest: Forest, radius: int, same=None, classes: np.ndarray | N
             if r != s and (same is None or same(x, y)):
                 root[max(r, s)] = min(r, s)
                 links.append((x, y))
+    for some in alike:
+        for i, x in enumerate(some[:-1].tolist()):
+            rest = some[i + 1 :]
+            up = root[rest]
+            while not np.array_equal(above := root[up], up):
+                up = above
+            if (up == find(x)).all():
+                continue
+            far = np.bitwise_count(forest.fp[rest] ^ forest.fp[x]) > radius
+            for y in rest[far & (up != find(x))].tolist():
+                r, s = find(x), find(y)
+                if r != s and same(x, y):
+                    root[max(r, s)] = min(r, s)
+                    links.append((x, y))
     return links
 
 
@@ -251,11 +268,20 @@ def fingerprint_components(docs: DataFrame, words: int = 3, radius: int = 3) ->
     return rows.join(named, rows.fp == F.col("_fp"), "left").select("doc_id", "fp", "component_id")
 
 
+def stars(nodes: DataFrame) -> DataFrame:
+    """links(u, v) from the smallest of the nodes(node, alike) of each number in `alike` to the others."""
+    rows = nodes.where("node is not null").select("node", F.explode("alike").alias("key"))
+    first = rows.groupBy("key").agg(F.min("node").alias("u"), F.count("*").alias("_n")).where("_n > 1").select(F.col("key").alias("_key"), "u")
+    return rows.join(first, F.col("key") == F.col("_key")).where("node <> u").select("u", F.col("node").alias("v"))
+
+
 def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 20, hashes: int = 8, most: int = 4_000) -> DataFrame:
     """doc_id, th and component_id of documents linked by a Jaccard similarity of shingle sets of `similarity` or more.
 
     SimHash candidates within a radius that holds such pairs (about 10 bits differ at 0.8, with a deviation of 2.7)
-    are found in the BK-trees of shards keyed by min-hashes; the shingle sets of candidates are then compared.
+    are found in the BK-trees of shards keyed by min-hashes; the shingle sets of candidates are then compared. Both
+    are of shingle sets, so repeats count once. Texts that agree in a run of min-hashes, and short texts that share a
+    min-hash and are of similar size, are candidates whatever their fingerprints.
     Groups of over `most` candidates are compared in pieces.
     Equal texts are one node. Null and empty texts are similar to each other. A null doc_id takes no part.
     """
@@ -263,15 +289,21 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, rad
 
     def sign(batches):
         for b in batches:
-            fp, keys = [], []
+            fp, keys, alike = [], [], []
             for t in byte_texts(b.column(1)):
-                h = shingle_hashes(t.lower().split(), words)
+                h = np.unique(shingle_hashes(t.lower().split(), words))
                 fp.append(simhash(h))
-                keys.append([int(x) for x in np.array([mixed(h ^ s).min() if len(h) else s for s in salts], dtype=np.uint64).view(np.int64)])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(np.array(fp, dtype=np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "th", "fp", "keys"])
+                least = np.array([mixed(h ^ s).min() if len(h) else s for s in salts], dtype=np.uint64).view(np.int64)
+                keys.append(least.tolist())
+                of = [(i, 0, least[i : i + RUN].tobytes()) for i in range(0, hashes - RUN + 1, RUN)]
+                if len(h) <= SHORT:  # texts of similar size share the larger one's size
+                    of += [(i, 1 + n, least[i].tobytes()) for i in range(hashes) for n in range(len(h), int(len(h) / similarity + 1e-9) + 1)]
+                alike.append(np.array([xxh64_intdigest(x, i << 32 | n) for i, n, x in of], dtype=np.uint64).view(np.int64).tolist())
+            numbers = [pa.array(x, pa.list_(pa.int64())) for x in (keys, alike)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(np.array(fp, dtype=np.uint64).view(np.int64)), *numbers], ["doc_id", "th", "fp", "keys", "alike"])
 
     def verify(batches):
-        got = _gathered(batches, ["cell", "fp", "node", "class", "text"])
+        got = _gathered(batches, ["cell", "fp", "node", "class", "text", "alike"])
         if got is None:
             return
         cell, fp, node, known = _numbers(got[0]), _numbers(got[1], np.uint64), _numbers(got[2]), _numbers(got[3])
@@ -292,19 +324,28 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, rad
             both = len(np.intersect1d(a, b, assume_unique=True))
             return both >= similarity * (len(a) + len(b) - both) - 1e-9
 
-        links = np.array(forest_links(Forest(cell[order], fp[order]), radius, same, known[order]), dtype=np.int64).reshape(-1, 2)
+        lists = got[5].combine_chunks() if isinstance(got[5], pa.ChunkedArray) else got[5]
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        item, key = place[np.repeat(np.arange(len(order)), lists.value_lengths().to_numpy())], _numbers(lists.flatten())
+        by = np.lexsort((item, key, cell[order][item]))
+        item, key = item[by], key[by]
+        at = cell[order][item]
+        alike = (x for x in np.split(item, np.flatnonzero((key[1:] != key[:-1]) | (at[1:] != at[:-1])) + 1) if len(x) > 1)
+        links = np.array(forest_links(Forest(cell[order], fp[order]), radius, same, known[order], alike), dtype=np.int64).reshape(-1, 2)
         node = node[order]
         yield pa.RecordBatch.from_arrays([pa.array(node[links[:, 0]]), pa.array(node[links[:, 1]])], ["u", "v"])
 
-    rows = cut(keyed(docs).mapInArrow(sign, "doc_id long, th long, fp long, keys array<long>"))
-    nodes = rows.groupBy("th", "fp").agg(F.min("doc_id").alias("node"), F.min(F.when(F.col("doc_id").isNotNull(), F.col("keys"))).alias("keys"))
+    rows = cut(keyed(docs).mapInArrow(sign, "doc_id long, th long, fp long, keys array<long>, alike array<long>"))
+    own = [F.min(F.when(F.col("doc_id").isNotNull(), F.col(c))).alias(c) for c in ("keys", "alike")]
+    nodes = rows.groupBy("th", "fp").agg(F.min("doc_id").alias("node"), *own)
     shards = F.transform("keys", lambda k, i: F.xxhash64(i, k))
-    groups = connected(links_within(nodes, shards, radius)).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-    plan = rows.select("doc_id", "th", "fp").distinct().join(groups, F.col("doc_id") == F.col("_node")).select(F.col("_root").alias("root"), F.col("_node").alias("node"), F.col("th").alias("_th"), "fp")
+    groups = connected(links_within(nodes, shards, radius).unionByName(stars(nodes)).distinct()).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    plan = rows.select("doc_id", "th", "fp", "alike").distinct().join(groups, F.col("doc_id") == F.col("_node")).select(F.col("_root").alias("root"), F.col("_node").alias("node"), F.col("th").alias("_th"), "fp", "alike")
 
     def search(asked: DataFrame) -> DataFrame:
         texts = keyed(docs).join(asked, (F.col("doc_id") == F.col("node")) & (F.col("th") == F.col("_th")))
-        cells = texts.select(F.explode("cells").alias("cell"), "fp", "node", "class", "text")
+        cells = texts.select(F.explode("cells").alias("cell"), "fp", "node", "class", "text", "alike")
         return cells.repartition("cell").mapInArrow(verify, "u long, v long")
 
     roots = connected(links_in_groups(plan, search, most))

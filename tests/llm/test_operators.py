@@ -115,6 +115,27 @@ def test_large_shards_are_dealt_by_bits(spark):
     assert [got.get(i, i) for i in range(len(fp))] == up
 
 
+def test_similar_sets_with_far_fingerprints(spark):
+    rng = np.random.RandomState(8)
+    text = lambda n: " ".join(f"v{x}" for x in rng.randint(10**9, size=n))
+    prints = lambda t, sets: simhash.simhash((np.unique if sets else np.array)(simhash.shingle_hashes(t.encode().split(), 5)))
+    pairs = []
+    while len(pairs) < 10:  # equal shingle sets, a line repeated more often
+        start, line = text(280), text(20)
+        a, b = (start + "\n" + "\n".join([line] * k) for k in (2, 40))
+        if (prints(a, False) ^ prints(b, False)).bit_count() > 20:
+            pairs.append((a, b))
+    while len(pairs) < 14:  # 4 of 5 shingles
+        b = text(9)
+        a = b.rsplit(" ", 1)[0]
+        if (prints(a, True) ^ prints(b, True)).bit_count() > 20:
+            pairs.append((a, b))
+    rows = [(2 * i + k, t) for i, p in enumerate(pairs) for k, t in enumerate(p)]
+    rows += [(100, "p q r s t u v w"), (101, "p q r s t u v w x y")]  # 4 of 6
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {d: d - d % 2 if d < 100 else d for d, _ in rows}
+
+
 def brute_repeats(rows, length):
     seen, out = set(), {}
     for d, t, *_ in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
