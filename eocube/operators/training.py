@@ -115,11 +115,15 @@ def augment(images: DataFrame, bands: list[str], kinds: list[int], height: int,
     return out.unionByName(add_noise(images.withColumns({b: F.col(b).cast("double") for b in bands}), bands, seed).withColumn("aug_id", F.lit(4)))
 
 
-def training_set(cells: DataFrame, labels: DataFrame, bands: list[str], divisor: float, x_nodata: float = 0, y_nodata: float | None = None, weights: DataFrame | None = None, usage: str = "training") -> DataFrame:
+def training_set(cells: DataFrame, labels: DataFrame, bands: list[str], divisor: float, x_nodata: float = 0, y_nodata: float | None = None, weights: DataFrame | None = None, usage: str = "training", times: int = 0) -> DataFrame:
     """Cell samples ready for a model: features over time, normalised and flattened to a vector, with label and weight.
-    Prediction gives features only. One shuffle gathers a cell's times; labels meet it on the same key."""
+    Prediction gives features only. Cells with fewer than `times` times get zero images after their last. One shuffle
+    gathers a cell's times; labels meet it on the same key."""
     rows = cells.groupBy("item", "r", "c").agg(F.sort_array(F.collect_list(F.struct("t", F.array(*bands).alias("v")))).alias("s"))
     rows = rows.select("item", "r", "c", F.transform("s", lambda x: x["v"]).alias("features"))
+    if times:
+        zeros = F.array(*[F.lit(0)] * len(bands))
+        rows = rows.withColumn("features", F.concat("features", F.array_repeat(zeros, F.greatest(F.lit(times) - F.size("features"), F.lit(0)))))
     if usage == "prediction":
         out = rows
     else:

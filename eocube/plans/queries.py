@@ -382,11 +382,10 @@ def fitted(s, d):
     from pyspark.ml.classification import DecisionTreeClassifier
 
     x, y = images(s, d), image_labels(s, d)
-    full = x.groupBy("item").agg(F.countDistinct("t").alias("n")).where("n = 4").select("item")
-    x = x.join(full, "item", "left_semi")
+    times = steps(s).count()
     weights = stats.class_weights(y.groupBy(F.col("label").alias("value")).agg(F.count("*").alias("n")), 3).select("value", "weight")
-    model = training.fit_cells(training.training_set(x, y, ["b02", "b04"], 10000.0, 0, 3, weights), DecisionTreeClassifier(maxDepth=5, seed=1))
-    return training.predict(training.training_set(x, y, ["b02", "b04"], 10000.0, usage="prediction"), model)
+    model = training.fit_cells(training.training_set(x, y, ["b02", "b04"], 10000.0, 0, 3, weights, times=times), DecisionTreeClassifier(maxDepth=5, seed=1))
+    return training.predict(training.training_set(x, y, ["b02", "b04"], 10000.0, usage="prediction", times=times), model)
 
 
 query("p10_p11_predict")(fitted)

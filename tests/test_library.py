@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from eocube.functions import cells as fc
 from eocube.functions import dates, links, lookups
-from eocube.operators import mosaic, samples, stats
+from eocube.operators import mosaic, samples, stats, training
+from eocube.plans import queries
 
 DAY = dt.date
 
@@ -95,3 +96,14 @@ def test_entry_imports():
     import __spark_entry__
 
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_items_with_missing_times_are_predicted(spark, monkeypatch):
+    rows = [(i, t, 0, c, 100 * c + t + 1, 200 * c + t + 1) for i, times in ((1, 4), (2, 4), (3, 2)) for t in range(times) for c in range(4)]
+    x = spark.createDataFrame(rows, "item int, t int, r int, c int, b02 int, b04 int")
+    y = x.where("t = 0").select("item", "r", "c", (F.col("c") % 2).alias("label"))
+    got = training.training_set(x, y, ["b02", "b04"], 1000.0, usage="prediction", times=4).where("item = 3 and c = 1").first()
+    assert got.features.toArray().tolist() == [0.101, 0.201, 0.102, 0.202, 0, 0, 0, 0]
+    monkeypatch.setattr(queries, "images", lambda s, d: x)
+    monkeypatch.setattr(queries, "image_labels", lambda s, d: y)
+    assert {(r.item, r.c) for r in queries.fitted(spark, None).collect()} == {(i, c) for i in (1, 2, 3) for c in range(4)}
