@@ -11,7 +11,7 @@ ARCHIVE = (
     "https://storage.googleapis.com/gcp-public-data-sentinel-2/L2/tiles/%s/%s/%s/%s.SAFE/GRANULE/L2A_T%s_A%s_%s/"
     "IMG_DATA/R%sm/L2A_T%s_%s_%s_%sm.jp2"
 )
-RESOLUTION = {"B01": 60, "B02": 10, "B03": 10, "B04": 10, "B05": 20, "B06": 20, "B07": 20, "B08": 10, "B8A": 20, "B09": 60, "B11": 20, "B12": 20, "SCL": 20}
+RESOLUTION = {"B01": 60, "B02": 10, "B03": 10, "B04": 10, "B05": 20, "B06": 20, "B07": 20, "B08": 10, "B8A": 20, "B09": 60, "B10": 60, "B11": 20, "B12": 20, "SCL": 20}
 
 
 def is_cog_url(url: Column) -> Column:

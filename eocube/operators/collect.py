@@ -64,23 +64,28 @@ def merge_probabilities(preds: DataFrame) -> DataFrame:
     return p.select("r", "c", argmax(F.transform("s", lambda x: x["p"])).alias("class"))
 
 
-def pixel_stack(matched: DataFrame, cells_of, bands: list[str], mode: str = "latest_pixel", limit: int = 10, cloudy: Column | None = None, score: Column | None = None, mask: DataFrame | None = None) -> DataFrame:
+def pixel_stack(matched: DataFrame, cells_of, bands: list[str], mode: str = "latest_pixel", limit: int = 10, cloudy: Column | None = None, score: Column | None = None, qa: str | None = None, mask: DataFrame | None = None) -> DataFrame:
     """Mosaics of many items and steps in one plan. matched(tile_id, step_no, step_start, scene_id, sensing_time,
     cloud_cover) are scenes of each item's steps; ranks cut them to limit before cells_of(scenes) reads their cells.
 
-    Modes: latest_pixel, cloud_sorted_pixel, composite (cloudy) and full (score). Steps whose first band is empty are
-    left out, and cells outside mask(tile_id, r, c) are set to 0."""
+    Modes: latest_pixel, cloud_sorted_pixel, composite (cloudy), composite_qa (qa, a column's name), full (score) and
+    all, every scene an image of its own, by scene_id. Scenes with a band that is 0 all over are passed over, images
+    whose first band is empty are left out, and cells outside mask(tile_id, r, c) are set to 0."""
     by = "cloud_cover" if mode == "cloud_sorted_pixel" else "sensing_time"
-    cells = cells_of(search.limit_scenes(search.rank_scenes(matched, by), limit))
+    cells = search.drop_empty_scenes(cells_of(search.limit_scenes(search.rank_scenes(matched, by), limit)), bands)
     if mode in ("latest_pixel", "cloud_sorted_pixel"):
         out = mosaic.first_valid(cells, bands)
     elif mode == "composite":
         out = mosaic.composite(cells, bands, cloudy)
+    elif mode == "composite_qa":
+        out = mosaic.composite_qa(cells, bands, qa)
+    elif mode == "all":
+        out = mosaic.all_scenes(cells, bands)
     elif mode == "full":
         out = mosaic.composite_full(cells, bands, score)
     else:
         raise ValueError(f"no mode {mode}")
-    out = mosaic.drop_empty_steps(out, bands[0])
+    out = mosaic.drop_empty_steps(out, bands[0]) if mode != "all" else out
     return out if mask is None else grid.clip(out, mask, bands, ["tile_id"])
 
 

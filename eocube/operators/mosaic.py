@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eocube.functions.cells import qa_cloud
+
 CELL = ["tile_id", "step_no", "r", "c"]
 # Classes in the order of preference of the full composite, best first.
 SCL_RANK = [4, 5, 6, 11, 2, 7, 10, 3, 8, 9, 1, 0]
@@ -31,6 +33,14 @@ def composite(cells: DataFrame, bands: list[str], cloudy: Column, stop_share: fl
     """Cloud-free composite with early finish. Scene 0 always fills a cell; a later one replaces it where all before
     were cloudy and its first band is not 0. The item and step end after the first scene that leaves no picked 0 and at
     most stop_share of the cells cloudy in all scenes so far."""
+    rows = _filled(cells, bands, cloudy)
+    state = residual_by_scene(cells, bands, cloudy)
+    stop = state.groupBy("tile_id", "step_no").agg(F.coalesce(F.min(F.when((F.col("empty") == 0) & (F.col("share") <= stop_share), F.col("idx"))), F.max("idx")).alias("_stop"))
+    return rows.join(stop, ["tile_id", "step_no"]).where("idx = _stop").select(*CELL, "_pick.*")
+
+
+def _filled(cells: DataFrame, bands: list[str], cloudy: Column) -> DataFrame:
+    """Each cell after each scene: _pick, its bands so far, and _masked, whether all scenes so far were cloudy there."""
     cell = Window.partitionBy(*CELL).orderBy("idx")
     before = cell.rowsBetween(Window.unboundedPreceding, -1)
     upto = cell.rowsBetween(Window.unboundedPreceding, 0)
@@ -38,10 +48,7 @@ def composite(cells: DataFrame, bands: list[str], cloudy: Column, stop_share: fl
     rows = rows.withColumn("_open", F.coalesce(F.min("_cloud").over(before), F.lit(-1)))
     update = (F.col("_open") == -1) | (F.col("_open") == 1) & (F.col(bands[0]) != 0)
     rows = rows.withColumn("_pick", F.last(F.when(update, F.struct(*bands)), ignorenulls=True).over(upto))
-    rows = rows.withColumn("_masked", F.min("_cloud").over(upto))
-    state = rows.groupBy("tile_id", "step_no", "idx").agg(F.avg("_masked").alias("share"), F.count_if(F.col(f"_pick.{bands[0]}") == 0).alias("empty"))
-    stop = state.groupBy("tile_id", "step_no").agg(F.coalesce(F.min(F.when((F.col("empty") == 0) & (F.col("share") <= stop_share), F.col("idx"))), F.max("idx")).alias("_stop"))
-    return rows.join(stop, ["tile_id", "step_no"]).where("idx = _stop").select(*CELL, "_pick.*")
+    return rows.withColumn("_masked", F.min("_cloud").over(upto))
 
 
 def full_score(scl: str, red: str, nir: str) -> Column:
@@ -55,15 +62,47 @@ def composite_full(cells: DataFrame, bands: list[str], score: Column) -> DataFra
     return cells.groupBy(*CELL).agg(F.min_by(F.struct(*bands), F.struct(score, "idx")).alias("p")).select(*CELL, "p.*")
 
 
-def sieve(mask: DataFrame) -> DataFrame:
-    """mask(item, r, c, m) with groups of one or two equal 4-neighbours flipped. No iteration: a cell is alone if it has
-    no equal neighbour, and one of a pair if it and its only equal neighbour have one each."""
-    near = mask.select("item", "m", F.col("r").alias("r2"), F.col("c").alias("c2"))
-    near = near.withColumn("_d", F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in ((0, 1), (1, 0), (0, -1), (-1, 0))])))
-    near = near.select("item", F.col("m").alias("m2"), (F.col("r2") + F.col("_d.a")).alias("r"), (F.col("c2") + F.col("_d.b")).alias("c"), "r2", "c2")
-    same = mask.join(near, ["item", "r", "c"]).where("m = m2").select("item", "r", "c", "r2", "c2")
-    degree = same.groupBy("item", "r", "c").agg(F.count("*").alias("n"))
-    other = degree.select("item", F.col("r").alias("r2"), F.col("c").alias("c2"), F.col("n").alias("n2"))
-    pairs = same.join(degree, ["item", "r", "c"]).join(other, ["item", "r2", "c2"]).where("n = 1 and n2 = 1").select("item", "r", "c", F.lit(True).alias("pair"))
-    out = mask.join(degree, ["item", "r", "c"], "left").join(pairs, ["item", "r", "c"], "left")
-    return out.select("item", "r", "c", F.when(F.col("n").isNull() | F.col("pair"), 1 - F.col("m")).otherwise(F.col("m")).alias("m"))
+def composite_qa(cells: DataFrame, bands: list[str], qa: str, stop_share: float = 0.05) -> DataFrame:
+    """The composite with cloud flags from a quality band, each scene's flags sieved first."""
+    scene = ["tile_id", "step_no", "idx"]
+    flags = sieve(cells.select(*scene, "r", "c", qa_cloud(qa).cast("int").alias("m")), scene)
+    return composite(cells.join(flags, [*scene, "r", "c"]), bands, F.col("m") == 1, stop_share)
+
+
+def residual_by_scene(cells: DataFrame, bands: list[str], cloudy: Column) -> DataFrame:
+    """After each scene of an item and step: the share of cells cloudy in all scenes so far, and how many picks are 0."""
+    return _filled(cells, bands, cloudy).groupBy("tile_id", "step_no", "idx").agg(F.avg("_masked").alias("share"), F.count_if(F.col(f"_pick.{bands[0]}") == 0).alias("empty"))
+
+
+#: The band that a composite's cloud flags come from.
+MASK_BANDS = {"scl": "scl", "full": "scl", "qa_pixel": "qa"}
+
+
+def with_mask_band(bands: list[str], method: str) -> list[str]:
+    """The bands to read for a composite: those asked for, and the method's mask band if it isn't among them."""
+    return bands if MASK_BANDS[method] in bands else [*bands, MASK_BANDS[method]]
+
+
+def without_mask_band(images: DataFrame, bands: list[str], method: str) -> DataFrame:
+    """Composites without a mask band that was only added for them."""
+    return images if MASK_BANDS[method] in bands else images.drop(MASK_BANDS[method])
+
+
+def sieve(mask: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """mask(item, r, c, m) with groups of one or two equal 4-neighbours flipped, in masks of over three cells. No
+    iteration: a cell is alone if it has no equal neighbour, and one of a pair if it and its only equal neighbour have
+    one each. Neighbours are told by windows along one row or column, so no task needs a whole mask. keys name a mask,
+    `item` if not given."""
+    keys = keys or ["item"]
+    size = mask.groupBy(*keys).agg(F.count("*").alias("_size"))
+    x = mask.select(*keys, "r", "c", "m").join(size, keys)
+    along = {"c": Window.partitionBy(*keys, "r").orderBy("c"), "r": Window.partitionBy(*keys, "c").orderBy("r")}
+    beside = lambda f, k, by: F.coalesce((f(k).over(along[k]) == F.col(k) + by) & (f("m").over(along[k]) == F.col("m")), F.lit(False))
+    for k in ("c", "r"):
+        x = x.withColumns({f"_{k}0": beside(F.lag, k, -1), f"_{k}1": beside(F.lead, k, 1)})
+    sides = ["_c0", "_c1", "_r0", "_r1"]
+    x = x.withColumn("_n", sum((F.col(y).cast("int") for y in sides), F.lit(0)))
+    for k in ("r", "c"):
+        x = x.withColumn(f"_{k}", F.when(F.col(f"_{k}0"), F.lag("_n").over(along[k])).when(F.col(f"_{k}1"), F.lead("_n").over(along[k])))
+    flipped = (F.col("_size") > 3) & ((F.col("_n") == 0) | (F.col("_n") == 1) & (F.coalesce("_r", "_c") == 1))
+    return x.select(*keys, "r", "c", F.when(flipped, 1 - F.col("m")).otherwise(F.col("m")).alias("m"))

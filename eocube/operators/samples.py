@@ -26,15 +26,20 @@ def time_index(images: DataFrame) -> DataFrame:
     return images.withColumn("t_idx", F.row_number().over(Window.partitionBy("tile_id").orderBy("step_no")) - 1)
 
 
-def split_samples(df: DataFrame, key: str, share: float, seed: int) -> DataFrame:
-    """The first ceil(n * share) by a hash are for training, the others for evaluation. Ranks come from one count per
-    hash bucket, so no task orders all rows."""
+def hash_ranked(df: DataFrame, key: str, seed: int) -> DataFrame:
+    """df with _rank, from 1 in the order of a hash of the key, and _all, the number of rows. Ranks come from one count
+    per hash bucket, so no task orders all rows."""
     h = df.withColumn("_h", F.xxhash64(F.lit(seed), key)).withColumn("_b", F.shiftrightunsigned("_h", 52))
     counts = h.groupBy("_b").agg(F.count("*").alias("_n"))
     w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     edges = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).withColumn("_all", F.sum("_n").over(Window.partitionBy()))
     ranked = h.join(edges, "_b").withColumn("_rank", F.col("_before") + F.row_number().over(Window.partitionBy("_b").orderBy("_h", key)))
-    return ranked.select(*df.columns, (F.col("_rank") <= F.ceil(F.col("_all") * share)).alias("training"))
+    return ranked.select(*df.columns, "_rank", "_all")
+
+
+def split_samples(df: DataFrame, key: str, share: float, seed: int) -> DataFrame:
+    """The first ceil(n * share) by a hash are for training, the others for evaluation."""
+    return hash_ranked(df, key, seed).select(*df.columns, (F.col("_rank") <= F.ceil(F.col("_all") * share)).alias("training"))
 
 
 def shuffle(df: DataFrame, key: str, seed: int) -> DataFrame:

@@ -5,26 +5,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# The catalogue platforms behind a requested one.
-PLATFORMS = {"SENTINEL_2": ["sentinel-2a", "sentinel-2b", "sentinel-2c", "sentinel-2d"]}
-COLLECTIONS = {("SENTINEL_2", "L2A"): ["sentinel-s2-l2a", "sentinel-s2-l2a-cogs"], ("SENTINEL_2", "L1C"): ["sentinel-s2-l1c"]}
+# The catalogue platforms behind a requested one, and the collections that are searched for them.
+SENTINEL, SENTINEL_PLATFORMS = "SENTINEL_2", ["sentinel-2a", "sentinel-2b", "sentinel-2c", "sentinel-2d"]
+LANDSAT_PLATFORMS = ["LANDSAT_1", "LANDSAT_2", "LANDSAT_3", "LANDSAT_4", "LANDSAT_5", "LANDSAT_6", "LANDSAT_7", "LANDSAT_8"]
+LANDSAT_COLLECTIONS, L2A_COLLECTIONS, L1C_COLLECTIONS = ["landsat-c2l2-sr"], ["sentinel-s2-l2a", "sentinel-s2-l2a-cogs"], ["sentinel-s2-l1c"]
+
+
+def _requested(platforms: str | list[str]) -> list[str]:
+    names = [platforms] if isinstance(platforms, str) else list(platforms)
+    unknown = [p for p in names if p != SENTINEL and p not in LANDSAT_PLATFORMS]
+    if unknown or not names:
+        raise ValueError(f"no platform {', '.join(unknown)}")
+    return names
 
 
 def intersects_bbox(df: DataFrame, xmin, ymin, xmax, ymax) -> DataFrame:
     return df.where((F.col("xmin") <= xmax) & (F.col("xmax") >= xmin) & (F.col("ymin") <= ymax) & (F.col("ymax") >= ymin))
 
 
-def filter_platform(df: DataFrame, platform: str) -> DataFrame:
-    return df.where(F.col("platform").isin(PLATFORMS.get(platform, [platform])))
+def filter_platform(df: DataFrame, platforms: str | list[str]) -> DataFrame:
+    """Scenes of one platform or several; unknown names are an error."""
+    return df.where(F.col("platform").isin([x for p in _requested(platforms) for x in (SENTINEL_PLATFORMS if p == SENTINEL else [p])]))
 
 
-def filter_collection(df: DataFrame, platform: str, level: str) -> DataFrame:
-    return df.where(F.col("collection_id").isin(COLLECTIONS[platform, level]))
+def filter_collection(df: DataFrame, platforms: str | list[str], level: str | None = None) -> DataFrame:
+    """Scenes of the collections behind the platforms: level L2A has two of Sentinel-2, any other level its L1C one."""
+    names = _requested(platforms)
+    some = LANDSAT_COLLECTIONS if any(p != SENTINEL for p in names) else []
+    if SENTINEL in names:
+        some = some + (L2A_COLLECTIONS if level == "L2A" else L1C_COLLECTIONS)
+    return df.where(F.col("collection_id").isin(some))
 
 
-def filter_dates(df: DataFrame, start: str, end: str) -> DataFrame:
-    """Both ends inclusive; a date as the end means its midnight."""
-    return df.where((F.col("sensing_time") >= F.lit(start).cast("timestamp")) & (F.col("sensing_time") <= F.lit(end).cast("timestamp")))
+def filter_dates(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
+    """Both ends inclusive, and None open; a date as the end means its midnight."""
+    if start is not None:
+        df = df.where(F.col("sensing_time") >= F.lit(start).cast("timestamp"))
+    return df if end is None else df.where(F.col("sensing_time") <= F.lit(end).cast("timestamp"))
 
 
 def filter_cloud(df: DataFrame, most: float) -> DataFrame:
@@ -37,10 +54,18 @@ def dedup_scenes(df: DataFrame) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
-def search(df: DataFrame, platform: str, level: str, start: str, end: str, most_cloud: float, bbox, limit: int) -> DataFrame:
-    """The whole request; filters come first and reach the scan, then dedup, order and limit."""
-    df = filter_cloud(filter_dates(filter_collection(filter_platform(intersects_bbox(df, *bbox), platform), platform, level), start, end), most_cloud)
-    return dedup_scenes(df).orderBy(F.desc("sensing_time"), "scene_id").limit(limit)
+def search(df: DataFrame, platforms: str | list[str], level: str | None = None, start: str | None = None, end: str | None = None, most_cloud: float | None = None, bbox=None, limit: int | None = None, sort: str | None = "sensing_time") -> DataFrame:
+    """The whole request; filters come first and reach the scan, then dedup (of level L2A alone), order and limit. sort is
+    sensing_time (latest first), cloud_cover (least first, unknown last) or None; ties go to the smaller scene_id."""
+    if sort not in ("sensing_time", "cloud_cover", None):
+        raise ValueError(f"no order by {sort}")
+    df = df if bbox is None else intersects_bbox(df, *bbox)
+    df = filter_dates(filter_collection(filter_platform(df, platforms), platforms, level), start, end)
+    df = df if most_cloud is None else filter_cloud(df, most_cloud)
+    df = dedup_scenes(df) if level == "L2A" else df
+    if sort:
+        df = df.orderBy(F.desc("sensing_time") if sort == "sensing_time" else F.asc_nulls_last("cloud_cover"), "scene_id")
+    return df if limit is None else df.limit(limit)
 
 
 def resolve_bands(assets: Column, bands: list[str]) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -55,10 +55,37 @@ def overlapping_pairs(rects: DataFrame, bucket: int) -> DataFrame:
     return p.where(f"not {holds('a', 'b')} and not {holds('b', 'a')}").select("a_id", "b_id")
 
 
-def pyramid(cells: DataFrame, factors: list[int]) -> DataFrame:
-    """Overviews by averaging."""
+def overview_factors(height: int, width: int) -> list[int]:
+    """2, 4, ..., 64 as far as they are below the smaller side."""
+    return [2**a for a in range(1, 7) if 2**a < min(height, width)]
+
+
+def pyramid(cells: DataFrame, factors: list[int], nearest: bool = False) -> DataFrame:
+    """Overviews of cells(r, c, v): by averaging, as for floats, or the value of each block's first cell, as for whole
+    numbers, whose mean may be no class."""
     f = cells.withColumn("factor", F.explode(F.array(*[F.lit(x) for x in factors])))
-    return f.groupBy("factor", F.floor(F.col("r") / F.col("factor")).cast("int").alias("r"), F.floor(F.col("c") / F.col("factor")).cast("int").alias("c")).agg(F.avg("v").alias("v"))
+    block = [F.floor(F.col(k) / F.col("factor")).cast("int").alias(k) for k in ("r", "c")]
+    if nearest:
+        return f.where("r % factor = 0 and c % factor = 0").select("factor", *block, "v")
+    return f.groupBy("factor", *block).agg(F.avg("v").alias("v"))
+
+
+def nodata_counts(cells: DataFrame, keys: list[str], value: str, nodata: float) -> DataFrame:
+    """How many cells of each image are nodata and how many valid."""
+    return cells.groupBy(*keys).agg(F.count_if(F.col(value) == nodata).alias("nodata"), F.count_if(F.col(value) != nodata).alias("valid"))
+
+
+def image_quality(cells: DataFrame, keys: list[str], bands: list[str], cloudy: Column, nodata: float = 0) -> DataFrame:
+    """Each image's nodata values over all bands, and its cloudy cells."""
+    return cells.groupBy(*keys).agg(F.sum(sum(((F.col(b) == nodata).cast("int") for b in bands), F.lit(0))).alias("nodata"), F.sum(cloudy.cast("int")).alias("clouds"))
+
+
+def catalog_length(catalogs: DataFrame, links: DataFrame) -> DataFrame:
+    """catalogs(catalog_id, is_collection) with n: a collection's child links, else the catalogue's item links, of
+    links(catalog_id, rel)."""
+    n = links.groupBy("catalog_id").agg(F.count_if(F.col("rel") == "child").alias("_children"), F.count_if(F.col("rel") == "item").alias("_items"))
+    n = catalogs.join(n, "catalog_id", "left")
+    return n.select(*catalogs.columns, F.coalesce(F.when(F.col("is_collection"), F.col("_children")).otherwise(F.col("_items")), F.lit(0)).alias("n"))
 
 
 def missing_steps(steps: DataFrame, existing: DataFrame) -> DataFrame:

@@ -10,9 +10,9 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eocube.functions.cells import multiclass_bins, multiclass_int, normalize
-from eocube.operators.samples import metric
-from eocube.operators.stats import class_weights
+from eocube.functions.cells import multiclass_bins, multiclass_int, normalize, one_hot
+from eocube.operators.samples import fill_shape, hash_ranked, metric, pad, sample_weights, upsample
+from eocube.operators.stats import class_weights, image_quality
 
 #: Cells that a training set in memory takes at most.
 MOST_ROWS = 100_000_000
@@ -34,7 +34,8 @@ def limit_shape(cells: DataFrame, times: int, height: int, width: int, bands: li
 
 
 def _image(cells: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
-    """Rows of cells as image[r][c][band]. Rows are gathered first and then images, so both groups are one image's."""
+    """Rows of cells as image[r][c][band]. Rows are gathered first and then images, so both groups are one image's. An
+    image must fit a row of Spark's; larger ones are cut into windows or chunks before, or kept as cells."""
     rows = cells.groupBy(*keys, "r").agg(F.sort_array(F.collect_list(F.struct("c", F.array(*bands).alias("v")))).alias("s"))
     rows = rows.select(*keys, "r", F.transform("s", lambda x: x["v"]).alias("row"))
     out = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("r", "row"))).alias("s"))
@@ -134,6 +135,40 @@ def training_set(cells: DataFrame, labels: DataFrame, bands: list[str], divisor:
     return out.withColumn("features", array_to_vector(flat))
 
 
+def image_tensors(cells: DataFrame, bands: list[str], times: int, height: int, width: int, nodata: float = 0, factor: int = 1, padding: int = 0, kinds: tuple = (), divisor: float | None = None) -> DataFrame:
+    """The features of image samples as cells (item, aug_id, t, r, c, bands): the images with least nodata, at most
+    `times` of them and renumbered in time order, cut and filled with 0 to times x height x width, upsampled, padded,
+    augmented and normalised. All images of an item are joined to it by its key; no item is gathered in one row."""
+    keys = ["item", "t"]
+    blank = image_quality(cells, keys, bands, F.lit(False), nodata).select(*keys, F.col("nodata").alias("_n"))
+    kept = blank.withColumn("_k", F.row_number().over(Window.partitionBy("item").orderBy("_n", "t"))).where(F.col("_k") <= times)
+    kept = kept.select(*keys, (F.row_number().over(Window.partitionBy("item").orderBy("t")) - 1).alias("_t"))
+    x = cells.join(kept, keys).withColumn("t", F.col("_t"))
+    x = limit_shape(x, times, height, width, bands)
+    items = x.select("item").distinct().withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(times - 1))))
+    x = fill_shape(items.join(x, keys, "left").withColumns({"r": F.coalesce("r", F.lit(0)), "c": F.coalesce("c", F.lit(0))}), keys, height, width, bands)
+    x = upsample(x, factor) if factor > 1 else x
+    x = pad(x, height * factor, width * factor, padding) if padding else x
+    x = augment(x, bands, list(kinds), height * factor + 2 * padding, width * factor + 2 * padding)
+    return x if divisor is None else x.withColumns({b: normalize(F.col(b).cast("double"), divisor) for b in bands})
+
+
+def label_tensors(labels: DataFrame, height: int, width: int, kinds: tuple = (), classes: int = 0, one_hot_labels: bool = True, weights: DataFrame | None = None) -> DataFrame:
+    """The labels of image samples as cells (item, aug_id, r, c, label, hot, weight): cut and filled with 0 to height x
+    width, augmented like the features (noise and brightness leave labels as they are), one-hot and weighted."""
+    y = fill_shape(labels.where((F.col("r") < height) & (F.col("c") < width)), ["item"], height, width, ["label"])
+    y = y.withColumn("aug_id", F.explode(F.array(*[F.lit(k) for k in (0, *kinds)])))
+    y = y.withColumns({"r": F.when(F.col("aug_id").isin(1, 2), height - 1 - F.col("r")).otherwise(F.col("r")), "c": F.when(F.col("aug_id").isin(1, 3), width - 1 - F.col("c")).otherwise(F.col("c"))})
+    y = y.withColumn("hot", one_hot(F.col("label"), classes)) if classes > 1 and one_hot_labels else y
+    return y if weights is None else sample_weights(y.withColumnRenamed("label", "value"), weights).withColumnRenamed("value", "label")
+
+
+def item_batches(items: DataFrame, batch: int, seed: int) -> DataFrame:
+    """items(item) shuffled by a hash and dealt to ceil(n / batch) batches: batch i has the items i, i + L, i + 2L, ..."""
+    ranked = hash_ranked(items.select("item").distinct(), "item", seed)
+    return ranked.select("item", ((F.col("_rank") - 1) % F.ceil(F.col("_all") / batch)).alias("batch"))
+
+
 def class_map(y: Column, definition, y_max: float | None = None, y_nodata: float = 0.0) -> Column:
     """Labels as classes: equal parts of y_max by a number of classes, or by sorted breaks."""
     return multiclass_int(y, definition, y_max, y_nodata) if isinstance(definition, int) else multiclass_bins(y, definition, y_nodata)

@@ -10,6 +10,7 @@ from eocube.functions import clouds, dates, links, lookups
 from eocube.operators import collect, grid, mosaic, samples, search, stats, training
 from eocube.sources import fixtures as fx
 from eocube.sources import rasters
+from eocube.sources import scenes as scene_source
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -46,6 +47,11 @@ _cell = f"with {fx.CELL} "
 _plain = "scene_id, id, collection_id, tile_id, sensing_time, platform, cloud_cover"
 _cols = [x.strip() for x in _plain.split(",")]
 
+query("s1_scene_columns", _scene + "select id, collection_id, sensing_time, platform, cloud_cover, (32600 + tile_id % 60 + 1)::int as epsg from scene")(
+    lambda s, d: scene_source.scene_columns(
+        fx.scenes(s, d).select("id", "collection_id", F.col("sensing_time").alias("datetime"), F.to_json(F.struct("platform", F.col("cloud_cover").alias("eo:cloud_cover"), (32601 + F.col("tile_id") % 60).cast("int").alias("proj:epsg"))).alias("properties"))
+    )
+)
 query("f1_bbox", _scene + f"select {_plain} from scene where xmin <= 5000 and xmax >= 2000 and ymin <= 4000 and ymax >= 1000")(lambda s, d: search.intersects_bbox(fx.scenes(s, d), 2000, 1000, 5000, 4000).select(*_cols))
 query("f2_platform", _scene + f"select {_plain} from scene where platform in ('sentinel-2a','sentinel-2b','sentinel-2c','sentinel-2d')")(lambda s, d: search.filter_platform(fx.scenes(s, d), "SENTINEL_2").select(*_cols))
 query("f3_collection", _scene + f"select {_plain} from scene where collection_id in ('sentinel-s2-l2a','sentinel-s2-l2a-cogs')")(lambda s, d: search.filter_collection(fx.scenes(s, d), "SENTINEL_2", "L2A").select(*_cols))
@@ -55,6 +61,20 @@ _dedup = "(select * from (select *, row_number() over (partition by id order by
 query("f6_search_l2a", _scene + f", hit as (select * from scene where xmin <= 9000 and xmax >= 0 and ymin <= 9000 and ymax >= 0 and platform in ('sentinel-2a','sentinel-2b') and sensing_time >= timestamp '2024-01-02' and sensing_time <= timestamp '2024-01-20' and cloud_cover < 60) select {_plain} from {_dedup.format('hit')} order by sensing_time desc, scene_id limit 100")(
     lambda s, d: search.search(fx.scenes(s, d), "SENTINEL_2", "L2A", "2024-01-02", "2024-01-20", 60, (0, 0, 9000, 9000), 100).select(*_cols)
 )
+
+
+def catalogue(spark, d):
+    """The scenes with collections of all platforms, as a catalogue of more than one kind has them."""
+    landsat = F.col("platform").like("LANDSAT%")
+    return fx.scenes(spark, d).withColumn("collection_id", F.when(landsat, "landsat-c2l2-sr").when(F.col("scene_id") % 5 == 0, "sentinel-s2-l1c").otherwise(F.col("collection_id")))
+
+
+_catalogue = _scene + ", catalogue as (select * replace (case when platform like 'LANDSAT%' then 'landsat-c2l2-sr' when scene_id % 5 = 0 then 'sentinel-s2-l1c' else collection_id end as collection_id) from scene)"
+query("f3_collection_mixed", _catalogue + f" select {_plain} from catalogue where collection_id in ('landsat-c2l2-sr', 'sentinel-s2-l1c')")(lambda s, d: search.filter_collection(catalogue(s, d), ["LANDSAT_8", "SENTINEL_2"]).select(*_cols))
+query("f6_search_landsat", _catalogue + f" select {_plain} from catalogue where platform in ('LANDSAT_7', 'LANDSAT_8') and collection_id = 'landsat-c2l2-sr' and sensing_time >= timestamp '2024-01-02' and cloud_cover < 50 order by cloud_cover, scene_id limit 200")(
+    lambda s, d: search.search(catalogue(s, d), ["LANDSAT_7", "LANDSAT_8"], start="2024-01-02", most_cloud=50, limit=200, sort="cloud_cover").select(*_cols)
+)
+query("f6_search_l1c", _catalogue + f" select {_plain} from catalogue where platform in ('sentinel-2a','sentinel-2b') and collection_id = 'sentinel-s2-l1c' and sensing_time <= timestamp '2024-01-25'")(lambda s, d: search.search(catalogue(s, d), "SENTINEL_2", "L1C", end="2024-01-25").select(*_cols))
 query("w1_dedup_scenes", _scene + f"select {_plain} from {_dedup.format('scene')}")(lambda s, d: search.dedup_scenes(fx.scenes(s, d)).select(*_cols))
 query("w2_rank_scenes", _ranked + "select scene_id, step_no, idx, idc from ranked")(lambda s, d: ranked(s, d).select("scene_id", "step_no", "idx", "idc"))
 query("j2_assign_steps", _ranked + "select scene_id, step_no, step_start, step_end from ranked join step using (step_no)")(lambda s, d: search.assign_steps(fx.scenes(s, d), steps(s)).select("scene_id", "step_no", "step_start", "step_end"))
@@ -81,10 +101,26 @@ query("m3_all_scenes", _cell + f"select scene_id, tile_id, step_no, r, c, {BL} f
 _SCL = "{scl} in (0,1,3,7,8,9,10)"
 
 
-def _composite_sql(cloud: str) -> str:
+def _sieve_sql(source: str, item: str) -> str:
+    """Common table expressions up to sieved(item, r, c, m): neighbours by windows along rows and columns of full grids."""
+    down, right = "over (partition by item, c order by r)", "over (partition by item, r order by c)"
+    return (
+        f"sv_m as (select {item} as item, r, c, m from {source}), "
+        f"sv_n as (select *, coalesce((lag(m) {down} = m)::int, 0) as up, coalesce((lead(m) {down} = m)::int, 0) as dn, coalesce((lag(m) {right} = m)::int, 0) as lf, coalesce((lead(m) {right} = m)::int, 0) as rt from sv_m), "
+        "sv_d as (select *, up + dn + lf + rt as n from sv_n), "
+        f"sv_p as (select *, case when up = 1 then lag(n) {down} when dn = 1 then lead(n) {down} when lf = 1 then lag(n) {right} else lead(n) {right} end as other from sv_d), "
+        "sieved as (select item, r, c, case when n = 0 or (n = 1 and other = 1) then 1 - m else m end as m from sv_p)"
+    )
+
+
+def _residual_sql(cloud: str, more: str = "", source: str = "cell") -> str:
+    return _composite_sql(cloud, more, source).rsplit(", s as", 1)[0] + " select tile_id, step_no, idx, round(avg(mask::int), 6)::double as share, count(*) filter (where b0 = 0) as empty from v group by all"
+
+
+def _composite_sql(cloud: str, more: str = "", source: str = "cell") -> str:
     """Fill, mask and stop, told by the index of the scene that last filled a cell."""
     return (
-        f"with {fx.CELL}, o as (select tile_id, step_no, r, c, idx, {BL}, ({cloud}) as cloud from cell), "
+        f"with {fx.CELL}{more}, o as (select tile_id, step_no, r, c, idx, {BL}, ({cloud}) as cloud from {source}), "
         "p as (select *, coalesce(bool_and(cloud) over (partition by tile_id, step_no, r, c order by idx rows between unbounded preceding and 1 preceding), true) as open, bool_and(cloud) over (partition by tile_id, step_no, r, c order by idx) as mask from o), "
         f"q as (select *, max(case when idx = 1 or (open and b0 <> 0) then idx end) over (partition by tile_id, step_no, r, c order by idx) as src from p), "
         "v as (select q.tile_id, q.step_no, q.r, q.c, q.idx, q.mask, " + ", ".join(f"o.{b}" for b in B) + " from q join o on o.tile_id = q.tile_id and o.step_no = q.step_no and o.r = q.r and o.c = q.c and o.idx = q.src), "
@@ -96,55 +132,72 @@ def _composite_sql(cloud: str) -> str:
 
 query("m4_composite_scl", _composite_sql(_SCL.format(scl="scl")))(lambda s, d: mosaic.composite(cells(s, d), B, fc.scl_cloud("scl")))
 query("m4_composite_scl_early", _composite_sql(_SCL.format(scl="scl_clear")))(lambda s, d: mosaic.composite(cells(s, d), B, fc.scl_cloud("scl_clear")))
-query("m5_composite_qa", _composite_sql("(qa & 27) <> 0"))(lambda s, d: mosaic.composite(cells(s, d), B, fc.qa_cloud("qa")))
+_QA = ", flag as (select scene_id, r, c, ((qa & 27) <> 0)::int as m from cell), " + _sieve_sql("flag", "scene_id") + ", qcell as (select cell.*, sieved.m from cell join sieved on scene_id = item and sieved.r = cell.r and sieved.c = cell.c)"
+query("m5_composite_qa", _composite_sql("m = 1", _QA, "qcell"))(lambda s, d: mosaic.composite_qa(cells(s, d), B, "qa"))
+query("a11_residual_by_scene", _residual_sql(_SCL.format(scl="scl")))(lambda s, d: mosaic.residual_by_scene(cells(s, d), B, fc.scl_cloud("scl")).withColumn("share", F.round("share", 6)))
+
+
+def without_added_band(s, d):
+    """Composites of bands that leave the mask band to the method, which is read with them and taken out again."""
+    asked = mosaic.with_mask_band(B, "scl")
+    return mosaic.without_mask_band(mosaic.composite(cells(s, d), asked, fc.scl_cloud("scl")), B, "scl")
+
+
+query("u5_mask_band", _composite_sql(_SCL.format(scl="scl")))(without_added_band)
 _RANK = "list_value(" + ", ".join(str(mosaic.SCL_RANK.index(i)) for i in range(12)) + ")[scl + 1]"
 query("m6_composite_full", _cell + f", x as (select *, row_number() over (partition by tile_id, step_no, r, c order by {_RANK} + (1 - case when b08 + b04 = 0 then 1.0 else (b08 - b04)::double / (b08 + b04) end) / 100, idx) as k from cell) select tile_id, step_no, r, c, {BL} from x where k = 1")(
     lambda s, d: mosaic.composite_full(cells(s, d), B, mosaic.full_score("scl", "b04", "b08"))
 )
-query("g10_sieve", _cell + ", m as (select scene_id as item, r, c, (scl in (0,1,3,7,8,9,10))::int as m from cell), e as (select a.item, a.r, a.c, b.r as r2, b.c as c2 from m a join m b on a.item = b.item and a.m = b.m and abs(a.r - b.r) + abs(a.c - b.c) = 1), g as (select item, r, c, count(*) as n from e group by all), p as (select e.item, e.r, e.c from e join g using (item, r, c) join g h on h.item = e.item and h.r = e.r2 and h.c = e.c2 where g.n = 1 and h.n = 1) select m.item, m.r, m.c, case when g.n is null or p.item is not null then 1 - m.m else m.m end as m from m left join g using (item, r, c) left join p using (item, r, c)")(
+query("g10_sieve", _cell + ", flag as (select scene_id, r, c, (scl in (0,1,3,7,8,9,10))::int as m from cell), " + _sieve_sql("flag", "scene_id") + " select item, r, c, m from sieved")(
     lambda s, d: mosaic.sieve(cells(s, d).select(F.col("scene_id").alias("item"), "r", "c", fc.scl_cloud("scl").cast("int").alias("m")))
 )
 
 # Statistics
 query("a1_a3_value_counts", f"with {fx.LABEL} select item_id, value, count(*) as n from label group by grouping sets ((item_id, value), (value))")(lambda s, d: stats.value_counts(fx.labels(s, d)))
 query("a2_histogram", _scene + "select least(floor(cloud_cover / 10), 9)::int as bin, count(*) as n from scene where cloud_cover between 0 and 100 group by all")(lambda s, d: stats.histogram(fx.scenes(s, d), "cloud_cover"))
-query("a4_nodata_count", f"with {fx.LABEL} select item_id, count(*) filter (where value = 0) as nodata, count(*) filter (where value <> 0) as valid from label group by all")(lambda s, d: fx.labels(s, d).groupBy("item_id").agg(F.count_if(F.col("value") == 0).alias("nodata"), F.count_if(F.col("value") != 0).alias("valid")))
+query("a4_nodata_count", f"with {fx.LABEL} select item_id, count(*) filter (where value = 0) as nodata, count(*) filter (where value <> 0) as valid from label group by all")(lambda s, d: stats.nodata_counts(fx.labels(s, d), ["item_id"], "value", 0))
 query("a5_class_weights", f"with {fx.LABEL}, n as (select value, count(*) as n from label where value <> 0 group by all) select value, n, round(sum(n) over () / (count(*) over () * n), 6)::double as weight from n")(
     lambda s, d: stats.class_weights(fx.labels(s, d).groupBy("value").agg(F.count("*").alias("n")), 0).withColumn("weight", F.round("weight", 6))
 )
 query("a6_extent", _scene + "select min(xmin) as xmin, min(ymin) as ymin, max(xmax) as xmax, max(ymax) as ymax, min(sensing_time) as first, max(sensing_time) as last from scene")(lambda s, d: stats.extent(fx.scenes(s, d), "sensing_time"))
 query("a9_a10_per_image", _cell + "select tile_id, step_no, scene_id, sum((b0 = 0)::int + (b02 = 0)::int)::bigint as nodata, sum((scl in (0,1,3,7,8,9,10))::int)::bigint as clouds from cell group by all")(
-    lambda s, d: cells(s, d).groupBy("tile_id", "step_no", "scene_id").agg(F.sum((F.col("b0") == 0).cast("int") + (F.col("b02") == 0).cast("int")).alias("nodata"), F.sum(fc.scl_cloud("scl").cast("int")).alias("clouds"))
+    lambda s, d: stats.image_quality(cells(s, d), ["tile_id", "step_no", "scene_id"], ["b0", "b02"], fc.scl_cloud("scl"))
 )
 query("a12_temporal_stats", _cell + ", v as (select * from cell where b0 <> 0) select tile_id, step_no, r, c, round(avg(b02), 6) as mean, min(b02) as low, max(b02) as high, arg_min(idx, (b02, idx)) as at_low, arg_min(idx, (-b02, idx)) as at_high from v group by all union all select tile_id, step_no, r, c, null, null, null, null, null from cell group by all having count(*) filter (where b0 <> 0) = 0")(
     lambda s, d: stats.temporal_stats(cells(s, d), "b02", F.col("b0") == 0).withColumn("mean", F.round("mean", 6))
 )
 for _how, _sql in {"sum": "sum(v)", "count": "count(v)", "mean": "round(avg(v), 6)", "first": "arg_min(v, file_order)"}.items():
     query(f"a13_merge_{_how}", f"with {fx.RASTER} select r, c, {_sql} as v from raster where v <> 1 group by all")(lambda s, d, how=_how: stats.merge_rasters(fx.rasters(s, d), how, 1).withColumn("v", F.round("v", 6) if how == "mean" else F.col("v")))
-query("a18_pyramid", f"with {fx.RASTER}, m as (select r, c, sum(v) as v from raster where v <> 1 group by all) select f::int as factor, (r // f)::int as r, (c // f)::int as c, round(avg(v), 6) as v from m, (select unnest([2, 4, 8]) as f) group by all")(
-    lambda s, d: stats.pyramid(stats.merge_rasters(fx.rasters(s, d), "sum", 1), [2, 4, 8]).withColumn("v", F.round("v", 6))
+query("a18_pyramid", f"with {fx.RASTER}, m as (select r, c, sum(v) as v from raster where v <> 1 group by all) select f::int as factor, (r // f)::int as r, (c // f)::int as c, round(avg(v), 6) as v from m, (select unnest([2, 4, 8, 16, 32]) as f) group by all")(
+    lambda s, d: stats.pyramid(stats.merge_rasters(fx.rasters(s, d), "sum", 1), stats.overview_factors(50, 50)).withColumn("v", F.round("v", 6))
+)
+query("a18_pyramid_nearest", f"with {fx.RASTER}, m as (select r, c, count(v) as v from raster where v <> 1 group by all) select f::int as factor, (r // f)::int as r, (c // f)::int as c, v from m, (select unnest([2, 4, 8, 16, 32]) as f) where r = r // f * f and c = c // f * f")(
+    lambda s, d: stats.pyramid(stats.merge_rasters(fx.rasters(s, d), "count", 1), stats.overview_factors(50, 50), nearest=True)
 )
 query("j4_overlapping_pairs", f"with {fx.RECT} select a.id as a_id, b.id as b_id from rect a join rect b on a.id < b.id and a.xmin < b.xmax and b.xmin < a.xmax and a.ymin < b.ymax and b.ymin < a.ymax and not (a.xmin <= b.xmin and a.ymin <= b.ymin and a.xmax >= b.xmax and a.ymax >= b.ymax) and not (b.xmin <= a.xmin and b.ymin <= a.ymin and b.xmax >= a.xmax and b.ymax >= a.ymax)")(lambda s, d: stats.overlapping_pairs(fx.rectangles(s, d), 20))
 
 # Dates and incremental collection
-_MONTHS = "with recursive it as (select distinct o_custkey % 50 as item, date '1995-01-31' + ((o_custkey % 50) * 7)::int as start, date '1996-06-30' as fin from orders), st as (select item, fin, 0 as step_no, start as a, (start + interval 1 month)::date as b from it union all select item, fin, step_no + 1, (a + interval 1 month)::date, (b + interval 1 month)::date from st where b - 1 <= fin), step as (select item, step_no, a as step_start, b - 1 as step_end from st where b - 1 <= fin)"
+_MONTHS = "with recursive it as (select distinct o_custkey as item, date '1995-01-31' + ((o_custkey % 50) * 7)::int as start, date '1996-06-30' as fin from orders), st as (select item, fin, 0 as step_no, start as a, (start + interval 1 month)::date as b from it union all select item, fin, step_no + 1, (a + interval 1 month)::date, (b + interval 1 month)::date from st where b - 1 <= fin), step as (select item, step_no, a as step_start, b - 1 as step_end from st where b - 1 <= fin)"
 
 
 def monthly(spark, d):
-    o = fx.table(spark, d, "orders").select((F.col("o_custkey") % 50).alias("item")).distinct()
-    items = o.select("item", F.date_add(F.lit("1995-01-31").cast("date"), (F.col("item") * 7).cast("int")).alias("start"), F.lit("1996-06-30").cast("date").alias("end"))
+    o = fx.table(spark, d, "orders").select(F.col("o_custkey").alias("item")).distinct()
+    items = o.select("item", F.date_add(F.lit("1995-01-31").cast("date"), (F.col("item") % 50 * 7).cast("int")).alias("start"), F.lit("1996-06-30").cast("date").alias("end"))
     return dates.time_steps(items, "months", 1).drop("start", "end")
 
 
 def missing(spark, d):
-    have = fx.table(spark, d, "orders").where(F.col("o_orderkey") % 16 == 0).select((F.col("o_custkey") % 50).alias("item"), F.col("o_orderdate").cast("date").alias("date"))
+    have = fx.table(spark, d, "orders").select(F.col("o_custkey").alias("item"), F.col("o_orderdate").cast("date").alias("date"))
     return stats.missing_steps(monthly(spark, d), have)
 
 
-_MISSING = _MONTHS + ", miss as (select * from step s where not exists (select 1 from orders o where o.o_orderkey % 16 = 0 and o.o_custkey % 50 = s.item and o.o_orderdate::date between s.step_start and s.step_end))"
+_MISSING = _MONTHS + ", miss as (select * from step s where not exists (select 1 from orders o where o.o_custkey = s.item and o.o_orderdate::date between s.step_start and s.step_end))"
 query("x1_time_steps", _MONTHS + " select * from step")(monthly)
 query("j6_missing_steps", _MISSING + " select * from miss")(missing)
 query("w6_time_bubbles", _MISSING + ", k as (select *, step_no - row_number() over (partition by item order by step_no) as k from miss) select item, min(step_start) as start, max(step_end) as \"end\" from k group by item, k")(lambda s, d: stats.time_bubbles(missing(s, d)))
+query("x1_daily_steps", "with it as (select n_nationkey as item, date '1972-07-23' + n_nationkey::int as start, date '2026-01-01' as fin from nation), s as (select item, start, fin, unnest(range(0, datediff('day', start, fin) + 1)) as step_no from it) select item, step_no::int as step_no, start + step_no::int as step_start, start + step_no::int as step_end from s")(
+    lambda s, d: dates.time_steps(fx.table(s, d, "nation").select(F.col("n_nationkey").alias("item"), F.date_add(F.lit("1972-07-23").cast("date"), F.col("n_nationkey").cast("int")).alias("start"), F.lit("2026-01-01").cast("date").alias("end")), "days", 1).drop("start", "end")
+)
 query("x2_default_start", "select o_orderkey, coalesce(o_orderdate::date - 31, date '1972-07-23') as start from orders")(lambda s, d: fx.table(s, d, "orders").select("o_orderkey", dates.default_start(F.col("o_orderdate").cast("date")).alias("start")))
 
 # Links
@@ -159,7 +212,16 @@ def urls(spark, d):
 
 _URLS = "with u as (select o_orderkey, o_orderdate::date as t from orders)"
 query("x7_cog_to_jp2", _URLS + " select o_orderkey, 's3://sentinel-s2-l2a/tiles/29/S/ND/' || year(t) || '/' || month(t) || '/' || day(t) || '/0/R20m/B06.jp2' as url from u")(lambda s, d: urls(s, d).select("o_orderkey", links.cog_to_jp2(F.col("url")).alias("url")))
-query("x6_url_kind", _URLS + " select o_orderkey, true as cog, false as jp2 from u")(lambda s, d: urls(s, d).select("o_orderkey", links.is_cog_url(F.col("url")).alias("cog"), links.is_jp2_url(F.col("url")).alias("jp2")))
+
+
+
+def mixed_urls(s, d):
+    """COG links, JP2 links and links of neither store, by the key."""
+    u, k = F.col("url"), F.col("o_orderkey") % 3
+    return urls(s, d).withColumn("url", F.when(k == 1, links.cog_to_jp2(u)).when(k == 2, F.replace(u, F.lit("sentinel"), F.lit("other"))).otherwise(u))
+
+
+query("x6_url_kind", _URLS + " select o_orderkey, o_orderkey % 3 = 0 as cog, o_orderkey % 3 = 1 as jp2 from u")(lambda s, d: mixed_urls(s, d).select("o_orderkey", links.is_cog_url(F.col("url")).alias("cog"), links.is_jp2_url(F.col("url")).alias("jp2")))
 query("s14_s15_paths", _URLS + " select o_orderkey, 'zip' as scheme, 'a/b.zip' as archive, t as date, strftime(t, '%Y_%m_%d') as item from u")(
     lambda s, d: fx.table(s, d, "orders").select("o_orderkey", F.concat(F.lit("zip://a/b.zip!/"), F.date_format("o_orderdate", "yyyy_MM_dd"), F.lit(".tif")).alias("p"))
     .select("o_orderkey", links.parse_path(F.col("p"))["scheme"].alias("scheme"), links.parse_path(F.col("p"))["archive"].alias("archive"), dates.date_from_path(F.col("p")).alias("date"), links.item_id_from_path(F.col("p")).alias("item"))
@@ -170,9 +232,10 @@ _N = {
     "ndvi": ("b08-b04", "b08+b04"), "ndmi": ("b08-b11", "b08+b11"), "ndwi1": ("b03-b11", "b03+b11"), "ndwi2": ("b03-b08", "b03+b08"), "nhi": ("b11-b03", "b11+b03"),
     "nbr": ("b08-b12", "b08+b12"), "bai": ("b02-b08", "b08+b02"), "chlorogreen": ("b08", "b03+b05"),
 }
-query("x20_indices", _cell + "select scene_id, r, c, " + ", ".join(f"({a})::double / nullif({b}, 0) as {k}" for k, (a, b) in _N.items()) + ", (b08-b04)::double / (b08+b04+0.5::double) * 1.5::double as savi, (b08 - b03)::double as gdvi, round(2.5::double * (b08-b04) / nullif(b08 + 6*b04 - 7.5::double*b02, 0) + 1, 6) as evi, b08::bigint * 7 + b04 + b03 as infrared from cell")(
-    lambda s, d: cells(s, d).select("scene_id", "r", "c", *[lookups.spectral_index(k).alias(k) for k in (*_N, "savi", "gdvi")], F.round(lookups.spectral_index("evi"), 6).alias("evi"), lookups.spectral_index("infrared").alias("p"))
-    .withColumn("infrared", F.expr("cast(p.nir1 as bigint) * 7 + p.red + p.green")).drop("p")
+_PICTURES = {"infrared": ("b08", "b04", "b03"), "rgb": ("b04", "b03", "b02"), "swi": ("b12", "b08", "b04"), "agriculture": ("b11", "b08", "b02"), "geology": ("b12", "b11", "b02"), "bathymetric": ("b04", "b03", "b01")}
+query("x20_indices", _cell + "select scene_id, r, c, " + ", ".join(f"({a})::double / nullif({b}, 0) as {k}" for k, (a, b) in _N.items()) + ", (b08-b04)::double / (b08+b04+0.5::double) * 1.5::double as savi, (b08 - b03)::double as gdvi, round(2.5::double * (b08-b04) / nullif(b08 + 6*b04 - 7.5::double*b02, 0) + 1, 6) as evi, " + ", ".join(f"{a}::bigint * 49 + {b} * 7 + {c} as {k}" for k, (a, b, c) in _PICTURES.items()) + " from cell")(
+    lambda s, d: cells(s, d).select("scene_id", "r", "c", *[lookups.spectral_index(k).alias(k) for k in (*_N, "savi", "gdvi")], F.round(lookups.spectral_index("evi"), 6).alias("evi"), *[lookups.spectral_index(k).alias(k) for k in _PICTURES])
+    .withColumns({k: sum((F.col(f"{k}.{n}").cast("bigint") * 7 ** (2 - i) for i, n in enumerate(lookups.INDICES[k].split(","))), F.lit(0)).cast("bigint") for k in _PICTURES})
 )
 query("x21_x23_x24_clouds", _cell + "select scene_id, r, c, greatest(b02, b03, b04) > 10000 as landsat, scl in (0,1,3,7,8,9,10) as scl_cloud, (qa & 27) <> 0 as qa_cloud from cell")(lambda s, d: cells(s, d).select("scene_id", "r", "c", fc.landsat_cloud("b02", "b03", "b04").alias("landsat"), fc.scl_cloud("scl").alias("scl_cloud"), fc.qa_cloud("qa").alias("qa_cloud")))
 query("x26_multiclass", f"with {fx.LABEL} select item_id, position, case when y = 900 then 5 else floor(least(y / (2500.0 / 5), 5.0))::int end as k, case when y = 900 then 4 when y <= 1000 then 0 when y <= 1300 then 1 when y <= 1600 then 2 else 3 end as bin, case when value = 9 then 4 else value end as last from label")(
@@ -183,7 +246,12 @@ query("x18_x19_ranges", f"with {fx.LABEL} select item_id, position, trunc((least
     lambda s, d: fx.labels(s, d).select("item_id", "position", fc.clip_range(F.col("y"), 950.0, 1500.0).alias("clipped"), F.round(fc.normalize(F.col("y"), 1500.0), 6).alias("normal"))
 )
 query("x16_argmax", "select vec_id, list_position(e, list_max(e)) - 1 as class from (select vec_id, list_transform(embedding[1:10], lambda x: abs(x::double)) as e from embeddings)")(lambda s, d: fx.table(s, d, "embeddings").select("vec_id", fc.argmax(F.transform(F.slice("embedding", 1, 10), lambda x: F.abs(x.cast("double")))).alias("class")))
-query("x33_calculator", _cell + "select scene_id, r, c, b02 + b03 as add, b02::double / nullif(b03, 0) as divide, greatest(b02, b03) as maximum from cell")(lambda s, d: cells(s, d).select("scene_id", "r", "c", *[fc.calculate(k, F.col("b02"), F.col("b03")).alias(k) for k in ("add", "divide", "maximum")]))
+query("x33_calculator", _cell + "select scene_id, r, c, b02 + b03 as add, b02 - b03 as subtract, b02 * b03 as multiply, b02::double / nullif(b03, 0) as divide, least(b02, b03) as minimum, greatest(b02, b03) as maximum, (b02 + b03) / 2.0::double as mean, b02 + b03 as sum, (b03 > b02)::int as argmax, (b03 < b02)::int as argmin, abs(b02 - 5000) as abs, round(sqrt(b02), 6)::double as sqrt from cell")(
+    lambda s, d: cells(s, d).select(
+        "scene_id", "r", "c", *[fc.calculate(k, F.col("b02"), F.col("b03")).alias(k) for k in ("add", "subtract", "multiply", "divide", "minimum", "maximum", "mean", "sum", "argmax", "argmin")],
+        fc.calculate("abs", F.col("b02") - 5000).alias("abs"), F.round(fc.calculate("sqrt", F.col("b02")), 6).alias("sqrt"),
+    )
+)
 
 # Samples
 query("g8_upsample", _cell + ", f as (select i::int as i from range(2) t(i)) select scene_id, r * 2 + a.i as r, c * 2 + b.i as c, b02 from cell, f a, f b")(lambda s, d: samples.upsample(cells(s, d).select("scene_id", "r", "c", "b02"), 2))
@@ -310,6 +378,22 @@ query("m8_pixel_stack", _cell + f", x as (select *, row_number() over (partition
 )
 
 
+def holey(scenes):
+    """Cells of which every sixth scene has an empty band, so it must be passed over."""
+    return fx.cells(scenes).withColumn("b02", F.when(F.col("scene_id") % 6 == 0, 0).otherwise(F.col("b02")))
+
+
+query("m8_empty_scenes", _cell + ", x as (select *, row_number() over (partition by tile_id, step_no, r, c order by (b0 = 0), case when b0 = 0 then -idx else idx end) as k from cell where idx <= 4 and scene_id % 6 <> 0) select tile_id, step_no, r, c, b0, b02 from x where k = 1 qualify max(abs(b0)) over (partition by tile_id, step_no) > 0")(
+    lambda s, d: collect.pixel_stack(search.assign_steps(fx.scenes(s, d), steps(s)), holey, ["b0", "b02"], "latest_pixel", 4)
+)
+query("m8_all_mode", _cell + "select scene_id, tile_id, step_no, r, c, b0, b02 from cell where idx <= 4 and scene_id % 6 <> 0")(
+    lambda s, d: collect.pixel_stack(search.assign_steps(fx.scenes(s, d), steps(s)), holey, ["b0", "b02"], "all", 4)
+)
+query("m8_composite_qa", _composite_sql("m = 1", _QA, "(select * from qcell where idx <= 10)"))(
+    lambda s, d: collect.pixel_stack(search.assign_steps(fx.scenes(s, d), steps(s)), fx.cells, B, "composite_qa", 10, qa="qa")
+)
+
+
 def _collected(s, d):
     """Steps of all tiles but those that have an image: every third event of even tiles is one."""
     tiles = fx.scenes(s, d).select(F.col("tile_id").alias("item")).distinct()
@@ -433,7 +517,12 @@ query("k5_least_cloudy", _first.format(i="idx").replace("select tile_id, step_no
     lambda s, d: samples.least_by(mosaic.first_valid(cells(s, d), B).groupBy("tile_id", "step_no").agg(F.count_if(F.greatest("b02", "b04", "b08") > 9000).alias("n")), "n", 2)
 )
 query("k6_shuffle")(lambda s, d: samples.shuffle(fx.labels(s, d).select("item_id", "position"), "position", 3))
-query("a20_catalog_length", f"with {fx.LABEL} select item_id, count(*) as n from label group by all")(lambda s, d: fx.labels(s, d).groupBy("item_id").agg(F.count("*").alias("n")))
+query("a20_catalog_length", "with l as (select o_custkey as catalog_id, case when o_orderkey % 3 = 0 then 'child' when o_orderkey % 3 = 1 then 'item' else 'self' end as rel from orders) select c_custkey as catalog_id, c_custkey % 2 = 0 as is_collection, (select count(*) from l where l.catalog_id = c_custkey and rel = case when c_custkey % 2 = 0 then 'child' else 'item' end) as n from customer")(
+    lambda s, d: stats.catalog_length(
+        fx.table(s, d, "customer").select(F.col("c_custkey").alias("catalog_id"), (F.col("c_custkey") % 2 == 0).alias("is_collection")),
+        fx.table(s, d, "orders").select(F.col("o_custkey").alias("catalog_id"), F.element_at(F.array(F.lit("child"), F.lit("item"), F.lit("self")), (F.col("o_orderkey") % 3 + 1).cast("int")).alias("rel")),
+    )
+)
 query("a21_merge_index", "select o_custkey as item, coalesce(max(case when o_orderkey % 2 = 1 then o_orderkey end), max(o_orderkey)) as path from orders group by all")(
     lambda s, d: stats.merge_index(*[fx.table(s, d, "orders").where(F.col("o_orderkey") % 2 == k).groupBy(F.col("o_custkey").alias("item")).agg(F.max("o_orderkey").alias("path")) for k in (0, 1)])
 )
@@ -443,6 +532,43 @@ query("p5_samples_scalar", _images + "select item, t, r, c, b02, (item % 4)::int
 query("p6_training_set", _images + f", f as (select item, r, c, {_label} as label, round(sum(least(greatest(b02, 0), 5000) / 5000.0::double), 6) as total, count(*)::int as n from image group by all) select * from f where label <> 3 and total > 0")(
     lambda s, d: training.training_set(images(s, d), image_labels(s, d), ["b02"], 5000.0, 0, 3).select("item", "r", "c", "label", vector_to_array("features").alias("v")).select("item", "r", "c", "label", F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), 6).alias("total"), F.size("v").alias("n"))
 )
+
+
+def _tensor_labels(s, d):
+    """Labels of the images' cells, twice as many along each side as the upsampled features have not padded."""
+    two = F.explode(F.array(F.lit(0), F.lit(1)))
+    y = image_labels(s, d).withColumn("_i", two).withColumn("_j", two)
+    return y.select("item", (F.col("r") * 2 + F.col("_i")).alias("r"), (F.col("c") * 2 + F.col("_j")).alias("c"), "label")
+
+
+query(
+    "p6_image_tensors",
+    _images + ", q as (select item, t, count(*) filter (where b0 = 0) + count(*) filter (where b02 = 0) as n from image group by all), k as (select * from q qualify row_number() over (partition by item order by n, t) <= 3), u as (select item, t, row_number() over (partition by item order by t) - 1 as tt from k),"
+    " s as (select image.item, tt as t, r, c, b0, b02 from image join u on u.item = image.item and u.t = image.t where r < 3 and c < 3), g as (select item, t::int as t, i::int as i, j::int as j from (select distinct item from s), range(3) a(t), range(-1, 7) b(i), range(-1, 7) c(j)),"
+    " f as (select g.item, g.t, i + 1 as y, j + 1 as x, coalesce(b0, 0) as b0, coalesce(b02, 0) as b02 from g left join s on s.item = g.item and s.t = g.t and s.r = least(greatest(i, 0), 5) // 2 and s.c = least(greatest(j, 0), 5) // 2)"
+    " select item, t, case when k in (1, 2) then 7 - y else y end as r, case when k in (1, 3) then 7 - x else x end as c, k as aug_id, least(b0 * m, 5000) / 5000.0::double as b0, least(b02 * m, 5000) / 5000.0::double as b02 from f, (select unnest([0, 1, 2, 3, 5]) as k, unnest([1, 1, 1, 1, 10]) as m)",
+)(lambda s, d: training.image_tensors(images(s, d), ["b0", "b02"], 3, 3, 3, 0, 2, 1, (1, 2, 3, 5), 5000.0).select("item", "t", "r", "c", "aug_id", "b0", "b02"))
+query(
+    "p6_label_tensors",
+    _images + f", l as (select distinct item, r * 2 + i as r, c * 2 + j as c, {_label} as label from image, range(2) a(i), range(2) b(j)), n as (select label, count(*) as n from l where label <> 0 group by all), w as (select label, (sum(n) over () / (count(*) over () * n))::double as w from n), v as (select label, w / sum(w) over () as weight from w),"
+    " g0 as (select item, y::int as y, x::int as x from (select distinct item from l), range(6) a(y), range(6) b(x)), g as (select g0.*, coalesce(label, 0) as label from g0 left join l on l.item = g0.item and l.r = y and l.c = x)"
+    " select item, case when k in (1, 2) then 5 - y else y end as r, case when k in (1, 3) then 5 - x else x end as c, k as aug_id, g.label, (g.label = 2)::int as hot_2, round(coalesce(weight, 0), 6)::double as weight from g left join v using (label), (select unnest([0, 1, 2, 3, 5]) as k)",
+)(
+    lambda s, d: training.label_tensors(_tensor_labels(s, d), 6, 6, (1, 2, 3, 5), 4, True, stats.class_weights(_tensor_labels(s, d).groupBy(F.col("label").alias("value")).agg(F.count("*").alias("n")), 0).select("value", "weight"))
+    .select("item", "r", "c", "aug_id", "label", F.col("hot")[2].alias("hot_2"), F.round("weight", 6).alias("weight"))
+)
+query("p6_item_batches", _images + ", i as (select count(distinct item) as n from image), b as (select unnest(range(ceil(n / 7)::int)) as batch, n, ceil(n / 7)::int as m from i) select batch::bigint as batch, n // m + (batch < n % m)::int as n from b")(lambda s, d: training.item_batches(images(s, d), 7, 1).groupBy("batch").agg(F.count("*").alias("n")))
+query("p7_valid_samples", _images + ", k as (select item, count(distinct t) as n from image group by all) select item from k where n = 4")(
+    lambda s, d: training.valid_samples(training.samples_3d(images(s, d).where("t < 3 or item % 2 = 0"), ["b0"], 4).where(F.forall("images", lambda m: F.size(m) == 4)).select("item", F.filter("images", lambda m: F.exists(F.flatten(F.flatten(m)), lambda v: v.isNotNull())).alias("images")), 4, 4, 4).select("item")
+)
+query("p8_cap_rows", f"with {fx.LABEL} select count(*) as n from label")(lambda s, d: training.cap_rows(fx.labels(s, d)).agg(F.count("*").alias("n")))
+query("f15_assert_square", _mask + "select item, 2.5::double as scale_x, -2.5::double as scale_y from area")(lambda s, d: rasters.assert_square(grids(s, d, 2.5).select("item", F.col("scale").alias("scale_x"), (-F.col("scale")).alias("scale_y"))))
+query("g7_target_scale", _mask + "select item, case when value = 0 then 5 else 20 end::double as scale from area")(
+    lambda s, d: fx.areas(s, d).select("item", grid.target_scale(F.when(F.col("value") == 0, 5.0), F.lit(3857), F.lit(3857), F.lit(-20.0)).alias("scale"))
+)
+query("j5_index_bands", _scene + "select scene_id, case when platform like 'sentinel%' then 'B08,B04' when platform = 'LANDSAT_8' then 'B5,B4' when platform = 'LANDSAT_7' then 'B4,B3' end as bands from scene")(
+    lambda s, d: fx.scenes(s, d).select("scene_id", F.when(F.col("platform").like("sentinel%"), ",".join(lookups.index_bands("ndvi", "SENTINEL_2").values())).when(F.col("platform") == "LANDSAT_8", ",".join(lookups.index_bands("ndvi", "LANDSAT_8").values())).when(F.col("platform") == "LANDSAT_7", ",".join(lookups.index_bands("ndvi", "LANDSAT_7").values())).alias("bands"))
+)
 query("p9_fit_weights", f"with {fx.LABEL}, n as (select value, count(*) as n from label where value <> 0 group by all) select value, round(sum(n) over () / (count(*) over () * n), 6)::double as weight from n")(
     lambda s, d: training.fit_weights(fx.labels(s, d).groupBy("value").agg(F.count("*").alias("n")), 0).withColumn("weight", F.round("weight", 6))
 )

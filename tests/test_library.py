@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from eocube.functions import cells as fc
 from eocube.functions import dates, links, lookups
-from eocube.operators import mosaic, samples, stats, training
+from eocube.operators import collect, mosaic, samples, search, stats, training
 from eocube.plans import queries
+from eocube.sources import scenes
 
 DAY = dt.date
 
@@ -20,6 +21,50 @@ def test_time_steps(spark):
     assert [r.step_start for r in drift] == [DAY(2021, 1, 31), DAY(2021, 2, 28), DAY(2021, 3, 28)]
 
 
+def test_time_steps_of_a_long_range(spark):
+    got = dates.time_steps(spark.sql("select date'1972-07-23' as start, date'2026-01-01' as `end`"), "days", 1)
+    assert got.count() == 19521 and got.agg(F.max("step_end")).first()[0] == DAY(2026, 1, 1)
+    assert dates.time_steps(spark.sql("select date'2021-02-01' as start, date'2021-01-01' as `end`"), "weeks", 1).count() == 0
+
+
+def _catalogue(spark):
+    rows = [(i, f"S{i // 2}", c, p, dt.datetime(2024, 1, 1 + i), cc, 0.0, 0.0, 1.0, 1.0) for i, (c, p, cc) in enumerate([
+        ("sentinel-s2-l2a", "sentinel-2a", 5.0), ("sentinel-s2-l2a-cogs", "sentinel-2a", 5.0), ("sentinel-s2-l1c", "sentinel-2b", 9.0), ("sentinel-s2-l1c", "sentinel-2b", None),
+        ("landsat-c2l2-sr", "LANDSAT_8", 30.0), ("landsat-c2l2-sr", "LANDSAT_5", 2.0), ("landsat-c2l2-sr", None, 2.0),
+    ])]
+    return spark.createDataFrame(rows, "scene_id long, id string, collection_id string, platform string, sensing_time timestamp, cloud_cover double, xmin double, ymin double, xmax double, ymax double")
+
+
+def test_searches(spark):
+    ids = lambda *a, **k: [r.scene_id for r in search.search(_catalogue(spark), *a, **k).collect()]
+    assert ids("SENTINEL_2", "L2A") == [1] and ids("SENTINEL_2", "L1C") == [3, 2] and ids("SENTINEL_2", sort="cloud_cover") == [2, 3]
+    assert ids(["LANDSAT_8", "LANDSAT_5"], sort="cloud_cover") == [5, 4] and ids("LANDSAT_8", most_cloud=20) == [] and ids(["LANDSAT_8", "SENTINEL_2"], "L2A", limit=1) == [4]
+    for bad in (lambda: ids("SPOT_5"), lambda: ids("SENTINEL_2", sort="id"), lambda: ids([])):
+        with pytest.raises(ValueError):
+            bad()
+
+
+def test_read_scenes(spark, tmp_path):
+    spark.createDataFrame([("a", "c", dt.datetime(2024, 1, 1), '{"platform": "sentinel-2a", "eo:cloud_cover": 3.5, "proj:epsg": 32633}'), ("b", "c", None, "no json"), ("d", "c", None, None)], "id string, collection_id string, datetime timestamp, properties string").write.parquet(str(tmp_path / "s"))
+    got = {r.id: r for r in scenes.read_scenes(spark, str(tmp_path / "s")).collect()}
+    assert (got["a"].platform, got["a"].cloud_cover, got["a"].epsg) == ("sentinel-2a", 3.5, 32633) and got["b"].platform is None and got["d"].epsg is None
+
+
+def test_stack_passes_over_empty_scenes(spark):
+    t = dt.datetime(2024, 1, 5)
+    matched = spark.createDataFrame([(1, 0, i, t - dt.timedelta(days=i), float(i)) for i in range(3)], "tile_id long, step_no int, scene_id long, sensing_time timestamp, cloud_cover double")
+    values = spark.createDataFrame([(0, 0, 7, 0), (0, 1, 8, 0), (1, 0, 0, 3), (1, 1, 2, 4), (2, 0, 5, 6), (2, 1, 0, 6)], "scene_id long, c int, b0 int, b1 int").withColumn("r", F.lit(0))
+    of = lambda s: s.join(values, "scene_id")  # noqa: E731  scene 0 has an empty band
+    got = {(x.r, x.c): (x.b0, x.b1) for x in collect.pixel_stack(matched, of, ["b0", "b1"]).collect()}
+    assert got == {(0, 0): (5, 6), (0, 1): (2, 4)}
+    assert {(x.scene_id, x.c, x.b0) for x in collect.pixel_stack(matched, of, ["b0", "b1"], "all").collect()} == {(1, 0, 0), (1, 1, 2), (2, 0, 5), (2, 1, 0)}
+
+
+def test_sieve_leaves_tiny_masks(spark):
+    df = spark.createDataFrame([(1, 0, 0, 1), (1, 0, 1, 0), (1, 0, 2, 1)], "item int, r int, c int, m int")
+    assert sorted((x.c, x.m) for x in mosaic.sieve(df).collect()) == [(0, 1), (1, 0), (2, 1)]
+
+
 def test_default_start(spark):
     assert spark.sql("select date'2022-01-31' as d").select(dates.default_start(F.col("d"))).first()[0] == DAY(2021, 12, 31)
     assert spark.sql("select cast(null as date) as d").select(dates.default_start(F.col("d"))).first()[0] == DAY(1972, 7, 23)
@@ -67,6 +112,27 @@ def test_mosaics_equal_the_loops(spark, seed):
     assert {(x.r, x.c): (x.b0, x.b1) for x in mosaic.composite(df, ["b0", "b1"], F.col("cloud")).collect()} == pick
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_sieve_equals_the_flood_fill(spark, seed):
+    rnd = random.Random(seed)
+    m = {(r, c): int(rnd.random() < 0.5) for r in range(12) for c in range(9)}
+    want, seen = dict(m), set()
+    for start in m:
+        if start not in seen:
+            group, todo = {start}, [start]
+            while todo:
+                r, c = todo.pop()
+                for x in ((r + 1, c), (r - 1, c), (r, c + 1), (r, c - 1)):
+                    if x not in group and m.get(x) == m[start]:
+                        group.add(x)
+                        todo.append(x)
+            seen |= group
+            if len(group) < 3:
+                want.update({x: 1 - m[x] for x in group})
+    df = spark.createDataFrame([(1, r, c, x) for (r, c), x in m.items()], "item int, r int, c int, m int")
+    assert {(x.r, x.c): x.m for x in mosaic.sieve(df).collect()} == want
+
+
 def test_sieve(spark):
     grid = ["1100", "0000", "0111", "0001"]
     df = spark.createDataFrame([(1, r, c, int(x)) for r, row in enumerate(grid) for c, x in enumerate(row)], "item int, r int, c int, m int")
