@@ -7,8 +7,10 @@ rows that repeat both get the same result.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, and a local one only where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a temporary folder if all
+    run on this machine, else an error: executors elsewhere would not see it."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="eocube-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)
@@ -43,7 +48,35 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/eocube-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Deletes a table that written() made, once another written table has replaced it."""
+    sc = df.sparkSession.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(df.written_to)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], key: str, most: int = 32_000_000) -> Iterator[pa.Table]:
+    """Tables of about `most` bytes out of a partition sorted by `key`, none of which cuts the rows of one key apart."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        if size >= most:
+            last, values = held[-1].column(key)[-1].as_py(), b.column(key).to_numpy(zero_copy_only=False)
+            end = int(np.searchsorted(values, last, side="right"))
+            if end < b.num_rows:
+                yield pa.Table.from_batches([*held, b.slice(0, end)])
+                held, size, b = [], 0, b.slice(end)
+        held.append(b)
+        size += b.nbytes
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def partitions(spark: SparkSession) -> int:

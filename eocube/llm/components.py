@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eocube.llm.common import cut
+from eocube.llm.common import forget, written
+
 
 #: Over how many tasks the links of one node are spread at most.
 SPREAD = 64
@@ -25,18 +26,20 @@ def connected(links: DataFrame, spread: int = SPREAD) -> DataFrame:
     """(node, root) for every node of links(u, v), root being the smallest node reachable.
 
     Alternates the published large-star and small-star steps until a round changes nothing. The links of a hub are
-    salted, so they are never gathered in one row or one task. Every round ends in a reliable checkpoint.
-    No links: no rows. Null ends and loops are ignored.
+    salted, so they are never gathered in one row or one task. Every round is written to the shared folder, and the one
+    before it deleted. No links: no rows. Null ends and loops are ignored.
     """
-    e = cut(
+    e = written(
         links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u is not null and v is not null and u <> v").distinct()
     )
     before = None
     while True:
         both = _with_least(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))), spread)
-        large = both.where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        large = both.where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
         small = _with_least(large, spread).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("x"))
-        e = cut(small.select("x.u", "x.v").where("u <> v").distinct())
+        after = written(small.select("x.u", "x.v").where("u <> v").distinct())
+        forget(e)
+        e = after
         state = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if state == before:
             break

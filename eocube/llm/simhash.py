@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from eocube.llm.common import byte_texts, cut, fresh, keyed, mixed
+from eocube.llm.common import byte_texts, forget, fresh, keyed, mixed, whole_runs, written
 from eocube.llm.components import connected
 
 SEED = 42
@@ -30,6 +30,8 @@ SEED = 42
 SHARD = 20_000
 #: Texts of up to so many shingles are compared whatever their fingerprints, and min-hashes of a run that all agree.
 SHORT, RUN = 20, 4
+#: Bytes of text in one piece of a group, and how many of a large group's texts go to all its pieces.
+PIECE_BYTES, HUBS = 32_000_000, 16
 
 
 def shingle_hashes(words: list[bytes], k: int) -> np.ndarray:
@@ -79,68 +81,110 @@ class Forest:
         order = np.argsort(key, kind="stable")
         self.child, self.key = child[order], key[order]
 
-    def pairs(self, radius: int, most: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of items of one shard within the radius, each pair once, in runs of queries of bounded work."""
+    def pairs(self, radius: int, most: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Pairs of items of one shard within the radius and their distances, each pair once, in runs of queries of
+        bounded work."""
         ask = np.flatnonzero(self.size[self.tree] > 1)
         ask = ask[np.argsort(self.tree[ask], kind="stable")]
         work = np.cumsum(self.size[self.tree[ask]])
         for some in np.split(ask, np.searchsorted(work, np.arange(most, work[-1], most))) if len(ask) else []:
-            q, node, a, b = some, self.root[self.tree[some]], [], []
+            q, node, a, b, far = some, self.root[self.tree[some]], [], [], []
             while len(q):
                 d = np.bitwise_count(self.fp[q] ^ self.fp[node]).astype(np.int64)
                 hit = (d <= radius) & (q < node)
                 a.append(q[hit])
                 b.append(node[hit])
+                far.append(d[hit])
                 lo = np.searchsorted(self.key, node * 65 + np.maximum(d - radius, 0))
                 n = np.searchsorted(self.key, node * 65 + np.minimum(d + radius, 64), side="right") - lo
                 q = np.repeat(q, n)
                 node = self.child[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(len(q))]
-            yield np.concatenate(a), np.concatenate(b)
+            yield np.concatenate(a), np.concatenate(b), np.concatenate(far)
 
 
-def forest_links(forest: Forest, radius: int, same=None, classes: np.ndarray | None = None, alike: Iterable[np.ndarray] = ()) -> list[tuple[int, int]]:
-    """Links that join what is within the radius (and `same`, where given), one for each union, not all pairs. Items
-    of one class, where classes are given, are joined from the start: their links are known, in whatever shard. Two
-    items of one array of `alike` are joined if they are the `same`, also outside the radius."""
-    root, links = np.arange(len(forest.fp)), []
-    if classes is not None:
-        _, first, class_of = np.unique(classes, return_index=True, return_inverse=True)
-        root = first[class_of]
+class Union:
+    """Disjoint sets of items, each named by its first one; arrays of pairs are joined at once or tested one by one."""
+
+    def __init__(self, root: np.ndarray):
+        self.root = root
+
+    def flat(self) -> np.ndarray:
+        while not np.array_equal(up := self.root[self.root], self.root):
+            self.root[:] = up
+        return self.root
 
-    def find(x: int) -> int:
+    def find(self, x: int) -> int:
+        root = self.root
         while root[x] != x:
             root[x] = root[root[x]]
             x = int(root[x])
         return x
 
-    for a, b in forest.pairs(radius):
-        while not np.array_equal(up := root[root], root):
-            root[:] = up
-        apart = root[a] != root[b]
-        a, b = a[apart], b[apart]
-        if same is None and len(a):
-            _, one = np.unique(np.stack([root[a], root[b]]), axis=1, return_index=True)
-            a, b = a[one], b[one]
-        for x, y in zip(a.tolist(), b.tolist(), strict=True):
-            r, s = find(x), find(y)
-            if r != s and (same is None or same(x, y)):
-                root[max(r, s)] = min(r, s)
-                links.append((x, y))
+    def join(self, a: np.ndarray, b: np.ndarray, same=None, at_once: int = 1 << 13) -> None:
+        """Joins the items of each pair that are the `same`, or all where that is not given. same(a, b) takes arrays and
+        returns those that may be, and a test of single pairs."""
+        for i in range(0, len(a), at_once):
+            root = self.flat()
+            x, y = a[i : i + at_once], b[i : i + at_once]
+            apart = root[x] != root[y]
+            x, y = x[apart], y[apart]
+            if same is None and len(x):
+                _, one = np.unique(np.stack([root[x], root[y]]), axis=1, return_index=True)
+                x, y = x[one], y[one]
+            elif len(x):
+                likely = same.likely(x, y)
+                x, y = x[likely], y[likely]
+            for p, q in zip(x.tolist(), y.tolist(), strict=True):
+                r, s = self.find(p), self.find(q)
+                if r != s and (same is None or same(p, q)):
+                    self.root[max(r, s)] = min(r, s)
+
+
+class SameSets:
+    """Whether two sets of hashes have a Jaccard similarity of `similarity` or more. `likely` sorts pairs out by an upper
+    bound from bit sets of 1,024 buckets: what is in a bucket that the other lacks is not in common."""
+
+    def __init__(self, sets: list[np.ndarray], similarity: float):
+        self.sets, self.similarity = sets, similarity
+        self.n = np.array([len(x) for x in sets], dtype=np.int64)
+        bits = np.zeros((len(sets), 1024), dtype=bool)
+        bits[np.repeat(np.arange(len(sets)), self.n), (np.concatenate([*sets, np.zeros(0, np.uint64)]) >> np.uint64(54)).astype(np.int64)] = True
+        self.spare = self.n - bits.sum(axis=1)
+        self.bits = np.packbits(bits, axis=1).view(np.uint64)
+
+    def likely(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        most = np.bitwise_count(self.bits[a] & self.bits[b]).sum(axis=1, dtype=np.int64) + np.minimum(self.spare[a], self.spare[b])
+        most = np.minimum(most, np.minimum(self.n[a], self.n[b]))
+        return most >= self.similarity * (self.n[a] + self.n[b] - most) - 1e-9
+
+    def __call__(self, x: int, y: int) -> bool:
+        a, b = self.sets[x], self.sets[y]
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        return both >= self.similarity * (len(a) + len(b) - both) - 1e-9
+
+
+def forest_links(forest: Forest, radius: int, same: SameSets | None = None, classes: np.ndarray | None = None, alike: Iterable[np.ndarray] = ()) -> np.ndarray:
+    """Links (first item, item) of the sets that pairs within the radius (and the `same`, where given) form. Items of one
+    class, where classes are given, are joined from the start: their links are known, in whatever shard, and a class
+    gets one link. Two items of one array of `alike` are joined if they are the `same`, also outside the radius."""
+    start = np.arange(len(forest.fp))
+    if classes is not None:
+        _, first, class_of = np.unique(classes, return_index=True, return_inverse=True)
+        start = first[class_of]
+    union = Union(start.copy())
+    for a, b, d in forest.pairs(radius):
+        order = np.argsort(d, kind="stable")  # nearest first, so most of the others are in one set by then
+        union.join(a[order], b[order], same)
     for some in alike:
         for i, x in enumerate(some[:-1].tolist()):
-            rest = some[i + 1 :]
-            up = root[rest]
-            while not np.array_equal(above := root[up], up):
-                up = above
-            if (up == find(x)).all():
+            if (union.flat()[some[i:]] == union.root[x]).all():
                 continue
-            far = np.bitwise_count(forest.fp[rest] ^ forest.fp[x]) > radius
-            for y in rest[far & (up != find(x))].tolist():
-                r, s = find(x), find(y)
-                if r != s and same(x, y):
-                    root[max(r, s)] = min(r, s)
-                    links.append((x, y))
-    return links
+            rest = some[i + 1 :]
+            rest = rest[np.bitwise_count(forest.fp[rest] ^ forest.fp[x]) > radius]
+            union.join(np.full(len(rest), x), rest, same)
+    root = union.flat()
+    item = np.flatnonzero((root != start) & (start == np.arange(len(start))))
+    return np.stack([root[item], item], axis=1)
 
 
 def in_cells(rows: DataFrame, key: str, spread: str, most: int) -> DataFrame:
@@ -156,39 +200,37 @@ def _piece(pieces: str, by: str) -> Column:
     return F.pmod(F.xxhash64(F.lit(7), by), F.col(pieces)).cast("int")
 
 
-def links_in_groups(rows: DataFrame, search, most: int) -> DataFrame:
-    """links(u, v) that connect the rows(root, node, ...) of each group as `search` finds them, root being the group's
-    smallest node. search takes rows with a class and an array of cells, and finds links within cells between classes.
+def joined_groups(rows: DataFrame, search, most: int, most_bytes: int = PIECE_BYTES, hubs: int = HUBS) -> DataFrame:
+    """(node, root) of what `search` joins within the groups rows(root, node, size, ...). search takes rows with a class
+    and an array of cells, and finds links within cells between classes.
 
-    Groups are first cut into pieces of about `most` rows, and each piece also gets the root's row. In a large group
-    of copies nearly all are then in the root's class, and only the rest must still meet every piece: no row of the
-    root's class is sent to another piece for its own sake, so pairs within it are not searched again.
+    Groups are first cut into pieces of about `most` rows and `most_bytes`, and each piece also gets about `hubs` rows
+    of the group that are the same for all. In a large group of copies nearly all are then in one class, and only the
+    rest must still meet every piece: pairs within the class are not searched again.
     """
-    counts = rows.groupBy("root").count().where(F.col("count") > most).select(F.col("root").alias("_r"), F.ceil(F.col("count") / most).cast("int").alias("_n"))
-    cutting = cut(rows.join(counts, F.col("root") == F.col("_r"), "left").drop("_r").withColumn("_n", F.coalesce("_n", F.lit(1))))
-    own = F.when(F.col("node") == F.col("root"), F.sequence(F.lit(0), F.col("_n") - 1)).otherwise(F.array(_piece("_n", "node")))
+    per = rows.groupBy(F.col("root").alias("_r")).agg(F.count("*").alias("_c"), F.greatest(F.ceil(F.count("*") / most), F.ceil(F.sum("size") / most_bytes)).cast("int").alias("_n")).where("_n > 1")
+    cutting = written(rows.join(per, F.col("root") == F.col("_r"), "left").drop("_r").withColumn("_n", F.coalesce("_n", F.lit(1))))
+    hub = (F.col("_n") > 1) & (F.pmod(F.xxhash64(F.lit(3), "node"), F.col("_c")) < hubs)
+    own = F.when(hub, F.sequence(F.lit(0), F.col("_n") - 1)).otherwise(F.array(_piece("_n", "node")))
     first = cutting.withColumn("cells", F.transform(own, lambda j: F.xxhash64("root", j))).withColumn("class", F.col("node"))
-    links = cut(search(first.drop("_n")))
+    classes = connected(search(first.drop("_n", "_c")))
     large = cutting.where("_n > 1")
     if large.isEmpty():
-        return links
-
-    classes = connected(links).select(F.col("node").alias("_c"), F.col("root").alias("class"))
-    large = cut(large.join(classes, F.col("node") == F.col("_c"), "left").drop("_c").withColumn("class", F.coalesce("class", "node")))
-    apart = large.where(F.col("class") != F.col("root")).groupBy(F.col("root").alias("_r")).agg(F.ceil(F.count("*") / most).cast("int").alias("_m"))
+        forget(cutting)
+        return classes
+
+    named = classes.select(F.col("node").alias("_node"), F.col("root").alias("class"))
+    large = written(large.join(named, F.col("node") == F.col("_node"), "left").drop("_node", "_c").withColumn("class", F.coalesce("class", "node")))
+    forget(cutting)
+    main = large.groupBy("root", "class").count().groupBy(F.col("root").alias("_r")).agg(F.max_by("class", F.struct("count", "class")).alias("_main"))
+    large = large.join(main, F.col("root") == F.col("_r")).drop("_r").withColumn("_apart", F.col("class") != F.col("_main"))
+    apart = large.where("_apart").groupBy(F.col("root").alias("_r")).agg(F.greatest(F.ceil(F.count("*") / most), F.ceil(F.sum("size") / most_bytes)).cast("int").alias("_m"))
     cells = lambda i, j: F.xxhash64("root", i, j)  # noqa: E731  the i-th piece of the rest with the j-th of all
     asked = F.transform(F.sequence(F.lit(0), F.col("_m") - 1), lambda i: cells(i, _piece("_n", "node")))
-    asking = F.when(F.col("class") != F.col("root"), F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda j: cells(_piece("_m", "node"), j))).otherwise(F.array().cast("array<bigint>"))
+    asking = F.when(F.col("_apart"), F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda j: cells(_piece("_m", "node"), j))).otherwise(F.array().cast("array<bigint>"))
     again = large.join(apart, F.col("root") == F.col("_r")).withColumn("cells", F.array_union(asked, asking))
-    return links.unionByName(search(again.drop("_r", "_n", "_m")))
-
-
-def _gathered(batches, names):
-    got = list(batches)
-    if not got:
-        return None
-    t = pa.Table.from_batches(got)
-    return [t.column(x).combine_chunks() if t.num_rows else t.column(x) for x in names] if t.num_rows else None
+    links = search(again.drop("_r", "_n", "_m", "_main", "_apart"))
+    return connected(classes.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links))
 
 
 def _numbers(column, kind=np.int64) -> np.ndarray:
@@ -196,6 +238,10 @@ def _numbers(column, kind=np.int64) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).astype(np.int64).view(kind)
 
 
+def _links(node: np.ndarray, links: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(node[links[:, 0]]), pa.array(node[links[:, 1]])], ["u", "v"])
+
+
 def finer(rows: DataFrame, key: str, keys: Column, most: int) -> DataFrame:
     """Rows of a key with over `most` rows go to each of the finer `keys` within it instead."""
     hot = rows.groupBy(key).count().where(F.col("count") > most).select(F.col(key).alias("_hot"))
@@ -208,24 +254,18 @@ def links_within(nodes: DataFrame, shards: Column, radius: int, most: int = SHAR
     nodes, one of the `second` keys where those are given."""
 
     def search(batches):
-        got = _gathered(batches, ["cell", "fp", "node"])
-        if got is None:
-            return
-        cell, fp, node = _numbers(got[0]), _numbers(got[1], np.uint64), _numbers(got[2])
-        alone = np.unique(cell, return_inverse=True, return_counts=True)
-        meet = alone[2][alone[1]] > 1
-        cell, fp, node = cell[meet], fp[meet], node[meet]
-        if not len(cell):
-            return
-        order = np.lexsort((node, cell))
-        node = node[order]
-        links = np.array(forest_links(Forest(cell[order], fp[order]), radius), dtype=np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(node[links[:, 0]]), pa.array(node[links[:, 1]])], ["u", "v"])
+        for t in whole_runs(batches, "cell"):
+            cell, fp, node = _numbers(t.column("cell")), _numbers(t.column("fp"), np.uint64), _numbers(t.column("node"))
+            _, where, n = np.unique(cell, return_inverse=True, return_counts=True)
+            meet = n[where] > 1
+            cell, fp, node = cell[meet], fp[meet], node[meet]
+            order = np.lexsort((node, cell))
+            yield _links(node[order], forest_links(Forest(cell[order], fp[order]), radius))
 
     rows = nodes.where("node is not null").select("node", "fp", F.explode(F.array_distinct(shards)).alias("shard"))
     if second is not None:
         rows = finer(rows, "shard", second, most)
-    return in_cells(rows, "shard", "node", most).select("cell", "fp", "node").repartition("cell").mapInArrow(search, "u long, v long").distinct()
+    return in_cells(rows, "shard", "node", most).select("cell", "fp", "node").repartition("cell").sortWithinPartitions("cell").mapInArrow(search, "u long, v long")
 
 
 def block_shards(radius: int) -> Column:
@@ -261,7 +301,7 @@ def fingerprint_components(docs: DataFrame, words: int = 3, radius: int = 3) ->
     gets the component of its fingerprint and is no end of it; repeated rows are returned repeatedly. An empty table
     gives no rows. Other columns of docs are not read.
     """
-    rows = cut(fingerprints(docs, words).select("doc_id", "fp"))
+    rows = written(fingerprints(docs, words).select("doc_id", "fp"))
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("node"))
     roots = connected(links_within(nodes, block_shards(radius), radius, second=bit_shards(radius)))
     named = nodes.join(roots, "node", "left").select(F.col("fp").alias("_fp"), F.coalesce("root", "node").alias("component_id"))
@@ -281,80 +321,66 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, rad
     SimHash candidates within a radius that holds such pairs (about 10 bits differ at 0.8, with a deviation of 2.7)
     are found in the BK-trees of shards keyed by min-hashes; the shingle sets of candidates are then compared. Both
     are of shingle sets, so repeats count once. Texts that agree in a run of min-hashes, and short texts that share a
-    min-hash and are of similar size, are candidates whatever their fingerprints.
-    Groups of over `most` candidates are compared in pieces.
-    Equal texts are one node. Null and empty texts are similar to each other. A null doc_id takes no part.
+    min-hash, are candidates whatever their fingerprints.
+    Groups of over `most` candidates, or of over PIECE_BYTES of text, are compared in pieces.
+    Equal texts are one node. Null and empty texts are similar to each other. A null doc_id takes no part. Rows that
+    repeat a doc_id with different texts are one node of several texts. An empty table gives no rows; other columns
+    are not read.
     """
     salts = np.random.RandomState(SEED).randint(1, 2**63, size=hashes, dtype=np.int64).astype(np.uint64)
 
+    def sets_of(texts: list[bytes]) -> list[np.ndarray]:
+        return [np.unique(shingle_hashes(t.lower().split(), words)) for t in texts]
+
     def sign(batches):
         for b in batches:
             fp, keys, alike = [], [], []
-            for t in byte_texts(b.column(1)):
-                h = np.unique(shingle_hashes(t.lower().split(), words))
+            for h in sets_of(byte_texts(b.column(1))):
                 fp.append(simhash(h))
                 least = np.array([mixed(h ^ s).min() if len(h) else s for s in salts], dtype=np.uint64).view(np.int64)
                 keys.append(least.tolist())
                 of = [(i, 0, least[i : i + RUN].tobytes()) for i in range(0, hashes - RUN + 1, RUN)]
-                if len(h) <= SHORT:  # texts of similar size share the larger one's size
-                    of += [(i, 1 + n, least[i].tobytes()) for i in range(hashes) for n in range(len(h), int(len(h) / similarity + 1e-9) + 1)]
-                alike.append(np.array([xxh64_intdigest(x, i << 32 | n) for i, n, x in of], dtype=np.uint64).view(np.int64).tolist())
+                if len(h) <= SHORT / similarity:  # short texts, and those that can be similar to one
+                    of += [(i, 1, least[i].tobytes()) for i in range(hashes)]
+                alike.append(np.array([xxh64_intdigest(x, i << 1 | k) for i, k, x in of], dtype=np.uint64).view(np.int64).tolist())
             numbers = [pa.array(x, pa.list_(pa.int64())) for x in (keys, alike)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(np.array(fp, dtype=np.uint64).view(np.int64)), *numbers], ["doc_id", "th", "fp", "keys", "alike"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(np.array(fp, dtype=np.uint64).view(np.int64)), *numbers], ["doc_id", "th", "size", "fp", "keys", "alike"])
 
     def verify(batches):
-        got = _gathered(batches, ["cell", "fp", "node", "class", "text", "alike"])
-        if got is None:
-            return
-        cell, fp, node, known = _numbers(got[0]), _numbers(got[1], np.uint64), _numbers(got[2]), _numbers(got[3])
-        order = np.lexsort((node, cell))
-        texts, sets = got[4], {}
-
-        def set_of(i: int) -> np.ndarray:
-            if i not in sets:
-                if len(sets) > 20_000:
-                    sets.clear()
-                sets[i] = np.unique(shingle_hashes((texts[int(order[i])].as_py() or "").encode().lower().split(), words))
-            return sets[i]
-
-        def same(x: int, y: int) -> bool:
-            a, b = set_of(x), set_of(y)
-            if min(len(a), len(b)) < similarity * max(len(a), len(b)):
-                return False
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            return both >= similarity * (len(a) + len(b) - both) - 1e-9
-
-        lists = got[5].combine_chunks() if isinstance(got[5], pa.ChunkedArray) else got[5]
-        place = np.empty(len(order), dtype=np.int64)
-        place[order] = np.arange(len(order))
-        item, key = place[np.repeat(np.arange(len(order)), lists.value_lengths().to_numpy())], _numbers(lists.flatten())
-        by = np.lexsort((item, key, cell[order][item]))
-        item, key = item[by], key[by]
-        at = cell[order][item]
-        alike = (x for x in np.split(item, np.flatnonzero((key[1:] != key[:-1]) | (at[1:] != at[:-1])) + 1) if len(x) > 1)
-        links = np.array(forest_links(Forest(cell[order], fp[order]), radius, same, known[order], alike), dtype=np.int64).reshape(-1, 2)
-        node = node[order]
-        yield pa.RecordBatch.from_arrays([pa.array(node[links[:, 0]]), pa.array(node[links[:, 1]])], ["u", "v"])
-
-    rows = cut(keyed(docs).mapInArrow(sign, "doc_id long, th long, fp long, keys array<long>, alike array<long>"))
-    own = [F.min(F.when(F.col("doc_id").isNotNull(), F.col(c))).alias(c) for c in ("keys", "alike")]
-    nodes = rows.groupBy("th", "fp").agg(F.min("doc_id").alias("node"), *own)
+        for t in whole_runs(batches, "cell"):
+            t = t.combine_chunks()
+            t = t.take(pa.array(np.lexsort((_numbers(t.column("node")), _numbers(t.column("cell"))))))
+            cell, node, known = _numbers(t.column("cell")), _numbers(t.column("node")), _numbers(t.column("class"))
+            lists = t.column("alike").combine_chunks()
+            item, key = np.repeat(np.arange(t.num_rows), lists.value_lengths().to_numpy()), _numbers(lists.flatten())
+            by = np.lexsort((item, key, cell[item]))
+            item, key = item[by], key[by]
+            alike = (x for x in np.split(item, np.flatnonzero((key[1:] != key[:-1]) | (cell[item][1:] != cell[item][:-1])) + 1) if len(x) > 1)
+            same = SameSets(sets_of(byte_texts(t.column("text"))), similarity)
+            yield _links(node, forest_links(Forest(cell, _numbers(t.column("fp"), np.uint64)), radius, same, known, alike))
+
+    sized = keyed(docs).withColumn("size", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
+    rows = written(sized.mapInArrow(sign, "doc_id long, th long, size long, fp long, keys array<long>, alike array<long>"))
+    own = [F.min(F.when(F.col("doc_id").isNotNull(), F.col(c))).alias(c) for c in ("size", "keys", "alike")]
+    nodes = written(rows.groupBy("th", "fp").agg(F.min("doc_id").alias("node"), *own))
     shards = F.transform("keys", lambda k, i: F.xxhash64(i, k))
-    groups = connected(links_within(nodes, shards, radius).unionByName(stars(nodes)).distinct()).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-    plan = rows.select("doc_id", "th", "fp", "alike").distinct().join(groups, F.col("doc_id") == F.col("_node")).select(F.col("_root").alias("root"), F.col("_node").alias("node"), F.col("th").alias("_th"), "fp", "alike")
+    groups = connected(links_within(nodes, shards, radius).unionByName(stars(nodes))).select(F.col("node").alias("_node"), "root")
+    plan = nodes.drop("keys").join(groups, F.col("node") == F.col("_node")).select("root", "node", F.col("th").alias("_th"), "fp", "size", "alike")
 
     def search(asked: DataFrame) -> DataFrame:
         texts = keyed(docs).join(asked, (F.col("doc_id") == F.col("node")) & (F.col("th") == F.col("_th")))
         cells = texts.select(F.explode("cells").alias("cell"), "fp", "node", "class", "text", "alike")
-        return cells.repartition("cell").mapInArrow(verify, "u long, v long")
+        return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(verify, "u long, v long")
 
-    roots = connected(links_in_groups(plan, search, most))
+    roots = joined_groups(plan, search, most)
     named = nodes.join(roots, "node", "left").select(F.col("th").alias("_th"), F.col("fp").alias("_fp"), F.coalesce("root", "node").alias("component_id"))
-    return rows.join(named, (rows.th == F.col("_th")) & (rows.fp == F.col("_fp")), "left").select("doc_id", "th", "component_id")
+    return rows.select("doc_id", "th", "fp").join(named, (F.col("th") == F.col("_th")) & (F.col("fp") == F.col("_fp")), "left").select("doc_id", "th", "component_id")
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The documents with the smallest doc_id of their group of near duplicates, and those without a doc_id."""
+    """The documents with the smallest doc_id of their group of near duplicates, as similar_groups() finds them, and
+    those without a doc_id. Rows that repeat a doc_id stay or go together; an empty table stays empty; all columns are
+    kept, whatever their names."""
     name = fresh(docs, "_kept_id")
     kept = similar_groups(docs, **options).where("doc_id = component_id").select(F.col("doc_id").alias(name)).distinct()
     return docs.join(kept, docs.doc_id == F.col(name), "left_semi").unionByName(docs.where("doc_id is null"))

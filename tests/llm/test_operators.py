@@ -56,7 +56,7 @@ def test_forest_finds_every_pair():
     fp = rng.randint(0, 2**60, 60, dtype=np.int64).astype(np.uint64)
     fp = np.unique(np.concatenate([fp, fp ^ np.uint64(5), fp[:20] ^ np.uint64(1 << 40)]))
     shard = rng.randint(0, 3, len(fp))
-    got = {(min(a, b), max(a, b)) for x, y in simhash.Forest(shard, fp).pairs(3) for a, b in zip(x.tolist(), y.tolist(), strict=True)}
+    got = {(min(a, b), max(a, b)) for x, y, _ in simhash.Forest(shard, fp).pairs(3) for a, b in zip(x.tolist(), y.tolist(), strict=True)}
     want = {(i, j) for i in range(len(fp)) for j in range(i + 1, len(fp)) if shard[i] == shard[j] and int(fp[i] ^ fp[j]).bit_count() <= 3}
     assert got == want and want
 
