@@ -131,6 +131,22 @@ def unpacked(column, dtype) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(bytes(raw), dtype=dtype), np.diff(offsets) // np.dtype(dtype).itemsize
 
 
+def pack(*arrays: np.ndarray | bytes) -> bytes:
+    """Arrays in one compressed value; their lengths in bytes come first."""
+    raw = [x if isinstance(x, bytes) else x.tobytes() for x in arrays]
+    whole = np.array([len(x) for x in raw], dtype=np.int64).tobytes() + b"".join(raw)
+    return len(whole).to_bytes(8, "little") + pa.compress(whole, codec="zstd", asbytes=True)
+
+
+def unpack(value: bytes, *kinds) -> list[np.ndarray]:
+    whole = pa.decompress(value[8:], decompressed_size=int.from_bytes(value[:8], "little"), codec="zstd", asbytes=True)
+    at, out = 8 * len(kinds), []
+    for n, kind in zip(np.frombuffer(whole[:at], dtype=np.int64).tolist(), kinds, strict=True):
+        out.append(np.frombuffer(whole, dtype=kind, count=n // np.dtype(kind).itemsize, offset=at))
+        at += n
+    return out
+
+
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)  # fixed values: murmur3's 64-bit finaliser
 
 

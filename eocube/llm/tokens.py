@@ -17,11 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from eocube.llm.common import keyed, partitions
+from eocube.llm.common import keyed, pack, unpack
 
 _HEAD = np.dtype([("doc_id", "<i8"), ("known", "<i1"), ("n_bytes", "<i8")])
 _PRE = re.compile("[ ▁]*[^ ▁]+|[ ▁]+")
 _BLOCK_CHARS, _BLOCK_DOCS = 12_000_000, 16_384
+#: Bytes of text for each bucket of pre-tokens, so what a task remembers doesn't grow with the corpus.
+BUCKET_BYTES = 16_000_000
 
 
 @functools.cache
@@ -51,22 +53,6 @@ def piece_counts(path: str, found: list[str]) -> list[int]:
     return [n if len(x) > 1 else alone for x, n in zip(found, got, strict=True)]
 
 
-def _pack(*arrays: np.ndarray | bytes) -> bytes:
-    """Arrays in one compressed value; their lengths in bytes come first."""
-    raw = [x if isinstance(x, bytes) else x.tobytes() for x in arrays]
-    whole = np.array([len(x) for x in raw], dtype=np.int64).tobytes() + b"".join(raw)
-    return len(whole).to_bytes(8, "little") + pa.compress(whole, codec="zstd", asbytes=True)
-
-
-def _unpack(value: bytes, *kinds) -> list[np.ndarray]:
-    whole = pa.decompress(value[8:], decompressed_size=int.from_bytes(value[:8], "little"), codec="zstd", asbytes=True)
-    at, out = 8 * len(kinds), []
-    for n, kind in zip(np.frombuffer(whole[:at], dtype=np.int64).tolist(), kinds, strict=True):
-        out.append(np.frombuffer(whole, dtype=kind, count=n // np.dtype(kind).itemsize, offset=at))
-        at += n
-    return out
-
-
 class _Block:
     """Documents that a task has read in turn: their distinct pre-tokens, each with the documents that use it and how
     often. It leaves the task in one row per bucket of pre-tokens, packed, and a row that names the documents."""
@@ -98,11 +84,11 @@ class _Block:
         named = [words[i].encode() for i in order.tolist()]
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
         posts = np.searchsorted(word, cuts)
-        out = [(self.number % buckets, self.number, True, _pack(np.array(self.heads, dtype=_HEAD)))]
+        out = [(self.number % buckets, self.number, True, pack(np.array(self.heads, dtype=_HEAD)))]
         for k in np.flatnonzero(np.diff(cuts)).tolist():
             some, (a, b) = named[cuts[k] : cuts[k + 1]], posts[k : k + 2]
             uses = np.bincount(word[a:b] - cuts[k], minlength=len(some))
-            out.append((k, self.number, False, _pack(b"".join(some), np.array([len(x) for x in some], dtype=np.uint32), uses.astype(np.uint32), doc[a:b].astype(np.uint16), n[a:b].astype(np.uint32))))
+            out.append((k, self.number, False, pack(b"".join(some), np.array([len(x) for x in some], dtype=np.uint32), uses.astype(np.uint32), doc[a:b].astype(np.uint16), n[a:b].astype(np.uint32))))
         return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.bool_(), pa.binary()), strict=True)], ["bucket", "block", "header", "data"])
 
 
@@ -116,7 +102,8 @@ def token_counts(docs: DataFrame, model_path: str) -> DataFrame:
     table as read, which a rerun deals out alike: blocks are named by partition and order.
     """
     check(model_path)
-    buckets = partitions(docs.sparkSession)
+    total = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    buckets = max(docs.sparkSession.sparkContext.defaultParallelism, -(-total // BUCKET_BYTES))
 
     def split(batches):
         part = TaskContext.get().partitionId() << 32
@@ -137,7 +124,7 @@ def token_counts(docs: DataFrame, model_path: str) -> DataFrame:
                 if header:
                     out.append(data)
                     continue
-                text, size, uses, doc, n = _unpack(data, np.uint8, np.uint32, np.uint32, np.uint16, np.uint32)
+                text, size, uses, doc, n = unpack(data, np.uint8, np.uint32, np.uint32, np.uint16, np.uint32)
                 raw, end = text.tobytes(), np.cumsum(size.astype(np.int64))
                 words = [raw[i:j] for i, j in zip((end - size).tolist(), end.tolist(), strict=True)]
                 new = [w for w in words if w not in counts]
@@ -145,7 +132,7 @@ def token_counts(docs: DataFrame, model_path: str) -> DataFrame:
                 pieces = np.fromiter(map(counts.__getitem__, words), dtype=np.int64, count=len(words))
                 gain = np.bincount(doc, weights=np.repeat(pieces, uses) * n)
                 some = np.flatnonzero(gain)
-                out.append(_pack(some.astype(np.uint16), gain[some].astype(np.int64)))
+                out.append(pack(some.astype(np.uint16), gain[some].astype(np.int64)))
             yield pa.RecordBatch.from_arrays([b.column("block"), b.column("header"), pa.array(out, pa.binary())], ["block", "header", "data"])
 
     def add(batches):
@@ -154,9 +141,9 @@ def token_counts(docs: DataFrame, model_path: str) -> DataFrame:
         for b in batches:
             for block, header, data in zip(*(b.column(c).to_pylist() for c in ("block", "header", "data")), strict=True):
                 if header:
-                    heads[block] = _unpack(data, _HEAD)[0]
+                    heads[block] = unpack(data, _HEAD)[0]
                 else:
-                    doc, gain = _unpack(data, np.uint16, np.int64)
+                    doc, gain = unpack(data, np.uint16, np.int64)
                     np.add.at(totals.setdefault(block, np.zeros(_BLOCK_DOCS, dtype=np.int64)), doc, gain)
         for block, head in heads.items():
             total = totals.get(block, np.zeros(_BLOCK_DOCS, dtype=np.int64))[: len(head)]
