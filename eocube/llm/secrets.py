@@ -1,16 +1,17 @@
 """Secret scans with DataFrame functions alone: fixed patterns, and a likelihood-ratio test of two character models.
 
-Runs of `shortest` or more characters of base64 and identifiers are candidates. Two first-order Markov models over
-their characters, one of random strings and one of ordinary identifiers, are counted over all documents; the labels
-come from the patterns: what they found to be secret is random, candidates that touch none of their spans are
-ordinary. A candidate with a digit and a mean log-likelihood ratio above the threshold is a span of kind `markov`.
+Two first-order Markov models over characters are trained from labelled samples: random strings, which are made by hash
+functions and so random by construction, with what the patterns found; and ordinary identifiers, the runs of characters
+in all documents outside the patterns' spans. A run's log-likelihood ratio is the sum over its transitions, so letters
+alone are enough if they are many; a run above a bar that grows with its length is a span of kind `markov`.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eocube.llm.common import written
@@ -20,68 +21,95 @@ KINDS = ["assign", "access", "hex", "markov"]
 ASSIGN_HEAD = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
 ASSIGN = ASSIGN_HEAD + "[A-Za-z0-9+/_.=-]+"
 ACCESS = "AKIA[A-Z0-9]+"
-HEX = "[0-9a-f]+"
+HEX = "(?<![0-9a-f])[0-9a-f]{16,}+"
 RUN = "[A-Za-z0-9+/_.=-]"
 
 _SPAN = "array<struct<a:int,kind:int,b:int,match:string>>"
+#: Random strings that the models learn from; each is made in three alphabets.
+RANDOM_STRINGS = 20_000
+#: A run is random if its log-likelihood ratio is over BAR + SLOPE * its length.
+BAR, SLOPE = math.log(10_000), 0.2
 
 
-def _none() -> Column:
-    return F.array().cast(_SPAN)
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) with value computed once."""
+    return F.transform(F.array(value), f)[0]
 
 
-def _spans(text: str, matches: str, pattern: str, kind: int) -> Column:
+def _running(x: Column) -> Column:
+    """Sums of the array's first 1, 2, ... entries, in blocks of the root of their number: arrays grow by copying, so
+    one pass over n entries would cost n squared."""
+    add = lambda some: F.aggregate(some, F.array().cast("array<int>"), lambda acc, y: F.concat(acc, F.array(F.coalesce(F.element_at(F.concat(F.array(F.lit(0)), acc), -1), F.lit(0)) + y)))
+    step = F.greatest(F.ceil(F.sqrt(F.size(x))), F.lit(1)).cast("int")
+    blocks = F.transform(F.sequence(F.lit(1), F.size(x), step), lambda i: add(F.slice(x, i, step)))
+    whole = lambda blocks: add(F.transform(blocks, lambda b: F.element_at(b, -1)))
+    shifted = lambda blocks: F.zip_with(blocks, F.concat(F.array(F.lit(0)), F.slice(whole(blocks), 1, F.size(blocks) - 1)), lambda b, by: F.transform(b, lambda y: y + by))
+    return F.flatten(_let(blocks, shifted))
+
+
+def _spans(text: Column, matches: Column, pattern: str, kind: int) -> Column:
     """The matches with their places, by code points, from the lengths of the matches and of what is between them."""
-    length = lambda acc, x: acc["at"] + F.length(x["gap"])
-    found = F.aggregate(
-        F.arrays_zip(F.slice(F.split(F.col(text), pattern, -1), 1, F.size(matches)).alias("gap"), F.col(matches).alias("match")),
-        F.struct(F.lit(0).alias("at"), _none().alias("out")),
-        lambda acc, x: F.struct(
-            (length(acc, x) + F.length(x["match"])).alias("at"),
-            F.concat(acc["out"], F.array(F.struct(length(acc, x).alias("a"), F.lit(kind).alias("kind"), (length(acc, x) + F.length(x["match"])).alias("b"), x["match"].alias("match")))).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    return F.when(F.size(matches) > 0, found).otherwise(_none())
+    gaps = F.slice(F.split(text, pattern, -1), 1, F.size(matches))
+    ends = _running(F.zip_with(gaps, matches, lambda g, m: F.length(g) + F.length(m)))
+    found = F.zip_with(ends, matches, lambda e, m: F.struct((e - F.length(m)).alias("a"), F.lit(kind).alias("kind"), e.alias("b"), m.alias("match")))
+    return F.when(F.size(matches) > 0, found).otherwise(F.array().cast(_SPAN))
+
+
+def _blanked(text: Column, matches: Column, pattern: str, keep: Callable[[Column], Column]) -> Column:
+    """The text with the kept matches overwritten by as many zero characters."""
+    gaps = F.split(text, pattern, -1)
+    over = F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda g, m: F.concat(g, F.when(keep(m), F.repeat(F.lit("\0"), F.length(m))).otherwise(m)))
+    return F.when(F.size(matches) > 0, F.concat(F.array_join(over, ""), F.element_at(gaps, -1))).otherwise(text)
+
+
+def _characters(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
 
 
 def _transitions(token: Column) -> Column:
     """Numbers of the adjacent pairs of characters, by their ASCII codes."""
-    codes = F.transform(F.regexp_extract_all(token, F.lit("."), F.lit(0)), lambda c: F.ascii(c))
-    state = F.aggregate(
-        codes,
-        F.struct(F.lit(0).alias("last"), F.array().cast("array<int>").alias("out")),
-        lambda acc, c: F.struct(c.alias("last"), F.concat(acc["out"], F.array(acc["last"] * 128 + c)).alias("out")),
-        lambda acc: acc["out"],
-    )
-    return F.filter(state, lambda p: p >= 128)
+    codes = F.transform(_characters(token), lambda c: F.ascii(c))
+    return _let(codes, lambda x: F.zip_with(F.slice(x, 1, F.size(x) - 1), F.slice(x, 2, F.size(x) - 1), lambda a, b: a * 128 + b))
 
 
 def found_spans(docs: DataFrame, shortest: int = 16) -> DataFrame:
-    """doc_id, base (the patterns' spans) and candidates (runs that touch no base span, with their places)."""
+    """doc_id, base (the patterns' spans) and candidates (runs of `shortest` or more characters outside these spans, with
+    their places)."""
     run = f"(?<!{RUN}){RUN}{{{shortest},}}+"
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    patterns = {"assign": (ASSIGN, F.contains(text, F.lit(":")) | F.contains(text, F.lit("="))), "access": (ACCESS, F.contains(text, F.lit("AKIA"))), "hex": ("(?<![0-9a-f])[0-9a-f]{16,}+", None), "run": (run, None)}
-    matches = {k: F.regexp_extract_all(text, F.lit(p), F.lit(0)) for k, (p, _) in patterns.items()}
+    text, c = F.coalesce(F.col("text").cast("string"), F.lit("")), F.col
+    long = lambda head, n: lambda m: F.length(F.regexp_replace(m, f"^{head}", "")) >= n
+    kinds = {"assign": (ASSIGN, F.contains("text", F.lit(":")) | F.contains("text", F.lit("=")), long(ASSIGN_HEAD, 12)), "access": (ACCESS, F.contains("text", F.lit("AKIA")), lambda m: F.length(m) >= 18), "hex": (HEX, F.lit(True), lambda m: F.length(m) >= 16)}
     empty = F.array().cast("array<string>")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *[(matches[k] if when is None else F.when(when, matches[k]).otherwise(empty)).alias(f"m_{k}") for k, (_, when) in patterns.items()])
-    rows = rows.select("doc_id", *[_spans("text", f"m_{k}", patterns[k][0], i).alias(f"s_{k}") for i, k in enumerate(["assign", "access", "hex", "run"])])
-    secret = lambda s: F.regexp_replace(s["match"], f"^{ASSIGN_HEAD}", "")
-    base = F.concat(
-        F.filter("s_assign", lambda s: F.length(secret(s)) >= 12),
-        F.filter("s_access", lambda s: F.length(s["match"]) >= 18),
-        F.col("s_hex"),
-    )
-    rows = rows.select("doc_id", base.alias("base"), "s_run")
-    touched = lambda c: F.exists("base", lambda s: (s["a"] < c["b"]) & (s["b"] > c["a"]))
-    return rows.select("doc_id", "base", F.when(F.size("base") > 0, F.filter("s_run", lambda c: ~touched(c))).otherwise(F.col("s_run")).alias("candidates"))
-
-
-def log_ratios(found: DataFrame) -> list[float]:
-    """log P(next | last) under the model of random strings less that under the one of identifiers, by
-    128 * last + next. Counts cover all documents; the table has 128 * 128 entries however many there are."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    rows = rows.withColumns({f"m_{k}": F.when(when, F.regexp_extract_all("text", F.lit(p), F.lit(0))).otherwise(empty) for k, (p, when, _) in kinds.items()})
+    kept = lambda spans, keep: F.filter(spans, lambda x: keep(x["match"]))
+    rows = rows.withColumn("base", F.concat(*[kept(_spans(c("text"), c(f"m_{k}"), p, i), keep) for i, (k, (p, _, keep)) in enumerate(kinds.items())]))
+    blanked = [_characters(_blanked(c("text"), c(f"m_{k}"), p, keep)) for k, (p, _, keep) in kinds.items()]
+    both = lambda x, y: F.zip_with(x, y, lambda a, b: F.when(a == "\0", a).otherwise(b))
+    rows = rows.select("doc_id", "base", F.when(F.size("base") > 0, F.array_join(both(both(blanked[0], blanked[1]), blanked[2]), "")).otherwise(c("text")).alias("rest"))
+    rows = rows.withColumn("m_run", F.regexp_extract_all("rest", F.lit(run), F.lit(0)))
+    return rows.select("doc_id", "base", _spans(c("rest"), c("m_run"), run, 3).alias("candidates"))
+
+
+def random_strings(spark: SparkSession, n: int = RANDOM_STRINGS) -> DataFrame:
+    """(token, random): strings that are random by construction, in base64, in letters and digits, and in capitals and
+    digits. They are made from hashes of numbers, so every run has the same."""
+    whole = F.base64(F.unhex(F.sha2(F.concat(F.lit("sample"), F.col("id")), 256)))
+    plain = F.regexp_replace(whole, "[+/=]", "")
+    return spark.range(n).select(F.explode(F.array(whole, plain, F.upper(plain))).alias("token"), F.lit(1).alias("random"))
+
+
+def labelled_samples(found: DataFrame) -> DataFrame:
+    """(token, random): random_strings() and what the patterns found are random (1), all other runs ordinary (0)."""
     secret = F.transform("base", lambda s: F.when(s["kind"] == 0, F.regexp_replace(s["match"], f"^{ASSIGN_HEAD}", "")).otherwise(s["match"]))
-    samples = found.select(F.lit(1).alias("random"), F.explode(secret).alias("token")).unionByName(found.select(F.lit(0).alias("random"), F.explode(F.transform("candidates", lambda c: c["match"])).alias("token")))
+    own = found.select(F.explode(secret).alias("token"), F.lit(1).alias("random"))
+    ordinary = found.select(F.explode(F.transform("candidates", lambda c: c["match"])).alias("token"), F.lit(0).alias("random"))
+    return random_strings(found.sparkSession).unionByName(own).unionByName(ordinary)
+
+
+def log_ratios(samples: DataFrame) -> list[float]:
+    """log P(next | last) under the model of random strings less that under the one of identifiers, by
+    128 * last + next. Counts cover all samples; the table has 128 * 128 entries however many there are."""
     pairs = samples.select("random", F.explode(_transitions(F.col("token"))).alias("pair")).groupBy("random", "pair").count()
     n = [[0.0] * 128 * 128, [0.0] * 128 * 128]
     for r in pairs.where("pair < 16384").collect():
@@ -97,19 +125,20 @@ def log_ratios(found: DataFrame) -> list[float]:
     return [y - x for x, y in zip(*logs, strict=True)]
 
 
-def scan(docs: DataFrame, shortest: int = 16, threshold: float = 0.25) -> DataFrame:
+def scan(docs: DataFrame, shortest: int = 16, bar: float = BAR, slope: float = SLOPE, samples: DataFrame | None = None) -> DataFrame:
     """doc_id, base and spans for every row; spans are structs (a, kind, b, match) by start, then kind.
 
     a and b are code points, b exclusive; kind counts KINDS from 0. spans are base and those of the models, which
-    overlap no base span. Null texts count as empty and have no spans; repeated rows are returned repeatedly, a null
-    doc_id is kept. Without samples the models are equal and add nothing. Other columns are not read.
+    overlap no base span. samples(token, random) are labelled strings, those of labelled_samples() if not given.
+    Null texts count as empty and have no spans; repeated rows are returned repeatedly, a null doc_id is kept, an empty
+    table gives no rows. Without samples of one kind the models are equal and add nothing. Other columns are not read.
     """
     found = written(found_spans(docs, shortest))
-    table = F.split(F.lit(",".join(f"{x:.6g}" for x in log_ratios(found))), ",").cast("array<double>")
-    ratio = lambda c: F.aggregate(_transitions(c["match"]), F.lit(0.0), lambda acc, p: acc + F.element_at(table, p + 1)) / (F.length(c["match"]) - 1)
-    likely = F.filter("candidates", lambda c: c["match"].rlike("[0-9]") & (ratio(c) > threshold))
-    named = F.transform(likely, lambda c: F.struct(c["a"].alias("a"), c["kind"].alias("kind"), c["b"].alias("b"), c["match"].alias("match")))
-    return found.select("doc_id", F.array_sort("base").alias("base"), F.array_sort(F.concat(F.col("base"), named)).alias("spans"))
+    ratios = log_ratios(labelled_samples(found) if samples is None else samples)
+    table = F.split(F.lit(",".join(f"{x:.6g}" for x in ratios)), ",").cast("array<double>")
+    ratio = lambda c: F.aggregate(_transitions(c["match"]), F.lit(0.0), lambda acc, p: acc + F.element_at(table, p + 1))
+    likely = F.filter("candidates", lambda c: ratio(c) > bar + slope * F.length(c["match"]))
+    return found.select("doc_id", F.array_sort("base").alias("base"), F.array_sort(F.concat(F.col("base"), likely)).alias("spans"))
 
 
 def _listed(spans: str) -> Column:
