@@ -35,6 +35,11 @@ def _member(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(at, len(ordered) - 1)] == x if len(ordered) else np.zeros(len(x), dtype=bool)
 
 
+def both(a: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """One number for the two hashes of a window, to tell it from the others of its document."""
+    return a ^ (c << np.uint64(32))
+
+
 class Run:
     """The words of several documents in one array, so that hashing costs a few array operations for all of them."""
 
@@ -60,6 +65,10 @@ class Run:
         marks = np.unique(self.batch.column("marks").flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
         return self.whole & _member(self.least(run), marks) if self.whole.any() and len(marks) else np.zeros(len(self.whole), dtype=bool)
 
+    def windows(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of the windows at these starts, of 64 and of 31 bits."""
+        return windows(self.h, self.length)[at], windows(mixed(self.h ^ _OTHER), self.length)[at] >> np.uint64(33)
+
     def column(self, name: str, rows: np.ndarray):
         return self.batch.column(name).take(pa.array(rows))
 
@@ -80,7 +89,7 @@ def repeated_spans(docs: DataFrame, length: int = 20, start: int = 10) -> DataFr
     also starts earlier: in a document with a smaller doc_id, or earlier in the same one.
 
     Words are runs of bytes other than ASCII white space, unchanged; kept words are joined by one space. Windows are
-    judged on the input, by hashes of 96 bits. Null and empty texts have no words, texts of fewer than `length` words
+    judged on the input, by two hashes of 64 and 31 bits, put together from 64-bit hashes of the words. Null and empty texts have no words, texts of fewer than `length` words
     no window. Rows that repeat a doc_id count as one document and get one result each; a null doc_id neither removes
     nor loses words. Empty tables give no rows. Other columns are not read.
     """
@@ -102,13 +111,13 @@ def repeated_spans(docs: DataFrame, length: int = 20, start: int = 10) -> DataFr
             at = np.flatnonzero(r.surviving(last))
             if not len(at):
                 continue
-            a = windows(r.h, length)[at]
-            _, first = np.unique(joined(r.doc[at].astype(np.uint64), a), return_index=True)
-            c = windows(mixed(r.h ^ _OTHER), length)[at[first]] >> np.uint64(33)
-            yield pa.RecordBatch.from_arrays([pa.array(a[first].view(np.int64)), pa.array(c.astype(np.int32)), r.column("doc_id", r.doc[at[first]])], ["a", "c", "doc_id"])
+            a, c = r.windows(at)
+            _, first = np.unique(joined(r.doc[at].astype(np.uint64), both(a, c)), return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a[first].view(np.int64)), pa.array(c[first].astype(np.int32)), r.column("doc_id", r.doc[at[first]])], ["a", "c", "doc_id"])
 
     seen = marked_only(with_runs, "marks").mapInArrow(full, "a long, c int, doc_id long")
-    firsts = seen.groupBy("a", "c").agg(F.min("doc_id").alias("_d")).groupBy("_d").agg(F.collect_list("a").alias("firsts"))
+    one = F.col("a").bitwiseXOR(F.shiftleft(F.col("c").cast("long"), 32))  # as both() has it: tells the windows of one document apart
+    firsts = seen.groupBy("a", "c").agg(F.min("doc_id").alias("_d")).groupBy("_d").agg(F.collect_list(one).alias("firsts"))
 
     def cover(batches):
         for r in _runs(batches, length):
@@ -116,7 +125,7 @@ def repeated_spans(docs: DataFrame, length: int = 20, start: int = 10) -> DataFr
             kept = [b" ".join(w) for w in r.words] if not len(at) else None
             n_removed = np.zeros(len(r.n), dtype=np.int64)
             if kept is None:
-                mine = joined(r.doc[at].astype(np.uint64), windows(r.h, length)[at])
+                mine = joined(r.doc[at].astype(np.uint64), both(*r.windows(at)))
                 _, first = np.unique(mine, return_index=True)
                 f = r.batch.column("firsts")
                 own = joined(pc.list_parent_indices(f).to_numpy(zero_copy_only=False).astype(np.uint64), f.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
@@ -156,8 +165,9 @@ def _repeated(docs: DataFrame, length: int, run: int, marks: DataFrame | None, b
             n = np.diff(np.append(new, len(g)))
             yield pa.RecordBatch.from_arrays([pa.array(g[new].view(np.int64)), pa.array(n), r.column("doc_id", doc[new])], ["g", "n", "doc_id"])
 
-    rows = source.mapInArrow(choose, "g long, n long, doc_id long")
-    again = rows.groupBy("g").agg(F.sum("n").alias("_n")).where("_n > 1").select(F.col("g").alias("_g"))
+    rows = written(source.mapInArrow(choose, "g long, n long, doc_id long"))
+    # Written, so that both sides of the join are plain and adaptive execution can split a hot run.
+    again = written(rows.groupBy("g").agg(F.sum("n").alias("_n")).where("_n > 1").select(F.col("g").alias("_g")))
     return rows.join(again, F.col("g") == F.col("_g"), "left_semi").groupBy("doc_id").agg(F.collect_set("g").alias("marks"))
 
 
