@@ -65,8 +65,9 @@ def without_repeated_chunks(docs: DataFrame, window: int = 2, divisor: int = 4,
                 ids = np.repeat(np.array([d for _, d in some], dtype=np.int64), [len(v) for v, _ in rows])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([v for v, _ in rows])), pa.array(np.concatenate([k for _, k in rows])), pa.array(ids)], ["g", "n", "doc_id"])
 
-    rows = keyed(docs).mapInArrow(hashed, "g long, n long, doc_id long")
-    again = rows.groupBy("g").agg(F.sum("n").alias("_n")).where("_n > 1").select(F.col("g").alias("_g"))
+    rows = written(keyed(docs).mapInArrow(hashed, "g long, n long, doc_id long"))
+    # Written, so that both sides of the join are plain and adaptive execution can split a hot line.
+    again = written(rows.groupBy("g").agg(F.sum("n").alias("_n")).where("_n > 1").select(F.col("g").alias("_g")))
     marks = written(rows.join(again, F.col("g") == F.col("_g"), "left_semi").groupBy("doc_id").agg(F.collect_set("g").alias("marks")))
     marked = with_marks(docs, marks, "marks")
 
@@ -114,7 +115,8 @@ def without_repeated_chunks(docs: DataFrame, window: int = 2, divisor: int = 4,
 
 def rewritten(docs: DataFrame) -> DataFrame:
     """docs with the shortened texts; documents of which nothing is left go. Untouched texts stay as they are, null
-    included. A column n_chars follows the new text."""
+    included, and so do rows without a doc_id. Rows that repeat a doc_id and text get the same new text. A column n_chars
+    follows the new text. An empty table stays empty; all columns are kept, whatever their names."""
     d, t, kept = (fresh(docs, c) for c in ("_d", "_t", "_kept"))
     found = without_repeated_chunks(docs).where("n_removed > 0").select(F.col("doc_id").alias(d), F.col("th").alias(t), F.col("kept").alias(kept)).distinct()
     out = docs.join(found, (docs.doc_id == F.col(d)) & (F.xxhash64(docs.text) == F.col(t)), "left")
