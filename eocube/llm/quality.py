@@ -105,8 +105,9 @@ def _odds(m: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, most_rows: int = 8_192, steps: int = 40, rate: float = 0.3) -> tuple[np.ndarray, float, float]:
     """Weights, slope and offset, from at most most_rows labelled rows: those first in the order of a hash of doc_id,
-    so a rerun takes the same. Labels other than 0 and 1, and null ids, are passed over. Without labels: all zero."""
-    some = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("quality")).where("_id is not null and quality in (0, 1)").dropDuplicates(["_id"])
+    so a rerun takes the same. Labels other than 0 and 1, and null ids, are passed over; a document that is labelled both
+    0 and 1 counts as 0. Without labels: all zero."""
+    some = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("quality")).where("_id is not null and quality in (0, 1)").groupBy("_id").agg(F.min("quality").alias("quality"))
     some = some.orderBy(F.xxhash64("_id"), "_id").limit(most_rows)
 
     def prepare(batches):
@@ -205,7 +206,8 @@ def model_for(docs: DataFrame, labels: DataFrame):
 
 
 def good(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
-    """The documents that score at least `least`."""
+    """The documents that score at least `least`, all columns kept whatever their names. Rows that repeat a doc_id and text
+    stay or go together; rows without a doc_id are scored as well; an empty table stays empty."""
     d, t = fresh(docs, "_d"), fresh(docs, "_t")
     bad = score(docs, model_for(docs, labels)).where(F.col("score") < least).select(F.col("doc_id").alias(d), F.col("th").alias(t)).distinct()
     return docs.join(bad, docs.doc_id.eqNullSafe(F.col(d)) & (F.xxhash64(docs.text) == F.col(t)), "left_anti")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from eocube.llm.common import partitions
 
-BLOCK, GROUP = 8_192, 1_024
+BLOCK, GROUP = 8_192, 8_192
 
 
 def threshold_topk(x: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int, first: int = 64):
@@ -61,16 +61,17 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, block: int
     """query_id, rank, vec_id, score: for each row with is_query, the k other rows with the highest inner product of
     floor(scale * component), ties to the smaller vec_id.
 
-    Rows whose vec_id or vector is null, or that hold a null or non-finite component, take no part. Rows that repeat
-    a vec_id are one row, the one with the smallest vector. Vectors of different lengths are not compared. Fewer
-    candidates than k: all of them; a query without candidates gives no row. Empty tables give none.
+    Rows whose vec_id or vector is null, or that hold a null or non-finite component, take no part. A query's own rows
+    are all that have its vec_id; rows that repeat another vec_id are candidates of their own. Queries that repeat a
+    vec_id are one query, whose k rows have the highest products with any of its vectors. Vectors of different lengths
+    are not compared. Fewer candidates than k: all of them; a query without candidates gives no row. Empty tables give
+    none.
     """
     spark = vectors.sparkSession
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e")).where(
         "vec_id is not null and e is not null and not exists(e, c -> c is null or isnan(c) or abs(c) = double('infinity'))"
     )
     v = v.select("vec_id", F.transform("e", lambda c: F.floor(scale * c).cast("long")).alias("e"), F.size("e").alias("dim"))
-    v = v.groupBy("vec_id").agg(F.min_by("e", "e").alias("e")).withColumn("dim", F.size("e"))
     n, nq = v.agg(F.count("*"), F.count_if(is_query)).first()
     blocks, groups = max(1, -(-n // block)), max(1, -(-nq // group))
 
