@@ -97,7 +97,8 @@ def mix(sized: DataFrame, quotas: DataFrame, most: int = 3, seed: str = "1", max
     document of a pattern is taken the same whole number of times, and those first in the seeded order (md5 of the
     seed, doc_id and size) once more, the last of these only in part, so quotas are met to the word. No document is
     taken more than `most` times. Rows that repeat each stand for themselves. The patterns and quotas (one row per
-    distinct set of sources) go to the driver, at most max_patterns of them; more raise an error.
+    distinct set of sources) go to the driver, at most max_patterns of each; more raise an error, for the flow is solved
+    there: sources are then to be put together first.
     """
     rows = sized.withColumn("_order", F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string"))))
     rows = rows.withColumn("_pattern", F.array_sort("sources")).withColumn("_slot", F.conv(F.substring("_order", 1, 3), 16, 10).cast("int"))
@@ -105,7 +106,10 @@ def mix(sized: DataFrame, quotas: DataFrame, most: int = 3, seed: str = "1", max
     patterns = counts.groupBy("_pattern").agg(F.sum("words").alias("words")).limit(max_patterns + 1).collect()
     if len(patterns) > max_patterns:
         raise ValueError(f"more than {max_patterns} membership patterns")
-    flow = min_cost_flow({tuple(r._pattern): r.words for r in patterns}, {r.source: round(r.target) for r in quotas.collect()}, most)
+    wanted = quotas.select("source", "target").limit(max_patterns + 1).collect()
+    if len(wanted) > max_patterns:
+        raise ValueError(f"more than {max_patterns} sources")
+    flow = min_cost_flow({tuple(r._pattern): r.words for r in patterns}, {r.source: round(r.target) for r in wanted}, most)
     out: dict = {}
     for (p, _), n in flow.items():
         out[p] = out.get(p, 0) + n
@@ -124,17 +128,30 @@ def mix(sized: DataFrame, quotas: DataFrame, most: int = 3, seed: str = "1", max
     return done.select(*sized.columns, (F.coalesce("_passes", F.lit(0)) * F.col("size") + F.col("_more")).cast("long").alias("taken"))
 
 
+def _mixed(sized: DataFrame, most: int, seed: str) -> DataFrame:
+    """sized(doc_id, source, size, ...) with source_size, target and taken, each document having one source."""
+    # An array element that no source name can clash with stands for null.
+    label = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), "source"))
+    goal = targets(written(sized.groupBy("source").agg(F.sum("size").alias("source_size"))), most)
+    out = mix(sized.withColumn("sources", F.array(label)), goal.select(label.alias("source"), "target"), most, seed)
+    return out.drop("sources").join(goal.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+
+
 def sampled(docs: DataFrame, most: int = 3, seed: str = "1") -> DataFrame:
     """doc_id, source, size, source_size, target and taken for every document, each of which has one source. Sizes
     count runs other than ASCII white space; null and empty texts have size 0 and are taken 0 times. A null source is
-    a source. Empty tables give no rows. Other columns are not read."""
+    a source, a null doc_id counts as the empty one in the seeded order. Rows that repeat each stand for themselves. Empty tables
+    give no rows. Other columns are not read."""
     sized = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text").cast("string")).alias("size")))
-    # An array element that no source name can clash with stands for null.
-    label = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), "source"))
-    goal = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), most)
-    mixed = mix(sized.withColumn("sources", F.array(label)), goal.select(label.alias("source"), "target"), most, seed)
-    goal = goal.withColumnRenamed("source", "_source")
-    return mixed.join(goal, F.col("source").eqNullSafe(F.col("_source")), "left").select("doc_id", "source", "size", "source_size", "target", "taken")
+    return _mixed(sized, most, seed).select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+def with_shares(docs: DataFrame, most: int = 3, seed: str = "1") -> DataFrame:
+    """All columns of every document, with size, source_size, target and taken as sampled() has them; columns of docs with
+    these names are replaced. Every row has its own `taken`, also where ids are null or repeat."""
+    columns = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
+    sized = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text").cast("string")).alias("size"))
+    return _mixed(sized, most, seed).select("row.*", "size", "source_size", "target", "taken")
 
 
 def op1(spark, sf_dir) -> DataFrame:
