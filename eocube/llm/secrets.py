@@ -1,8 +1,8 @@
 """Secret scans with DataFrame functions alone: fixed patterns, and a likelihood-ratio test of two character models.
 
 Two first-order Markov models over characters are trained from labelled samples: random strings, which are made by hash
-functions and so random by construction, with what the patterns found; and ordinary identifiers, the runs of characters
-in all documents outside the patterns' spans. A run's log-likelihood ratio is the sum over its transitions, so letters
+functions and so random by construction, with what the patterns found; and ordinary words and identifiers, the
+different runs of characters that all documents repeat. A run's log-likelihood ratio is the sum over its transitions, so letters
 alone are enough if they are many; a run above a bar that grows with its length is a span of kind `markov`.
 """
 
@@ -99,12 +99,15 @@ def random_strings(spark: SparkSession, n: int = RANDOM_STRINGS) -> DataFrame:
     return spark.range(n).select(F.explode(F.array(whole, plain, F.upper(plain))).alias("token"), F.lit(1).alias("random"))
 
 
-def labelled_samples(found: DataFrame) -> DataFrame:
-    """(token, random): random_strings() and what the patterns found are random (1), all other runs ordinary (0)."""
+def labelled_samples(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """(token, random): random_strings() and what the patterns found are random (1); all runs of four or more characters
+    in the documents that occur twice or more, as random strings seldom do, and hold no match of a pattern are ordinary
+    (0), each once however often it occurs."""
     secret = F.transform("base", lambda s: F.when(s["kind"] == 0, F.regexp_replace(s["match"], f"^{ASSIGN_HEAD}", "")).otherwise(s["match"]))
     own = found.select(F.explode(secret).alias("token"), F.lit(1).alias("random"))
-    ordinary = found.select(F.explode(F.transform("candidates", lambda c: c["match"])).alias("token"), F.lit(0).alias("random"))
-    return random_strings(found.sparkSession).unionByName(own).unionByName(ordinary)
+    runs = docs.select(F.explode(F.split(F.col("text").cast("string"), f"{RUN.replace('[', '[^')}+", -1)).alias("token")).where(F.length("token") >= 4)
+    ordinary = runs.groupBy("token").count().where((F.col("count") > 1) & ~F.col("token").rlike(f"{ACCESS}|{HEX}|{ASSIGN_HEAD}"))
+    return random_strings(docs.sparkSession).unionByName(own).unionByName(ordinary.select("token", F.lit(0).alias("random")))
 
 
 def log_ratios(samples: DataFrame) -> list[float]:
@@ -134,7 +137,7 @@ def scan(docs: DataFrame, shortest: int = 16, bar: float = BAR, slope: float = S
     table gives no rows. Without samples of one kind the models are equal and add nothing. Other columns are not read.
     """
     found = written(found_spans(docs, shortest))
-    ratios = log_ratios(labelled_samples(found) if samples is None else samples)
+    ratios = log_ratios(labelled_samples(docs, found) if samples is None else samples)
     table = F.split(F.lit(",".join(f"{x:.6g}" for x in ratios)), ",").cast("array<double>")
     ratio = lambda c: F.aggregate(_transitions(c["match"]), F.lit(0.0), lambda acc, p: acc + F.element_at(table, p + 1))
     likely = F.filter("candidates", lambda c: ratio(c) > bar + slope * F.length(c["match"]))

@@ -35,7 +35,7 @@ def _member(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(at, len(ordered) - 1)] == x if len(ordered) else np.zeros(len(x), dtype=bool)
 
 
-def both(a: np.ndarray, c: np.ndarray) -> np.ndarray:
+def one_number(a: np.ndarray, c: np.ndarray) -> np.ndarray:
     """One number for the two hashes of a window, to tell it from the others of its document."""
     return a ^ (c << np.uint64(32))
 
@@ -112,11 +112,11 @@ def repeated_spans(docs: DataFrame, length: int = 20, start: int = 10) -> DataFr
             if not len(at):
                 continue
             a, c = r.windows(at)
-            _, first = np.unique(joined(r.doc[at].astype(np.uint64), both(a, c)), return_index=True)
+            _, first = np.unique(joined(r.doc[at].astype(np.uint64), one_number(a, c)), return_index=True)
             yield pa.RecordBatch.from_arrays([pa.array(a[first].view(np.int64)), pa.array(c[first].astype(np.int32)), r.column("doc_id", r.doc[at[first]])], ["a", "c", "doc_id"])
 
     seen = marked_only(with_runs, "marks").mapInArrow(full, "a long, c int, doc_id long")
-    one = F.col("a").bitwiseXOR(F.shiftleft(F.col("c").cast("long"), 32))  # as both() has it: tells the windows of one document apart
+    one = F.col("a").bitwiseXOR(F.shiftleft(F.col("c").cast("long"), 32))  # as one_number() has it: tells the windows of one document apart
     firsts = seen.groupBy("a", "c").agg(F.min("doc_id").alias("_d")).groupBy("_d").agg(F.collect_list(one).alias("firsts"))
 
     def cover(batches):
@@ -125,7 +125,7 @@ def repeated_spans(docs: DataFrame, length: int = 20, start: int = 10) -> DataFr
             kept = [b" ".join(w) for w in r.words] if not len(at) else None
             n_removed = np.zeros(len(r.n), dtype=np.int64)
             if kept is None:
-                mine = joined(r.doc[at].astype(np.uint64), both(*r.windows(at)))
+                mine = joined(r.doc[at].astype(np.uint64), one_number(*r.windows(at)))
                 _, first = np.unique(mine, return_index=True)
                 f = r.batch.column("firsts")
                 own = joined(pc.list_parent_indices(f).to_numpy(zero_copy_only=False).astype(np.uint64), f.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))

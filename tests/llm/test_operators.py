@@ -279,12 +279,12 @@ def test_secrets_of_odd_tables(spark, empty):
     many = " ".join(f"{int(x):016x}" for x in rng.randint(2**60, 2**62, 8_000)) + " token=aaaabbbbccccdddd"
     runs = " ".join(f"identifier_number_{i}_of_many" for i in range(8_000))
     blob = "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"), 200_000))
-    rows = [(1, many), (1, many), (2, runs), (3, blob), (4, "api_key=deadbeefdeadbeefXYZ and x")]
+    rows = [(1, many), (1, many), (2, runs), (2, runs), (3, blob), (4, "api_key=deadbeefdeadbeefXYZ and x")]
     got = {}
     for r in secrets.scan(spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, base string")).collect():
         got.setdefault(r.doc_id, []).append([(s.kind, s.a, s.b) for s in r.spans])
-    assert len(got[1]) == 2 and got[1][0] == got[1][1] and got[1][0][:3] == [(2, 0, 16), (2, 17, 33), (2, 34, 50)] and len(got[1][0]) == 8_001 and got[1][0][-1] == (0, 136_000, 136_022)
-    assert got[2] == [[]] and got[3] == [[(3, 0, 200_000)]] and got[4] == [[(0, 0, 27), (2, 8, 24)]]
+    assert len(got[1]) == 2 and got[1][0] == got[1][1] and got[1][0][:3] == [(2, 0, 16), (2, 17, 33), (2, 34, 50)] and len(got[1][0]) == 8_002 and got[1][0][-2:] == [(0, 136_000, 136_022), (2, 136_006, 136_022)]
+    assert got[2] == [[], []] and got[3] == [[(3, 0, 200_000)]] and got[4] == [[(0, 0, 27), (2, 8, 24)]]
 
 
 def test_planted_secrets_are_found_and_identifiers_left_alone(spark):
@@ -388,10 +388,10 @@ def test_topk(spark):
     got = {}
     for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, block=16, group=2).collect():
         got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
-    x = np.floor(256 * np.array([e for _, e in rows[:120]])).astype(np.int64)
-    for q in (0, 50, 100):
-        s = x @ x[q]
-        assert [got[q][k] for k in range(1, 6)] == [(int(j), int(s[j])) for j in np.lexsort((np.arange(120), -s)) if j != q][:5]
+    kept = [(i, np.floor(256 * np.array(e)).astype(np.int64)) for i, e in rows[:120] + rows[-1:]]
+    for q in (0, 50, 100):  # vec_id 50 has two rows: two candidates, and one query with either's products
+        want = sorted((-int(x @ y), i) for i, x in kept for j, y in kept if j == q and i != q)
+        assert [got[q][k] for k in range(1, 6)] == [(i, -s) for s, i in want[:5]]
 
 
 def test_topk_of_repeated_and_no_rows(spark):
