@@ -102,12 +102,12 @@ def random_strings(spark: SparkSession, n: int = RANDOM_STRINGS) -> DataFrame:
 def labelled_samples(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(token, random): random_strings() and what the patterns found are random (1); all runs of four or more characters
     in the documents that occur twice or more, as random strings seldom do, and hold no match of a pattern are ordinary
-    (0), each once however often it occurs."""
+    (0), each once however often it occurs, as it is and in capitals, as names of constants are."""
     secret = F.transform("base", lambda s: F.when(s["kind"] == 0, F.regexp_replace(s["match"], f"^{ASSIGN_HEAD}", "")).otherwise(s["match"]))
     own = found.select(F.explode(secret).alias("token"), F.lit(1).alias("random"))
     runs = docs.select(F.explode(F.split(F.col("text").cast("string"), f"{RUN.replace('[', '[^')}+", -1)).alias("token")).where(F.length("token") >= 4)
     ordinary = runs.groupBy("token").count().where((F.col("count") > 1) & ~F.col("token").rlike(f"{ACCESS}|{HEX}|{ASSIGN_HEAD}"))
-    return random_strings(docs.sparkSession).unionByName(own).unionByName(ordinary.select("token", F.lit(0).alias("random")))
+    return random_strings(docs.sparkSession).unionByName(own).unionByName(ordinary.select(F.explode(F.array("token", F.upper("token"))).alias("token"), F.lit(0).alias("random")))
 
 
 def log_ratios(samples: DataFrame) -> list[float]:

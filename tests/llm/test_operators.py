@@ -288,11 +288,15 @@ def test_secrets_of_odd_tables(spark, empty):
 
 
 def test_planted_secrets_are_found_and_identifiers_left_alone(spark):
+    import re
+
     rng = np.random.RandomState(5)
     upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
     alphabets = {"base62": upper + lower + digits, "letters": upper + lower, "capitals": upper + digits}
     docs = [(d, t) for d, t in table_rows(spark, "documents", "doc_id", "text")]
-    plain = ["internationalization_of_names", "src/main/java/org/example/Application.java", "getElementsByClassName", "Donaudampfschifffahrtsgesellschaft", "some-long-package-name-2024", "MAXIMUM_NUMBER_OF_RETRIES", "https.example.com/a/path/to/something"]
+    words = sorted({w.lower() for _, t in docs for w in (t or "").split() if re.fullmatch("[A-Za-z]{5,9}", w)})
+    three = [rng.choice(words, 3) for _ in range(40)]
+    plain = [f(w) for w in three for f in ("_".join, "/".join, "-".join, lambda w: "_".join(w).upper(), lambda w: w[0] + w[1].title() + w[2].title())]
     docs += [(-1 - i, f"see {x} here") for i, x in enumerate(plain)]
     planted = {}
     for name, letters in alphabets.items():
@@ -303,7 +307,7 @@ def test_planted_secrets_are_found_and_identifiers_left_alone(spark):
                 docs.append((d, "a note with " + "".join(rng.choice(list(letters), n)) + " in it"))
     found = {r.doc_id for r in secrets.scan(spark.createDataFrame(docs, "doc_id long, text string")).where("exists(spans, s -> s.kind = 3)").collect()}
     assert sum(d in found for d in planted) >= 0.95 * len(planted)
-    assert not [d for d in found if d < 0] and len([d for d in found if 0 <= d < 10**6]) <= 2
+    assert sum(d < 0 for d in found) <= 0.02 * len(plain) and len([d for d in found if 0 <= d < 10**6]) <= 2
 
 
 def test_secrets(spark):
