@@ -7,19 +7,21 @@ search may jump; one that does leads to the bucket of the patterns with that suf
 from __future__ import annotations
 
 from collections import defaultdict
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eocube.llm.common import byte_texts, fresh, keyed
+from eocube.llm.common import byte_texts, fresh, keyed, written
 
 #: Separators become spaces, A-Z become a-z: the bytes 0-9, a-z and from 0x80 on make words.
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
 
-#: Bytes of benchmark text in one set of tables that goes to every executor; a larger benchmark is searched set by set.
-SHARD_BYTES = 16_000_000
+#: Bytes of benchmark text in one set of tables that goes to every executor, where it takes about 18 times as much; a
+#: larger benchmark is searched set by set.
+SHARD_BYTES = 2_000_000
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -80,52 +82,68 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, length: int = 10, shard_b
     window, one of none has no window. Null texts have no words; rows without an item_id are passed over; items that
     repeat count once. Repeated documents are returned repeatedly; a null doc_id is kept. An empty benchmark hits
     nothing. The tables are broadcast in sets of at most about `shard_bytes` of text, by measured size: a larger
-    benchmark means more passes over the documents, not larger tables.
+    benchmark means more passes over the documents, one after the other, not larger tables. The passes after the first
+    keep what they hit alone, and are put together by doc_id and th.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").alias("item"), F.col("text").cast("binary").alias("text")).where("item is not null and text is not null")
     total = items.agg(F.sum(F.length("text") + 16)).first()[0] or 0
     n = max(1, -(-total // shard_bytes))
-    rows = keyed(docs).select("doc_id", "th", "text", F.lit(None).cast("array<int>").alias("spans"), F.lit(None).cast("array<long>").alias("items"))
+    rows = keyed(docs).select("doc_id", "th", "text")
+    more = []
     for k in range(n):
         some = items.where(F.pmod(F.xxhash64("item"), F.lit(n)) == k).collect()
         tables = spark.sparkContext.broadcast(Tables([(r.item, bytes(r.text)) for r in some], length))
-        last = k == n - 1
-        rows = rows.mapInArrow(_pass(tables, last), "doc_id long, th long, n_words long, n_hit long, items array<long>" if last else rows.schema)
-    return rows
+        found = rows.mapInArrow(_pass(tables, k == 0), "doc_id long, th long, n_words long, spans array<int>, items array<long>")
+        if k:
+            more.append(written(found))
+            tables.unpersist()
+        else:
+            first = found
+    if more:
+        rest = reduce(DataFrame.unionByName, more).groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t")).agg(*[F.flatten(F.collect_list(c)).alias(f"_{c}") for c in ("spans", "items")])
+        first = first.join(rest, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")), "left")
+        first = first.select("doc_id", "th", "n_words", *[F.concat(c, F.coalesce(f"_{c}", F.array().cast(t))).alias(c) for c, t in (("spans", "array<int>"), ("items", "array<long>"))])
+    return first.mapInArrow(_counted, "doc_id long, th long, n_words long, n_hit long, items array<long>")
+
+
+def _pass(tables, every: bool):
+    """A search of one set of tables: the flat starts and ends of what it hits, of all documents or of those with hits."""
 
-
-def _pass(tables, last: bool):
     def run(batches):
         found = tables.value
         for b in batches:
-            all_spans, all_items, n_words, n_hit = [], [], [], []
-            for t, s, i in zip(byte_texts(b.column("text")), b.column("spans").to_pylist(), b.column("items").to_pylist(), strict=True):
+            rows, n_words, spans, items = [], [], [], []
+            for i, t in enumerate(byte_texts(b.column("text"))):
                 words = words_of(t)
-                spans, items = found.search(words)
-                spans = (s or []) + spans
-                all_items.append(sorted({*(i or ()), *items}))
-                if last:
+                at, of = found.search(words)
+                if every or at:
+                    rows.append(i)
                     n_words.append(len(words))
-                    n_hit.append(0)
-                    if spans:
-                        steps = np.zeros(len(words) + 1, dtype=np.int64)
-                        np.add.at(steps, spans[::2], 1)
-                        np.add.at(steps, spans[1::2], -1)
-                        n_hit[-1] = int((np.cumsum(steps[:-1]) > 0).sum())
-                else:
-                    all_spans.append(spans)
-            ids = pa.array(all_items, pa.list_(pa.int64()))
-            if last:
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), ids], ["doc_id", "th", "n_words", "n_hit", "items"])
-            else:
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), b.column("text"), pa.array(all_spans, pa.list_(pa.int32())), ids], ["doc_id", "th", "text", "spans", "items"])
+                    spans.append(at)
+                    items.append(sorted(of))
+            some = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(some), b.column("th").take(some), pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.int64()))], ["doc_id", "th", "n_words", "spans", "items"])
 
     return run
 
 
+def _counted(batches):
+    """The words covered by the spans, and the distinct items."""
+    for b in batches:
+        n_hit, items = [], []
+        for n, spans, of in zip(b.column("n_words").to_pylist(), b.column("spans").to_pylist(), b.column("items").to_pylist(), strict=True):
+            steps = np.zeros(n + 1 if spans else 1, dtype=np.int64)
+            np.add.at(steps, spans[::2], 1)
+            np.add.at(steps, spans[1::2], -1)
+            n_hit.append(int((np.cumsum(steps[:-1]) > 0).sum()))
+            items.append(sorted(set(of)))
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), b.column("n_words"), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.int64()))], ["doc_id", "th", "n_words", "n_hit", "items"])
+
+
 def clean(docs: DataFrame, benchmark: DataFrame, length: int = 10) -> DataFrame:
-    """The documents that hold no window of any benchmark item; those without a doc_id stay unless hit."""
+    """The documents that hold no window of any benchmark item; those without a doc_id stay unless hit. Null and empty
+    texts stay; rows that repeat stay or go together; all columns are kept, whatever their names."""
     d, t = fresh(docs, "_d"), fresh(docs, "_t")
     bad = occurrences(docs, benchmark, length).where("n_hit > 0").select(F.col("doc_id").alias(d), F.col("th").alias(t)).distinct()
     return docs.join(bad, docs.doc_id.eqNullSafe(F.col(d)) & (F.xxhash64(docs.text) == F.col(t)), "left_anti")

@@ -61,6 +61,27 @@ def test_forest_finds_every_pair():
     assert got == want and want
 
 
+def test_bit_sets_hide_no_similar_pair():
+    rng = np.random.RandomState(1)
+    sets = []
+    for n in (1, 4, 5, 30, 300, 3_000):
+        whole = rng.randint(0, 2**62, n, dtype=np.int64).astype(np.uint64) << np.uint64(1)
+        for share in (1.0, 0.95, 0.9, 0.85, 0.7, 0.3):
+            other = rng.randint(0, 2**62, n, dtype=np.int64).astype(np.uint64) << np.uint64(1)
+            sets.append(np.unique(np.where(rng.rand(n) < share, whole, other)))
+    sets.append(np.zeros(0, dtype=np.uint64))
+    sets += [sets[-1], sets[0]]
+    same = simhash.SameSets(sets, 0.8)
+    a, b = np.triu_indices(len(sets), 1)
+    likely = same.likely(a, b)
+    exact = []
+    for x, y in zip(a, b, strict=True):
+        p, q = set(sets[x].tolist()), set(sets[y].tolist())
+        exact.append(not p | q or len(p & q) / len(p | q) >= 0.8)
+        assert same(x, y) == exact[-1]
+    assert not (np.array(exact) & ~likely).any() and likely.mean() < 0.3
+
+
 def test_simhash(docs, empty):
     rows = simhash.fingerprint_components(docs).collect()
     fp = {(r.doc_id, r.fp): r.component_id for r in rows}
