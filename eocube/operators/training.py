@@ -118,8 +118,10 @@ def augment(images: DataFrame, bands: list[str], kinds: list[int], height: int,
 
 def training_set(cells: DataFrame, labels: DataFrame, bands: list[str], divisor: float, x_nodata: float = 0, y_nodata: float | None = None, weights: DataFrame | None = None, usage: str = "training", times: int = 0) -> DataFrame:
     """Cell samples ready for a model: features over time, normalised and flattened to a vector, with label and weight.
-    Prediction gives features only. Cells with fewer than `times` times get zero images after their last. One shuffle
+    Training and evaluation give features and labels, prediction features only. Cells with fewer than `times` times get zero images after their last. One shuffle
     gathers a cell's times; labels meet it on the same key."""
+    if usage not in ("training", "evaluation", "prediction"):
+        raise ValueError(f"no usage {usage}")
     rows = cells.groupBy("item", "r", "c").agg(F.sort_array(F.collect_list(F.struct("t", F.array(*bands).alias("v")))).alias("s"))
     rows = rows.select("item", "r", "c", F.transform("s", lambda x: x["v"]).alias("features"))
     if times:

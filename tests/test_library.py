@@ -8,7 +8,7 @@ from eocube.functions import cells as fc
 from eocube.functions import dates, links, lookups
 from eocube.operators import collect, mosaic, samples, search, stats, training
 from eocube.plans import queries
-from eocube.sources import scenes
+from eocube.sources import rasters, scenes
 
 DAY = dt.date
 
@@ -50,6 +50,31 @@ def test_read_scenes(spark, tmp_path):
     assert (got["a"].platform, got["a"].cloud_cover, got["a"].epsg) == ("sentinel-2a", 3.5, 32633) and got["b"].platform is None and got["d"].epsg is None
 
 
+def test_items_and_documents_are_written_and_read(spark, tmp_path):
+    items = spark.createDataFrame([(1, [1.0, 2.0]), (2, None)], "item long, box array<double>")
+    for form in ("json", "parquet"):
+        rasters.write_items(items, str(tmp_path / form), form)
+        back = spark.read.schema(items.schema).format(form).load(str(tmp_path / form))
+        assert sorted((r.item, r.box) for r in back.collect()) == [(1, [1.0, 2.0]), (2, None)]
+    (tmp_path / "docs").mkdir()
+    for i in range(3):
+        (tmp_path / "docs" / f"{i}.json").write_text('{\n "id": "x%d",\n "extent": {"n": %d}\n}' % (i, i))
+    got = rasters.read_documents(spark, str(tmp_path / "docs"), "id string, extent struct<n:int>").orderBy("id").collect()
+    assert [(r.id, r.extent.n) for r in got] == [("x0", 0), ("x1", 1), ("x2", 2)]
+
+
+def test_usages(spark):
+    x = spark.createDataFrame([(1, 0, 0, 0, 5)], "item int, t int, r int, c int, b02 int")
+    y = x.select("item", "r", "c", F.lit(1).alias("label"))
+    assert "label" in training.training_set(x, y, ["b02"], 10.0, usage="evaluation").columns and "label" not in training.training_set(x, y, ["b02"], 10.0, usage="prediction").columns
+    with pytest.raises(ValueError):
+        training.training_set(x, y, ["b02"], 10.0, usage="test")
+
+
+def test_overview_factors():
+    assert stats.overview_factors(50, 80) == [2, 4, 8, 16, 32] and stats.overview_factors(2, 100) == [] and stats.overview_factors(500, 500)[-1] == 64
+
+
 def test_stack_passes_over_empty_scenes(spark):
     t = dt.datetime(2024, 1, 5)
     matched = spark.createDataFrame([(1, 0, i, t - dt.timedelta(days=i), float(i)) for i in range(3)], "tile_id long, step_no int, scene_id long, sensing_time timestamp, cloud_cover double")
