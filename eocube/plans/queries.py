@@ -265,6 +265,7 @@ query("k4_least_nodata", _first.format(i="idx").replace("select tile_id, step_no
 query("p1_samples_cell", _first.format(i="idx").replace("select tile_id, step_no, r, c, " + BL + " from x where k = 1", ", m as (select * from x where k = 1), t as (select *, row_number() over (partition by tile_id, r, c order by step_no) - 1 as t from m), ok as (select tile_id, r, c from m group by all having bool_or(b0 <> 0 or b02 <> 0)) select tile_id, r, c, t::int as t, b0, b02 from t join ok using (tile_id, r, c)"))(
     lambda s, d: samples.samples_cell(mosaic.first_valid(cells(s, d), B), ["b0", "b02"], 0).select("tile_id", "r", "c", F.posexplode("features").alias("t", "f")).select("tile_id", "r", "c", "t", F.col("f")[0].alias("b0"), F.col("f")[1].alias("b02"))
 )
+query("u1_split_sizes", f"with {fx.LABEL}, n as (select count(*) as n from label) select true as training, ceil(n * 0.7)::bigint as n from n union all select false, n - ceil(n * 0.7)::bigint from n")(lambda s, d: samples.split_samples(fx.labels(s, d), "position", 0.7, 1).groupBy("training").agg(F.count("*").alias("n")))
 query("u1_split")(lambda s, d: samples.split_samples(fx.labels(s, d), "position", 0.7, 1))
 query("g15_windows", f"with {fx.RECT}, g as (select id as item, xmax - xmin + 20 as h, ymax - ymin + 25 as w from rect) select distinct item, greatest(0, least(i, h - 8))::bigint as row, greatest(0, least(j, w - 8))::bigint as col from g, (select unnest(range(0, 80, 4)) as i), (select unnest(range(0, 80, 4)) as j) where i <= h - 1 and j <= w - 1")(
     lambda s, d: samples.windows(fx.rectangles(s, d).select(F.col("id").alias("item"), (F.col("xmax") - F.col("xmin") + 20).alias("height"), (F.col("ymax") - F.col("ymin") + 25).alias("width")), 8, 0.5)
