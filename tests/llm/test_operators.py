@@ -279,6 +279,42 @@ def test_fingerprints_equal_an_independent_count(spark):
         shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
         h = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
         assert got[d] == format(sum(1 << k for k in range(64) if 2 * sum(x >> k & 1 for x in h) > len(h)), "016x"), d
+    up = {d: d for d in got}
+    for a in got:
+        for b in got:
+            if a < b and up[a] != up[b] and (int(got[a], 16) ^ int(got[b], 16)).bit_count() <= 3:
+                x, y = sorted((up[a], up[b]))
+                up = {k: x if v == y else v for k, v in up.items()}
+    assert {r.doc_id: r.component_id for r in simhash.op2(spark, "/root/testdata/sf0.001").collect()} == up
+
+
+def test_near_dedup_stage_equals_brute_force(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = table_rows(spark, "documents", "doc_id", "text")
+    sets = {}
+    for d, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[d] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    up = {d: d for d in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and up[a] != up[b] and (not sets[a] | sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])):
+                x, y = sorted((up[a], up[b]))
+                up = {k: x if v == y else v for k, v in up.items()}
+    kept = [r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()]
+    assert sorted(kept) == sorted(set(up.values())) and len(kept) < len(rows)
+
+
+def test_op4_equals_the_library_on_the_whole_table(spark):
+    import public_tokenizers
+
+    p = tokens.processor(str(public_tokenizers.path("piece_bpe_32k.model")))
+    got = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in tokens.op4(spark, "/root/testdata/sf0.001").collect()}
+    for d, t in table_rows(spark, "documents", "doc_id", "text"):
+        n = len(p.encode(t or ""))
+        assert got[d] == (len((t or "").encode()), n, n > 4096)
 
 
 def test_op7_base_equals_brute_force_on_the_whole_table(spark):
