@@ -29,10 +29,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eocube.llm.common import byte_texts, keyed, pack, packed, partitions, remainder, unpack, unpacked, whole_runs, written
+from eocube.llm.common import keyed, pack, packed, partitions, remainder, unpack, unpacked, whole_runs, written
 
 #: Words of the exchange on the driver, classes, and how often a word must occur to get one of these by its neighbours.
-CORE, CLASSES, LEAST = 3_000, 56, 3
+CORE, CLASSES, LEAST = 2_000, 56, 3
 _FORMS = 4
 _END = CLASSES + _FORMS
 #: Classes, classes by form and the end; as a neighbour, a word outside the core is a state of its own.
@@ -40,8 +40,8 @@ N_STATES = _END + 1
 _OTHER = N_STATES
 #: The weight a of the class model, and the share of the log-likelihood that a round of exchange must gain to go on.
 WEIGHT, TOLERANCE = 0.95, 1e-4
-#: Characters and documents of a block.
-BLOCK_CHARS, BLOCK_DOCS = 12_000_000, 16_384
+#: Bytes of text in a block.
+BLOCK_CHARS = 12_000_000
 
 _HEAD = np.dtype([("doc_id", "<i8"), ("known", "<i1"), ("held", "<i1"), ("n", "<i8")])
 _NEIGHBOUR = np.dtype([("k", "<u1"), ("n", "<u4")])
@@ -60,9 +60,13 @@ def forms(words: pa.Array) -> np.ndarray:
     return np.where(digit, 0, np.where(~letter, 1, np.where(pc.binary_length(b).to_numpy() >= 12, 2, 3)))
 
 
-def lower_words(text: bytes) -> list[bytes]:
-    """A-Z in lower case; words are runs other than ASCII white space."""
-    return text.lower().split()
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of the texts with A-Z in lower case, in one array, and how many each text has. Words are runs other than
+    ASCII white space; null texts have none."""
+    words = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    flat, text = words.flatten(), np.repeat(np.arange(len(texts)), words.value_lengths().to_numpy())
+    some = pc.greater(pc.binary_length(flat), 0)
+    return flat.filter(some), np.bincount(text[some.to_numpy(zero_copy_only=False)], minlength=len(texts))
 
 
 def held_out() -> Column:
@@ -72,28 +76,21 @@ def held_out() -> Column:
 def _blocks(batches) -> Iterator[pa.RecordBatch]:
     """Blocks of texts: their headers and words as numbers, packed, and the distinct words."""
     number = TaskContext.get().partitionId() << 32
-    heads: list[tuple] = []
-    flat: list[bytes] = []
-    size = 0
-
-    def block():
-        coded = pa.array(flat, pa.large_binary()).dictionary_encode()
-        words = coded.dictionary.cast(pa.binary()).cast(pa.string())
-        data = pack(np.array(heads, dtype=_HEAD), coded.indices.to_numpy().astype(np.int32))
-        return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([data]), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)], ["block", "data", "words"])
-
-    for b in batches:
-        for t, d, held in zip(byte_texts(b.column("text")), b.column("doc_id").to_pylist(), b.column("held").to_pylist(), strict=True):
-            found = lower_words(t)
-            heads.append((d or 0, d is not None, held, len(found)))
-            flat += found
-            size += len(t)
-            if size >= BLOCK_CHARS or len(heads) >= BLOCK_DOCS:
-                yield block()
-                number, size = number + 1, 0
-                heads, flat = [], []
-    if heads:
-        yield block()
+    for batch in batches:
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy().astype(np.int64) + 100) // BLOCK_CHARS
+        cuts = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), batch.num_rows]
+        for i, j in zip(cuts, cuts[1:], strict=False):
+            if j == i:
+                continue
+            b = batch.slice(i, j - i)
+            flat, n = split_words(b.column("text"))
+            heads = np.zeros(len(n), dtype=_HEAD)
+            heads["doc_id"], heads["n"] = b.column("doc_id").fill_null(0).to_numpy(), n
+            heads["known"], heads["held"] = (x.to_numpy(zero_copy_only=False) for x in (b.column("doc_id").is_valid(), b.column("held")))
+            coded = flat.dictionary_encode()
+            data = pack(heads, coded.indices.to_numpy().astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([data]), pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)], ["block", "data", "words"])
+            number += 1
 
 
 def _each(batches) -> Iterator[tuple[int, np.ndarray, np.ndarray, pa.Array]]:
@@ -223,7 +220,7 @@ def core_classes(bigrams: np.ndarray, words: int, tolerance: float = TOLERANCE)
             return classes, n
 
 
-def choices(word: np.ndarray, k: np.ndarray, count: np.ndarray, words: int, n: np.ndarray, at_once: int = 1 << 15) -> np.ndarray:
+def choices(word: np.ndarray, k: np.ndarray, count: np.ndarray, words: int, n: np.ndarray, at_once: int = 1 << 13) -> np.ndarray:
     """The class that each of `words` words would be put into, given the class bigrams n of the core. A word's neighbours
     are entries (word, k, count): k below 64 is the state after it, from 64 on the state before it, plus 64."""
     left, right = n.sum(axis=1)[:CLASSES], n.sum(axis=0)[:CLASSES]
