@@ -147,10 +147,13 @@ class SameSets:
     def __init__(self, sets: list[np.ndarray], similarity: float):
         self.sets, self.similarity = sets, similarity
         self.n = np.array([len(x) for x in sets], dtype=np.int64)
-        bits = np.zeros((len(sets), 1024), dtype=bool)
-        bits[np.repeat(np.arange(len(sets)), self.n), (np.concatenate([*sets, np.zeros(0, np.uint64)]) >> np.uint64(54)).astype(np.int64)] = True
-        self.spare = self.n - bits.sum(axis=1)
-        self.bits = np.packbits(bits, axis=1).view(np.uint64)
+        self.bits = np.zeros((len(sets), 16), dtype=np.uint64)
+        for i in range(0, len(sets), 4096):
+            some = sets[i : i + 4096]
+            bits = np.zeros((len(some), 1024), dtype=bool)
+            bits[np.repeat(np.arange(len(some)), self.n[i : i + 4096]), (np.concatenate(some) >> np.uint64(54)).astype(np.int64)] = True
+            self.bits[i : i + 4096] = np.packbits(bits, axis=1).view(np.uint64)
+        self.spare = self.n - np.bitwise_count(self.bits).sum(axis=1, dtype=np.int64)
 
     def likely(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         most = np.bitwise_count(self.bits[a] & self.bits[b]).sum(axis=1, dtype=np.int64) + np.minimum(self.spare[a], self.spare[b])
