@@ -41,7 +41,7 @@ _OTHER = N_STATES
 #: The weight a of the class model, and the share of the log-likelihood that a round of exchange must gain to go on.
 WEIGHT, TOLERANCE = 0.95, 1e-4
 #: Bytes of text in a block.
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 6_000_000
 
 _HEAD = np.dtype([("doc_id", "<i8"), ("known", "<i1"), ("held", "<i1"), ("n", "<i8")])
 _NEIGHBOUR = np.dtype([("k", "<u1"), ("n", "<u4")])
