@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eocube.llm import decontaminate, lines, lm, mixing, quality, secrets, simhash, substring, tokens, topk
+from eocube.llm import codes, decontaminate, lines, lm, mixing, quality, runs, secrets, simhash, substring, tokens, topk
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_lm_score": lm.op8,
     "op9_quality": quality.op9,
     "op10_topk": topk.op10,
+    "op12_vector_codes": codes.op12,
+    "op13_periodic_runs": runs.op13,
 }
 
 _OP5 = """
@@ -47,4 +49,4 @@ r as (select query_id, row_number() over (partition by query_id order by score d
 select * from r where rank <= 5
 """
 
-ORACLES = {"op1_mix_sources": mixing.ORACLE, "op3_substring_dedup": _OP3, "op5_decontaminate": _OP5, "op10_topk": _OP10}
+ORACLES = {"op1_mix_sources": mixing.ORACLE, "op3_substring_dedup": _OP3, "op5_decontaminate": _OP5, "op10_topk": _OP10, "op12_vector_codes": codes.ORACLE}
