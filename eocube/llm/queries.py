@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eocube.llm import codes, decontaminate, lines, lm, mixing, quality, runs, secrets, simhash, substring, tokens, topk
+from eocube.llm import codes, decontaminate, lines, lm, mixing, quality, runs, secrets, setjoin, simhash, substring, tokens, topk
 
 QUERIES = {
     "op1_mix_sources": mixing.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_lm_score": lm.op8,
     "op9_quality": quality.op9,
     "op10_topk": topk.op10,
+    "op11_ngram_jaccard_join": setjoin.op11,
     "op12_vector_codes": codes.op12,
     "op13_periodic_runs": runs.op13,
 }
