@@ -5,9 +5,11 @@ hash deals all possible elements to H+1 segments, some segment of two such sets
 hashes of their segments' subsets alone. A segment may count twice: if its subsets with any one element left out are
 indexed too, it can only be missed by two differences. So segments that count once or twice, H+1 in all, lose nothing.
 
-How many count twice is decided by costs for each size band: fewer, larger segments need more signatures, since every
-element is left out once, but unrelated sets agree on small segments (on empty ones above all) more often, and these
-chance meetings grow with the square of the band's sets. A set is compared within its band and with the band below.
+Empty subsets are what unrelated sets share, and such chance meetings grow with the square of the number of sets. So a
+partition gets spare segments, and a set leaves out its empty subsets if they are no more than the spare tests: then
+an equal segment that isn't empty is left for every similar set. Sets with more empty ones, which are next to none,
+index them too. How many segments count twice, and how many are spare, is decided for each size band by the cost of
+signatures and chance meetings. A set is compared within its band and with the band below.
 
 Signatures that several sets share become links from the first of them, so a group of many near copies gives as many
 links as it has sets. The groups that the links form are then verified on their shingle sets, each group in pieces.
@@ -15,6 +17,7 @@ links as it has sets. The groups that the links form are then verified on their
 
 from __future__ import annotations
 
+import math
 from itertools import pairwise
 
 import numpy as np
@@ -59,18 +62,22 @@ def differences(size: int, similar: tuple[int, int] = SIMILAR) -> int:
     return (b - a) * (size + size * b // a) // (a + b)
 
 
-def allocation(size: int, sets: float, mean: float, similar: tuple[int, int] = SIMILAR, meeting: float = MEETING) -> tuple[int, int]:
-    """(segments, how many of them count twice) for a band of sets of up to `size` elements, by the least cost of
-    signatures and chance meetings."""
+def allocation(size: int, sets: float, mean: float, similar: tuple[int, int] = SIMILAR, meeting: float = MEETING) -> tuple[int, int, int]:
+    """(segments, how many of them count twice, spare tests) for a band of sets of up to `size` elements, by the least cost
+    of signatures and of chance meetings of sets that have to keep their empty subsets."""
     tests = differences(size, similar) + 1
-    twice = np.arange(tests // 2 + 1)
-    once = tests - 2 * twice
-    segments = once + twice
+    twice = np.unique(np.linspace(0, tests, min(tests + 1, 65)).astype(np.int64))[:, None]
+    spare = np.arange(33 + int(math.sqrt(tests)))[None, :]
+    segments = np.maximum(tests - twice + spare, np.maximum(twice, 1))
+    spare = segments + twice - tests
     filled = mean / segments
-    meets = np.exp(-2 * filled)
-    cost = sets * (segments + twice * filled) + meeting * sets**2 / 2 * meets * (once + twice * (1 + 2 * filled))
-    best = int(np.argmin(cost))
-    return int(segments[best]), int(twice[best])
+    empty = np.exp(-filled)
+    lost = (segments - twice) * empty + twice * empty * (2 + filled)
+    keep = np.minimum(1, np.exp(np.minimum(0, spare + 1 - lost + (spare + 1) * np.log(np.maximum(lost, 1e-300) / (spare + 1)))))
+    keep = np.where(lost >= spare + 1, 1.0, keep)
+    cost = sets * (segments + twice * filled) + meeting * (sets * keep) ** 2 / 2 * empty**2 * segments
+    best = np.unravel_index(int(np.argmin(cost)), cost.shape)
+    return int(segments[best]), int(np.broadcast_to(twice, cost.shape)[best]), int(spare[best])
 
 
 class Partition:
@@ -85,7 +92,12 @@ class Partition:
         held = np.bincount(band, weights=sets, minlength=len(self.first))
         mean = np.bincount(band, weights=sets * sizes, minlength=len(self.first)) / np.maximum(held, 1)
         plan = [allocation(int(b) - 1, held[k] + held[k + 1], mean[k] or float(a), similar) for k, (a, b) in enumerate(pairwise(self.first.tolist()))]
-        self.segments, self.twice = (np.array(x, dtype=np.int64) for x in zip(*plan, strict=True))
+        self.segments, self.twice, self.spare = (np.array(x, dtype=np.int64) for x in zip(*plan, strict=True))
+
+    def rate(self, size: float) -> float:
+        """Signatures of one set in its own band."""
+        k = min(int(np.searchsorted(self.first, size, side="right")) - 1, len(self.segments) - 1)
+        return float(self.segments[k] + self.twice[k] * size / self.segments[k])
 
     def visits(self, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(set, band) of every band in which a set has to be compared: its own and, if a similar set can be there, the
@@ -94,7 +106,7 @@ class Partition:
         own = np.minimum(np.searchsorted(self.first, sizes, side="right") - 1, len(self.segments) - 1)
         below = np.flatnonzero((own > 0) & (a * sizes < b * self.first[own]))
         item, band = np.concatenate([np.arange(len(sizes)), below]), np.concatenate([own, own[below] - 1])
-        asked = self.segments[band] + self.twice[band] > 1
+        asked = self.segments[band] + self.twice[band] - self.spare[band] > 1
         return item[asked], band[asked]
 
     def signatures(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -113,10 +125,14 @@ class Partition:
         np.add.at(total, place, weight)
         owner = np.repeat(np.arange(len(item)), self.segments[band])
         named = mixed(salt[owner] + (np.arange(len(total)) - base[owner]).astype(np.uint64))
-        left = segment < self.twice[band][visit]
+        held, doubled = np.bincount(place, minlength=len(total)), np.arange(len(total)) - base[owner] < self.twice[band][owner]
+        lost = np.where(doubled, np.maximum(2 - held, 0), held == 0)
+        sparse = (np.bincount(owner, weights=lost, minlength=len(item)) <= self.spare[band])[owner]
+        left = doubled[place] & ~(sparse[place] & (held[place] == 1))
+        whole = np.flatnonzero(~(sparse & (held == 0)))
         place, weight, visit = place[left], weight[left], visit[left]
-        key = mixed(np.concatenate([total, total[place] - weight]) ^ np.concatenate([named, named[place]]))
-        return key, item[np.concatenate([owner, visit])], np.arange(len(key)) >= len(total)
+        key = mixed(np.concatenate([total[whole], total[place] - weight]) ^ np.concatenate([named[whole], named[place]]))
+        return key, item[np.concatenate([owner[whole], visit])], np.arange(len(key)) >= len(whole)
 
 
 def first_of(key: np.ndarray, node: np.ndarray, less: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,8 +154,21 @@ def distinct_pairs(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return u[new], v[new]
 
 
-def candidate_links(docs: DataFrame, plan: Partition, words: int, buckets: int) -> DataFrame:
-    """links(u, v) between hashes of sets, which connect all that share a signature of which one is of a whole subset.
+def planes(x: np.ndarray, keep: int) -> bytes:
+    """The first `keep` bytes of 64-bit numbers, place by place; the leading ones of sorted numbers compress well."""
+    return x.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :keep].T.tobytes()
+
+
+def whole_numbers(raw: np.ndarray, keep: int) -> np.ndarray:
+    """planes() back as numbers, whose other bytes are 0."""
+    out = np.zeros((len(raw) // keep, 8), dtype=np.uint8)
+    out[:, :keep] = raw.reshape(keep, -1).T
+    return out.view(">u8").ravel().astype(np.uint64)
+
+
+def candidate_links(docs: DataFrame, plan: Partition, words: int, buckets: int, key_bytes: int, node_bytes: int) -> DataFrame:
+    """links(u, v) between hashes of sets, of `node_bytes` bytes, which connect all that share a signature of which one is
+    of a whole subset. Hashes are cut so far that each comes to about one in a million by chance: that only links more.
 
     Signatures are dealt by hash, packed by block and bucket. Equal sets of a block are signed once, and of a block's
     equal signatures only the first is sent, with links to the others; so a signature that a third of all sets share
@@ -153,7 +182,7 @@ def candidate_links(docs: DataFrame, plan: Partition, words: int, buckets: int)
             if len(s):
                 sets.setdefault(set_hash(s), s)
         key, item, less = plan.signatures(list(sets.values()))
-        node = np.fromiter(sets, dtype=np.uint64, count=len(sets)).view(np.int64)[item]
+        node = (np.fromiter(sets, dtype=np.uint64, count=len(sets)) >> np.uint64(64 - 8 * node_bytes)).view(np.int64)[item]
         order, new = first_of(key, node, less)
         key, node, less = key[order], node[order], less[order]
         kind = np.append(True, (key[1:] != key[:-1]) | (less[1:] != less[:-1]))[: len(key)]
@@ -162,9 +191,9 @@ def candidate_links(docs: DataFrame, plan: Partition, words: int, buckets: int)
         key, node, less = key[kind], node[kind], less[kind]
         bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-        rows = [(k, pack(key[a:b], node[a:b], less[a:b], u[:0], u[:0])) for k, (a, b) in enumerate(pairwise(cuts.tolist())) if b > a]
+        rows = [(k, pack(planes(key[a:b], key_bytes), planes(node[a:b].view(np.uint64) << np.uint64(64 - 8 * node_bytes), node_bytes), less[a:b], u[:0], u[:0])) for k, (a, b) in enumerate(pairwise(cuts.tolist())) if b > a]
         if len(u):
-            rows.append((int(rows[0][0]), pack(key[:0], node[:0], less[:0], u, v)))
+            rows.append((int(rows[0][0]), pack(b"", b"", less[:0], u, v)))
         return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], ["bucket", "data"])
 
     def sign(batches):
@@ -180,10 +209,12 @@ def candidate_links(docs: DataFrame, plan: Partition, words: int, buckets: int)
             yield block(held, hashes)
 
     def match(batches):
-        parts = [unpack(x, np.uint64, np.int64, bool, np.int64, np.int64) for b in batches for x in b.column("data").to_pylist()]
+        parts = [unpack(x, np.uint8, np.uint8, bool, np.int64, np.int64) for b in batches for x in b.column("data").to_pylist()]
         if not parts:
             return
-        key, node, less, u, v = (np.concatenate(x) for x in zip(*parts, strict=True))
+        key = np.concatenate([whole_numbers(x[0], key_bytes) for x in parts])
+        node = np.concatenate([whole_numbers(x[1], node_bytes) >> np.uint64(64 - 8 * node_bytes) for x in parts]).view(np.int64)
+        less, u, v = (np.concatenate(x) for x in list(zip(*parts, strict=True))[2:])
         del parts
         order, new = first_of(key, node, less)
         node, less = node[order], less[order]
@@ -239,10 +270,15 @@ def similar_sets(docs: DataFrame, words: int = WORDS, similar: tuple[int, int] =
     nodes = written(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"), rep))
     counts = nodes.groupBy(F.floor(F.log("rep.n") * 20).alias("k")).agg(F.avg("rep.n").alias("size"), F.count("*").alias("sets"), F.max("rep.n").alias("most")).collect()
     plan = Partition([(r.size, r.sets) for r in counts] + [(float(r.most), 0) for r in counts], similar)
-    estimate = sum(r.sets * 2 * plan_rate(plan, r.size) for r in counts) * 17
-    buckets = max(partitions(spark), int(estimate // BUCKET_BYTES) + 1)
-    groups = connected(candidate_links(docs, plan, words, buckets)).select(F.col("node").alias("_node"), "root")
-    asked = nodes.join(groups, F.col("node") == F.col("_node")).select("root", "node", F.col("rep.doc_id").alias("_id"), F.col("rep.th").alias("_th"), F.col("rep.size").alias("size"))
+    sets, signatures = sum(r.sets for r in counts), sum(2 * r.sets * plan.rate(r.size) for r in counts)
+    key_bytes, node_bytes = (min(8, max(5, -(-(math.ceil(math.log2(x + 1)) + 20) // 8))) for x in (signatures, sets))
+    buckets = max(partitions(spark), int(signatures * (key_bytes + node_bytes) // BUCKET_BYTES) + 1)
+    short = F.shiftrightunsigned("node", 64 - 8 * node_bytes) if node_bytes < 8 else F.col("node")
+    named = nodes.withColumn("short", short)
+    groups = connected(candidate_links(docs, plan, words, buckets, key_bytes, node_bytes)).select(F.col("node").alias("_short"), "root")
+    alike = named.groupBy(F.col("short").alias("_short")).count().where("count > 1").select("_short", F.col("_short").alias("root"))
+    groups = groups.unionByName(alike.join(groups, "_short", "left_anti"))
+    asked = named.join(groups, F.col("short") == F.col("_short")).select("root", "node", F.col("rep.doc_id").alias("_id"), F.col("rep.th").alias("_th"), F.col("rep.size").alias("size"))
 
     def verify(batches):
         hashes = Hashes()
@@ -267,11 +303,5 @@ def similar_sets(docs: DataFrame, words: int = WORDS, similar: tuple[int, int] =
     return rows.join(named, F.col("node") == F.col("_node"), "left").select("doc_id", "n", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def plan_rate(plan: Partition, size: float) -> float:
-    """Signatures of one set in its own band."""
-    k = min(int(np.searchsorted(plan.first, size, side="right")) - 1, len(plan.segments) - 1)
-    return plan.segments[k] + plan.twice[k] * size / plan.segments[k]
-
-
 def op11(spark, sf_dir) -> DataFrame:
     return similar_sets(table(spark, sf_dir, "documents")).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
