@@ -278,7 +278,7 @@ def similar_sets(docs: DataFrame, words: int = WORDS, similar: tuple[int, int] =
     groups = connected(candidate_links(docs, plan, words, buckets, key_bytes, node_bytes)).select(F.col("node").alias("_short"), "root")
     alike = named.groupBy(F.col("short").alias("_short")).count().where("count > 1").select("_short", F.col("_short").alias("root"))
     groups = groups.unionByName(alike.join(groups, "_short", "left_anti"))
-    asked = named.join(groups, F.col("short") == F.col("_short")).select("root", "node", F.col("rep.doc_id").alias("_id"), F.col("rep.th").alias("_th"), F.col("rep.size").alias("size"))
+    asked = written(named.join(groups, F.col("short") == F.col("_short")).select("root", "node", F.col("rep.doc_id").alias("_id"), F.col("rep.th").alias("_th"), F.col("rep.size").alias("size")))
 
     def verify(batches):
         hashes = Hashes()
@@ -291,12 +291,15 @@ def similar_sets(docs: DataFrame, words: int = WORDS, similar: tuple[int, int] =
             links = set_links(cell[order], size[order], SameSets([sets[i] for i in order.tolist()], similar[0] / similar[1]), known[order], similar)
             yield pa.RecordBatch.from_arrays([pa.array(node[order][links[:, k]]) for k in (0, 1)], ["u", "v"])
 
+    # candidates' texts, once: all texts are dealt out by plain shuffles, of which a hot key is split; repeated rows go
+    found = keyed(docs).join(asked.select(F.col("node").alias("_of"), "_id", "_th").hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
+    texts = written(found.groupBy("_of").agg(F.any_value("text").alias("text")))
+
     def search(part: DataFrame) -> DataFrame:
-        texts = keyed(docs).join(part, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
-        cells = texts.select(F.explode("cells").alias("cell"), "node", "class", "text")
+        cells = texts.join(part, F.col("_of") == F.col("node")).select(F.explode("cells").alias("cell"), "node", "class", "text")
         return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(verify, "u long, v long")
 
-    roots = joined_groups(asked, search, most).select(F.col("node").alias("_node"), "root")
+    roots = joined_groups(asked.select("root", "node", "size"), search, most).select(F.col("node").alias("_node"), "root")
     named = nodes.join(roots, F.col("node") == F.col("_node"), "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     named = named.join(least.withColumnRenamed("root", "_root"), F.col("root") == F.col("_root")).select(F.col("node").alias("_node"), "component_id")
