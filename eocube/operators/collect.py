@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eocube.functions.cells import argmax
-from eocube.operators import grid, mosaic, search, stats
+from eocube.operators import grid, mosaic, search, stats, warp
 
 
 def item_date(tag: Column, feature: Column, reference: Column) -> Column:
@@ -46,10 +46,10 @@ def item_slice(items: DataFrame, key: str, job: int, n: int) -> DataFrame:
     return items.orderBy(key).offset(job * n).limit(n)
 
 
-def merge_predictions(preds: DataFrame, rects: DataFrame, categorical: bool, nodata: float, bucket: int) -> DataFrame:
+def merge_predictions(preds: DataFrame, rects: DataFrame, categorical: bool, nodata: float) -> DataFrame:
     """Mean where any rectangles overlap and values aren't classes, else first valid. Whether they overlap is one row
     joined to each cell, not a driver-side branch."""
-    some = stats.overlapping_pairs(rects, bucket).limit(1).agg((F.count("*") > 0).alias("_some"))
+    some = stats.overlapping_pairs(rects).limit(1).agg((F.count("*") > 0).alias("_some"))
     both = preds.where(F.col("v") != nodata).groupBy("r", "c").agg(F.avg("v").alias("_mean"), F.min_by("v", "file_order").alias("_first"))
     if categorical:
         return both.select("r", "c", F.col("_first").alias("v"))
@@ -64,15 +64,22 @@ def merge_probabilities(preds: DataFrame) -> DataFrame:
     return p.select("r", "c", argmax(F.transform("s", lambda x: x["p"])).alias("class"))
 
 
-def pixel_stack(matched: DataFrame, cells_of, bands: list[str], mode: str = "latest_pixel", limit: int = 10, cloudy: Column | None = None, score: Column | None = None, qa: str | None = None, mask: DataFrame | None = None) -> DataFrame:
+def pixel_stack(matched: DataFrame, cells_of, bands: list[str], mode: str = "latest_pixel", limit: int = 10, cloudy: Column | None = None, score: Column | None = None, qa: str | None = None, mask: DataFrame | None = None, stats: DataFrame | None = None) -> DataFrame:
     """Mosaics of many items and steps in one plan. matched(tile_id, step_no, step_start, scene_id, sensing_time,
     cloud_cover) are scenes of each item's steps; ranks cut them to limit before cells_of(scenes) reads their cells.
 
     Modes: latest_pixel, cloud_sorted_pixel, composite (cloudy), composite_qa (qa, a column's name), full (score) and
     all, every scene an image of its own, by scene_id. Scenes with a band that is 0 all over are passed over, images
-    whose first band is empty are left out, and cells outside mask(tile_id, r, c) are set to 0."""
+    whose first band is empty are left out, and cells outside mask(tile_id, r, c) are set to 0. With stats(scene_id, a
+    struct per band), zone maps of the scenes as the cells show them, empty scenes are told before and cells are read
+    once; without, they are read a second time to tell. Of scenes with data, only the mode full can make an empty
+    image: the others keep a first band that isn't 0 wherever the first scene has one."""
     by = "cloud_cover" if mode == "cloud_sorted_pixel" else "sensing_time"
-    cells = search.drop_empty_scenes(cells_of(search.limit_scenes(search.rank_scenes(matched, by), limit)), bands)
+    asked = search.limit_scenes(search.rank_scenes(matched, by), limit)
+    if stats is None:
+        cells = search.drop_empty_scenes(cells_of(asked), bands)
+    else:
+        cells = cells_of(search.scenes_with_data(asked, stats, bands, ["scene_id"]))
     if mode in ("latest_pixel", "cloud_sorted_pixel"):
         out = mosaic.first_valid(cells, bands)
     elif mode == "composite":
@@ -82,24 +89,41 @@ def pixel_stack(matched: DataFrame, cells_of, bands: list[str], mode: str = "lat
     elif mode == "all":
         out = mosaic.all_scenes(cells, bands)
     elif mode == "full":
-        out = mosaic.composite_full(cells, bands, score)
+        out = mosaic.drop_empty_steps(mosaic.composite_full(cells, bands, score), bands[0])
     else:
         raise ValueError(f"no mode {mode}")
-    out = mosaic.drop_empty_steps(out, bands[0]) if mode != "all" else out
     return out if mask is None else grid.clip(out, mask, bands, ["tile_id"])
 
 
+def area_stack(areas: DataFrame, scenes: DataFrame, steps: DataFrame, chunks: DataFrame, bands: list[str], scale: float, size: int, discrete: list[str] = (), clip: bool = False, all_touched: bool = False, tolerance: float = 0.125, **stack) -> DataFrame:
+    """Mosaics on the areas' own grids, from scenes of any supported reference system and resolution.
+
+    areas(tile_id, rings, epsg) meet the scenes (scene_id, sensing_time, cloud_cover, lon/lat box, sx0, sy0, sscale, sepsg)
+    whose boxes meet theirs, steps cut them by time, ranks by number; what is left is warped from its chunks, of which
+    only those in an area's window are read, and stacked as pixel_stack() does. With clip, cells outside of the area's
+    rings are 0."""
+    g = grid.grid(areas, scale)
+    boxes = grid.wgs84_bbox(areas).select("tile_id", F.col("west").alias("a_xmin"), F.col("south").alias("a_ymin"), F.col("east").alias("a_xmax"), F.col("north").alias("a_ymax"))
+    met = search.match_scenes(boxes.withColumnRenamed("tile_id", "area_id"), scenes).select(F.col("area_id").alias("tile_id"), *[c for c in scenes.columns if c != "tile_id"])
+    matched = search.assign_steps(met, steps)
+    at = g.select("tile_id", *warp.GRID)
+
+    def cells_of(asked: DataFrame) -> DataFrame:
+        return warp.warp(asked.join(at, "tile_id"), chunks, ["tile_id", "step_no", "idx", "scene_id"], bands, discrete, size, tolerance=tolerance)
+
+    mask = grid.rasterize(g.withColumnRenamed("tile_id", "item"), all_touched).withColumnRenamed("item", "tile_id") if clip else None
+    return pixel_stack(matched, cells_of, bands, mask=mask, **stack)
+
+
 def to_collect(steps: DataFrame, existing: DataFrame, overwrite: bool = False) -> DataFrame:
     """Steps (item, step_no, step_start, step_end) that still need an image, all of them when overwriting."""
     return steps if overwrite else stats.missing_steps(steps, existing)
 
 
 def collect(steps: DataFrame, existing: DataFrame, scenes: DataFrame, cells_of, bands: list[str], overwrite: bool = False, **stack) -> DataFrame:
-    """Incremental collection: mosaics of the missing steps only. Steps meet scenes of their item by the day, so scenes
-    of steps that have an image are dropped before any cell is read."""
-    days = to_collect(steps, existing, overwrite).withColumn("_day", F.explode(F.sequence("step_start", "step_end"))).withColumnRenamed("item", "tile_id")
-    s = scenes.withColumn("_day", F.to_date("sensing_time"))
-    matched = s.join(days, ["tile_id", "_day"]).where(F.col("sensing_time") <= F.col("step_end")).drop("_day")
+    """Incremental collection: mosaics of the missing steps only. Scenes of steps that have an image are dropped before any
+    cell is read."""
+    matched = search.assign_steps(scenes, to_collect(steps, existing, overwrite).withColumnRenamed("item", "tile_id"), ["tile_id"])
     return pixel_stack(matched, cells_of, bands, **stack)
 
 

@@ -6,12 +6,11 @@ downwards. Cells are rows (item, r, c, ...).
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eocube.functions.cells import n_cells
+from eocube.functions.projections import to_wgs84
 
 RINGS = "array<array<struct<x:double,y:double>>>"
 
@@ -34,33 +33,6 @@ def target_scale(scale: Column, source_epsg: Column, target_epsg: Column, source
     return F.coalesce(scale, F.when(source_epsg == target_epsg, F.abs(source_scale)), F.raise_error(F.lit("a scale is needed across reference systems")).cast("double"))
 
 
-def _utm(x: Column, y: Column, epsg: Column) -> tuple[Column, Column]:
-    """Longitude and latitude of a UTM position, by the Krueger series to the third order of the flattening."""
-    a, f, k0 = 6378137.0, 1 / 298.257223563, 0.9996
-    n = f / (2 - f)
-    radius = a / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
-    beta = [n / 2 - 2 / 3 * n**2 + 37 / 96 * n**3, n**2 / 48 + n**3 / 15, 17 / 480 * n**3]
-    delta = [2 * n - 2 / 3 * n**2 - 2 * n**3, 7 / 3 * n**2 - 8 / 5 * n**3, 56 / 15 * n**3]
-    xi = (y - F.when(F.floor(epsg / 100) == 327, F.lit(1e7)).otherwise(F.lit(0.0))) / (k0 * radius)
-    eta = (x - 500000.0) / (k0 * radius)
-    xi1 = xi - sum((b * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, b in enumerate(beta, 1)), F.lit(0.0))
-    eta1 = eta - sum((b * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, b in enumerate(beta, 1)), F.lit(0.0))
-    chi = F.asin(F.sin(xi1) / F.cosh(eta1))
-    lat = chi + sum((d * F.sin(2 * j * chi) for j, d in enumerate(delta, 1)), F.lit(0.0))
-    return (epsg % 100) * 6 - 183 + F.degrees(F.atan2(F.sinh(eta1), F.cos(xi1))), F.degrees(lat)
-
-
-def to_wgs84(x: Column, y: Column, epsg: Column) -> Column:
-    """struct(lon, lat) from EPSG 4326, 3857 or a UTM zone; others are an error."""
-    r = 6378137.0
-    utm = F.floor(epsg / 100).isin(326, 327) & (epsg % 100).between(1, 60)
-    lon, lat = _utm(x, y, epsg)
-    mercator = F.degrees(F.lit(2.0) * F.atan(F.exp(y / r)) - F.lit(math.pi / 2))
-    unknown = F.raise_error(F.concat(F.lit("reference system not supported: "), epsg.cast("string"))).cast("double")
-    pick = lambda wgs, merc, u: F.when(epsg == 4326, wgs).when(epsg == 3857, merc).when(utm, u).otherwise(unknown)
-    return F.struct(pick(x, F.degrees(x / r), lon).alias("lon"), pick(y, mercator, lat).alias("lat"))
-
-
 def wgs84_bbox(areas: DataFrame) -> DataFrame:
     """areas(rings, epsg) with west, south, east and north of the box's two corners."""
     out = areas.withColumn("_b", bbox(F.col("rings")))

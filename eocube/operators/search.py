@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eocube.operators import boxes, intervals
+
 # The catalogue platforms behind a requested one, and the collections that are searched for them.
 SENTINEL, SENTINEL_PLATFORMS = "SENTINEL_2", ["sentinel-2a", "sentinel-2b", "sentinel-2c", "sentinel-2d"]
 LANDSAT_PLATFORMS = ["LANDSAT_1", "LANDSAT_2", "LANDSAT_3", "LANDSAT_4", "LANDSAT_5", "LANDSAT_6", "LANDSAT_7", "LANDSAT_8"]
@@ -90,22 +92,14 @@ def require_bands(df: DataFrame, bands: Column, wanted: list[str]) -> DataFrame:
     return df.withColumn("bands", F.when(F.size(lacking) == 0, bands).otherwise(F.raise_error(F.concat(F.lit("missing bands: "), F.array_join(lacking, ", "))).cast("map<string,string>")))
 
 
-def match_scenes(areas: DataFrame, scenes: DataFrame, bucket: float) -> DataFrame:
-    """areas(area_id, a_xmin...) with the scenes whose boxes meet theirs. Both sides are put into grid buckets, which
-    makes it an equi-join; a pair is reported in the bucket of its overlap's lower corner alone."""
-    buckets = lambda lo, hi: F.sequence(F.floor(F.col(lo) / bucket), F.floor(F.col(hi) / bucket))
-    a = areas.withColumn("_x", F.explode(buckets("a_xmin", "a_xmax"))).withColumn("_y", F.explode(buckets("a_ymin", "a_ymax")))
-    s = scenes.withColumn("_x", F.explode(buckets("xmin", "xmax"))).withColumn("_y", F.explode(buckets("ymin", "ymax")))
-    meet = (F.col("xmin") <= F.col("a_xmax")) & (F.col("xmax") >= F.col("a_xmin")) & (F.col("ymin") <= F.col("a_ymax")) & (F.col("ymax") >= F.col("a_ymin"))
-    first = (F.col("_x") == F.floor(F.greatest("xmin", "a_xmin") / bucket)) & (F.col("_y") == F.floor(F.greatest("ymin", "a_ymin") / bucket))
-    return a.join(s, ["_x", "_y"]).where(meet & first).drop("_x", "_y")
+def match_scenes(areas: DataFrame, scenes: DataFrame) -> DataFrame:
+    """areas(area_id, a_xmin...) with the scenes whose boxes meet theirs."""
+    return boxes.meeting(areas, scenes)
 
 
-def assign_steps(scenes: DataFrame, steps: DataFrame) -> DataFrame:
-    """Scenes of each step: step_start <= time <= step_end, the end being midnight. An equi-join on the day."""
-    days = steps.withColumn("_day", F.explode(F.sequence("step_start", "step_end")))
-    s = scenes.withColumn("_day", F.to_date("sensing_time"))
-    return s.join(days, "_day").where(F.col("sensing_time") <= F.col("step_end")).drop("_day")
+def assign_steps(scenes: DataFrame, steps: DataFrame, keys: list[str] = ()) -> DataFrame:
+    """Scenes of each step (of the same keys): step_start <= time <= step_end, the end being midnight."""
+    return intervals.days_in_intervals(scenes, F.to_date("sensing_time"), steps, keys).where(F.col("sensing_time") <= F.col("step_end"))
 
 
 def rank_scenes(matched: DataFrame, by: str = "sensing_time", to: str = "idx") -> DataFrame:
@@ -123,3 +117,12 @@ def drop_empty_scenes(cells: DataFrame, bands: list[str]) -> DataFrame:
     for b in bands:
         full = full.where(F.col(b) > 0)
     return cells.join(full.select("tile_id", "step_no", "scene_id"), ["tile_id", "step_no", "scene_id"], "left_semi")
+
+
+def scenes_with_data(scenes: DataFrame, stats: DataFrame, bands: list[str], keys: list[str]) -> DataFrame:
+    """Scenes with a valid value in every band, told by stats(keys, a struct with `valid` per band), the images' added-up
+    zone maps: what drop_empty_scenes() finds, before a cell is read."""
+    full = stats
+    for b in bands:
+        full = full.where(F.col(f"{b}.valid") > 0)
+    return scenes.join(full.select(*keys), keys, "left_semi")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eocube.operators import boxes, intervals
+
 
 def value_counts(df: DataFrame) -> DataFrame:
     """Counts per item and over all items (item_id null) in one pass."""
@@ -44,13 +46,10 @@ def merge_rasters(df: DataFrame, how: str, nodata: float) -> DataFrame:
     return df.where(F.col("v") != nodata).groupBy("r", "c").agg(agg[how].alias("v"))
 
 
-def overlapping_pairs(rects: DataFrame, bucket: int) -> DataFrame:
-    """Pairs whose interiors meet, neither holding the other. An equi-join on grid buckets; a pair is reported in the
-    bucket of its overlap's lower corner."""
-    cells = rects.withColumn("_x", F.explode(F.sequence(F.floor(F.col("xmin") / bucket), F.floor(F.col("xmax") / bucket)))).withColumn("_y", F.explode(F.sequence(F.floor(F.col("ymin") / bucket), F.floor(F.col("ymax") / bucket))))
-    a, b = (cells.select("_x", "_y", *[F.col(k).alias(f"{s}_{k}") for k in rects.columns]) for s in "ab")
-    p = a.join(b, ["_x", "_y"]).where("a_id < b_id and a_xmin < b_xmax and b_xmin < a_xmax and a_ymin < b_ymax and b_ymin < a_ymax")
-    p = p.where((F.col("_x") == F.floor(F.greatest("a_xmin", "b_xmin") / bucket)) & (F.col("_y") == F.floor(F.greatest("a_ymin", "b_ymin") / bucket)))
+def overlapping_pairs(rects: DataFrame) -> DataFrame:
+    """Pairs whose interiors meet, neither holding the other."""
+    a, b = (rects.select(*[F.col(k).alias(f"{s}_{k}") for k in rects.columns]) for s in "ab")
+    p = boxes.meeting(a, b, "a_", "b_").where("a_id < b_id and a_xmin < b_xmax and b_xmin < a_xmax and a_ymin < b_ymax and b_ymin < a_ymax")
     holds = lambda p, q: f"({p}_xmin <= {q}_xmin and {p}_ymin <= {q}_ymin and {p}_xmax >= {q}_xmax and {p}_ymax >= {q}_ymax)"
     return p.where(f"not {holds('a', 'b')} and not {holds('b', 'a')}").select("a_id", "b_id")
 
@@ -61,13 +60,21 @@ def overview_factors(height: int, width: int) -> list[int]:
 
 
 def pyramid(cells: DataFrame, factors: list[int], nearest: bool = False) -> DataFrame:
-    """Overviews of cells(r, c, v): by averaging, as for floats, or the value of each block's first cell, as for whole
-    numbers, whose mean may be no class."""
-    f = cells.withColumn("factor", F.explode(F.array(*[F.lit(x) for x in factors])))
-    block = [F.floor(F.col(k) / F.col("factor")).cast("int").alias(k) for k in ("r", "c")]
+    """Overviews of cells(r, c, v) by factors that each divide the next: by averaging, as for floats, or the value of each
+    block's first cell, as for whole numbers, whose mean may be no class. Averages are a cascade: sums and counts go
+    from each level to the next, so a level costs a fraction of the one before, not another pass over the cells."""
     if nearest:
-        return f.where("r % factor = 0 and c % factor = 0").select("factor", *block, "v")
-    return f.groupBy("factor", *block).agg(F.avg("v").alias("v"))
+        f = cells.withColumn("factor", F.explode(F.filter(F.array(*[F.lit(x) for x in factors]), lambda x: (F.col("r") % x == 0) & (F.col("c") % x == 0))))
+        return f.select("factor", *[F.floor(F.col(k) / F.col("factor")).cast("int").alias(k) for k in ("r", "c")], "v")
+    level, before, out = cells.select("r", "c", F.col("v").cast("double").alias("_s"), F.col("v").isNotNull().cast("long").alias("_n")), 1, None
+    for x in sorted(factors):
+        if x % before:
+            raise ValueError(f"{before} does not divide {x}")
+        block = [F.floor(F.col(k) / (x // before)).cast("int").alias(k) for k in ("r", "c")]
+        level, before = level.groupBy(*block).agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n")), x
+        one = level.select(F.lit(x).alias("factor"), "r", "c", F.when(F.col("_n") > 0, F.col("_s") / F.col("_n")).alias("v"))
+        out = one if out is None else out.unionByName(one)
+    return cells.select(F.lit(0).alias("factor"), "r", "c", F.col("v").cast("double").alias("v")).where("false") if out is None else out
 
 
 def nodata_counts(cells: DataFrame, keys: list[str], value: str, nodata: float) -> DataFrame:
@@ -89,10 +96,11 @@ def catalog_length(catalogs: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def missing_steps(steps: DataFrame, existing: DataFrame) -> DataFrame:
-    """Steps (item, step_no, step_start, step_end) without a date of existing(item, date) in them. Steps are spread over
-    their days, so both joins are on equal keys and repeated dates count once."""
-    days = steps.select("item", "step_no", F.explode(F.sequence("step_start", "step_end")).alias("date"))
-    have = days.join(existing.select("item", "date"), ["item", "date"], "left_semi").select("item", "step_no")
+    """Steps (item, step_no, step_start, step_end) without a date of existing(item, date) in them. Both joins are on equal
+    keys, and repeated dates count once."""
+    blocks = intervals.covered(steps)
+    dates = intervals.at_levels(existing.select("item", "date").distinct(), F.col("date"), intervals.levels_of(blocks))
+    have = blocks.join(dates, ["item", "_level", "_block"], "left_semi").select("item", "step_no")
     return steps.join(have, ["item", "step_no"], "left_anti").select(*steps.columns)
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from eocube.functions import cells as fc
 from eocube.functions import clouds, dates, links, lookups
-from eocube.operators import collect, grid, mosaic, samples, search, stats, training
+from eocube.operators import boxes, collect, grid, intervals, mosaic, samples, search, stats, training, warp, windows
 from eocube.sources import fixtures as fx
 from eocube.sources import rasters
 from eocube.sources import scenes as scene_source
@@ -80,7 +81,7 @@ query("w2_rank_scenes", _ranked + "select scene_id, step_no, idx, idc from ranke
 query("j2_assign_steps", _ranked + "select scene_id, step_no, step_start, step_end from ranked join step using (step_no)")(lambda s, d: search.assign_steps(fx.scenes(s, d), steps(s)).select("scene_id", "step_no", "step_start", "step_end"))
 query("k2_limit_scenes", _ranked + "select scene_id, step_no, idx from ranked where idx <= 3")(lambda s, d: search.limit_scenes(ranked(s, d), 3).select("scene_id", "step_no", "idx"))
 query("j1_match_scenes", f"with {fx.SCENE}, {fx.RECT} select r.id as area_id, scene_id from rect r join scene s on s.xmin <= r.xmax * 10 and s.xmax >= r.xmin * 10 and s.ymin <= r.ymax * 10 and s.ymax >= r.ymin * 10")(
-    lambda s, d: search.match_scenes(fx.rectangles(s, d).select(F.col("id").alias("area_id"), *[(F.col(k) * 10).alias(f"a_{k}") for k in ("xmin", "ymin", "xmax", "ymax")]), fx.scenes(s, d), 1000).select("area_id", "scene_id")
+    lambda s, d: search.match_scenes(fx.rectangles(s, d).select(F.col("id").alias("area_id"), *[(F.col(k) * 10).alias(f"a_{k}") for k in ("xmin", "ymin", "xmax", "ymax")]), fx.scenes(s, d)).select("area_id", "scene_id")
 )
 query("f10_drop_empty_scenes", _cell + ", e as (select tile_id, step_no, scene_id from cell group by all having max(abs(b0)) > 0 and max(abs(b02)) > 0) select tile_id, step_no, scene_id, count(*) as n from cell join e using (tile_id, step_no, scene_id) group by all")(
     lambda s, d: search.drop_empty_scenes(cells(s, d), ["b0", "b02"]).groupBy("tile_id", "step_no", "scene_id").agg(F.count("*").alias("n"))
@@ -174,7 +175,7 @@ query("a18_pyramid", f"with {fx.RASTER}, m as (select r, c, sum(v) as v from ras
 query("a18_pyramid_nearest", f"with {fx.RASTER}, m as (select r, c, count(v) as v from raster where v <> 1 group by all) select f::int as factor, (r // f)::int as r, (c // f)::int as c, v from m, (select unnest([2, 4, 8, 16, 32]) as f) where r = r // f * f and c = c // f * f")(
     lambda s, d: stats.pyramid(stats.merge_rasters(fx.rasters(s, d), "count", 1), stats.overview_factors(50, 50), nearest=True)
 )
-query("j4_overlapping_pairs", f"with {fx.RECT} select a.id as a_id, b.id as b_id from rect a join rect b on a.id < b.id and a.xmin < b.xmax and b.xmin < a.xmax and a.ymin < b.ymax and b.ymin < a.ymax and not (a.xmin <= b.xmin and a.ymin <= b.ymin and a.xmax >= b.xmax and a.ymax >= b.ymax) and not (b.xmin <= a.xmin and b.ymin <= a.ymin and b.xmax >= a.xmax and b.ymax >= a.ymax)")(lambda s, d: stats.overlapping_pairs(fx.rectangles(s, d), 20))
+query("j4_overlapping_pairs", f"with {fx.RECT} select a.id as a_id, b.id as b_id from rect a join rect b on a.id < b.id and a.xmin < b.xmax and b.xmin < a.xmax and a.ymin < b.ymax and b.ymin < a.ymax and not (a.xmin <= b.xmin and a.ymin <= b.ymin and a.xmax >= b.xmax and a.ymax >= b.ymax) and not (b.xmin <= a.xmin and b.ymin <= a.ymin and b.xmax >= a.xmax and b.ymax >= a.ymax)")(lambda s, d: stats.overlapping_pairs(fx.rectangles(s, d)))
 
 # Dates and incremental collection
 _MONTHS = "with recursive it as (select distinct o_custkey as item, date '1995-01-31' + ((o_custkey % 50) * 7)::int as start, date '1996-06-30' as fin from orders), st as (select item, fin, 0 as step_no, start as a, (start + interval 1 month)::date as b from it union all select item, fin, step_no + 1, (a + interval 1 month)::date, (b + interval 1 month)::date from st where b - 1 <= fin), step as (select item, step_no, a as step_start, b - 1 as step_end from st where b - 1 <= fin)"
@@ -198,6 +199,31 @@ query("w6_time_bubbles", _MISSING + ", k as (select *, step_no - row_number() ov
 query("x1_daily_steps", "with it as (select n_nationkey as item, date '1972-07-23' + n_nationkey::int as start, date '2026-01-01' as fin from nation), s as (select item, start, fin, unnest(range(0, datediff('day', start, fin) + 1)) as step_no from it) select item, step_no::int as step_no, start + step_no::int as step_start, start + step_no::int as step_end from s")(
     lambda s, d: dates.time_steps(fx.table(s, d, "nation").select(F.col("n_nationkey").alias("item"), F.date_add(F.lit("1972-07-23").cast("date"), F.col("n_nationkey").cast("int")).alias("start"), F.lit("2026-01-01").cast("date").alias("end")), "days", 1).drop("start", "end")
 )
+
+
+def mixed_steps(s, d):
+    """Daily, monthly and one step of all time, over the same 53 years."""
+    it = s.sql("select date'1972-07-23' as start, date'2026-01-01' as `end`")
+    daily, monthly_, whole = (dates.time_steps(it, k, 1).drop("start", "end").withColumn("kind", F.lit(k)) for k in ("days", "months", "all"))
+    return daily.unionByName(monthly_).unionByName(whole)
+
+
+query("j2_mixed_steps", "with s as (select 'days' as kind, i::int as step_no, date '1972-07-23' + i::int as a, date '1972-07-23' + i::int as b from range(date '2026-01-01' - date '1972-07-23' + 1) t(i) union all select 'months', i::int, (date '1972-07-23' + to_months(i::int))::date, (date '1972-07-23' + to_months((i + 1)::int))::date - 1 from range(700) t(i) where (date '1972-07-23' + to_months((i + 1)::int))::date - 1 <= date '2026-01-01' union all select 'all', 0, date '1972-07-23', date '2026-01-01') select kind, step_no, count(*) as n, min(o_orderkey) as least from s join orders on o_orderdate::date between a and b group by all")(
+    lambda s, d: intervals.days_in_intervals(fx.table(s, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("date")), F.col("date"), mixed_steps(s, d)).groupBy("kind", "step_no").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("least"))
+)
+_SIZES = "select {k} as id, ({k} * 7919 % 100003 * 10)::double as x, ({k} * 104729 % 99991 * 10)::double as y, pow(10, {k} % 7)::double as side from {t}"
+
+
+def sized_boxes(s, d, table, key, prefix=""):
+    """Boxes with sides from 1 to a million."""
+    k = F.col(key)
+    x, y, side = (k * 7919 % 100003 * 10).cast("double"), (k * 104729 % 99991 * 10).cast("double"), F.pow(F.lit(10.0), k % 7)
+    return fx.table(s, d, table).select(k.alias(f"{prefix}id"), *[v.alias(prefix + n) for n, v in zip(boxes.SIDES, (x, y, x + side, y + side), strict=True)])
+
+
+query("j1_many_sizes", f"with a as ({_SIZES.format(k='c_custkey', t='customer')}), b as ({_SIZES.format(k='s_suppkey', t='supplier')}) select a.id as a_id, b.id as id from a join b on a.x <= b.x + b.side and b.x <= a.x + a.side and a.y <= b.y + b.side and b.y <= a.y + a.side")(
+    lambda s, d: boxes.meeting(sized_boxes(s, d, "customer", "c_custkey", "a_"), sized_boxes(s, d, "supplier", "s_suppkey")).select("a_id", "id")
+)
 query("x2_default_start", "select o_orderkey, coalesce(o_orderdate::date - 31, date '1972-07-23') as start from orders")(lambda s, d: fx.table(s, d, "orders").select("o_orderkey", dates.default_start(F.col("o_orderdate").cast("date")).alias("start")))
 
 # Links
@@ -373,12 +399,27 @@ query("u2_merge_collections", "select o_custkey, min(o_orderkey) as o_orderkey f
 )
 query("w7_item_slice", "select o_orderkey from orders order by o_orderkey limit 500 offset 1000")(lambda s, d: collect.item_slice(fx.table(s, d, "orders").select("o_orderkey"), "o_orderkey", 2, 500))
 query("w5_first_date", _ranked + "select tile_id, step_no, sensing_time::date as date from ranked where idx = 1")(lambda s, d: collect.first_date(ranked(s, d)))
-query("a17_merge_predictions", f"with {fx.RASTER} select r, c, round(avg(v), 6) as v from raster where v <> 1 group by all")(lambda s, d: collect.merge_predictions(fx.rasters(s, d), fx.rectangles(s, d), False, 1, 20).withColumn("v", F.round("v", 6)))
+query("a17_merge_predictions", f"with {fx.RASTER} select r, c, round(avg(v), 6) as v from raster where v <> 1 group by all")(lambda s, d: collect.merge_predictions(fx.rasters(s, d), fx.rectangles(s, d), False, 1).withColumn("v", F.round("v", 6)))
 query("m8_pixel_stack", _cell + f", x as (select *, row_number() over (partition by tile_id, step_no, r, c order by (b0 = 0), case when b0 = 0 then -idc else idc end) as k from cell where idc <= 5), y as (select * from x where k = 1 qualify max(abs(b0)) over (partition by tile_id, step_no) > 0) select tile_id, step_no, r, c, case when (r + c + tile_id) % 3 <> 0 then b0 else 0 end as b0, case when (r + c + tile_id) % 3 <> 0 then b02 else 0 end as b02 from y")(
     lambda s, d: collect.pixel_stack(search.assign_steps(fx.scenes(s, d), steps(s)), fx.cells, ["b0", "b02"], "cloud_sorted_pixel", 5, mask=tile_mask(s, d))
 )
 
 
+def warped_stack(s, d):
+    """Weekly mosaics of areas in EPSG 3857 from rasters in two UTM zones: classes by nearest cells, bands bilinearly."""
+    return collect.area_stack(fx.warp_areas(s, d), fx.warp_scenes(s, d), steps(s), fx.warp_chunks(s, d), ["b0", "b02", "scl"], 120.0, fx.CHUNK, ["scl"], tolerance=0, limit=3)
+
+
+query("m8_area_stack", f"with {fx.WARP}, e as (select tile_id, step_no, scene_id from warped group by all having max(b0) > 0 and max(b02) > 0 and max(scl) > 0), x as (select *, row_number() over (partition by tile_id, step_no, r, c order by (b0 = 0), case when b0 = 0 then -idx else idx end) as k from warped join e using (tile_id, step_no, scene_id)) select tile_id, step_no, r, c, b0, b02, scl from x where k = 1")(warped_stack)
+query("g5_g6_warp", f"with {fx.WARP} select tile_id, step_no, scene_id, r, c, b0, b02, scl from warped where idx = 1")(
+    lambda s, d: warp.warp(
+        search.limit_scenes(search.rank_scenes(search.assign_steps(search.match_scenes(grid.wgs84_bbox(fx.warp_areas(s, d)).select(F.col("tile_id").alias("area_id"), F.col("west").alias("a_xmin"), F.col("south").alias("a_ymin"), F.col("east").alias("a_xmax"), F.col("north").alias("a_ymax")), fx.warp_scenes(s, d)).drop("tile_id").withColumnRenamed("area_id", "tile_id"), steps(s))), 1)
+        .join(grid.grid(fx.warp_areas(s, d), 120.0).select("tile_id", *warp.GRID), "tile_id"),
+        fx.warp_chunks(s, d), ["tile_id", "step_no", "scene_id"], ["b0", "b02", "scl"], ["scl"], fx.CHUNK, tolerance=0,
+    )
+)
+
+
 def holey(scenes):
     """Cells of which every sixth scene has an empty band, so it must be passed over."""
     return fx.cells(scenes).withColumn("b02", F.when(F.col("scene_id") % 6 == 0, 0).otherwise(F.col("b02")))
@@ -387,7 +428,51 @@ def holey(scenes):
 query("m8_empty_scenes", _cell + ", x as (select *, row_number() over (partition by tile_id, step_no, r, c order by (b0 = 0), case when b0 = 0 then -idx else idx end) as k from cell where idx <= 4 and scene_id % 6 <> 0) select tile_id, step_no, r, c, b0, b02 from x where k = 1 qualify max(abs(b0)) over (partition by tile_id, step_no) > 0")(
     lambda s, d: collect.pixel_stack(search.assign_steps(fx.scenes(s, d), steps(s)), holey, ["b0", "b02"], "latest_pixel", 4)
 )
-query("m8_all_mode", _cell + "select scene_id, tile_id, step_no, r, c, b0, b02 from cell where idx <= 4 and scene_id % 6 <> 0")(
+
+
+def scene_stats(s, d):
+    """Zone maps of the holey scenes, each one chunk of 4 x 4, from arrays without a look at cells."""
+    at = F.sequence(F.lit(0), F.lit(15))
+    values = lambda band: F.transform(at, lambda p: fx.warp_values(F.col("scene_id"), F.floor(p / 4), p % 4)[band])
+    b0, b02 = values("b0"), values("b02")
+    chunks = fx.scenes(s, d).select("scene_id", F.lit(4).alias("h"), F.lit(4).alias("w"), b0.alias("b0"), F.when(F.col("scene_id") % 6 == 0, F.transform(at, lambda p: F.lit(0))).otherwise(b02).alias("b02"))
+    return rasters.chunk_stats(chunks, ["b0", "b02"])
+
+
+query("m8_zone_maps", _cell + ", x as (select *, row_number() over (partition by tile_id, step_no, r, c order by (b0 = 0), case when b0 = 0 then -idx else idx end) as k from cell where idx <= 4 and scene_id % 6 <> 0) select tile_id, step_no, r, c, b0, b02 from x where k = 1 qualify max(abs(b0)) over (partition by tile_id, step_no) > 0")(
+    lambda s, d: collect.pixel_stack(search.assign_steps(fx.scenes(s, d), steps(s)), holey, ["b0", "b02"], "latest_pixel", 4, stats=rasters.image_stats(scene_stats(s, d), ["scene_id"], ["b0", "b02"]))
+)
+query("a4_zone_maps", _scene + ", v as (select scene_id, case when (scene_id * 7 + i // 4 * 3 + i % 4 * 5) % 4 = 0 then 0 else 1 + (scene_id * 37 + i // 4 * 101 + i % 4 * 59) % 9999 end as b0 from scene, range(16) t(i)) select scene_id, min(b0) filter (where b0 <> 0)::int as least, max(b0) filter (where b0 <> 0)::int as most, count(*) filter (where b0 = 0) as nodata, count(*) filter (where b0 <> 0) as valid from v group by all")(
+    lambda s, d: rasters.image_stats(scene_stats(s, d), ["scene_id"], ["b0"]).select("scene_id", "b0.*")
+)
+_RASTERS = _scene + ", src as (select scene_id as item, i::int as r, j::int as c, (case when (scene_id * 7 + i * 3 + j * 5) % 4 = 0 then 0 else 1 + (scene_id * 37 + i * 101 + j * 59) % 9999 end)::int as b0, (case when scene_id % 11 = 0 then 0 else (scene_id * 41 + i * 7 + j * 11) % 10000 end)::int as b02 from scene, range(12) t(i), range(10) u(j))"
+
+
+def stored_chunks(s, d):
+    return fx.warp_chunks(s, d).withColumnRenamed("scene_id", "item").withColumn("t", F.lit(0))
+
+
+query("s4_explode_windows", _RASTERS + " select item, 0 as t, r, c, b0, b02 from src where r between item % 8 and item % 8 + 5 and c between item % 7 and item % 7 + 3")(
+    lambda s, d: rasters.explode_windows(stored_chunks(s, d), fx.scenes(s, d).select(F.col("scene_id").alias("item"), (F.col("scene_id") % 8).alias("row0"), (F.col("scene_id") % 8 + 5).alias("row1"), (F.col("scene_id") % 7).alias("col0"), (F.col("scene_id") % 7 + 3).alias("col1")), fx.CHUNK, ["b0", "b02"])
+)
+
+
+def window_peaks(s, d):
+    """A model of which each window's greatest value is known, over windows of 5 x 5 on images of 12 x 10 in chunks of 5."""
+
+    def model(x):
+        v = x[:, 0, :, :, 0]
+        top = v.max(axis=(1, 2), keepdims=True)
+        return np.stack([np.broadcast_to(top, v.shape), v - top], axis=-1)
+
+    meta = fx.scenes(s, d).select(F.col("scene_id").alias("item"), F.lit(fx.ROWS).alias("height"), F.lit(fx.COLS).alias("width"))
+    return windows.predict_windows(stored_chunks(s, d), meta, ["b0"], model, 2, fx.CHUNK, 5, 0.5)
+
+
+query("p11_window_peaks", _RASTERS + ", win as (select distinct greatest(0, least(i, 7)) as row, greatest(0, least(j, 5)) as col from (select unnest(range(0, 12, 2)) as i), (select unnest(range(0, 10, 2)) as j)), near as (select * from src join win on r between row and row + 4 and c between col and col + 4), m as (select *, max(b0) over (partition by item, row, col) as top from near) select item, r, c, round(avg(top), 6) as peak, round(avg(b0 - top), 6) as below from m group by all")(
+    lambda s, d: window_peaks(s, d).select("item", "r", "c", F.round(F.col("probs")[0], 6).alias("peak"), F.round(F.col("probs")[1], 6).alias("below"))
+)
+query("m8_all_mode",_cell + "select scene_id, tile_id, step_no, r, c, b0, b02 from cell where idx <= 4 and scene_id % 6 <> 0")(
     lambda s, d: collect.pixel_stack(search.assign_steps(fx.scenes(s, d), steps(s)), holey, ["b0", "b02"], "all", 4)
 )
 query("m8_composite_qa", _composite_sql("m = 1", _QA, "(select * from qcell where idx <= 10)"))(

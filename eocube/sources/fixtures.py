@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eocube.functions.projections import mercator_to_wgs84, wgs84_to_utm
+
 #: (scene, row, column) factors of each band's value.
 BANDS = {"b01": (73, 61, 67), "b05": (79, 67, 71), "b02": (41, 7, 11), "b03": (43, 13, 17), "b04": (47, 19, 23), "b08": (53, 29, 31), "b8a": (59, 37, 41), "b11": (61, 43, 47), "b12": (67, 53, 59)}
 
@@ -112,3 +114,90 @@ def probabilities(spark, sf_dir) -> DataFrame:
 
 
 PROB = "prob as (select vec_id, list_transform(embedding[1:10], lambda x: abs(x::double)) as probs, (vec_id % 10)::int as class from embeddings)"
+
+
+#: Rasters of 12 x 10 cells of 100 m in UTM zones 29 and 30, in chunks of 5 x 5, and areas of 6 x 8 cells of 120 in EPSG 3857.
+ROWS, COLS, CHUNK = 12, 10, 5
+
+
+def _tile_corner():
+    return -668000.0 + F.col("tile_id") % 12 * 1000.0, 4680000.0 - F.floor(F.col("tile_id") / 12) * 1000.0
+
+
+def warp_areas(spark, sf_dir) -> DataFrame:
+    """A rectangle for each tile."""
+    x, y = _tile_corner()
+    point = lambda a, b: F.struct(a.alias("x"), b.alias("y"))
+    ring = F.array(point(x, y), point(x, y - 720), point(x + 960, y - 720), point(x + 960, y))
+    return scenes(spark, sf_dir).select("tile_id").distinct().select("tile_id", F.lit(3857).alias("epsg"), F.array(ring).alias("rings"))
+
+
+def warp_scenes(spark, sf_dir) -> DataFrame:
+    """Scenes with a raster of their own, in either zone by their number and shifted by up to six cells, and a box in degrees."""
+    x, y = _tile_corner()
+    s = scenes(spark, sf_dir).select("scene_id", "tile_id", "sensing_time", "cloud_cover", (32629 + F.col("scene_id") % 2).cast("int").alias("sepsg"))
+    (xmin, ymin), (xmax, ymax) = mercator_to_wgs84(F, x - 300, y - 1200), mercator_to_wgs84(F, x + 1300, y + 300)
+    east, north = wgs84_to_utm(F, *mercator_to_wgs84(F, x, y), F.col("sepsg") % 100, 0.0)
+    return s.withColumns({"xmin": xmin, "xmax": xmax, "ymin": ymin, "ymax": ymax, "sx0": F.floor(east / 100) * 100.0 - 200 + F.col("scene_id") % 7 * 100, "sy0": F.ceil(north / 100) * 100.0 + 200, "sscale": F.lit(100.0)})
+
+
+def warp_values(scene, r, c):
+    """b0, b02 and scl of a cell."""
+    return {"b0": F.when((scene * 7 + r * 3 + c * 5) % 4 == 0, 0).otherwise(1 + (scene * 37 + r * 101 + c * 59) % 9999).cast("int"), "b02": ((scene * 41 + r * 7 + c * 11) % 10000).cast("int"), "scl": ((scene * 11 + r * 5 + c * 3) % 12).cast("int")}
+
+
+def warp_chunks(spark, sf_dir) -> DataFrame:
+    """The rasters as chunks with an array for each band; every eleventh scene has nothing in b02."""
+    s = scenes(spark, sf_dir).select("scene_id").withColumn("chunk_row", F.explode(F.sequence(F.lit(0), F.lit((ROWS - 1) // CHUNK)))).withColumn("chunk_col", F.explode(F.sequence(F.lit(0), F.lit((COLS - 1) // CHUNK))))
+    s = s.withColumns({"h": F.least(F.lit(CHUNK), ROWS - F.col("chunk_row") * CHUNK), "w": F.least(F.lit(CHUNK), COLS - F.col("chunk_col") * CHUNK)})
+    at = F.sequence(F.lit(0), F.col("h") * F.col("w") - 1)
+
+    def data(band):
+        values = F.transform(at, lambda p: warp_values(F.col("scene_id"), F.col("chunk_row") * CHUNK + F.floor(p / F.col("w")), F.col("chunk_col") * CHUNK + p % F.col("w"))[band])
+        return F.when((F.col("scene_id") % 11 == 0) & F.lit(band == "b02"), F.transform(values, lambda v: v * 0)).otherwise(values)
+
+    return s.withColumns({b: data(b) for b in ("b0", "b02", "scl")})
+
+
+def _warp_sql() -> str:
+    """Up to warped(tile_id, step_no, idx, scene_id, r, c, b0, b02, scl), by the closed forms cell by cell; values come from
+    their formulas, which stand for the source rasters."""
+    f = 1 / 298.257223563
+    n = f / (2 - f)
+    a = 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64) * 0.9996
+    e = 2 * n**0.5 / (1 + n)
+    alpha = [n / 2 - 2 / 3 * n**2 + 5 / 16 * n**3, 13 / 48 * n**2 - 3 / 5 * n**3, 61 / 240 * n**3]
+    d = lambda v: f"{v!r}::double"
+    lonlat = lambda x, y: (f"degrees(({x}) / 6378137.0::double)", f"degrees(2 * atan(exp(({y}) / 6378137.0::double)) - pi() / 2)")
+
+    def utm(source: str, out: str, x: str, y: str) -> str:
+        lon, lat = lonlat(x, y)
+        series = lambda f, g: " + ".join(f"{d(v)} * {f}({2 * j} * xi) * {g}({2 * j} * eta)" for j, v in enumerate(alpha, 1))
+        return (
+            f"{out}_1 as (select *, sin(radians({lat})) as si, radians({lon} - ((sepsg % 100) * 6 - 183)) as la from {source}), {out}_2 as (select *, sinh(atanh(si) - {d(e)} * atanh({d(e)} * si)) as tt from {out}_1), "
+            f"{out}_3 as (select *, atan2(tt, cos(la)) as xi, atanh(sin(la) / sqrt(1 + tt * tt)) as eta from {out}_2), "
+            f"{out} as (select * exclude (si, la, tt, xi, eta), 500000 + {d(a)} * (eta + {series('cos', 'sinh')}) as ee, {d(a)} * (xi + {series('sin', 'cosh')}) as nn from {out}_3)"
+        )
+
+    b0, b02, scl = "case when (scene_id * 7 + {r} * 3 + {c} * 5) % 4 = 0 then 0 else 1 + (scene_id * 37 + {r} * 101 + {c} * 59) % 9999 end", "case when scene_id % 11 = 0 then 0 else (scene_id * 41 + {r} * 7 + {c} * 11) % 10000 end", "(scene_id * 11 + {r} * 5 + {c} * 3) % 12"
+    at = lambda v: v.format(r="r", c="c")
+    (w, s), (east, north) = lonlat("x", "y - 720"), lonlat("x + 960", "y")
+    (xmin, ymin), (xmax, ymax) = lonlat("x - 300", "y - 1200"), lonlat("x + 1300", "y + 300")
+    mean = lambda b: f"coalesce(round(sum(k * {b}) filter (where {b} <> 0) / sum(k) filter (where {b} <> 0))::int, 0)"
+    return f"""{SCENE}, {STEP}, wt as (select *, (32629 + scene_id % 2)::int as sepsg, -668000 + (tile_id % 12) * 1000.0::double as x, 4680000 - (tile_id // 12) * 1000.0::double as y from scene),
+ {utm("wt", "wo", "x", "y")},
+ ws as (select scene_id, sensing_time, sepsg, floor(ee / 100) * 100 - 200 + scene_id % 7 * 100 as sx0, ceil(nn / 100) * 100 + 200 as sy0, {xmin} as bx0, {ymin} as by0, {xmax} as bx1, {ymax} as by1 from wo),
+ wa as (select distinct tile_id, x, y, {w} as west, {s} as south, {east} as east, {north} as north from wt),
+ wm as (select tile_id, x, y, scene_id, sepsg, sx0, sy0, step_no, row_number() over (partition by tile_id, step_no order by sensing_time desc, scene_id)::int as idx from wa join ws on bx0 <= east and bx1 >= west and by0 <= north and by1 >= south join step on sensing_time >= step_start and sensing_time <= step_end),
+ wc as (select tile_id, scene_id, sepsg, sx0, sy0, step_no, idx, i::int as r, j::int as c, x + (j + 0.5::double) * 120 as x, y - (i + 0.5::double) * 120 as y from wm, range(6) t(i), range(8) u(j) where idx <= 3),
+ {utm("wc", "wp", "x", "y")},
+ wr as (select tile_id, step_no, idx, scene_id, r as tr, c as tc, (sy0 - nn) / 100 as row, (ee - sx0) / 100 as col from wp),
+ wk as (select *, ceil(row - 1.5::double)::bigint + i as r, ceil(col - 1.5::double)::bigint + j as c from wr, range(3) t(i), range(3) u(j)),
+ wv as (select *, greatest(1 - abs(r + 0.5::double - row), 0) * greatest(1 - abs(c + 0.5::double - col), 0) as k, {at(b0)} as b0, {at(b02)} as b02 from wk where r between 0 and 11 and c between 0 and 9),
+ wb as (select tile_id, step_no, idx, scene_id, tr, tc, {mean("b0")} as b0, {mean("b02")} as b02 from wv where k > 0 group by all),
+ wn as (select *, floor(row)::bigint as r, floor(col)::bigint as c from wr),
+ warped as (select wn.tile_id, wn.step_no, wn.idx, wn.scene_id, wn.tr as r, wn.tc as c, inside, case when inside then coalesce(b0, 0) else 0 end as b0, case when inside then coalesce(b02, 0) else 0 end as b02, case when inside then {scl.format(r="wn.r", c="wn.c").replace("scene_id", "wn.scene_id")} else 0 end::int as scl
+  from (select *, r between 0 and 11 and c between 0 and 9 as inside from wn) wn left join wb on wb.tile_id = wn.tile_id and wb.step_no = wn.step_no and wb.scene_id = wn.scene_id and wb.tr = wn.tr and wb.tc = wn.tc)"""
+
+
+WARP = _warp_sql()

@@ -34,12 +34,65 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     return f.select("file", "position", "epsg", F.col("_f.properties").alias("properties"), points.alias("rings"))
 
 
+def zip_chunks(chunks: DataFrame, bands: list[str]) -> DataFrame:
+    """Chunk rows of one band each as rows (item, t, chunk_row, chunk_col, h, w) with one array per band, null where a
+    chunk lacks the band. The band filter reaches the scan, and what is shuffled is chunks, not cells."""
+    keys = ["item", "t", "chunk_row", "chunk_col"]
+    kept = chunks.where(F.col("band").isin(bands))
+    return kept.groupBy(*keys).agg(F.max("h").alias("h"), F.max("w").alias("w"), *[F.any_value(F.when(F.col("band") == b, F.col("data")), ignoreNulls=True).alias(b) for b in bands])
+
+
+def explode_zipped(zipped: DataFrame, size: int, bands: list[str]) -> DataFrame:
+    """Cells of zip_chunks() rows, all bands of a cell at once and without a shuffle; other columns stay."""
+    full = {b: F.coalesce(F.col(b), F.array_repeat(F.lit(None), F.col("h") * F.col("w")).cast(zipped.schema[b].dataType)) for b in bands}
+    rest = [c for c in zipped.columns if c not in (*bands, "h", "w", "chunk_row", "chunk_col")]
+    kept = zipped.withColumns(full).select(*rest, "chunk_row", "chunk_col", "w", F.posexplode(F.arrays_zip(*bands)).alias("_p", "_v"))
+    r, c = F.col("chunk_row") * size + F.floor(F.col("_p") / F.col("w")), F.col("chunk_col") * size + F.col("_p") % F.col("w")
+    return kept.select(*rest, r.cast("int").alias("r"), c.cast("int").alias("c"), "_v.*")
+
+
 def explode_chunks(chunks: DataFrame, size: int, bands: list[str]) -> DataFrame:
-    """Cells of the chosen bands. The band filter comes before the explosion and reaches the scan."""
-    kept = chunks.where(F.col("band").isin(bands)).select("item", "t", "band", "chunk_row", "chunk_col", "w", F.posexplode("data").alias("_p", "v"))
-    r = F.col("chunk_row") * size + F.floor(F.col("_p") / F.col("w"))
-    kept = kept.select("item", "t", r.cast("int").alias("r"), (F.col("chunk_col") * size + F.col("_p") % F.col("w")).cast("int").alias("c"), "band", "v")
-    return kept.groupBy("item", "t", "r", "c").agg(*[F.max(F.when(F.col("band") == b, F.col("v"))).alias(b) for b in bands])
+    """Cells of the chosen bands."""
+    return explode_zipped(zip_chunks(chunks, bands), size, bands)
+
+
+def explode_windows(zipped: DataFrame, windows: DataFrame, size: int, bands: list[str]) -> DataFrame:
+    """Cells of zip_chunks() rows inside of windows(item, row0, row1, col0, col1, ...), ends included, with the windows'
+    other columns. Windows meet the chunks that they touch on the chunk's place, so only these are exploded; where
+    chunks are stored by chunk_row, others aren't even read."""
+    cover = lambda k: F.explode(F.sequence(F.floor(F.col(f"{k}0") / size).cast("int"), F.floor(F.col(f"{k}1") / size).cast("int")))
+    touched = windows.where("row0 <= row1 and col0 <= col1").withColumn("chunk_row", cover("row")).withColumn("chunk_col", cover("col"))
+    cells = explode_zipped(zipped.select("item", "t", "chunk_row", "chunk_col", "h", "w", *bands).join(touched, ["item", "chunk_row", "chunk_col"]), size, bands)
+    return cells.where("r between row0 and row1 and c between col0 and col1").drop("row0", "row1", "col0", "col1")
+
+
+def chunk_stats(zipped: DataFrame, bands: list[str], nodata: float = 0, cloudy=None) -> DataFrame:
+    """Zone maps: for each chunk and band a struct (least, most, nodata, valid), and clouds, how many values of the first
+    array the condition cloudy(value) holds for. Made from the arrays in place, without a shuffle; nulls count as
+    nodata. A chunk without the band has 0 valid values."""
+    blank = lambda v: v.isNull() | (v == nodata)
+
+    def of(b: str) -> Column:
+        values = F.filter(b, lambda v: ~blank(v))
+        return F.struct(F.array_min(values).alias("least"), F.array_max(values).alias("most"), (F.col("h") * F.col("w") - F.coalesce(F.size(values), F.lit(0))).alias("nodata"), F.coalesce(F.size(values), F.lit(0)).alias("valid")).alias(b)
+
+    keys = [c for c in zipped.columns if c not in (*bands, "h", "w")]
+    clouds = [] if cloudy is None else [F.size(F.filter(bands[0], cloudy)).alias("clouds")]
+    return zipped.select(*keys, *[of(b) for b in bands], *clouds)
+
+
+def image_stats(stats: DataFrame, keys: list[str], bands: list[str]) -> DataFrame:
+    """chunk_stats() added up to whole images, partially before the shuffle."""
+    of = lambda b: F.struct(F.min(f"{b}.least").alias("least"), F.max(f"{b}.most").alias("most"), F.sum(f"{b}.nodata").alias("nodata"), F.sum(f"{b}.valid").alias("valid")).alias(b)
+    return stats.groupBy(*keys).agg(*[of(b) for b in bands], *([F.sum("clouds").alias("clouds")] if "clouds" in stats.columns else []))
+
+
+def write_chunks(zipped: DataFrame, path: str, bands: list[str], nodata: float = 0) -> None:
+    """Chunks below path/chunks, in folders by chunk_row, with their zone maps in path/stats. Rows are dealt out by ranges
+    of their place first, so a folder gets a few files from a few tasks."""
+    zipped.repartitionByRange("chunk_row", "item", "t").write.mode("overwrite").partitionBy("chunk_row").parquet(f"{path}/chunks")
+    written = zipped.sparkSession.read.parquet(f"{path}/chunks")
+    chunk_stats(written.select(zipped.columns), bands, nodata).write.mode("overwrite").parquet(f"{path}/stats")
 
 
 def assemble_chunks(cells: DataFrame, size: int, bands: list[str], nodata: int = 0) -> DataFrame:

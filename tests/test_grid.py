@@ -197,6 +197,6 @@ def test_items(spark):
     preds = spark.createDataFrame([(0, 0, 1.0, 1), (0, 0, 3.0, 2), (0, 1, 5.0, 1)], "r int, c int, v double, file_order int")
     apart = spark.createDataFrame([(1, 0, 0, 1, 1), (2, 5, 5, 6, 6)], "id int, xmin int, ymin int, xmax int, ymax int")
     meet = spark.createDataFrame([(1, 0, 0, 3, 3), (2, 1, 1, 6, 6)], apart.schema)
-    value = lambda rects, cat: {(x.r, x.c): x.v for x in collect.merge_predictions(preds, rects, cat, -1, 4).collect()}[0, 0]
+    value = lambda rects, cat: {(x.r, x.c): x.v for x in collect.merge_predictions(preds, rects, cat, -1).collect()}[0, 0]
     assert (value(meet, False), value(apart, False), value(meet, True)) == (2.0, 1.0, 1.0)
     assert math.isclose(preds.select(training.cross_entropy(F.lit(0), F.array(F.lit(1.0), F.lit(1.0)))).first()[0], math.log(2), rel_tol=1e-9)
