@@ -122,7 +122,7 @@ def rewritten(docs: DataFrame) -> DataFrame:
     out = docs.join(found, (docs.doc_id == F.col(d)) & (F.xxhash64(docs.text) == F.col(t)), "left")
     new = F.when(F.col(d).isNotNull(), F.col(kept)).otherwise(docs.text)
     columns = [new.alias("text") if c == "text" else F.when(F.col(d).isNotNull(), F.length(kept).cast(dict(docs.dtypes)[c])).otherwise(docs[c]).alias(c) if c == "n_chars" else docs[c] for c in docs.columns]
-    return out.where(F.col(kept).isNull() | (F.trim(kept) != "")).select(*columns)
+    return out.where(F.col(kept).isNull() | F.col(kept).rlike(r"\S")).select(*columns)
 
 
 def op6(spark, sf_dir) -> DataFrame:

@@ -217,6 +217,11 @@ def test_lines(spark):
     assert new[2].n_chars == len(new[2].text) < len(rows[1][1]) and new[3].text is None and len(new) == len(rows)
 
 
+def test_texts_of_which_only_blanks_are_left_go(spark):
+    df = spark.createDataFrame([(1, "aa aa\nbb bb\n\n\n"), (2, "aa aa\nbb bb\n\n\n"), (3, "aa aa\nbb bb\n \t\ncc"), (4, " \n\t"), (5, None)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in lines.rewritten(df).collect()) == [1, 3, 4, 5]
+
+
 def brute_lines(rows, words=50):
     """Pairs of successive lines that are not blank, and long lines, against everything before."""
     seen, out = set(), {}
