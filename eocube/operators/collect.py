@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eocube.functions.cells import argmax
-from eocube.operators import grid, mosaic, search, stats, warp
+from eocube.operators import grid, mosaic, ranks, search, stats, warp
 
 
 def item_date(tag: Column, feature: Column, reference: Column) -> Column:
@@ -42,8 +42,8 @@ def merge_collections(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
 
 
 def item_slice(items: DataFrame, key: str, job: int, n: int) -> DataFrame:
-    """Items job * n to (job + 1) * n in the order of their key; the sort keeps only that many rows per task."""
-    return items.orderBy(key).offset(job * n).limit(n)
+    """Items job * n to (job + 1) * n in the order of their key."""
+    return ranks.slice_by_key(items, key, job * n, (job + 1) * n)
 
 
 def merge_predictions(preds: DataFrame, rects: DataFrame, categorical: bool, nodata: float) -> DataFrame:

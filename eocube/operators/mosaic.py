@@ -32,23 +32,35 @@ def drop_empty_steps(mosaic: DataFrame, band: str) -> DataFrame:
 def composite(cells: DataFrame, bands: list[str], cloudy: Column, stop_share: float = 0.05) -> DataFrame:
     """Cloud-free composite with early finish. Scene 0 always fills a cell; a later one replaces it where all before
     were cloudy and its first band is not 0. The item and step end after the first scene that leaves no picked 0 and at
-    most stop_share of the cells cloudy in all scenes so far."""
-    rows = _filled(cells, bands, cloudy)
-    state = residual_by_scene(cells, bands, cloudy)
+    most stop_share of the cells cloudy in all scenes so far. Cells are read and shuffled once: what decides the end and
+    what is picked come from the same arrays."""
+    rows = _states(cells, bands, cloudy)
+    state = _residual(rows, bands)
     stop = state.groupBy("tile_id", "step_no").agg(F.coalesce(F.min(F.when((F.col("empty") == 0) & (F.col("share") <= stop_share), F.col("idx"))), F.max("idx")).alias("_stop"))
-    return rows.join(stop, ["tile_id", "step_no"]).where("idx = _stop").select(*CELL, "_pick.*")
+    at_end = F.get(F.filter("states", lambda x: x["idx"] == F.col("_stop")), F.lit(0))
+    return rows.join(stop, ["tile_id", "step_no"]).withColumn("_end", at_end).where("_end is not null").select(*CELL, "_end.pick.*")
 
 
-def _filled(cells: DataFrame, bands: list[str], cloudy: Column) -> DataFrame:
-    """Each cell after each scene: _pick, its bands so far, and _masked, whether all scenes so far were cloudy there."""
-    cell = Window.partitionBy(*CELL).orderBy("idx")
-    before = cell.rowsBetween(Window.unboundedPreceding, -1)
-    upto = cell.rowsBetween(Window.unboundedPreceding, 0)
-    rows = cells.withColumn("_cloud", cloudy.cast("int"))
-    rows = rows.withColumn("_open", F.coalesce(F.min("_cloud").over(before), F.lit(-1)))
-    update = (F.col("_open") == -1) | (F.col("_open") == 1) & (F.col(bands[0]) != 0)
-    rows = rows.withColumn("_pick", F.last(F.when(update, F.struct(*bands)), ignorenulls=True).over(upto))
-    return rows.withColumn("_masked", F.min("_cloud").over(upto))
+def _states(cells: DataFrame, bands: list[str], cloudy: Column) -> DataFrame:
+    """Each cell with `states`, after each of its scenes: idx, masked, whether all scenes so far were cloudy, and pick, the
+    bands so far. An array has a scene of one cell in a row, as many as there are scenes of a step."""
+    pick, idx = cells.select(*bands).schema.simpleString(), cells.schema["idx"].dataType.simpleString()
+    rows = cells.groupBy(*CELL).agg(F.sort_array(F.collect_list(F.struct("idx", cloudy.cast("int").alias("cloud"), F.struct(*bands).alias("pick")))).alias("s"))
+
+    def after(state: Column, x: Column) -> Column:
+        before = F.coalesce(state["masked"], F.lit(-1))
+        now = F.when((before == -1) | (before == 1) & (x["pick"][bands[0]] != 0), x["pick"]).otherwise(state["pick"])
+        masked = F.least(state["masked"], x["cloud"])
+        one = F.struct(x["idx"].alias("idx"), masked.alias("masked"), now.alias("pick"))
+        return F.struct(masked.alias("masked"), now.alias("pick"), F.concat(state["states"], F.array(one)).alias("states"))
+
+    none = F.struct(F.lit(None).cast("int").alias("masked"), F.lit(None).cast(pick).alias("pick"), F.array().cast(f"array<struct<idx:{idx},masked:int,pick:{pick}>>").alias("states"))
+    return rows.select(*CELL, F.aggregate("s", none, after, lambda x: x["states"]).alias("states"))
+
+
+def _residual(rows: DataFrame, bands: list[str]) -> DataFrame:
+    each = rows.select("tile_id", "step_no", F.explode(F.transform("states", lambda x: F.struct(x["idx"].alias("idx"), x["masked"].alias("masked"), x["pick"][bands[0]].alias("b")))).alias("x"))
+    return each.groupBy("tile_id", "step_no", F.col("x.idx").alias("idx")).agg(F.avg("x.masked").alias("share"), F.count_if(F.col("x.b") == 0).alias("empty"))
 
 
 def full_score(scl: str, red: str, nir: str) -> Column:
@@ -71,7 +83,7 @@ def composite_qa(cells: DataFrame, bands: list[str], qa: str, stop_share: float
 
 def residual_by_scene(cells: DataFrame, bands: list[str], cloudy: Column) -> DataFrame:
     """After each scene of an item and step: the share of cells cloudy in all scenes so far, and how many picks are 0."""
-    return _filled(cells, bands, cloudy).groupBy("tile_id", "step_no", "idx").agg(F.avg("_masked").alias("share"), F.count_if(F.col(f"_pick.{bands[0]}") == 0).alias("empty"))
+    return _residual(_states(cells, bands, cloudy), bands)
 
 
 #: The band that a composite's cloud flags come from.

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eocube.functions.cells import multiclass_bins, multiclass_int, normalize, one_hot
+from eocube.operators.ranks import capped
 from eocube.operators.samples import fill_shape, hash_ranked, metric, pad, sample_weights, upsample
 from eocube.operators.stats import class_weights, image_quality
 
@@ -186,8 +187,9 @@ def evaluate(predictions: DataFrame, names: list[str], nodata: float | None = No
     return predictions.agg(*[metric(n, nodata).alias(n) for n in names])
 
 
-def cap_rows(samples: DataFrame, most: int = MOST_ROWS) -> DataFrame:
-    return samples.limit(most)
+def cap_rows(samples: DataFrame, most: int = MOST_ROWS, keys: tuple = ("item", "r", "c")) -> DataFrame:
+    """At most so many samples, told apart by their keys."""
+    return capped(samples, most, list(keys))
 
 
 def fit_cells(samples: DataFrame, estimator: Estimator) -> Transformer:

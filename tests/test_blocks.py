@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eocube.functions import projections
-from eocube.operators import boxes, collect, grid, intervals, search, stats, warp, windows
+from eocube.operators import boxes, collect, grid, intervals, ranks, search, stats, warp, windows
 from eocube.sources import fixtures as fx
 from eocube.sources import rasters
 
@@ -262,3 +262,22 @@ def test_pyramid_is_a_cascade(spark):
             assert got[k] == (pytest.approx(sum(some) / len(some)) if some else None)
     with pytest.raises(ValueError, match="does not divide"):
         stats.pyramid(cells, [2, 3])
+
+
+def test_slices_and_caps_without_one_task(spark):
+    rng = np.random.RandomState(0)
+    keys = [int(k) for k in rng.permutation(3_000)] + [None]
+    df = spark.createDataFrame([(k, "x") for k in keys], "k long, v string").repartition(5)
+    order = [None, *range(3_000)]
+    for first, last in ((0, 10), (100, 700), (2_990, 4_000), (5_000, 6_000), (0, 3_001)):
+        got = ranks.slice_by_key(df, "k", first, last, 200, 16)
+        assert sorted((r.k for r in got.collect()), key=lambda k: -1 if k is None else k) == order[first:last] and got.columns == ["k", "v"]
+        assert "SinglePartition" not in plan_of(got)
+    text = spark.createDataFrame([(f"é{k:04d}",) for k in range(500)], "k string")
+    assert sorted(r.k for r in ranks.slice_by_key(text, "k", 40, 60, 50, 7).collect()) == [f"é{k:04d}" for k in range(40, 60)]
+    some = ranks.capped(df, 1_234, ["k"])
+    kept = {r.k for r in some.collect()}
+    assert len(kept) == some.count() == 1_234 and kept <= set(keys) and "SinglePartition" not in plan_of(some)
+    assert kept == {r.k for r in ranks.capped(df.repartition(2), 1_234, ["k"]).collect()}
+    assert ranks.capped(df, 3_001, ["k"]).count() == 3_001 and ranks.capped(df, 0, ["k"]).count() == 0
+    assert ranks.slice_by_key(df.where("false"), "k", 0, 5).count() == 0
