@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eocube.functions.cells import argmax
 from eocube.operators import grid, mosaic, ranks, search, stats, warp
+from eocube.sources import rasters
 
 
 def item_date(tag: Column, feature: Column, reference: Column) -> Column:
@@ -127,6 +128,39 @@ def collect(steps: DataFrame, existing: DataFrame, scenes: DataFrame, cells_of,
     return pixel_stack(matched, cells_of, bands, **stack)
 
 
+def collect_into(path: str, steps: DataFrame, scenes: DataFrame, cells_of, bands: list[str], overwrite: bool = False, **stack) -> DataFrame:
+    """Incremental collection to the end: mosaics of the steps (item, step_no, step_start, step_end) that the index below
+    path doesn't have are written to path/images by item and date, and path/index, by item, gets what was written.
+    Returns the index (item, date, cells).
+
+    Images come first and replace only their own folders, the index of the items touched follows. So a run that is
+    killed in between leaves images that the index lacks, and the next run makes these steps again, with the same
+    result. A step without any data stays missing and is tried again.
+    """
+    spark = scenes.sparkSession
+    kind = dict(steps.dtypes)["item"]
+    index = read_index(spark, path, kind)
+    asked = to_collect(steps, index.select("item", "date"), overwrite)
+    made = pixel_stack(search.assign_steps(scenes, asked.withColumnRenamed("item", "tile_id"), ["tile_id"]), cells_of, bands, **stack)
+    dated = made.join(asked.select(F.col("item").alias("tile_id"), "step_no", "step_start"), ["tile_id", "step_no"])
+    rasters.write_stack(dated.select(F.col("tile_id").alias("item"), F.col("step_start").alias("t"), "r", "c", *bands), f"{path}/images")
+    written = spark.read.schema(f"r int, item {kind}, t date").parquet(f"{path}/images").select("item", F.col("t").alias("date"))
+    dates = asked.select("item", F.col("step_start").alias("date"))
+    new = written.join(dates, ["item", "date"], "left_semi").groupBy("item", "date").agg(F.count("*").alias("cells"))
+    touched = asked.select("item").distinct()
+    kept = index.join(touched, "item", "left_semi").join(dates, ["item", "date"], "left_anti")
+    new.unionByName(kept).select("date", "cells", "item").repartition("item").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("item").parquet(f"{path}/index")
+    return read_index(spark, path, kind)
+
+
+def read_index(spark: SparkSession, path: str, kind: str = "bigint") -> DataFrame:
+    """The index (item, date, cells) of what has been collected below path; empty before the first run."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/index")
+    schema = f"date date, cells long, item {kind}"
+    there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    return (spark.read.schema(schema).parquet(f"{path}/index") if there else spark.createDataFrame([], schema)).select("item", "date", "cells")
+
+
 def stack_index(images: DataFrame) -> DataFrame:
     """Sorted image paths, first and last date of each item of images(item, date, path)."""
     return images.groupBy("item").agg(F.array_sort(F.collect_set("path")).alias("x_paths"), F.min("date").alias("first"), F.max("date").alias("last"))

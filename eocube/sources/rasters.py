@@ -126,9 +126,11 @@ def cast_for_sink(df: DataFrame, band: str, dtype: str) -> DataFrame:
     return df.withColumn(band, F.coalesce(F.col(band).cast(dtype), F.lit(INT_NODATA if dtype in INTEGERS else FLOAT_NODATA).cast(dtype)))
 
 
-def write_stack(cells: DataFrame, path: str) -> None:
-    """Images by item and date. A date that is written again replaces only itself."""
-    cells.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("item", "t").parquet(path)
+def write_stack(cells: DataFrame, path: str, rows: int = 4096) -> None:
+    """Images by item and date. A date that is written again replaces only itself. Cells are dealt out by image first, and
+    by strips of `rows` rows, so an image is one file or, if it is large, a file for each strip."""
+    dealt = cells.repartition("item", "t", F.floor(F.col("r") / rows))
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("item", "t").parquet(path)
 
 
 def write_items(items: DataFrame, path: str, form: str = "json") -> None:

@@ -20,3 +20,15 @@ def scene_columns(items: DataFrame) -> DataFrame:
 def read_scenes(spark: SparkSession, path: str, form: str = "parquet") -> DataFrame:
     """Scenes of a catalogue kept as Parquet or JSON lines; filters and unread columns reach the scan."""
     return scene_columns(spark.read.format(form).load(path))
+
+
+def read_catalogue(spark: SparkSession, url: str, table: str, column: str, partitions: int = 8, **options) -> DataFrame:
+    """Scenes of a database table, read over JDBC in ranges of a number, date or timestamp column, each by a query of its
+    own. Filters and the choice of columns go to the database; the ranges' ends are asked of it first, which leaves a
+    table without rows with one query. Rows whose column is null are read with the first range."""
+    jdbc = lambda: spark.read.format("jdbc").option("url", url).options(**options)  # noqa: E731  options stay with a reader
+    quoted = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(column)
+    lo, hi = jdbc().option("query", f"select min({quoted}) as lo, max({quoted}) as hi from {table}").load().first()
+    if lo is None:
+        return jdbc().option("dbtable", table).load()
+    return jdbc().option("dbtable", table).option("partitionColumn", column).option("lowerBound", str(lo)).option("upperBound", str(hi)).option("numPartitions", partitions).load()
