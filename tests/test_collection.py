@@ -84,7 +84,7 @@ def test_catalogue_over_jdbc(spark):
     url, options = "jdbc:derby:memory:catalogue;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
     rows = [(k, f"S2_{k // 2}", ("sentinel-s2-l2a", "sentinel-s2-l1c")[k % 2], ("sentinel-2a", "LANDSAT_8")[k % 3 == 0], dt.datetime(2024, 1, 1) + dt.timedelta(hours=k), float(k % 100), k % 10 * 1.0, 0.0, k % 10 + 1.0, 1.0) for k in range(500)]
     made = spark.createDataFrame(rows, "scene_id long, id string, collection_id string, platform string, sensing_time timestamp, cloud_cover double, xmin double, ymin double, xmax double, ymax double")
-    made.write.format("jdbc").option("url", url).options(**options).option("dbtable", "scenes").save()
+    made.write.format("jdbc").option("url", url).options(**options).option("dbtable", "scenes").option("createTableColumnTypes", "id varchar(64), collection_id varchar(64), platform varchar(64)").save()
     read = scene_source.read_catalogue(spark, url, "scenes", "scene_id", 4, **options)
     assert read.rdd.getNumPartitions() == 4 and read.count() == 500
     asked = lambda df: search.search(df, "SENTINEL_2", "L2A", "2024-01-03", "2024-01-20", 60, (2, 0, 5, 1), sort=None)
