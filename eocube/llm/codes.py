@@ -2,8 +2,8 @@
 
 Every task sorts its vectors' parts along a Hilbert curve, part by part, and cuts them into flat blocks. A block keeps
 the smallest box around its vectors and their sum. In each round the distances from a box to the codebook's entries give
-the block's shortlist: an entry that is farther from the nearest point of the box than another is from its farthest
-point is nearest to none of the block's vectors. A block with one entry left adds its sum without a look at its vectors;
+the block's shortlist: an entry that is farther from all points of the box than another is nearest to none of the
+block's vectors. A block with one entry left adds its sum without a look at its vectors;
 the other blocks are compared with their shortlists only, by integer kernels. Blocks are written once, no vector is
 shuffled, and a round sends no more than the entries' sums.
 """
@@ -22,7 +22,7 @@ from eocube.llm.common import pack, table, unpack, written
 
 SCALE, PARTS, ENTRIES, ROUNDS = 4096, 8, 16, 6
 #: Vectors of one block, and components that a task sorts at once.
-BLOCK, SLICE = 32, 1 << 20
+BLOCK, SLICE = 8, 1 << 20
 #: Sums leave a task in digits of so many bits, so that they may add up over any number of tasks.
 LIMB = 40
 
@@ -93,18 +93,27 @@ class Blocks:
         self.sum = self.x.sum(axis=2, dtype=wide) - self.x[:, :, -1].astype(wide) * (block - self.size)
 
     def shortlists(self, entries: np.ndarray) -> np.ndarray:
-        """[entry, block]: whether the entry can be nearest to a vector of the block."""
-        kind = kernel(self.width, self.lo, self.hi, entries)
+        """[entry, block]: whether the entry can be nearest to a vector of the block. It can't if the box is nearer to
+        another with all its points than to it with any, nor if every point of the box is nearer to the entry that is
+        nearest to the box's middle: how much nearer is linear, so the box's corners tell."""
+        kind = object if kernel(16 * max(1, self.width), self.lo, self.hi, entries) is object else np.int64
         lo, hi, e = self.lo.astype(kind), self.hi.astype(kind), entries.astype(kind)
         near = np.zeros((len(e), len(self.size)), dtype=kind)
-        far = near.copy()
+        far, middle = near.copy(), near.copy()
         for k in range(self.width):
             c = e[:, k, None]
             gap = np.maximum(np.maximum(lo[k] - c, c - hi[k]), 0)
             reach = np.maximum(hi[k] - c, c - lo[k])
             near += gap * gap
             far += reach * reach
-        return near <= far.min(axis=0)
+            middle += (lo[k] + hi[k] - 2 * c) * (lo[k] + hi[k] - 2 * c)
+        first = middle.argmin(axis=0)
+        square = (e * e).sum(axis=1)
+        lead = square[first] - square[:, None]  # by how much an entry is nearer than the first at most, in the box
+        for k in range(self.width):
+            d = e[first, k] - e[:, k, None]
+            lead = lead + np.maximum(-2 * lo[k] * d, -2 * hi[k] * d)
+        return ((near <= far.min(axis=0)) & (lead >= 0)).astype(bool)
 
     def nearest(self, entries: np.ndarray, every: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The nearest entry of each vector in sorted order (ties to the lower index) and its squared distance, and the
