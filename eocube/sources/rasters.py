@@ -44,7 +44,7 @@ def zip_chunks(chunks: DataFrame, bands: list[str]) -> DataFrame:
 
 def explode_zipped(zipped: DataFrame, size: int, bands: list[str]) -> DataFrame:
     """Cells of zip_chunks() rows, all bands of a cell at once and without a shuffle; other columns stay."""
-    full = {b: F.coalesce(F.col(b), F.array_repeat(F.lit(None), F.col("h") * F.col("w")).cast(zipped.schema[b].dataType)) for b in bands}
+    full = {b: F.coalesce(F.col(b), F.array_repeat(F.lit(None).cast(zipped.schema[b].dataType.elementType), F.col("h") * F.col("w"))) for b in bands}
     rest = [c for c in zipped.columns if c not in (*bands, "h", "w", "chunk_row", "chunk_col")]
     kept = zipped.withColumns(full).select(*rest, "chunk_row", "chunk_col", "w", F.posexplode(F.arrays_zip(*bands)).alias("_p", "_v"))
     r, c = F.col("chunk_row") * size + F.floor(F.col("_p") / F.col("w")), F.col("chunk_col") * size + F.col("_p") % F.col("w")
