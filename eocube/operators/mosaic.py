@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,10 +76,11 @@ def composite_full(cells: DataFrame, bands: list[str], score: Column) -> DataFra
     return cells.groupBy(*CELL).agg(F.min_by(F.struct(*bands), F.struct(score, "idx")).alias("p")).select(*CELL, "p.*")
 
 
-def composite_qa(cells: DataFrame, bands: list[str], qa: str, stop_share: float = 0.05) -> DataFrame:
-    """The composite with cloud flags from a quality band, each scene's flags sieved first."""
+def composite_qa(cells: DataFrame, bands: list[str], qa: str, stop_share: float = 0.05, sieved: Callable[[DataFrame, list[str]], DataFrame] | None = None) -> DataFrame:
+    """The composite with cloud flags from a quality band, each scene's flags sieved first: by `sieve`, or by `sieved`,
+    which takes a mask and its keys (regions.sieve_regions merges into the largest neighbour, at any threshold)."""
     scene = ["tile_id", "step_no", "idx"]
-    flags = sieve(cells.select(*scene, "r", "c", qa_cloud(qa).cast("int").alias("m")), scene)
+    flags = (sieved or sieve)(cells.select(*scene, "r", "c", qa_cloud(qa).cast("int").alias("m")), scene)
     return composite(cells.join(flags, [*scene, "r", "c"]), bands, F.col("m") == 1, stop_share)
 
 

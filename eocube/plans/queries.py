@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from eocube.functions import cells as fc
 from eocube.functions import clouds, dates, links, lookups
-from eocube.operators import boxes, collect, grid, intervals, mosaic, samples, search, stats, training, warp, windows
+from eocube.operators import boxes, collect, grid, intervals, mosaic, regions, samples, search, stats, training, warp, windows
 from eocube.sources import fixtures as fx
 from eocube.sources import rasters
 from eocube.sources import scenes as scene_source
@@ -154,6 +154,43 @@ query("g10_sieve", _cell + ", flag as (select scene_id, r, c, (scl in (0,1,3,7,8
     lambda s, d: mosaic.sieve(cells(s, d).select(F.col("scene_id").alias("item"), "r", "c", fc.scl_cloud("scl").cast("int").alias("m")))
 )
 
+
+def speckled(s, d):
+    """A mask of 12 x 10 cells for each scene, of 7 densities, with single cells, pairs and larger regions."""
+    m = "cast(scene_id % 7 + 2 > pmod(scene_id * 31 + r * r * 7 + c * c * 5 + r * c * (scene_id % 11 + 3), 11) as int)"
+    return fx.scenes(s, d).select(F.col("scene_id").alias("item"), "scene_id", F.explode(F.sequence(F.lit(0), F.lit(11))).alias("r")).select("*", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("c")).selectExpr("item", "r", "c", f"{m} as m")
+
+
+#: Regions by reaching every cell from every other, then sizes, the neighbour that is largest and met first, and chains.
+_REGIONS = (
+    f"with recursive {fx.SCENE}, mk as (select scene_id as item, r, c, (scene_id % 7 + 2 > (scene_id * 31 + r * r * 7 + c * c * 5 + r * c * (scene_id % 11 + 3)) % 11)::int as m from scene, (select i::int as r from range(12) t(i)), (select i::int as c from range(10) t(i))), "
+    "nb as (select a.item, a.r * 10 + a.c as p, b.r * 10 + b.c as q, a.m = b.m as same, a.r * 20 + a.c * 2 + (a.r = b.r)::int as at from mk a join mk b on a.item = b.item and ((b.r = a.r - 1 and b.c = a.c) or (b.r = a.r and b.c = a.c - 1))), "
+    "ln as (select item, p, q from nb where same union all select item, q, p from nb where same), "
+    "rc as (select item, r * 10 + c as p, r * 10 + c as f from mk union select ln.item, ln.q, rc.f from rc join ln on ln.item = rc.item and ln.p = rc.p where ln.q > rc.f), "
+    "lb as (select item, p, min(f) as region from rc group by all), sz as (select lb.item, region, count(*) as n, any_value(m) as m from lb join mk on mk.item = lb.item and r * 10 + c = p group by all) "
+)
+query("g10_label_regions", _REGIONS + "select mk.item, r, c, mk.m, n as region_cells, lb.region // 10 as first_r, lb.region % 10 as first_c from mk join lb on lb.item = mk.item and r * 10 + c = p join sz on sz.item = lb.item and sz.region = lb.region")(
+    lambda s, d: first_cells(regions.label_regions(speckled(s, d), size=5))
+)
+
+
+def first_cells(labelled):
+    """Regions told by their first cell in the order of reading, however the mask was cut into blocks."""
+    first = labelled.groupBy("item", "region").agg(F.min(F.struct("r", "c")).alias("x"))
+    return labelled.join(first, ["item", "region"]).select("item", "r", "c", "m", "region_cells", F.col("x.r").cast("long").alias("first_r"), F.col("x.c").cast("long").alias("first_c"))
+
+
+_MERGED = _REGIONS + (
+    ", bd as (select nb.item, x.region as a, y.region as b, nb.at as \"at\" from nb join lb x on x.item = nb.item and x.p = nb.p join lb y on y.item = nb.item and y.p = nb.q where not same), "
+    "be as (select item, a, b, min(\"at\") as \"at\" from (select item, a, b, \"at\" from bd union all select item, b as a, a as b, \"at\" from bd) group by all), "
+    "nx as (select be.item, a, b, row_number() over (partition by be.item, a order by n desc, \"at\") as k from be join sz on sz.item = be.item and region = b), "
+    "ch as (select item, region as a, region as cur, 0 as step from sz where n < {threshold} union all select ch.item, ch.a, nx.b, step + 1 from ch join nx on nx.item = ch.item and nx.a = ch.cur and k = 1 join sz on sz.item = ch.item and sz.region = ch.cur where sz.n < {threshold} and step < 60), "
+    "ed as (select ch.item, ch.a, sz.m from ch join sz on sz.item = ch.item and sz.region = ch.cur where sz.n >= {threshold}) "
+    "select mk.item, r, c, coalesce(ed.m, mk.m) as m from mk join lb on lb.item = mk.item and r * 10 + c = p left join ed on ed.item = lb.item and ed.a = lb.region"
+)
+query("g10_sieve_merge", _MERGED.format(threshold=3))(lambda s, d: regions.sieve_regions(speckled(s, d), 3, size=5))
+query("g10_sieve_merge_wide", _MERGED.format(threshold=12))(lambda s, d: regions.sieve_regions(speckled(s, d), 12, size=5))
+
 # Statistics
 query("a1_a3_value_counts", f"with {fx.LABEL} select item_id, value, count(*) as n from label group by grouping sets ((item_id, value), (value))")(lambda s, d: stats.value_counts(fx.labels(s, d)))
 query("a2_histogram", _scene + "select least(floor(cloud_cover / 10), 9)::int as bin, count(*) as n from scene where cloud_cover between 0 and 100 group by all")(lambda s, d: stats.histogram(fx.scenes(s, d), "cloud_cover"))
