@@ -1,7 +1,8 @@
 """Benchmark decontamination: Wu-Manber search for many patterns at once, with words as the characters.
 
 Patterns of one length share a shift table over blocks of two words: a block that ends no pattern says how far the
-search may jump; one that does leads to the bucket of the patterns with that suffix, which are compared word by word.
+search may jump; one that does leads to the bucket of the patterns with that suffix, in which a second table is asked
+for those with the prefix that the text has there. They are compared word by word.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class Tables:
-    """Shift tables and suffix buckets, by pattern length."""
+    """Shift tables and suffix buckets with prefix tables, by pattern length."""
 
     def __init__(self, items: list[tuple[int, bytes]], length: int):
         patterns: dict[int, dict[tuple, set]] = defaultdict(lambda: defaultdict(set))
@@ -42,13 +43,13 @@ class Tables:
         self.groups = []
         for m, found in sorted(patterns.items()):
             shift: dict[tuple, int] = {}
-            bucket: dict[tuple, list] = defaultdict(list)
+            bucket: dict[tuple, dict[tuple, list]] = defaultdict(lambda: defaultdict(list))
             for p, owners in found.items():
                 for j in range(1, m):
                     block = p[j - 1 : j + 1]
                     shift[block] = min(shift.get(block, m - 1), m - 1 - j)
-                bucket[p[-2:]].append((p, owners))
-            self.groups.append((m, shift, dict(bucket)))
+                bucket[p[-2:]][p[:2]].append((p, owners))
+            self.groups.append((m, shift, {k: dict(v) for k, v in bucket.items()}))
 
     def search(self, words: list[bytes]) -> tuple[list[int], set]:
         """Flat starts and ends of the occurrences, and the items they belong to."""
@@ -62,7 +63,7 @@ class Tables:
                 if step := jump(block, far):
                     i += step
                     continue
-                for p, owners in bucket[block]:
+                for p, owners in bucket[block].get((words[i - m + 1], words[i - m + 2]), ()):
                     if tuple(words[i - m + 1 : i + 1]) == p:
                         spans += (i - m + 1, i + 1)
                         items |= owners
@@ -75,6 +76,33 @@ class Tables:
         return spans, items
 
 
+def pieces(benchmark: DataFrame, length: int, most: int) -> DataFrame:
+    """item and text of the benchmark, items of more than `most` bytes in pieces of about `most` that overlap by
+    length - 1 words, so every window stands whole in a piece. Words are lower-case and joined by spaces in pieces."""
+
+    def cut(batches):
+        for b in batches:
+            ids, texts = [], []
+            for item, t in zip(b.column("item").to_pylist(), byte_texts(b.column("text")), strict=True):
+                if len(t) <= most:
+                    ids.append(item)
+                    texts.append(t)
+                    continue
+                words = words_of(t)
+                size = np.cumsum([len(w) + 1 for w in words])
+                start = 0
+                while start < len(words):
+                    before = int(size[start - 1]) if start else 0
+                    end = max(start + length, int(np.searchsorted(size, before + most, side="right")))
+                    ids.append(item)
+                    texts.append(b" ".join(words[start:end]))
+                    start = len(words) if end >= len(words) else end - length + 1
+            yield pa.RecordBatch.from_arrays([pa.array(ids, b.column("item").type), pa.array(texts, pa.binary())], ["item", "text"])
+
+    items = benchmark.select(F.col("item_id").alias("item"), "text").where("item is not null and text is not null")
+    return items.mapInArrow(cut, f"item {dict(items.dtypes)['item']}, text binary")
+
+
 def occurrences(docs: DataFrame, benchmark: DataFrame, length: int = 10, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """doc_id, th, n_words, n_hit and `items`, the ids of the items with a window in the document, for every row.
 
@@ -82,17 +110,18 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, length: int = 10, shard_b
     window, one of none has no window. Null texts have no words; rows without an item_id are passed over; items that
     repeat count once. Repeated documents are returned repeatedly; a null doc_id is kept. An empty benchmark hits
     nothing. The tables are broadcast in sets of at most about `shard_bytes` of text, by measured size: a larger
-    benchmark means more passes over the documents, one after the other, not larger tables. The passes after the first
-    keep what they hit alone, and are put together by doc_id and th.
+    benchmark means more passes over the documents, one after the other, not larger tables. Items of over half
+    a set are cut into pieces first; one window is never cut, however long its words. The passes after the first
+    keep what they hit alone, and are put together by doc_id and th. Very long texts are searched like any other.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").alias("item"), F.col("text").cast("binary").alias("text")).where("item is not null and text is not null")
+    items = written(pieces(benchmark, length, max(1, shard_bytes // 2)))
     total = items.agg(F.sum(F.length("text") + 16)).first()[0] or 0
     n = max(1, -(-total // shard_bytes))
     rows = keyed(docs).select("doc_id", "th", "text")
     more = []
     for k in range(n):
-        some = items.where(F.pmod(F.xxhash64("item"), F.lit(n)) == k).collect()
+        some = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).collect()
         tables = spark.sparkContext.broadcast(Tables([(r.item, bytes(r.text)) for r in some], length))
         found = rows.mapInArrow(_pass(tables, k == 0), "doc_id long, th long, n_words long, spans array<int>, items array<long>")
         if k:

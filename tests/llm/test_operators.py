@@ -1,6 +1,7 @@
 """Small and odd inputs, against brute force."""
 
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -196,6 +197,33 @@ def test_tokens(docs, empty):
         assert sum(tokens.piece_counts(path, tokens.pre_tokens(odd))) == len(p.encode(odd))
 
 
+def test_items_larger_than_a_set_are_cut_without_loss(spark):
+    """Pieces hold each window; hits are those of a search for every window, whatever the size of a set."""
+    rnd = random.Random(3)
+    items = [(i, " ".join(rnd.choice("abcdeFG") + "," for _ in range(n))) for i, n in enumerate((0, 1, 4, 9, 10, 11, 60, 400))] + [(8, "w" * 300 + " b" * 30), (9, None)]
+    texts = [(i, " ".join(rnd.choice("abcdefg") for _ in range(n))) for i, n in enumerate((0, 3, 50, 3000))]
+    texts += [(4, "x " + items[7][1][200:500] + " y"), (5, items[8][1].upper()), (6, None), (7, items[6][1] * 40)]
+    want = {}
+    for d, t in texts:
+        words = decontaminate.words_of((t or "").encode())
+        hit, of = set(), set()
+        for i, x in items:
+            w = decontaminate.words_of((x or "").encode())
+            m = min(10, len(w))
+            patterns = {tuple(w[k : k + m]) for k in range(len(w) - m + 1)} if m else set()
+            for k in range(len(words) - m + 1 if m else 0):
+                if tuple(words[k : k + m]) in patterns:
+                    hit.update(range(k, k + m))
+                    of.add(i)
+        want[d] = (len(words), len(hit), sorted(of))
+    docs, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for size in (400, 2_000_000):
+        got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in decontaminate.occurrences(docs, bench, shard_bytes=size).collect()}
+        assert got == want
+    parts = decontaminate.pieces(bench, 10, 100).collect()
+    assert max(len(r.text) for r in parts if r.item != 8) <= 100 and sum(r.item == 7 for r in parts) > 5
+
+
 def test_decontaminate(spark, docs, empty):
     bench = spark.createDataFrame([(1, "WORD5 word6, word7 word8 word9 word10 word11 word12 word13 word14"), (2, "two"), (3, None), (4, ""), (None, "la"), (2, "two")], "item_id long, text string")
     for size in (10**6, 30):  # in one set of tables, and in several
