@@ -87,9 +87,10 @@ def rasterize(areas: DataFrame, all_touched: bool = False) -> DataFrame:
 
 
 def rasterize_samples(features: DataFrame, value: str, scale: float, nodata: int = 255) -> DataFrame:
-    """One raster per feature(item, rings, date, value): every cell of its grid, burnt or nodata."""
+    """One raster per feature(item, rings, date, value): every cell of its grid, burnt or nodata. Both sides are cells, of
+    which Spark's estimate knows the features alone, so they are merged and never sent to the driver."""
     g = grid(features, scale)
-    burnt = rasterize(g).withColumn("_in", F.lit(True))
+    burnt = rasterize(g).withColumn("_in", F.lit(True)).hint("merge")
     cells = g.withColumn("r", F.explode(F.sequence(F.lit(0), F.col("height") - 1))).withColumn("c", F.explode(F.sequence(F.lit(0), F.col("width") - 1)))
     return cells.join(burnt, ["item", "r", "c"], "left").select("item", "date", "r", "c", F.when(F.col("_in"), F.col(value)).otherwise(nodata).alias("v"))
 
