@@ -3,7 +3,8 @@
 Masks are cut into blocks of cells. Each block is labelled in one task; only cells along block edges are compared with
 the next block's, so what is joined afterwards are labels of regions, not cells. A region's label is the place of its
 first cell, in the order of reading, in the block; what a block's regions belong to is found by star contraction of the
-pairs that meet across edges. Every round is a checkpoint, and no task holds more than a block.
+pairs that meet across edges. Every round is a checkpoint, and no task holds more than a block. Joins are merges by hint:
+what Spark estimates of exploded blocks is the size of what they were made of, and it would send them to the driver.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ def _checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _whole_blocks(batches, names: list[str]):
-    """Tables of whole blocks out of a partition sorted by block, with where each block starts."""
+def whole_groups(batches, names: list[str]):
+    """Tables of whole groups, such as blocks, out of a partition sorted by names, with where each group starts."""
     held: list[pa.RecordBatch] = []
 
     def starts(table: pa.Table) -> np.ndarray:
@@ -106,7 +107,7 @@ def _blocks(mask: DataFrame, keys: list[str], size: int) -> DataFrame:
     schema = ", ".join([f"`{k}` {kinds[k]}" for k in keys] + ["br int, bc int"] + [f"{k} array<{kind}>" for k, kind in _LISTS.items()])
 
     def run(batches):
-        for table, start in _whole_blocks(batches, names):
+        for table, start in whole_groups(batches, names):
             yield _labelled(table, start, keys, size)
 
     return _checkpointed(cells.repartition(*names).sortWithinPartitions(*names, "r", "c").mapInArrow(run, schema))
@@ -125,7 +126,7 @@ def _across(blocks: DataFrame, keys: list[str], size: int) -> DataFrame:
     both = []
     for k, (along, off) in enumerate((("r", "c"), ("c", "r"))):
         last = edge.where(F.pmod(F.col(along), F.lit(size)) == size - 1).select(*keys, (F.col(along) + 1).alias(along), off, F.col("m").alias("ma"), F.col("label").alias("a"))
-        met = after.where(F.pmod(F.col(along), F.lit(size)) == 0).join(last, [*keys, "r", "c"])
+        met = after.where(F.pmod(F.col(along), F.lit(size)) == 0).join(last.hint("merge"), [*keys, "r", "c"])
         both.append(met.select(*keys, "a", "b", "ma", "mb", F.expr(f"shiftleft(cast(r as bigint), 33) | shiftleft(cast(c as bigint), 1) | {k}L").alias("at")))
     return both[0].unionByName(both[1])
 
@@ -138,10 +139,10 @@ def connected(links: DataFrame, keys: list[str]) -> DataFrame:
     while True:
         both = e.unionByName(e.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy(*keys, "u").agg(F.min("v").alias("_m"))
-        large = both.join(least, [*keys, "u"]).where("v > u").select(*keys, F.col("v").alias("u"), F.least("u", "_m").alias("v"))
+        large = both.join(least.hint("merge"), [*keys, "u"]).where("v > u").select(*keys, F.col("v").alias("u"), F.least("u", "_m").alias("v"))
         least = large.groupBy(*keys, "u").agg(F.min("v").alias("_m"))
         ends = F.array(F.struct(F.col("v").alias("u"), F.col("_m").alias("v")), F.struct("u", F.col("_m").alias("v")))
-        e = _checkpointed(large.join(least, [*keys, "u"]).select(*keys, F.explode(ends).alias("x")).select(*keys, "x.u", "x.v").where("u <> v").distinct())
+        e = _checkpointed(large.join(least.hint("merge"), [*keys, "u"]).select(*keys, F.explode(ends).alias("x")).select(*keys, "x.u", "x.v").where("u <> v").distinct())
         state = tuple(e.agg(F.count("*"), F.sum(F.xxhash64(*keys, "u", "v").cast("decimal(38,0)"))).first())
         if state == before:
             break
@@ -153,10 +154,10 @@ def connected(links: DataFrame, keys: list[str]) -> DataFrame:
 def _named(blocks: DataFrame, across: DataFrame, keys: list[str]) -> DataFrame:
     """Each block's labels with root, value m and n, the cells of the whole region."""
     roots = connected(across.where("ma = mb").select(*keys, F.col("a").alias("u"), F.col("b").alias("v")), keys)
-    own = _rows(blocks, keys, label="own", m="own_m", n="own_n").join(roots, [*keys, "label"], "left")
+    own = _rows(blocks, keys, label="own", m="own_m", n="own_n").join(roots.hint("merge"), [*keys, "label"], "left")
     own = own.withColumn("root", F.coalesce("root", "label"))
     sizes = own.groupBy(*keys, "root").agg(F.sum("n").alias("n"))
-    return _checkpointed(own.drop("n").join(sizes, [*keys, "root"]))
+    return _checkpointed(own.drop("n").join(sizes.hint("merge"), [*keys, "root"]))
 
 
 def _handed(blocks: DataFrame, values: DataFrame, keys: list[str], size: int, columns: dict[str, str]) -> DataFrame:
@@ -179,7 +180,7 @@ def _handed(blocks: DataFrame, values: DataFrame, keys: list[str], size: int, co
                 arrays = [*(b.column(k).take(pa.array(row)) for k in keys), *(b.column(k).flatten() for k in ("r", "c", "m")), *(b.column(f"_{k}").flatten().take(take) for k in columns)]
                 yield pa.RecordBatch.from_arrays(arrays, [*keys, "r", "c", "m", *columns])
 
-    joined = blocks.select(*keys, "br", "bc", "r", "c", "m", "label").join(lists, [*keys, "br", "bc"], "left")
+    joined = blocks.select(*keys, "br", "bc", "r", "c", "m", "label").join(lists.hint("merge"), [*keys, "br", "bc"], "left")
     return joined.mapInArrow(run, ", ".join([f"`{k}` {kinds[k]}" for k in keys] + ["r int, c int, m long"] + [f"{k} {kind}" for k, kind in columns.items()]))
 
 
@@ -214,14 +215,14 @@ def sieve_regions(mask: DataFrame, threshold: int = 3, keys: list[str] | None =
     met = met.select(*keys, "at", F.explode(sides).alias("x")).select(*keys, "at", "x.a", "x.b")
     of = lambda side, **names: named.select(*keys, F.col("label").alias(side), *[F.col(k).alias(v) for k, v in names.items()])
     small = of("a", root="root", n="n").where(F.col("n") < threshold).drop("n")
-    pairs = met.join(small, [*keys, "a"]).join(of("b", root="next", n="n", m="to"), [*keys, "b"])
+    pairs = met.join(small.hint("merge"), [*keys, "a"]).join(of("b", root="next", n="n", m="to").hint("merge"), [*keys, "b"])
     pairs = pairs.groupBy(*keys, "root", "next", "n", "to").agg(F.min("at").alias("at"))
     step = pairs.groupBy(*keys, "root").agg(F.max_by(F.struct("next", "to", (F.col("n") >= threshold).alias("done")), F.struct("n", -F.col("at"))).alias("x"))
     step, left = _checkpointed(step.select(*keys, "root", "x.*")), None
     while (now := step.where("not done").count()) and now != left:
         left = now
         ahead = step.select(*keys, F.col("root").alias("next"), F.struct("next", "to", "done").alias("y"))
-        step = _checkpointed(step.join(ahead, [*keys, "next"], "left").select(*keys, "root", F.when(F.col("done"), F.struct("next", "to", "done")).otherwise(F.col("y")).alias("z")).select(*keys, "root", "z.*"))
-    changed = named.select(*keys, "root", "label").join(step.where("done").select(*keys, "root", "to"), [*keys, "root"]).select(*keys, "label", "to")
+        step = _checkpointed(step.join(ahead.hint("merge"), [*keys, "next"], "left").select(*keys, "root", F.when(F.col("done"), F.struct("next", "to", "done")).otherwise(F.col("y")).alias("z")).select(*keys, "root", "z.*"))
+    changed = named.select(*keys, "root", "label").join(step.where("done").select(*keys, "root", "to").hint("merge"), [*keys, "root"]).select(*keys, "label", "to")
     cells = _handed(blocks, changed, keys, size, {"to": "long"})
     return cells.select(*keys, "r", "c", F.coalesce("to", "m").cast(dict(mask.dtypes)["m"]).alias("m"))

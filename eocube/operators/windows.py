@@ -3,7 +3,8 @@
 A window belongs to the block that holds its first cell. Each chunk goes to its own block and, cut to the strips that
 windows reach into, to the blocks above and to the left; so a cell is sent as often as there are blocks that need it,
 not once for each window. Predictions are summed on the block before they leave it, and the parts that reach into
-neighbours are added up there. One group is one block with its halo; images of any size are fine.
+neighbours are added up there. Blocks of one place are predicted together, up to MOST_CELLS cells, as a call for each of
+many small ones would take longer than its work; images of any size are fine.
 """
 
 from __future__ import annotations
@@ -13,6 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eocube.operators.regions import whole_groups
+
+#: Values of the blocks that are predicted at once; one block at least.
+MOST_CELLS = 1 << 22
+
 
 def window_starts(n: int, window: int, ratio: float) -> np.ndarray:
     """First cells of the windows along a side of n cells; the last one is moved back to the edge."""
@@ -56,54 +62,86 @@ def predict_windows(chunks: DataFrame, meta: DataFrame, bands: list[str], model,
     the image's edge; cells that no window counts for are nodata.
     """
     reach, n = window - 1, len(bands)
-    strips = halo_strips(chunks.join(meta.select("item", "height", "width"), "item"), bands, size, reach)
+    strips = halo_strips(chunks.join(meta.select("item", "height", "width").hint("merge"), "item"), bands, size, reach)
     kind = dict(strips.dtypes)["item"]
 
-    def predict(table: pa.Table) -> pa.Table:
-        item, br, bc, height, width = (table.column(c)[0].as_py() for c in ("item", "br", "bc", "height", "width"))
+    part = ["item", "br", "bc", "h", "w", "count", "total"]
+
+    def predicted(table: pa.Table, place: tuple, first: np.ndarray, rows_of: np.ndarray, block_of: np.ndarray) -> pa.RecordBatch | None:
+        """What blocks of one place (br, bc, height, width) hand on; first is a row of each, rows_of all rows of theirs."""
+        br, bc, height, width = place
         top, left = br * size, bc * size
         bottom, right = min(height, top + size + reach), min(width, left + size + reach)
-        x = np.zeros((times, max(0, bottom - top), max(0, right - left), n))
-        for k, (t, r0, c0, h, w) in enumerate(zip(*(table.column(c).to_pylist() for c in ("t", "r0", "c0", "h", "w")), strict=True)):
-            for i, b in enumerate(bands):
-                if 0 <= t < times:
-                    part = np.nan_to_num(table.column(b)[k].values.to_numpy(zero_copy_only=False)).reshape(h, w)
-                    x[t, r0 - top : r0 - top + h, c0 - left : c0 - left + w, i] = part[: bottom - r0, : right - c0]
         rows, cols = (s[s // size == at] - at * size for s, at in ((window_starts(height, window, ratio), br), (window_starts(width, window, ratio), bc)))
-        hh, ww = min(window, height), min(window, width)
-        out: list[list] = [[] for _ in range(7)]
-        if len(rows) and len(cols):
-            views = np.lib.stride_tricks.sliding_window_view(x, (hh, ww), axis=(1, 2))[:, rows][:, :, cols]
-            windows = views.transpose(1, 2, 0, 4, 5, 3).reshape(len(rows) * len(cols), times, hh, ww, n)
-            p = np.asarray(model(windows), dtype=np.float64).reshape(len(rows), len(cols), hh, ww, classes)
-            total, count = np.zeros((*x.shape[1:3], classes)), np.zeros(x.shape[1:3], dtype=np.int64)
-            for i, r in enumerate(rows.tolist()):
-                a, b = (0 if top + r == 0 else border), (hh if top + r + hh >= height else hh - border)
-                for j, c in enumerate(cols.tolist()):
-                    d, e = (0 if left + c == 0 else border), (ww if left + c + ww >= width else ww - border)
-                    total[r + a : r + b, c + d : c + e] += p[i, j, a:b, d:e]
-                    count[r + a : r + b, c + d : c + e] += 1
-            for i in range(0, x.shape[1], size):
-                for j in range(0, x.shape[2], size):
-                    if (some := count[i : i + size, j : j + size]).any():
-                        row = [item, br + i // size, bc + j // size, *some.shape, some.ravel(), total[i : i + size, j : j + size].ravel()]
-                        for column, v in zip(out, row, strict=True):
-                            column.append(v)
-        kinds = [table.column("item").type, *[pa.int32()] * 4, pa.list_(pa.int64()), pa.list_(pa.float64())]
-        return pa.table([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["item", "br", "bc", "h", "w", "count", "total"])
-
-    def add(table: pa.Table) -> pa.Table:
-        item, br, bc = (table.column(c)[0].as_py() for c in ("item", "br", "bc"))
-        parts = list(zip(*(table.column(c).to_pylist() for c in ("h", "w")), strict=True))
-        h, w = max(p[0] for p in parts), max(p[1] for p in parts)
-        total, count = np.zeros((h, w, classes)), np.zeros((h, w), dtype=np.int64)
-        for k, (a, b) in enumerate(parts):
-            count[:a, :b] += table.column("count")[k].values.to_numpy().reshape(a, b)
-            total[:a, :b] += table.column("total")[k].values.to_numpy().reshape(a, b, classes)
-        mean = np.where(count[:, :, None] > 0, total / np.maximum(count, 1)[:, :, None], nodata)
-        r, c = (m.ravel() for m in np.meshgrid(br * size + np.arange(h), bc * size + np.arange(w), indexing="ij"))
-        ends = np.arange(0, (h * w + 1) * classes, classes, dtype=np.int32)
-        return pa.table([pa.array([item] * (h * w), table.column("item").type), pa.array(r, pa.int32()), pa.array(c, pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(mean.ravel()))], ["item", "r", "c", "probs"])
-
-    parts = strips.groupBy("item", "br", "bc").applyInArrow(predict, f"item {kind}, br int, bc int, h int, w int, count array<long>, total array<double>")
-    return parts.groupBy("item", "br", "bc").applyInArrow(add, f"item {kind}, r int, c int, probs array<double>")
+        if not len(rows) or not len(cols):
+            return None
+        m, hh, ww = len(first), min(window, height), min(window, width)
+        x = np.zeros((m, times, bottom - top, right - left, n))
+        spots, kind_of = np.unique(np.stack([table.column(c).to_numpy()[rows_of] for c in ("t", "r0", "c0", "h", "w")]), axis=1, return_inverse=True)
+        for k, (t, r0, c0, h, w) in enumerate(spots.T.tolist()):
+            some = np.flatnonzero(kind_of.ravel() == k)
+            for i, b in enumerate(bands if 0 <= t < times else ()):
+                column = table.column(b).combine_chunks()
+                at = column.offsets.to_numpy()[rows_of[some]][:, None] + np.arange(h * w)
+                cells = np.nan_to_num(column.values.to_numpy(zero_copy_only=False)[at]).reshape(len(some), h, w)
+                x[block_of[some], t, r0 - top : r0 - top + h, c0 - left : c0 - left + w, i] = cells[:, : bottom - r0, : right - c0]
+        views = np.lib.stride_tricks.sliding_window_view(x, (hh, ww), axis=(2, 3))[:, :, rows][:, :, :, cols]
+        windows = views.transpose(0, 2, 3, 1, 5, 6, 4).reshape(m * len(rows) * len(cols), times, hh, ww, n)
+        p = np.asarray(model(windows), dtype=np.float64).reshape(m, len(rows), len(cols), hh, ww, classes)
+        total, count = np.zeros((m, *x.shape[2:4], classes)), np.zeros(x.shape[2:4], dtype=np.int64)
+        for i, r in enumerate(rows.tolist()):
+            a, b = (0 if top + r == 0 else border), (hh if top + r + hh >= height else hh - border)
+            for j, c in enumerate(cols.tolist()):
+                d, e = (0 if left + c == 0 else border), (ww if left + c + ww >= width else ww - border)
+                total[:, r + a : r + b, c + d : c + e] += p[:, i, j, a:b, d:e]
+                count[r + a : r + b, c + d : c + e] += 1
+        out = []
+        for i in range(0, count.shape[0], size):
+            for j in range(0, count.shape[1], size):
+                if (some := count[i : i + size, j : j + size]).any():
+                    lists = lambda v, per: pa.ListArray.from_arrays(pa.array(np.arange(m + 1, dtype=np.int32) * per), pa.array(v.ravel()))
+                    ints = [pa.array(np.full(m, v, dtype=np.int32)) for v in (br + i // size, bc + j // size, *some.shape)]
+                    values = [lists(np.broadcast_to(some, (m, *some.shape)), some.size), lists(total[:, i : i + size, j : j + size], some.size * classes)]
+                    out.append(pa.RecordBatch.from_arrays([table.column("item").combine_chunks().take(pa.array(first)), *ints, *values], part))
+        return pa.Table.from_batches(out).combine_chunks().to_batches()[0] if out else None
+
+    def predict(batches):
+        for table, start in whole_groups(batches, ["item", "br", "bc"]):
+            places, place_of = np.unique(np.stack([table.column(c).to_numpy()[start] for c in ("br", "bc", "height", "width")]), axis=1, return_inverse=True)
+            ends = np.append(start, table.num_rows)
+            for k, place in enumerate(places.T.tolist()):
+                blocks = np.flatnonzero(place_of.ravel() == k)
+                at_once = max(1, MOST_CELLS // max(1, times * (size + reach) ** 2 * n))
+                for i in range(0, len(blocks), at_once):
+                    some = blocks[i : i + at_once]
+                    lengths = ends[some + 1] - ends[some]
+                    block_of = np.repeat(np.arange(len(some)), lengths)
+                    rows_of = np.arange(len(block_of)) + np.repeat(ends[some] - np.cumsum(lengths) + lengths, lengths)
+                    if (made := predicted(table, tuple(place), start[some], rows_of, block_of)) is not None:
+                        yield made
+
+    def add(batches):
+        for table, start in whole_groups(batches, ["item", "br", "bc"]):
+            h, w = (table.column(c).to_numpy().astype(np.int64) for c in ("h", "w"))
+            block = np.repeat(np.arange(len(start)), np.diff(np.append(start, table.num_rows)))
+            high, wide = np.maximum.reduceat(h, start), np.maximum.reduceat(w, start)
+            base = np.append(0, np.cumsum(high * wide))
+            row = np.repeat(np.arange(table.num_rows), h * w)
+            pos = np.arange(len(row)) - np.repeat(np.cumsum(h * w) - h * w, h * w)
+            to = base[block[row]] + pos // w[row] * wide[block[row]] + pos % w[row]
+            flat = lambda c: table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            count, sums = np.bincount(to, flat("count"), base[-1]), flat("total").reshape(-1, classes)
+            total = np.stack([np.bincount(to, sums[:, i], base[-1]) for i in range(classes)], axis=1)
+            mean = np.where(count[:, None] > 0, total / np.maximum(count, 1)[:, None], nodata)
+            of = np.repeat(np.arange(len(start)), high * wide)
+            cell = np.arange(base[-1]) - base[of]
+            r, c = (table.column(k).to_numpy()[start][of].astype(np.int64) * size + v for k, v in (("br", cell // wide[of]), ("bc", cell % wide[of])))
+            ends = np.arange(0, (base[-1] + 1) * classes, classes, dtype=np.int32)
+            item = table.column("item").combine_chunks().take(pa.array(start[of]))
+            yield pa.RecordBatch.from_arrays([item, pa.array(r.astype(np.int32)), pa.array(c.astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends), pa.array(mean.ravel()))], ["item", "r", "c", "probs"])
+
+    def by_block(df: DataFrame) -> DataFrame:
+        return df.repartition("item", "br", "bc").sortWithinPartitions("item", "br", "bc")
+
+    parts = by_block(strips).mapInArrow(predict, f"item {kind}, br int, bc int, h int, w int, count array<long>, total array<double>")
+    return by_block(parts).mapInArrow(add, f"item {kind}, r int, c int, probs array<double>")

@@ -18,3 +18,14 @@ def test_rasterised_samples_are_not_broadcast(spark):
     made = grid.rasterize_samples(areas, "value", 1.0)
     assert made.count() == 3 * 16 and made.where("v = 7").count() == 3 * 6
     assert "Broadcast" not in plan(made)
+
+
+def test_regions_are_not_broadcast(spark):
+    mask = spark.range(6).select("id", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("r")).select("id", "r", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("c")).withColumn("m", ((F.col("r") + F.col("c")) % 3 > 0).cast("int"))
+    for made in (regions.label_regions(mask, ["id"], 3), regions.sieve_regions(mask, 3, ["id"], 3), queries.first_cells(regions.label_regions(mask.withColumnRenamed("id", "item"), size=3))):
+        assert "Broadcast" not in plan(made)
+
+
+def test_cap_query_takes_all_labels(spark):
+    made = queries.QUERIES["p8_cap_rows"](spark, "/root/testdata/sf0.01").first()
+    assert (made.n, made.apart, made.inside) == (2000, 2000, True)
