@@ -20,14 +20,15 @@ def day_number(date: Column) -> Column:
 def cover(start: Column, end: Column) -> Column:
     """Array of struct(level, block) that covers the days from start to end, both included; empty if end is before start."""
     a, b = day_number(start), day_number(end) + 1
+    longest = F.least(F.lit(LEVELS - 1), F.floor(F.log2(F.greatest(b - a, F.lit(1)))) + 1).cast("int")  # no larger block fits
+    shift = lambda x, k: F.call_function("shiftright", x, k)
 
     def blocks(k: Column) -> Column:
-        size = F.pow(F.lit(2.0), k)
-        first, behind = F.ceil(a / size).cast("int"), F.floor(b / size).cast("int")
+        first, behind = shift(a + F.call_function("shiftleft", F.lit(1), k) - 1, k), shift(b, k)
         both = F.array(F.when((first < behind) & (F.pmod(first, F.lit(2)) == 1), first), F.when((first < behind) & (F.pmod(behind, F.lit(2)) == 1), behind - 1))
         return F.transform(F.filter(both, lambda x: x.isNotNull()), lambda x: F.struct(k.alias("level"), x.alias("block")))
 
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), blocks))
+    return F.flatten(F.transform(F.sequence(F.lit(0), longest), blocks))
 
 
 def covered(intervals: DataFrame, start: str = "step_start", end: str = "step_end") -> DataFrame:
