@@ -15,10 +15,12 @@ SCL_RANK = [4, 5, 6, 11, 2, 7, 10, 3, 8, 9, 1, 0]
 
 
 def first_valid(cells: DataFrame, bands: list[str], idx: str = "idx") -> DataFrame:
-    """The first scene whose first band is not 0; if none, the last one. One partially aggregated min_by."""
-    b0 = F.col(bands[0])
-    order = F.struct(b0 == 0, F.when(b0 == 0, -F.col(idx)).otherwise(F.col(idx)))
-    return cells.groupBy(*CELL).agg(F.min_by(F.struct(*bands), order).alias("p")).select(*CELL, "p.*")
+    """The first scene whose first band is not 0; if none, the last one. One partially aggregated min_by for each band, by
+    an order that is a number: such states are hashed, where those of structs would have all cells sorted. A missing
+    first band comes before all."""
+    b0, far = F.col(bands[0]), F.lit(1 << 40)
+    order = F.when(b0 == 0, far - F.col(idx)).when(b0.isNull(), F.col(idx) - far).otherwise(F.col(idx))
+    return cells.groupBy(*CELL).agg(*[F.min_by(b, order).alias(b) for b in bands])
 
 
 def all_scenes(cells: DataFrame, bands: list[str]) -> DataFrame:
@@ -34,35 +36,31 @@ def drop_empty_steps(mosaic: DataFrame, band: str) -> DataFrame:
 def composite(cells: DataFrame, bands: list[str], cloudy: Column, stop_share: float = 0.05) -> DataFrame:
     """Cloud-free composite with early finish. Scene 0 always fills a cell; a later one replaces it where all before
     were cloudy and its first band is not 0. The item and step end after the first scene that leaves no picked 0 and at
-    most stop_share of the cells cloudy in all scenes so far. Cells are read and shuffled once: what decides the end and
-    what is picked come from the same arrays."""
-    rows = _states(cells, bands, cloudy)
-    state = _residual(rows, bands)
+    most stop_share of the cells cloudy in all scenes so far; cells that this scene lacks are left out. Flags and the
+    first band may not be null.
+
+    What is left after each of a cell's scenes follows from three of its ranks (see _states), so nothing is gathered,
+    however many scenes a step has: a cell's pick is the last scene with data up to its first clear one and the end.
+    Cells that come dealt out by item and step are not shuffled again."""
+    states = _states(cells, bands, cloudy)
+    state = _residual(states)
     stop = state.groupBy("tile_id", "step_no").agg(F.coalesce(F.min(F.when((F.col("empty") == 0) & (F.col("share") <= stop_share), F.col("idx"))), F.max("idx")).alias("_stop"))
-    at_end = F.get(F.filter("states", lambda x: x["idx"] == F.col("_stop")), F.lit(0))
-    return rows.join(stop, ["tile_id", "step_no"]).withColumn("_end", at_end).where("_end is not null").select(*CELL, "_end.pick.*")
+    fills = (F.col("idx") <= F.least("_clear", "_stop")) & ((F.col("idx") == F.col("_first")) | (F.col(bands[0]) != 0))
+    at = F.when(fills, F.col("idx"))
+    out = states.join(stop.hint("merge"), ["tile_id", "step_no"]).groupBy(*CELL).agg(*[F.max_by(b, at).alias(b) for b in bands], F.max(F.col("idx") == F.col("_stop")).alias("_there"))
+    return out.where("_there").select(*CELL, *bands)
 
 
 def _states(cells: DataFrame, bands: list[str], cloudy: Column) -> DataFrame:
-    """Each cell with `states`, after each of its scenes: idx, masked, whether all scenes so far were cloudy, and pick, the
-    bands so far. An array has a scene of one cell in a row, as many as there are scenes of a step."""
-    pick, idx = cells.select(*bands).schema.simpleString(), cells.schema["idx"].dataType.simpleString()
-    rows = cells.groupBy(*CELL).agg(F.sort_array(F.collect_list(F.struct("idx", cloudy.cast("int").alias("cloud"), F.struct(*bands).alias("pick")))).alias("s"))
+    """Cells with the ranks of the first scene of theirs, of the first clear one and of the first with data, null if there is none."""
+    w, idx = Window.partitionBy(*CELL), F.col("idx")
+    x = cells.select("idx", *CELL, *bands, cloudy.alias("_cloud"))
+    return x.withColumns({"_first": F.min(idx).over(w), "_clear": F.min(F.when(~F.col("_cloud"), idx)).over(w), "_data": F.min(F.when(F.col(bands[0]) != 0, idx)).over(w)}).drop("_cloud")
 
-    def after(state: Column, x: Column) -> Column:
-        before = F.coalesce(state["masked"], F.lit(-1))
-        now = F.when((before == -1) | (before == 1) & (x["pick"][bands[0]] != 0), x["pick"]).otherwise(state["pick"])
-        masked = F.least(state["masked"], x["cloud"])
-        one = F.struct(x["idx"].alias("idx"), masked.alias("masked"), now.alias("pick"))
-        return F.struct(masked.alias("masked"), now.alias("pick"), F.concat(state["states"], F.array(one)).alias("states"))
 
-    none = F.struct(F.lit(None).cast("int").alias("masked"), F.lit(None).cast(pick).alias("pick"), F.array().cast(f"array<struct<idx:{idx},masked:int,pick:{pick}>>").alias("states"))
-    return rows.select(*CELL, F.aggregate("s", none, after, lambda x: x["states"]).alias("states"))
-
-
-def _residual(rows: DataFrame, bands: list[str]) -> DataFrame:
-    each = rows.select("tile_id", "step_no", F.explode(F.transform("states", lambda x: F.struct(x["idx"].alias("idx"), x["masked"].alias("masked"), x["pick"][bands[0]].alias("b")))).alias("x"))
-    return each.groupBy("tile_id", "step_no", F.col("x.idx").alias("idx")).agg(F.avg("x.masked").alias("share"), F.count_if(F.col("x.b") == 0).alias("empty"))
+def _residual(states: DataFrame) -> DataFrame:
+    masked, filled = F.coalesce(F.col("idx") < F.col("_clear"), F.lit(True)), F.coalesce(F.col("_data") <= F.least("idx", "_clear"), F.lit(False))
+    return states.groupBy("tile_id", "step_no", "idx").agg(F.avg(masked.cast("int")).alias("share"), F.count_if(~filled).alias("empty"))
 
 
 def full_score(scl: str, red: str, nir: str) -> Column:
@@ -77,16 +75,21 @@ def composite_full(cells: DataFrame, bands: list[str], score: Column) -> DataFra
 
 
 def composite_qa(cells: DataFrame, bands: list[str], qa: str, stop_share: float = 0.05, sieved: Callable[[DataFrame, list[str]], DataFrame] | None = None) -> DataFrame:
-    """The composite with cloud flags from a quality band, each scene's flags sieved first: by `sieve`, or by `sieved`,
-    which takes a mask and its keys (regions.sieve_regions merges into the largest neighbour, at any threshold)."""
+    """The composite with cloud flags from a quality band, each scene's flags sieved first: by `sieve`, which takes the
+    bands along, or by `sieved`, which takes a mask and its keys and is joined to the cells (regions.sieve_regions merges
+    into the largest neighbour, at any threshold)."""
     scene = ["tile_id", "step_no", "idx"]
-    flags = (sieved or sieve)(cells.select(*scene, "r", "c", qa_cloud(qa).cast("int").alias("m")), scene)
-    return composite(cells.join(flags, [*scene, "r", "c"]), bands, F.col("m") == 1, stop_share)
+    flagged = cells.select(*scene, "r", "c", *bands, qa_cloud(qa).cast("int").alias("m"))
+    if sieved is None:
+        flagged = _sieved(flagged, scene)
+    else:
+        flagged = flagged.drop("m").join(sieved(flagged.select(*scene, "r", "c", "m"), scene).hint("merge"), [*scene, "r", "c"])
+    return composite(flagged, bands, F.col("m") == 1, stop_share)
 
 
 def residual_by_scene(cells: DataFrame, bands: list[str], cloudy: Column) -> DataFrame:
     """After each scene of an item and step: the share of cells cloudy in all scenes so far, and how many picks are 0."""
-    return _residual(_states(cells, bands, cloudy), bands)
+    return _residual(_states(cells, bands, cloudy))
 
 
 #: The band that a composite's cloud flags come from.
@@ -106,11 +109,17 @@ def without_mask_band(images: DataFrame, bands: list[str], method: str) -> DataF
 def sieve(mask: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """mask(item, r, c, m) with groups of one or two equal 4-neighbours flipped, in masks of over three cells. No
     iteration: a cell is alone if it has no equal neighbour, and one of a pair if it and its only equal neighbour have
-    one each. Neighbours are told by windows along one row or column, so no task needs a whole mask. keys name a mask,
-    `item` if not given."""
+    one each. Neighbours are told by windows along rows and columns. A mask goes to one task, which spills what it can't
+    hold; masks of that size are for regions.sieve_regions, which cuts them. keys name a mask, `item` if not given."""
     keys = keys or ["item"]
-    size = mask.groupBy(*keys).agg(F.count("*").alias("_size"))
-    x = mask.select(*keys, "r", "c", "m").join(size, keys)
+    return _sieved(mask.select(*keys, "r", "c", "m"), keys)
+
+
+def _sieved(x: DataFrame, keys: list[str]) -> DataFrame:
+    """x with m sieved; other columns stay. The size comes first, so all windows use one way of dealing, by the mask or
+    what x is dealt by already, and no count is joined."""
+    columns = x.columns
+    x = x.withColumn("_size", F.count("*").over(Window.partitionBy(*keys)))
     along = {"c": Window.partitionBy(*keys, "r").orderBy("c"), "r": Window.partitionBy(*keys, "c").orderBy("r")}
     beside = lambda f, k, by: F.coalesce((f(k).over(along[k]) == F.col(k) + by) & (f("m").over(along[k]) == F.col("m")), F.lit(False))
     for k in ("c", "r"):
@@ -120,4 +129,4 @@ def sieve(mask: DataFrame, keys: list[str] | None = None) -> DataFrame:
     for k in ("r", "c"):
         x = x.withColumn(f"_{k}", F.when(F.col(f"_{k}0"), F.lag("_n").over(along[k])).when(F.col(f"_{k}1"), F.lead("_n").over(along[k])))
     flipped = (F.col("_size") > 3) & ((F.col("_n") == 0) | (F.col("_n") == 1) & (F.coalesce("_r", "_c") == 1))
-    return x.select(*keys, "r", "c", F.when(flipped, 1 - F.col("m")).otherwise(F.col("m")).alias("m"))
+    return x.withColumn("m", F.when(flipped, 1 - F.col("m")).otherwise(F.col("m"))).select(*columns)

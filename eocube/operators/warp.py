@@ -134,7 +134,7 @@ def warp(pairs: DataFrame, chunks: DataFrame, keys: list[str], bands: list[str],
     cells where that spares projections; with 0 they are exact. Systems other than EPSG 4326, 3857 and UTM are an error.
     """
     own = [*keys, *[c for c in ("scene_id",) if c not in keys]]
-    rows = block_windows(pairs, own, size, block).join(chunks.select("scene_id", "chunk_row", "chunk_col", "h", "w", *bands), ["scene_id", "chunk_row", "chunk_col"], "left")
+    rows = block_windows(pairs, own, size, block).join(chunks.select("scene_id", "chunk_row", "chunk_col", "h", "w", *bands).hint("merge"), ["scene_id", "chunk_row", "chunk_col"], "left")
     fields = {f.name: f.dataType.simpleString() for f in pairs.select(*own).schema}
 
     def run(table: pa.Table) -> pa.Table:

@@ -1,9 +1,12 @@
 """What large tables need: joins that don't send cells to the driver, tasks of bounded size, work that follows the input."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
-from eocube.operators import grid, regions
+from eocube.operators import grid, intervals, mosaic, regions
 from eocube.plans import queries
+from eocube.sources import fixtures as fx
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -29,3 +32,45 @@ def test_regions_are_not_broadcast(spark):
 def test_cap_query_takes_all_labels(spark):
     made = queries.QUERIES["p8_cap_rows"](spark, "/root/testdata/sf0.01").first()
     assert (made.n, made.apart, made.inside) == (2000, 2000, True)
+
+
+def test_first_valid_and_composites_are_hashed(spark):
+    cells = queries.cells(spark, SMALL)
+    text = plan(mosaic.first_valid(cells, queries.B))
+    assert "HashAggregate" in text and "SortAggregate" not in text
+    for made in (mosaic.composite(cells, queries.B, F.col("scl") == 3), mosaic.composite_qa(cells, queries.B, "qa")):
+        assert "collect_list" not in plan(made)
+
+
+def test_scenes_are_dealt_out_before_they_become_cells(spark):
+    for made in (queries.cells(spark, SMALL), queries.by_scene(spark, SMALL), queries.speckled(spark, SMALL), fx.warp_chunks(spark, SMALL)):
+        assert "REPARTITION_BY_NUM" in plan(made)
+    assert fx.tasks(spark, SMALL, 1 << 20) == 1000
+
+
+def test_cover_looks_at_no_level_that_cannot_occur(spark):
+    days = spark.range(-70, 70, 7).select(F.date_add(F.lit("1970-01-01").cast("date"), F.col("id").cast("int")).alias("a"))
+    for n in (0, 1, 2, 3, 4, 7, 8, 31, 64):
+        made = days.select("a", F.date_add("a", n - 1).alias("b")).select("a", intervals.cover(F.col("a"), F.col("b")).alias("x")).collect()
+        for row in made:
+            got = sorted(day for x in row.x for day in range(x.block << x.level, (x.block + 1) << x.level))
+            first = (row.a - dt.date(1970, 1, 1)).days
+            assert got == list(range(first, first + n))
+    assert "sequence(0, 24" not in plan(days.select(intervals.cover(F.col("a"), F.col("a"))))
+
+
+def test_composite_of_many_scenes_keeps_no_arrays(spark):
+    """Cells that some scenes lack, 300 scenes of a step, against the definition."""
+    rows = [(1, 0, 0, c, i, (i * 7 + c) % 3, int((i * 5 + c) % 11 < 9)) for c in range(3) for i in range(1, 301) if (i + c) % 4]
+    cells = spark.createDataFrame(rows, "tile_id int, step_no int, r int, c int, idx int, b0 int, m int")
+    want, states = {}, {}
+    for c in range(3):
+        pick, masked = None, 1
+        for _, _, _, _, i, b, m in sorted(x for x in rows if x[3] == c):
+            pick = b if pick is None or masked and b else pick
+            masked &= m
+            states[c, i] = pick, masked
+    ends = [i for i in range(1, 301) if (at := [states[c, i] for c in range(3) if (c, i) in states]) and all(p for p, _ in at) and sum(m for _, m in at) / len(at) <= 0.05]
+    stop = min(ends, default=300)
+    want = {c: states[c, stop][0] for c in range(3) if (c, stop) in states}
+    assert {x.c: x.b0 for x in mosaic.composite(cells, ["b0"], F.col("m") == 1).collect()} == want
