@@ -3,8 +3,9 @@
 Sources are chunk rows (scene_id, chunk_row, chunk_col, h, w and one array per band, in row order). The target grid is
 cut into blocks; each block meets the few chunks that its cells lie in by an equi-join on the chunk's place, so what is
 outside an area's window is never read into cells, and no single cell is shuffled. Where chunks are stored by chunk_row,
-folders that no block needs aren't read. One group is one block with its
-chunks: its size is bounded by the block's, as blocks shrink when the target's cells are larger than the source's.
+folders that no block needs aren't read. A task gets
+its blocks sorted, each with its chunks in a row, many small blocks to an Arrow batch; it holds a batch and a block, whose
+size is bounded, as blocks shrink when the target's cells are larger than the source's.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from eocube.functions.projections import arrays_between
 
 #: Points along each side of a block whose source positions bound its window.
 SIDE = 8
+#: Cells, about, that leave a task at once.
+OUT = 1 << 17
 GRID = ["x0", "y0", "width", "height", "scale", "epsg"]
 SOURCE = ["sx0", "sy0", "sscale", "sepsg"]
 
@@ -98,30 +101,53 @@ def nearest(source: np.ndarray, known: np.ndarray, row: np.ndarray, col: np.ndar
     return np.where(inside & known[r, c], source[r, c], nodata)
 
 
-def bilinear(source: np.ndarray, known: np.ndarray, row: np.ndarray, col: np.ndarray, reach: float, nodata: float) -> np.ndarray:
-    """Mean of the source cells within reach, weighted by a triangle kernel along rows and columns, nodata left out and
-    rounded (half away from 0); nodata where a position is outside of the source."""
-    h, w = source.shape
-    n = int(math.floor(2 * reach)) + 1
-    top, left = np.ceil(row - 0.5 - reach).astype(np.int64), np.ceil(col - 0.5 - reach).astype(np.int64)
-    total, weight = np.zeros(row.shape), np.zeros(row.shape)
-    for i in range(n):
-        r = top + i
-        by_row = 1 - np.abs(r + 0.5 - row) / reach
-        for j in range(n):
-            c = left + j
-            k = np.maximum(by_row, 0) * np.maximum(1 - np.abs(c + 0.5 - col) / reach, 0)
-            inside = (r >= 0) & (r < h) & (c >= 0) & (c < w)
-            rr, cc = np.where(inside, r, 0), np.where(inside, c, 0)
-            v = source[rr, cc]
-            k = np.where(inside & known[rr, cc] & (v != nodata), k, 0)
-            total += k * v
-            weight += k
-    with np.errstate(invalid="ignore", divide="ignore"):
-        mean = total / weight
-    mean = np.where(weight > 0, np.sign(mean) * np.floor(np.abs(mean) + 0.5), nodata)
-    here = nearest(np.ones(source.shape), known, row, col, 0)
-    return np.where(here == 1, mean, nodata)
+def bilinear(sources: list[np.ndarray], known: np.ndarray, row: np.ndarray, col: np.ndarray, reach: float, nodata: float) -> list[np.ndarray]:
+    """For each source of one shape, the mean of its cells within reach, weighted by a triangle kernel along rows and
+    columns, nodata left out and rounded (half away from 0); nodata where a position is outside of the source."""
+    h, w = known.shape
+    by = np.arange(int(math.floor(2 * reach)) + 1)[:, None]
+    r, c = (np.ceil(p.ravel() - 0.5 - reach).astype(np.int64) + by for p in (row, col))  # of each tap and position
+    along = lambda at, p: np.maximum(1 - np.abs(at + 0.5 - p.ravel()) / reach, 0)
+    k = np.where((r >= 0) & (r < h), along(r, row), 0)[:, None] * np.where((c >= 0) & (c < w), along(c, col), 0)[None]
+    k = k.reshape(len(by) ** 2, -1)
+    at = (np.clip(r, 0, h - 1)[:, None] * w + np.clip(c, 0, w - 1)[None]).reshape(k.shape)
+    k = np.where(known.ravel()[at], k, 0)
+    outside = nearest(np.ones(known.shape), known, row, col, 0) == 0
+
+    def mean(source: np.ndarray) -> np.ndarray:
+        v = source.ravel()[at]
+        some = np.where(v != nodata, k, 0)
+        weight = some.sum(axis=0)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            of = (some * v).sum(axis=0) / weight
+        return np.where(outside, nodata, np.where(weight > 0, np.sign(of) * np.floor(np.abs(of) + 0.5), nodata).reshape(row.shape))
+
+    return [mean(s) for s in sources]
+
+
+def block_starts(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
+    """The rows at which any of the keys changes; the first is one."""
+    change = np.zeros(batch.num_rows, dtype=bool)
+    change[:1] = True
+    for k in keys:
+        code = batch.column(k).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+        change[1:] |= code[1:] != code[:-1]
+    return np.flatnonzero(change)
+
+
+def whole_blocks(batches, keys: list[str]):
+    """The batches cut anew, so that no block (rows in a row with equal keys) is in two of them, each with its starts."""
+    rest = None
+    for b in batches:
+        if b.num_rows == 0:
+            continue
+        b = b if rest is None else pa.Table.from_batches([rest, b]).combine_chunks().to_batches()[0]
+        starts = block_starts(b, keys)
+        rest = b.slice(starts[-1])
+        if len(starts) > 1:
+            yield b.slice(0, starts[-1]), starts[:-1]
+    if rest is not None:
+        yield rest, np.zeros(1, dtype=np.int64)
 
 
 def warp(pairs: DataFrame, chunks: DataFrame, keys: list[str], bands: list[str], discrete: list[str] = (), size: int = 256, nodata: int = 0, tolerance: float = 0.125, block: int = 256) -> DataFrame:
@@ -135,27 +161,44 @@ def warp(pairs: DataFrame, chunks: DataFrame, keys: list[str], bands: list[str],
     """
     own = [*keys, *[c for c in ("scene_id",) if c not in keys]]
     rows = block_windows(pairs, own, size, block).join(chunks.select("scene_id", "chunk_row", "chunk_col", "h", "w", *bands).hint("merge"), ["scene_id", "chunk_row", "chunk_col"], "left")
+    of_block = [*own, "_br", "_bc"]
     fields = {f.name: f.dataType.simpleString() for f in pairs.select(*own).schema}
 
-    def run(table: pa.Table) -> pa.Table:
-        first = {c: table.column(c)[0].as_py() for c in (*own, *GRID, *SOURCE, "_block", "_br", "_bc", "_reach")}
-        parts = [(k, *p) for k, p in enumerate(zip(*(table.column(c).to_pylist() for c in ("chunk_row", "chunk_col", "h", "w")), strict=True)) if p[2] is not None]
+    def one(row: dict, parts: list[tuple], images_of: dict) -> tuple:
+        """Rows, columns and bands of one block; parts are its chunks' rows, places and sizes."""
         r0, c0 = min((p[1] for p in parts), default=0) * size, min((p[2] for p in parts), default=0) * size
         shape = max((p[1] * size + p[3] for p in parts), default=1) - r0, max((p[2] * size + p[4] for p in parts), default=1) - c0
         known, images = np.zeros(shape, dtype=bool), {b: np.zeros(shape) for b in bands}
         for k, cr, cc, h, w in parts:
             place = slice(cr * size - r0, cr * size - r0 + h), slice(cc * size - c0, cc * size - c0 + w)
             known[place] = True
-            for b in bands:
-                images[b][place] = table.column(b)[k].values.to_numpy(zero_copy_only=False).reshape(h, w)
-        n, s = first["_block"], first["scale"]
-        r = np.arange(first["_br"] * n, min((first["_br"] + 1) * n, first["height"]))
-        c = np.arange(first["_bc"] * n, min((first["_bc"] + 1) * n, first["width"]))
-        x, y = block_places(first["x0"] + (c + 0.5) * s, first["y0"] - (r + 0.5) * s, first["epsg"], first["sepsg"], tolerance * first["sscale"])
-        row, col = (first["sy0"] - y) / first["sscale"] - r0, (x - first["sx0"]) / first["sscale"] - c0
-        out = {b: nearest(images[b], known, row, col, nodata) if b in discrete else bilinear(images[b], known, row, col, first["_reach"], nodata) for b in bands}
-        rr, cc = (m.ravel() for m in np.meshgrid(r, c, indexing="ij"))
-        return pa.table({**{k: pa.array([first[k]] * len(rr), table.column(k).type) for k in own}, "r": pa.array(rr, pa.int32()), "c": pa.array(cc, pa.int32()), **{b: pa.array(v.ravel().astype(np.int32)) for b, v in out.items()}})
+            for b, (values, at) in images_of.items():
+                images[b][place] = values[at[k] : at[k + 1]].reshape(h, w)
+        n, s = row["_block"], row["scale"]
+        r = np.arange(row["_br"] * n, min((row["_br"] + 1) * n, row["height"]))
+        c = np.arange(row["_bc"] * n, min((row["_bc"] + 1) * n, row["width"]))
+        x, y = block_places(row["x0"] + (c + 0.5) * s, row["y0"] - (r + 0.5) * s, row["epsg"], row["sepsg"], tolerance * row["sscale"])
+        at_row, at_col = (row["sy0"] - y) / row["sscale"] - r0, (x - row["sx0"]) / row["sscale"] - c0
+        smooth = [b for b in bands if b not in discrete]
+        out = dict(zip(smooth, bilinear([images[b] for b in smooth], known, at_row, at_col, row["_reach"], nodata) if smooth else [], strict=True))
+        out.update({b: nearest(images[b], known, at_row, at_col, nodata) for b in bands if b in discrete})
+        return np.repeat(r, len(c)), np.tile(c, len(r)), *(out[b].ravel() for b in bands)
+
+    def run(batches):
+        for b, starts in whole_blocks(batches, of_block):
+            place = list(zip(*(b.column(k).to_pylist() for k in ("chunk_row", "chunk_col", "h", "w")), strict=True))
+            images_of = {k: (b.column(k).values.to_numpy(zero_copy_only=False), b.column(k).offsets.to_numpy()) for k in bands}
+            first = b.select([*GRID, *SOURCE, "_block", "_br", "_bc", "_reach"]).take(pa.array(starts)).to_pylist()
+            held, n = [], 0
+            for i, (row, lo, hi) in enumerate(zip(first, starts, [*starts[1:], b.num_rows], strict=True)):
+                held.append((lo, *one(row, [(k, *place[k]) for k in range(lo, hi) if place[k][2] is not None], images_of)))
+                n += len(held[-1][1])
+                if n >= OUT or i + 1 == len(starts):
+                    of, r, c, *values = ([h[k] for h in held] for k in range(len(held[0])))
+                    same = b.select(own).take(pa.array(np.repeat(of, [len(a) for a in r])))
+                    cells = [pa.array(np.concatenate(a).astype(np.int32)) for a in (r, c, *values)]
+                    yield pa.RecordBatch.from_arrays([*same.columns, *cells], [*own, "r", "c", *bands])
+                    held, n = [], 0
 
     schema = ", ".join([*(f"{k} {t}" for k, t in fields.items()), "r int", "c int", *(f"{b} int" for b in bands)])
-    return rows.groupBy(*own, "_br", "_bc").applyInArrow(run, schema)
+    return rows.repartition(*of_block).sortWithinPartitions(*of_block).mapInArrow(run, schema)

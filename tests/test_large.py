@@ -2,9 +2,10 @@
 
 import datetime as dt
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from eocube.operators import grid, intervals, mosaic, regions
+from eocube.operators import grid, intervals, mosaic, regions, warp
 from eocube.plans import queries
 from eocube.sources import fixtures as fx
 
@@ -74,3 +75,24 @@ def test_composite_of_many_scenes_keeps_no_arrays(spark):
     stop = min(ends, default=300)
     want = {c: states[c, stop][0] for c in range(3) if (c, stop) in states}
     assert {x.c: x.b0 for x in mosaic.composite(cells, ["b0"], F.col("m") == 1).collect()} == want
+
+
+def test_warp_takes_many_blocks_at_once(spark):
+    """Not a group and an Arrow stream for each block; blocks that lie across batches are whole."""
+    made = queries.QUERIES["g5_g6_warp"](spark, SMALL)
+    assert "FlatMapGroupsInArrow" not in plan(made)
+    want = sorted(made.collect())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        assert len(want) > 1000 and sorted(queries.QUERIES["g5_g6_warp"](spark, SMALL).collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_blocks_are_cut_where_a_key_changes():
+    keys = [(1, 0), (1, 0), (1, None), (1, None), (2, None), (2, 0), (2, 0), (2, 0)]
+    for size in (1, 2, 3, 5, 8):
+        batches = [pa.RecordBatch.from_pylist([{"a": a, "b": b} for a, b in keys[i : i + size]], pa.schema({"a": pa.int64(), "b": pa.int64()})) for i in range(0, len(keys), size)]
+        got = [list(zip(*b.to_pydict().values(), strict=True))[lo:hi] for b, at in warp.whole_blocks(batches, ["a", "b"]) for lo, hi in zip(at, [*at[1:], b.num_rows], strict=True)]
+        assert got == [keys[:2], keys[2:4], keys[4:5], keys[5:]]
+    assert list(warp.whole_blocks([], ["a"])) == []
