@@ -4,7 +4,8 @@ A box belongs to the level whose cells, of side 2^level, are at least as large a
 most. Boxes of one level meet in a cell of theirs; of two levels, in a cell of the coarser one, to which the smaller box
 is put as well. So a box is written four times at most for each level that the other side has above its own, however
 large boxes are, and small ones share cells with boxes of their own size alone. A pair is reported in one cell, that of
-the lower corner of what the boxes have in common.
+the lower corner of what the boxes have in common. Where a cell holds more boxes than a piece, as the coarsest ones do, both
+sides are dealt to pieces, and each piece of one side meets each of the other in a group of its own.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 SIDES = ("xmin", "ymin", "xmax", "ymax")
 #: Smaller boxes, and points, count as of this level.
 FINEST = -20
+CELL = ["_level", "_x", "_y"]
+#: Boxes, about, of each side that one group of a crowded cell compares.
+PIECE = 4096
 
 
 def box_level(prefix: str = "") -> Column:
@@ -36,17 +40,38 @@ def in_cells(boxes: DataFrame, prefix: str, levels: list[int], own: bool) -> Dat
     return boxes.withColumn("_level", F.explode(at)).withColumn("_x", span("xmin", "xmax")).withColumn("_y", span("ymin", "ymax"))
 
 
-def meeting(a: DataFrame, b: DataFrame, a_prefix: str = "a_", b_prefix: str = "") -> DataFrame:
+def crowded(left: DataFrame, right: DataFrame, piece: int) -> DataFrame:
+    """Cells of both sides in which one has more than `piece` boxes, with each side's number of pieces, _lefts and _rights. By
+    their size these are fewer than 1 in `piece` rows."""
+    of = lambda df, n: df.groupBy(*CELL).agg(F.ceil(F.count("*") / piece).alias(n))
+    return of(left, "_lefts").join(of(right, "_rights"), CELL).where("_lefts > 1 or _rights > 1")
+
+
+def dealt(side: DataFrame, cells: DataFrame, own: str, other: str) -> DataFrame:
+    """A row of a crowded cell goes to the piece that its hash says, once for each of the other side's pieces. Rows
+    equal in all columns share a piece."""
+    n = lambda k: F.coalesce(F.col(k + "s"), F.lit(1))
+    out = side.withColumn("_hash", F.xxhash64(*side.columns)).join(cells, CELL, "left")
+    return out.withColumn(own, F.pmod(F.col("_hash"), n(own))).withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), n(other) - 1))).drop("_hash", "_lefts", "_rights")
+
+
+def meeting(a: DataFrame, b: DataFrame, a_prefix: str = "a_", b_prefix: str = "", piece: int = PIECE) -> DataFrame:
     """Rows of a and b whose boxes (prefix + xmin, ymin, xmax, ymax) have a point in common, each pair once. Boxes with a
     null or not-a-number side, or whose sides are swapped, meet nothing. Other column names must differ."""
     sound = lambda df, p: df.where(" and ".join([f"{p}xmin <= {p}xmax and {p}ymin <= {p}ymax", *[f"not isnan({p}{k})" for k in SIDES]]))
     a, b = sound(a, a_prefix), sound(b, b_prefix)
     a_levels, b_levels = levels_of(a, a_prefix), levels_of(b, b_prefix)
-    corner = lambda k: F.floor(F.greatest(F.col(a_prefix + k), F.col(b_prefix + k)) / F.pow(F.lit(2.0), F.col("_level")))
     meet = " and ".join(f"{a_prefix}{k}min <= {b_prefix}{k}max and {a_prefix}{k}max >= {b_prefix}{k}min" for k in "xy")
+    # what two boxes have in common begins in a cell that is the first of one of them, along rows and columns
+    first = lambda df, p, to: df.withColumns({f"{to}_{k}": F.col(f"_{k}") == F.floor(F.col(f"{p}{k}min") / F.pow(F.lit(2.0), F.col("_level"))) for k in "xy"})
 
     def joined(left: DataFrame, right: DataFrame) -> DataFrame:
-        return left.join(right, ["_level", "_x", "_y"]).where(meet).where((F.col("_x") == corner("xmin")) & (F.col("_y") == corner("ymin"))).select(*a.columns, *b.columns)
+        cells, on = crowded(left, right, piece), CELL
+        left, right = first(left, a_prefix, "_a"), first(right, b_prefix, "_b")
+        if not cells.isEmpty():
+            on = [*CELL, "_left", "_right"]
+            left, right = dealt(left, cells, "_left", "_right"), dealt(right, cells, "_right", "_left").hint("merge")
+        return left.join(right, on).where(meet).where("(_a_x or _b_x) and (_a_y or _b_y)").select(*a.columns, *b.columns)
 
     coarse = joined(in_cells(a, a_prefix, [], True), in_cells(b, b_prefix, [], True).unionByName(in_cells(b, b_prefix, a_levels, False)))
     return coarse.unionByName(joined(in_cells(a, a_prefix, b_levels, False), in_cells(b, b_prefix, [], True)))

@@ -5,7 +5,7 @@ import datetime as dt
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from eocube.operators import grid, intervals, mosaic, regions, warp
+from eocube.operators import boxes, grid, intervals, mosaic, regions, warp
 from eocube.plans import queries
 from eocube.sources import fixtures as fx
 
@@ -96,3 +96,20 @@ def test_blocks_are_cut_where_a_key_changes():
         got = [list(zip(*b.to_pydict().values(), strict=True))[lo:hi] for b, at in warp.whole_blocks(batches, ["a", "b"]) for lo, hi in zip(at, [*at[1:], b.num_rows], strict=True)]
         assert got == [keys[:2], keys[2:4], keys[4:5], keys[5:]]
     assert list(warp.whole_blocks([], ["a"])) == []
+
+
+def test_crowded_cells_are_dealt_to_pieces(spark):
+    """Boxes as large as their domain meet in a few cells; each piece of one side meets each of the other in a group."""
+    side = lambda df, p: df.select("id", (F.col("id") * 7919 % 1003).cast("double").alias("x"), (F.col("id") * 104729 % 997).cast("double").alias("y"), F.pow(F.lit(10.0), F.col("id") % 4).alias("s")).selectExpr(f"id as {p}id", f"x as {p}xmin", f"y as {p}ymin", f"x + s as {p}xmax", f"y + s as {p}ymax")
+    a, b = side(spark.range(700), "a_"), side(spark.range(300), "")
+    want = a.crossJoin(b).where("a_xmin <= xmax and xmin <= a_xmax and a_ymin <= ymax and ymin <= a_ymax").count()
+    at = boxes.in_cells(a, "a_", boxes.levels_of(b), False), boxes.in_cells(b, "", [], True)
+    hot = boxes.crowded(*at, 16).persist()
+    assert hot.where("_lefts > 1 and _rights > 1").count() > 0
+    left, right = boxes.dealt(at[0], hot, "_left", "_right"), boxes.dealt(at[1], hot, "_right", "_left")
+    most = [df.groupBy(*boxes.CELL, "_left", "_right").count().agg(F.max("count")).first()[0] for df in (left, right)]
+    assert max(most) < 48  # of 500 and 75 in one cell
+    for piece in (16, 50, boxes.PIECE):
+        got = boxes.meeting(a, b, piece=piece)
+        assert got.count() == want == got.select("a_id", "id").distinct().count() > 20_000
+        assert ("_left" in plan(got)) == (piece < boxes.PIECE)
