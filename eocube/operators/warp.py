@@ -76,7 +76,8 @@ def block_windows(pairs: DataFrame, keys: list[str], size: int, block: int) -> D
 
     p = pairs.select(*keys, *[F.col(c).cast("int" if c in ("width", "height", "epsg", "sepsg") else "double").alias(c) for c in (*GRID, *SOURCE)])
     schema = ", ".join(f"{c} {t}" for c, t in p.dtypes)
-    return p.mapInArrow(run, f"{schema}, _block int, _br int, _bc int, _reach double, chunk_row int, chunk_col int")
+    # pairs are a few bytes each, of which Spark would make one task
+    return p.repartition(pairs.sparkSession.sparkContext.defaultParallelism, *keys).mapInArrow(run, f"{schema}, _block int, _br int, _bc int, _reach double, chunk_row int, chunk_col int")
 
 
 def block_places(x: np.ndarray, y: np.ndarray, epsg: int, sepsg: int, tolerance: float) -> tuple[np.ndarray, np.ndarray]:

@@ -80,7 +80,7 @@ def test_composite_of_many_scenes_keeps_no_arrays(spark):
 def test_warp_takes_many_blocks_at_once(spark):
     """Not a group and an Arrow stream for each block; blocks that lie across batches are whole."""
     made = queries.QUERIES["g5_g6_warp"](spark, SMALL)
-    assert "FlatMapGroupsInArrow" not in plan(made)
+    assert "FlatMapGroupsInArrow" not in plan(made) and plan(made).count("REPARTITION_BY_NUM") == 2  # chunks' scenes and pairs
     want = sorted(made.collect())
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
     try:
