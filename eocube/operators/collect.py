@@ -96,7 +96,7 @@ def pixel_stack(matched: DataFrame, cells_of, bands: list[str], mode: str = "lat
     return out if mask is None else grid.clip(out, mask, bands, ["tile_id"])
 
 
-def area_stack(areas: DataFrame, scenes: DataFrame, steps: DataFrame, chunks: DataFrame, bands: list[str], scale: float, size: int, discrete: list[str] = (), clip: bool = False, all_touched: bool = False, tolerance: float = 0.125, **stack) -> DataFrame:
+def area_stack(areas: DataFrame, scenes: DataFrame, steps: DataFrame, chunks: DataFrame, bands: list[str], scale: float, size: int, discrete: list[str] = (), clip: bool = False, all_touched: bool = False, tolerance: float = 0.125, reach: float | None = None, **stack) -> DataFrame:
     """Mosaics on the areas' own grids, from scenes of any supported reference system and resolution.
 
     areas(tile_id, rings, epsg) meet the scenes (scene_id, sensing_time, cloud_cover, lon/lat box, sx0, sy0, sscale, sepsg)
@@ -110,7 +110,7 @@ def area_stack(areas: DataFrame, scenes: DataFrame, steps: DataFrame, chunks: Da
     at = g.select("tile_id", *warp.GRID)
 
     def cells_of(asked: DataFrame) -> DataFrame:
-        return warp.warp(asked.join(at, "tile_id"), chunks, ["tile_id", "step_no", "idx", "scene_id"], bands, discrete, size, tolerance=tolerance)
+        return warp.warp(asked.join(at, "tile_id"), chunks, ["tile_id", "step_no", "idx", "scene_id"], bands, discrete, size, tolerance=tolerance, reach=reach)
 
     mask = grid.rasterize(g.withColumnRenamed("tile_id", "item"), all_touched).withColumnRenamed("item", "tile_id") if clip else None
     return pixel_stack(matched, cells_of, bands, mask=mask, **stack)

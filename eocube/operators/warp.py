@@ -49,9 +49,10 @@ def source_window(grid: dict, x: tuple[float, float], y: tuple[float, float], pa
     return max(0, math.floor(row.min() - pad)), math.floor(row.max() + pad), max(0, math.floor(col.min() - pad)), math.floor(col.max() + pad)
 
 
-def block_windows(pairs: DataFrame, keys: list[str], size: int, block: int) -> DataFrame:
+def block_windows(pairs: DataFrame, keys: list[str], size: int, block: int, kernel: float | None = None) -> DataFrame:
     """A row for each block (_br, _bc) of a pair's target grid and each place of a chunk that it can need, null if that is
-    outside; _block is the block's side, _reach how many source cells the kernel takes to each side."""
+    outside; _block is the block's side, _reach how many source cells the kernel takes to each side: `kernel`, or as many
+    as a target cell spans, one at least."""
     plan = ["_block", "_br", "_bc", "_reach", "chunk_row", "chunk_col"]
 
     def run(batches):
@@ -59,7 +60,7 @@ def block_windows(pairs: DataFrame, keys: list[str], size: int, block: int) -> D
             of, out = [], [[] for _ in plan]
             for k, grid in enumerate(b.select([*GRID, *SOURCE]).to_pylist()):
                 ratio = cell_ratio(grid)
-                reach, n, s = max(1.0, ratio), max(1, min(block, int(block / ratio))), grid["scale"]
+                reach, n, s = max(1.0, ratio) if kernel is None else kernel, max(1, min(block, int(block / ratio))), grid["scale"]
                 for br in range(-(-grid["height"] // n)):
                     for bc in range(-(-grid["width"] // n)):
                         x = tuple(grid["x0"] + min(c * n, grid["width"]) * s for c in (bc, bc + 1))
@@ -151,17 +152,18 @@ def whole_blocks(batches, keys: list[str]):
         yield rest, np.zeros(1, dtype=np.int64)
 
 
-def warp(pairs: DataFrame, chunks: DataFrame, keys: list[str], bands: list[str], discrete: list[str] = (), size: int = 256, nodata: int = 0, tolerance: float = 0.125, block: int = 256) -> DataFrame:
+def warp(pairs: DataFrame, chunks: DataFrame, keys: list[str], bands: list[str], discrete: list[str] = (), size: int = 256, nodata: int = 0, tolerance: float = 0.125, block: int = 256, reach: float | None = None) -> DataFrame:
     """Cells (keys, r, c, bands) of every pair of a target grid and a scene.
 
     pairs has keys, scene_id, the grid (x0, y0, width, height, scale, epsg) and the source's (sx0, sy0, sscale, sepsg), both
     with square cells and their origin at the top left; keys name a pair. Bands in `discrete` are resampled by the
-    nearest source cell, the others bilinearly over as many cells as a target cell spans. Cells outside of the source
-    or in chunks that aren't there are nodata. Positions may be off by `tolerance` source
-    cells where that spares projections; with 0 they are exact. Systems other than EPSG 4326, 3857 and UTM are an error.
+    nearest source cell, the others bilinearly over as many cells as a target cell spans, or over `reach` cells to each
+    side, 1 being the four nearest whatever the scales. Cells outside of the source or in chunks that aren't there are
+    nodata. Positions may be off by `tolerance` source cells where that spares projections; with 0 they are exact.
+    Systems other than EPSG 4326, 3857 and UTM are an error.
     """
     own = [*keys, *[c for c in ("scene_id",) if c not in keys]]
-    rows = block_windows(pairs, own, size, block).join(chunks.select("scene_id", "chunk_row", "chunk_col", "h", "w", *bands).hint("merge"), ["scene_id", "chunk_row", "chunk_col"], "left")
+    rows = block_windows(pairs, own, size, block, reach).join(chunks.select("scene_id", "chunk_row", "chunk_col", "h", "w", *bands).hint("merge"), ["scene_id", "chunk_row", "chunk_col"], "left")
     of_block = [*own, "_br", "_bc"]
     fields = {f.name: f.dataType.simpleString() for f in pairs.select(*own).schema}
 

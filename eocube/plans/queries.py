@@ -455,8 +455,9 @@ query("m8_pixel_stack", _cell + f", x as (select *, row_number() over (partition
 
 
 def warped_stack(s, d):
-    """Weekly mosaics of areas in EPSG 3857 from rasters in two UTM zones: classes by nearest cells, bands bilinearly."""
-    return collect.area_stack(fx.warp_areas(s, d), fx.warp_scenes(s, d), steps(s), fx.warp_chunks(s, d), ["b0", "b02", "scl"], 120.0, fx.CHUNK, ["scl"], tolerance=0, limit=3)
+    """Weekly mosaics of areas in EPSG 3857 from rasters in two UTM zones: classes by nearest cells, bands from the four
+    nearest, also where a cell of the area spans more than one of the source's, as south of 33 degrees."""
+    return collect.area_stack(fx.warp_areas(s, d), fx.warp_scenes(s, d), steps(s), fx.warp_chunks(s, d), ["b0", "b02", "scl"], 120.0, fx.CHUNK, ["scl"], tolerance=0, reach=1.0, limit=3)
 
 
 query("m8_area_stack", f"with {fx.WARP}, e as (select tile_id, step_no, scene_id from warped group by all having max(b0) > 0 and max(b02) > 0 and max(scl) > 0), x as (select *, row_number() over (partition by tile_id, step_no, r, c order by (b0 = 0), case when b0 = 0 then -idx else idx end) as k from warped join e using (tile_id, step_no, scene_id)) select tile_id, step_no, r, c, b0, b02, scl from x where k = 1")(warped_stack)
@@ -464,7 +465,7 @@ query("g5_g6_warp", f"with {fx.WARP} select tile_id, step_no, scene_id, r, c, b0
     lambda s, d: warp.warp(
         search.limit_scenes(search.rank_scenes(search.assign_steps(search.match_scenes(grid.wgs84_bbox(fx.warp_areas(s, d)).select(F.col("tile_id").alias("area_id"), F.col("west").alias("a_xmin"), F.col("south").alias("a_ymin"), F.col("east").alias("a_xmax"), F.col("north").alias("a_ymax")), fx.warp_scenes(s, d)).drop("tile_id").withColumnRenamed("area_id", "tile_id"), steps(s))), 1)
         .join(grid.grid(fx.warp_areas(s, d), 120.0).select("tile_id", *warp.GRID), "tile_id"),
-        fx.warp_chunks(s, d), ["tile_id", "step_no", "scene_id"], ["b0", "b02", "scl"], ["scl"], fx.CHUNK, tolerance=0,
+        fx.warp_chunks(s, d), ["tile_id", "step_no", "scene_id"], ["b0", "b02", "scl"], ["scl"], fx.CHUNK, tolerance=0, reach=1.0,
     )
 )
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import duckdb
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -113,3 +114,12 @@ def test_crowded_cells_are_dealt_to_pieces(spark):
         got = boxes.meeting(a, b, piece=piece)
         assert got.count() == want == got.select("a_id", "id").distinct().count() > 20_000
         assert ("_left" in plan(got)) == (piece < boxes.PIECE)
+
+
+def test_area_stack_equals_its_sql_where_cells_span_more_than_one(spark, tmp_path):
+    con = duckdb.connect()
+    con.execute(f"copy (select * replace (user_id + 30000 as user_id) from '{SMALL}/events.parquet' where user_id < 3) to '{tmp_path}/events.parquet' (format parquet)")
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet'")
+    made = queries.QUERIES["m8_area_stack"](spark, str(tmp_path))
+    want = con.execute(f"with o as ({queries.ORACLES['m8_area_stack']}) select {', '.join(made.columns)} from o").fetchall()
+    assert len(want) > 500 and sorted(map(tuple, made.collect())) == sorted(want)
