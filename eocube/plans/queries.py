@@ -185,9 +185,8 @@ query("g10_label_regions", _REGIONS + "select mk.item, r, c, mk.m, n as region_c
 
 
 def first_cells(labelled):
-    """Regions told by their first cell in the order of reading, however the mask was cut into blocks."""
-    first = labelled.groupBy("item", "region").agg(F.min(F.struct("r", "c")).alias("x"))
-    return labelled.join(first.hint("merge"), ["item", "region"]).select("item", "r", "c", "m", "region_cells", F.col("x.r").cast("long").alias("first_r"), F.col("x.c").cast("long").alias("first_c"))
+    """Regions told by their first cell in the order of reading, which is their label."""
+    return labelled.select("item", "r", "c", "m", "region_cells", F.shiftright("region", 32).alias("first_r"), F.col("region").bitwiseAND(0xFFFFFFFF).alias("first_c"))
 
 
 _MERGED = _REGIONS + (

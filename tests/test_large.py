@@ -123,3 +123,26 @@ def test_area_stack_equals_its_sql_where_cells_span_more_than_one(spark, tmp_pat
     made = queries.QUERIES["m8_area_stack"](spark, str(tmp_path))
     want = con.execute(f"with o as ({queries.ORACLES['m8_area_stack']}) select {', '.join(made.columns)} from o").fetchall()
     assert len(want) > 500 and sorted(map(tuple, made.collect())) == sorted(want)
+
+
+def test_regions_send_few_bytes_for_a_cell(spark):
+    mask = queries.speckled(spark, SMALL).localCheckpoint()
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def sent():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        seen = store.executorList(False)
+        return sum(seen.apply(i).totalShuffleWrite() for i in range(seen.size()))
+
+    for made in (lambda: queries.first_cells(regions.label_regions(mask, size=5)), lambda: regions.sieve_regions(mask, 3, size=5)):
+        before = sent()
+        assert made().count() == 120 * 1000
+        assert sent() - before < 5 * 120 * 1000
+
+
+def test_tiles_of_one_mask_and_many_agree(spark):
+    m = "case when id < 3 then (r * 7 + c * c * id) % 3 when id = 3 then -40000000000 * ((r * c) % 2) else pmod(r * 31 + c * 17, 5) * 300 - 600 end"
+    mask = spark.range(6).select("id", F.explode(F.sequence(F.lit(0), F.lit(13))).alias("r")).select("id", "r", F.explode(F.sequence(F.lit(0), F.lit(10))).alias("c")).where("(r * 11 + c) % 13 > 0").withColumn("m", F.expr(m)).orderBy(F.xxhash64("id", "r", "c"))
+    for of in (lambda size: regions.label_regions(mask, ["id"], size), lambda size: regions.sieve_regions(mask, 4, ["id"], size)):
+        want = sorted(map(tuple, of(64).collect()))
+        assert len(want) == mask.count() and want == sorted(map(tuple, of(1).collect()))
