@@ -202,6 +202,29 @@ def test_windows_with_a_halo(spark, shape, size, window, ratio, border):
     assert np.allclose(got, brute_windows(x, model, window, ratio, border))
 
 
+def test_small_images_are_sent_once_and_large_ones_cut(spark):
+    images = {"a": np.arange(35).reshape(7, 5) * 1000 - 9000, "b": np.arange(23 * 17).reshape(23, 17) % 50, "c": np.arange(12).reshape(3, 4)}
+    meta = spark.createDataFrame([(k, *x.shape) for k, x in images.items()] + [("none", 5, 5)], "item string, height int, width int")
+    made = None
+    for k, x in images.items():
+        of = chunked(spark, x, 4, t=0).withColumn("item", F.lit(k))
+        made = of if made is None else made.unionByName(of)
+    model = lambda v: v[:, 0]
+    out = windows.predict_windows(made, meta, ["v"], model, 1, 4, 3)
+    got = {}
+    for row in out.collect():
+        got.setdefault(row.item, {})[row.r, row.c] = row.probs[0]
+    assert got == {k: {(r, c): float(v) for (r, c), v in np.ndenumerate(x)} for k, x in images.items()}
+    small = windows.predict_windows(made.where("item <> 'b'"), meta.where("item <> 'b'"), ["v"], model, 1, 4, 3)
+    assert plan_of(small).count("Exchange") == 1 < plan_of(out).count("Exchange")
+    sent = windows.sent_whole(made.where("item = 'c'"), meta.where("item = 'c'"), ["v"], 4).agg(F.sum(F.length("v"))).first()[0]
+    assert sent == 12  # a byte a cell
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_halo_sends_strips_not_windows(spark):
     chunks = chunked(spark, np.ones((64, 64), dtype=int), 32, t=0, item=1, height=64, width=64)
     cells = windows.halo_strips(chunks, ["v"], 32, 7).agg(F.sum(F.size("v"))).first()[0]
