@@ -5,7 +5,9 @@ most. Boxes of one level meet in a cell of theirs; of two levels, in a cell of t
 is put as well. So a box is written four times at most for each level that the other side has above its own, however
 large boxes are, and small ones share cells with boxes of their own size alone. A pair is reported in one cell, that of
 the lower corner of what the boxes have in common. Where a cell holds more boxes than a piece, as the coarsest ones do, both
-sides are dealt to pieces, and each piece of one side meets each of the other in a group of its own.
+sides are dealt to pieces, and each piece of one side meets each of the other in a group of its own. A cell has GROUPS such
+groups at most, the larger side having more pieces, so what is copied grows with the boxes, not with their square; a group
+streams one side and holds, or spills, its part of the other.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ FINEST = -20
 CELL = ["_level", "_x", "_y"]
 #: Boxes, about, of each side that one group of a crowded cell compares.
 PIECE = 4096
+#: Groups, about, of a crowded cell at most: enough for the cores of a cluster.
+GROUPS = 256
 
 
 def box_level(prefix: str = "") -> Column:
@@ -42,9 +46,12 @@ def in_cells(boxes: DataFrame, prefix: str, levels: list[int], own: bool) -> Dat
 
 def crowded(left: DataFrame, right: DataFrame, piece: int) -> DataFrame:
     """Cells of both sides in which one has more than `piece` boxes, with each side's number of pieces, _lefts and _rights. By
-    their size these are fewer than 1 in `piece` rows."""
-    of = lambda df, n: df.groupBy(*CELL).agg(F.ceil(F.count("*") / piece).alias(n))
-    return of(left, "_lefts").join(of(right, "_rights"), CELL).where("_lefts > 1 or _rights > 1")
+    their size these are fewer than 1 in `piece` rows. Where pieces of `piece` boxes would make more than GROUPS groups,
+    both sides have fewer, in the ratio of their boxes, by which the fewest are copied."""
+    of = lambda df, n: df.groupBy(*CELL).agg(F.count("*").alias(n))
+    cells = of(left, "_l").join(of(right, "_r"), CELL).where(F.greatest("_l", "_r") > piece)
+    part = lambda n, o: F.least(F.ceil(F.col(n) / piece), F.greatest(F.lit(1), F.least(F.lit(GROUPS), F.round(F.sqrt(F.col(n) / F.col(o) * GROUPS)))).cast("long"))
+    return cells.select(*CELL, part("_l", "_r").alias("_lefts"), part("_r", "_l").alias("_rights"))
 
 
 def dealt(side: DataFrame, cells: DataFrame, own: str, other: str) -> DataFrame:

@@ -146,3 +146,14 @@ def test_tiles_of_one_mask_and_many_agree(spark):
     for of in (lambda size: regions.label_regions(mask, ["id"], size), lambda size: regions.sieve_regions(mask, 4, ["id"], size)):
         want = sorted(map(tuple, of(64).collect()))
         assert len(want) == mask.count() and want == sorted(map(tuple, of(1).collect()))
+
+
+def test_crowded_cells_copy_a_row_to_few_pieces(spark):
+    cell = [F.lit(0).alias(k) for k in boxes.CELL]
+    left, right = (spark.range(n).select("id", *cell) for n in (30_000, 2_000))
+    made = boxes.crowded(left, right, 10)
+    lefts, rights = made.select("_lefts", "_rights").first()
+    assert 1 < rights < lefts <= 256 and lefts * rights < 300
+    assert boxes.dealt(left, made, "_left", "_right").count() + boxes.dealt(right, made, "_right", "_left").count() < 10 * 32_000
+    one = boxes.crowded(left, spark.range(1).select("id", *cell), 10).select("_lefts", "_rights").first()
+    assert tuple(one) == (256, 1)
