@@ -166,6 +166,45 @@ class SameSets:
         return both >= self.similarity * (len(a) + len(b) - both) - 1e-9
 
 
+#: Bins of a sketch, each of which has 4 bits.
+BINS = 128
+
+
+def sketch(h: np.ndarray) -> bytes:
+    """For each bin of the leading bits 4 bits of the least of the sorted distinct hashes in it, from 1 to 15; 0 if it is empty."""
+    bins = np.arange(BINS, dtype=np.uint64)
+    at = np.searchsorted(h, bins << np.uint64(57))
+    least = np.append(h, np.uint64(0))[at]
+    value = np.where((at < len(h)) & (least >> np.uint64(57) == bins), np.uint64(1) + (least & np.uint64(0xFFFFFFFF)) % np.uint64(15), np.uint64(0)).astype(np.uint8)
+    return (value[::2] << 4 | value[1::2]).tobytes()
+
+
+class SameSketch:
+    """Whether two sets can have a Jaccard similarity of `similarity` or more, by their sizes and sketches: at least 3 in 5
+    of the bins that either has agree. Of 128 full bins of two sets of similarity 0.8, 104 agree on average with a deviation
+    of 4.4, so 77 are missed less than once in 10^9; the bins of small sets are nearly the sets."""
+
+    def __init__(self, n: np.ndarray, sketches: np.ndarray, similarity: float):
+        self.n, self.similarity = n, similarity
+        self.bins = np.stack([sketches >> 4, sketches & 15], axis=2).reshape(len(n), -1)
+
+    def likely(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.minimum(self.n[a], self.n[b]) >= self.similarity * np.maximum(self.n[a], self.n[b]) - 1e-9
+        some = np.flatnonzero(out)
+        x, y = self.bins[a[some]], self.bins[b[some]]
+        out[some] = 5 * ((x == y) & (x > 0)).sum(axis=1) >= 3 * ((x | y) > 0).sum(axis=1)
+        return out
+
+    def __call__(self, x: int, y: int) -> bool:
+        return True
+
+
+def sketches_of(column) -> np.ndarray:
+    """Rows of BINS // 2 bytes."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(len(column), BINS // 2)
+
+
 def forest_links(forest: Forest, radius: int, same: SameSets | None = None, classes: np.ndarray | None = None, alike: Iterable[np.ndarray] = ()) -> np.ndarray:
     """Links (first item, item) of the sets that pairs within the radius (and the `same`, where given) form. Items of one
     class, where classes are given, are joined from the start: their links are known, in whatever shard, and a class
@@ -252,23 +291,29 @@ def finer(rows: DataFrame, key: str, keys: Column, most: int) -> DataFrame:
     return rows.join(hot, F.col(key) == F.col("_hot"), "left").withColumn(key, F.explode(within)).drop("_hot")
 
 
-def links_within(nodes: DataFrame, shards: Column, radius: int, most: int = SHARD, second: Column | None = None) -> DataFrame:
+def links_within(nodes: DataFrame, shards: Column, radius: int, most: int = SHARD, second: Column | None = None, similarity: float | None = None) -> DataFrame:
     """links(u, v) that connect the nodes(node, fp) within the radius that share a shard and, in a shard of over `most`
-    nodes, one of the `second` keys where those are given."""
+    nodes, one of the `second` keys where those are given. With a similarity, only nodes(..., n, sketch) whose sketches can
+    be of sets as similar are linked."""
+    own = ["n", "sketch"] if similarity is not None else []
 
     def search(batches):
         for t in whole_runs(batches, "cell"):
             cell, fp, node = _numbers(t.column("cell")), _numbers(t.column("fp"), np.uint64), _numbers(t.column("node"))
             _, where, n = np.unique(cell, return_inverse=True, return_counts=True)
             meet = n[where] > 1
+            same = None
             cell, fp, node = cell[meet], fp[meet], node[meet]
             order = np.lexsort((node, cell))
-            yield _links(node[order], forest_links(Forest(cell[order], fp[order]), radius))
+            if own:
+                some = np.flatnonzero(meet)[order]
+                same = SameSketch(_numbers(t.column("n"))[some], sketches_of(t.column("sketch").combine_chunks().take(pa.array(some))), similarity)
+            yield _links(node[order], forest_links(Forest(cell[order], fp[order]), radius, same))
 
-    rows = nodes.where("node is not null").select("node", "fp", F.explode(F.array_distinct(shards)).alias("shard"))
+    rows = nodes.where("node is not null").select("node", "fp", *own, F.explode(F.array_distinct(shards)).alias("shard"))
     if second is not None:
         rows = finer(rows, "shard", second, most)
-    return in_cells(rows, "shard", "node", most).select("cell", "fp", "node").repartition("cell").sortWithinPartitions("cell").mapInArrow(search, "u long, v long")
+    return in_cells(rows, "shard", "node", most).select("cell", "fp", "node", *own).repartition("cell").sortWithinPartitions("cell").mapInArrow(search, "u long, v long")
 
 
 def block_shards(radius: int) -> Column:
@@ -311,20 +356,14 @@ def fingerprint_components(docs: DataFrame, words: int = 3, radius: int = 3) ->
     return rows.join(named, rows.fp == F.col("_fp"), "left").select("doc_id", "fp", "component_id")
 
 
-def stars(nodes: DataFrame) -> DataFrame:
-    """links(u, v) from the smallest of the nodes(node, alike) of each number in `alike` to the others."""
-    rows = nodes.where("node is not null").select("node", F.explode("alike").alias("key"))
-    first = rows.groupBy("key").agg(F.min("node").alias("u"), F.count("*").alias("_n")).where("_n > 1").select(F.col("key").alias("_key"), "u")
-    return rows.join(first, F.col("key") == F.col("_key")).where("node <> u").select("u", F.col("node").alias("v"))
-
-
 def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 20, hashes: int = 8, most: int = 4_000) -> DataFrame:
     """doc_id, th and component_id of documents linked by a Jaccard similarity of shingle sets of `similarity` or more.
 
     SimHash candidates within a radius that holds such pairs (about 10 bits differ at 0.8, with a deviation of 2.7)
     are found in the BK-trees of shards keyed by min-hashes; the shingle sets of candidates are then compared. Both
     are of shingle sets, so repeats count once. Texts that agree in a run of min-hashes, and short texts that share a
-    min-hash, are candidates whatever their fingerprints.
+    min-hash, are candidates whatever their fingerprints. Candidates become links only if their sketches allow the
+    similarity: else chance meetings, which grow with the square of the corpus, would join unrelated texts to groups.
     Groups of over `most` candidates, or of over PIECE_BYTES of text, are compared in pieces.
     Equal texts are one node. Null and empty texts are similar to each other. A null doc_id takes no part. Rows that
     repeat a doc_id with different texts are one node of several texts. An empty table gives no rows; other columns
@@ -337,9 +376,11 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, rad
 
     def sign(batches):
         for b in batches:
-            fp, keys, alike = [], [], []
+            fp, keys, alike, sizes, sketches = [], [], [], [], []
             for h in sets_of(byte_texts(b.column(1))):
                 fp.append(simhash(h))
+                sizes.append(len(h))
+                sketches.append(sketch(h))
                 least = np.array([mixed(h ^ s).min() if len(h) else s for s in salts], dtype=np.uint64).view(np.int64)
                 keys.append(least.tolist())
                 of = [(i, 0, least[i : i + RUN].tobytes()) for i in range(0, hashes - RUN + 1, RUN)]
@@ -347,7 +388,7 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, rad
                     of += [(i, 1, least[i].tobytes()) for i in range(hashes)]
                 alike.append(np.array([xxh64_intdigest(x, i << 1 | k) for i, k, x in of], dtype=np.uint64).view(np.int64).tolist())
             numbers = [pa.array(x, pa.list_(pa.int64())) for x in (keys, alike)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(np.array(fp, dtype=np.uint64).view(np.int64)), *numbers], ["doc_id", "th", "size", "fp", "keys", "alike"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(np.array(fp, dtype=np.uint64).view(np.int64)), *numbers, pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())], ["doc_id", "th", "size", "fp", "keys", "alike", "n", "sketch"])
 
     def verify(batches):
         for t in whole_runs(batches, "cell"):
@@ -363,12 +404,13 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, rad
             yield _links(node, forest_links(Forest(cell, _numbers(t.column("fp"), np.uint64)), radius, same, known, alike))
 
     sized = keyed(docs).withColumn("size", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
-    rows = written(sized.mapInArrow(sign, "doc_id long, th long, size long, fp long, keys array<long>, alike array<long>"))
-    own = [F.min(F.when(F.col("doc_id").isNotNull(), F.col(c))).alias(c) for c in ("size", "keys", "alike")]
+    rows = written(sized.mapInArrow(sign, "doc_id long, th long, size long, fp long, keys array<long>, alike array<long>, n long, sketch binary"))
+    own = [F.min(F.when(F.col("doc_id").isNotNull(), F.col(c))).alias(c) for c in ("size", "keys", "alike", "n", "sketch")]
     nodes = written(rows.groupBy("th", "fp").agg(F.min("doc_id").alias("node"), *own))
     shards = F.transform("keys", lambda k, i: F.xxhash64(i, k))
-    groups = connected(links_within(nodes, shards, radius).unionByName(stars(nodes))).select(F.col("node").alias("_node"), "root")
-    plan = nodes.drop("keys").join(groups, F.col("node") == F.col("_node")).select("root", "node", F.col("th").alias("_th"), "fp", "size", "alike")
+    links = links_within(nodes, shards, radius, similarity=similarity).unionByName(links_within(nodes, F.col("alike"), 64, similarity=similarity))
+    groups = connected(links).select(F.col("node").alias("_node"), "root")
+    plan = nodes.drop("keys", "n", "sketch").join(groups, F.col("node") == F.col("_node")).select("root", "node", F.col("th").alias("_th"), "fp", "size", "alike")
 
     def search(asked: DataFrame) -> DataFrame:
         texts = keyed(docs).join(asked, (F.col("doc_id") == F.col("node")) & (F.col("th") == F.col("_th")))

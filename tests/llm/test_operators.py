@@ -661,3 +661,28 @@ def test_scores_equal_the_slow_model(spark, monkeypatch):
         each = [(count[w] + 1) / whole * (lm.WEIGHT * (steps[before, cls[w]] + 5 * p[cls[w]]) / (steps[before].sum() + 5) / p[cls[w]] + 0.05) for w in count]
         end = (ends + 1) / whole * (lm.WEIGHT * (steps[before, lm._END] + 5 * p[lm._END]) / (steps[before].sum() + 5) / p[lm._END] + 0.05)
         assert sum(each) + end <= 1 + 1e-9 and sum(each) + end > 0.95
+
+
+def test_texts_that_share_a_passage_are_no_candidates(spark, monkeypatch):
+    rng = np.random.RandomState(3)
+    passage = [f"p{i}" for i in range(40)]
+    rows = [(i, " ".join(passage + [f"w{x}" for x in rng.randint(0, 10**6, 50)])) for i in range(80)]
+    rows += [(100 + i, f"{text} and more") for i, text in rows[:3]]
+    seen, real = [], simhash.joined_groups
+    monkeypatch.setattr(simhash, "joined_groups", lambda asked, *a, **k: seen.append(asked.count()) or real(asked, *a, **k))
+    found = {r.doc_id: r.component_id for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {i: i % 100 for i, _ in rows} and seen == [6]
+
+
+def test_sketches_agree_for_similar_sets():
+    rng = np.random.RandomState(4)
+    draw = lambda n: rng.randint(0, 2**62, n, dtype=np.int64).astype(np.uint64) << np.uint64(2)
+    sets = []
+    for n in [0, 0, *range(1, 40), 100, 400, 5_000]:
+        base = draw(n)
+        sets += [np.unique(base), np.unique(np.concatenate([base[: n - n // 9], draw(n // 9)]))]  # a similarity of 0.8 and more
+        sets.append(np.unique(np.concatenate([base[: n // 4], draw(n - n // 4)])))
+    drawn = np.frombuffer(b"".join(map(simhash.sketch, sets)), dtype=np.uint8).reshape(len(sets), -1)
+    same = simhash.SameSketch(np.array([len(s) for s in sets]), drawn, 0.8)
+    first = np.arange(0, len(sets), 3)
+    assert same.likely(first, first + 1).all() and not same.likely(first, first + 2)[[len(sets[i]) > 20 for i in first]].any()
