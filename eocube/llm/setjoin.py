@@ -12,7 +12,9 @@ index them too. How many segments count twice, and how many are spare, is decide
 signatures and chance meetings. A set is compared within its band and with the band below.
 
 Signatures that several sets share become links from the first of them, so a group of many near copies gives as many
-links as it has sets. The groups that the links form are then verified on their shingle sets, each group in pieces.
+links as it has sets. The groups that the links form are then verified on their shingle sets, each group in pieces. Groups
+that are too large for one piece, as passages that many texts quote make them, are first cut to what their sets' sketches,
+of 64 bytes each, allow to be similar.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from eocube.llm.common import Hashes, byte_texts, keyed, mixed, pack, partitions, table, unpack, whole_runs, windows, written
 from eocube.llm.components import connected
-from eocube.llm.simhash import SameSets, Union, joined_groups
+from eocube.llm.simhash import SHARD, SameSets, SameSketch, Union, joined_groups, sketch, sketches_of
 
 WORDS, SIMILAR = 4, (85, 100)
 #: Cost of a chance meeting of two sets, in signatures.
@@ -244,6 +246,31 @@ def set_links(cell: np.ndarray, size: np.ndarray, same: SameSets, classes: np.nd
     return np.stack([root[item], item], axis=1)
 
 
+def sketched_groups(rows: DataFrame, most: int, similar: tuple[int, int]) -> DataFrame:
+    """rows(root, node, n, sketch, ...) whose groups of over `most` rows are cut to the groups that pairs of similar sketches
+    form; rows that are similar to none go. Sketches are compared like texts, in pieces, which are of SHARD rows."""
+    hot = written(rows.groupBy("root").count().where(F.col("count") > most).select(F.col("root").alias("_hot")))
+    if hot.isEmpty():
+        return rows
+    large = rows.join(hot, F.col("root") == F.col("_hot")).drop("_hot")
+
+    def match(batches):
+        for t in whole_runs(batches, "cell"):
+            cell, node, known, n = (t.column(c).to_numpy() for c in ("cell", "node", "class", "n"))
+            order = np.lexsort((node, n, cell))
+            same = SameSketch(n[order], sketches_of(t.column("sketch"))[order], similar[0] / similar[1])
+            links = set_links(cell[order], n[order], same, known[order], similar)
+            yield pa.RecordBatch.from_arrays([pa.array(node[order][links[:, k]]) for k in (0, 1)], ["u", "v"])
+
+    def search(part: DataFrame) -> DataFrame:
+        cells = part.select(F.explode("cells").alias("cell"), "node", "class", "n", "sketch")
+        return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(match, "u long, v long")
+
+    roots = joined_groups(large.select("root", "node", F.lit(64).alias("size"), "n", "sketch"), search, SHARD).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    cut = large.join(roots, F.col("node") == F.col("_node")).withColumn("root", F.col("_root")).drop("_node", "_root")
+    return rows.join(hot, F.col("root") == F.col("_hot"), "left_anti").unionByName(cut)
+
+
 def similar_sets(docs: DataFrame, words: int = WORDS, similar: tuple[int, int] = SIMILAR, most: int = 4_000) -> DataFrame:
     """doc_id, n (distinct shingles) and component_id (the smallest doc_id reachable, itself included) for every row;
     links are of Jaccard similarities of similar[0]/similar[1] or more.
@@ -262,11 +289,11 @@ def similar_sets(docs: DataFrame, words: int = WORDS, similar: tuple[int, int] =
             sets = [shingle_set(t, words, hashes) for t in byte_texts(b.column(1))]
             node = np.array([set_hash(s) for s in sets], dtype=np.uint64).view(np.int64)
             size = np.array([len(s) for s in sets], dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(size), pa.array(node, mask=size == 0)], ["doc_id", "th", "size", "n", "node"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(size), pa.array(node, mask=size == 0), pa.array([sketch(s) for s in sets], pa.binary())], ["doc_id", "th", "size", "n", "node", "sketch"])
 
     sized = keyed(docs).withColumn("size", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
-    rows = written(sized.mapInArrow(measure, "doc_id long, th long, size long, n long, node long"))
-    rep = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "size", "n")).alias("rep")
+    rows = written(sized.mapInArrow(measure, "doc_id long, th long, size long, n long, node long, sketch binary"))
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "size", "n", "sketch")).alias("rep")
     nodes = written(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"), rep))
     counts = nodes.groupBy(F.floor(F.log("rep.n") * 20).alias("k")).agg(F.avg("rep.n").alias("size"), F.count("*").alias("sets"), F.max("rep.n").alias("most")).collect()
     plan = Partition([(r.size, r.sets) for r in counts] + [(float(r.most), 0) for r in counts], similar)
@@ -278,7 +305,8 @@ def similar_sets(docs: DataFrame, words: int = WORDS, similar: tuple[int, int] =
     groups = connected(candidate_links(docs, plan, words, buckets, key_bytes, node_bytes)).select(F.col("node").alias("_short"), "root")
     alike = named.groupBy(F.col("short").alias("_short")).count().where("count > 1").select("_short", F.col("_short").alias("root"))
     groups = groups.unionByName(alike.join(groups, "_short", "left_anti"))
-    asked = written(named.join(groups, F.col("short") == F.col("_short")).select("root", "node", F.col("rep.doc_id").alias("_id"), F.col("rep.th").alias("_th"), F.col("rep.size").alias("size")))
+    asked = written(named.join(groups, F.col("short") == F.col("_short")).select("root", "node", F.col("rep.doc_id").alias("_id"), F.col("rep.th").alias("_th"), "rep.size", "rep.n", "rep.sketch"))
+    asked = written(sketched_groups(asked, most, similar).drop("n", "sketch"))
 
     def verify(batches):
         hashes = Hashes()

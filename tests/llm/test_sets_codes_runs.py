@@ -276,3 +276,19 @@ def test_runs_of_random_words():
         for least, times in ((24, 3), (2, 2), (7, 2), (12, 4)):
             got = runs.runs_by_document([runs.numbered(t) for t in texts], least, times)
             assert [[tuple(r) for r in g.tolist()] for g in got] == [brute_runs(t, least, times) for t in texts]
+
+
+def test_set_join_compares_no_texts_that_only_share_a_passage(spark, monkeypatch):
+    rng = np.random.RandomState(5)
+    passage = [f"p{i}" for i in range(45)]
+    rows = [(k, " ".join(passage + [f"w{x}" for x in rng.randint(0, 10**6, 40)])) for k in range(200)]
+    rows.append((100, rows[7][1] + " more"))
+    seen, real = [], setjoin.joined_groups
+
+    def spy(asked, *a, **k):
+        seen.extend([] if "sketch" in asked.columns else [asked.count()])
+        return real(asked, *a, **k)
+
+    monkeypatch.setattr(setjoin, "joined_groups", spy)
+    assert found_components(setjoin.similar_sets(documents(spark, rows), most=16)) == brute_components(rows)
+    assert seen == [2]
